@@ -57,9 +57,25 @@ FROM docs d JOIN reach ON a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from folioforge.llm.tokenfiles import read_tokens, write_tokens
+
+    return read_tokens(spark, write_tokens(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_token_files": op3_token_files,
+    "op7_fingerprints": op7_fingerprints,
 }
 
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL}
