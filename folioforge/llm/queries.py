@@ -65,17 +65,77 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, write_tokens(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.pii import KINDS, pseudonymize
+
+    return pseudonymize(table(spark, sf_dir, "documents")).select("doc_id", *[f"n_{k}" for k in KINDS], "text")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioforge.llm.fingerprint import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.mixing import weights
+
+    return weights(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE counts AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS t, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_words FROM documents),
+docs AS (
+  SELECT doc_id, source, lang, n_words,
+    CASE WHEN (length(t) - length(translate(t, '|', ''))) * 5 > n_words THEN 'table' WHEN length(t) - length(translate(t, '*#$%&', '')) > n_words THEN 'marked'
+      WHEN (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) * 2 > length(t) THEN 'shouted' WHEN n_words < 50 THEN 'note' WHEN n_words >= 2000 THEN 'long' ELSE 'article' END AS topic
+  FROM counts),
+cells AS (SELECT source, lang, topic, CAST(sum(n_words) AS DOUBLE) AS words FROM docs GROUP BY ALL),
+total AS (SELECT sum(words) AS n FROM cells),
+to_source AS (SELECT source, r / sum(r) OVER () AS ts FROM (SELECT source, pow(sum(words), 0.7) AS r FROM cells GROUP BY source)),
+to_lang AS (SELECT lang, r / sum(r) OVER () AS tl FROM (SELECT lang, pow(sum(words), 0.7) AS r FROM cells GROUP BY lang)),
+to_topic AS (SELECT topic, r / sum(r) OVER () AS tt FROM (SELECT topic, pow(sum(words), 0.7) AS r FROM cells GROUP BY topic)),
+start AS (SELECT source, lang, topic, words, n, ts, tl, tt FROM cells JOIN to_source USING (source) JOIN to_lang USING (lang) JOIN to_topic USING (topic) CROSS JOIN total),
+rounds AS (
+  SELECT 0 AS i, source, lang, topic, words, n, ts, tl, tt, words AS w FROM start
+  UNION ALL
+  SELECT i + 1, source, lang, topic, words, n, ts, tl, tt, w * tt * n / sum(w) OVER (PARTITION BY topic) FROM (
+    SELECT * REPLACE (w * tl * n / sum(w) OVER (PARTITION BY lang) AS w) FROM (
+      SELECT * REPLACE (w * ts * n / sum(w) OVER (PARTITION BY source) AS w) FROM rounds WHERE i < 20))),
+raked AS (SELECT source, lang, topic, words, w, w / words AS ratio, n FROM rounds WHERE i = 20),
+fill AS (
+  SELECT 0 AS k, CAST(0 AS DOUBLE) AS s
+  UNION ALL
+  SELECT k + 1, (SELECT greatest(f.s, (0.8 * max(n) - sum(CASE WHEN f.s * ratio >= 1 THEN words ELSE 0 END)) / sum(CASE WHEN f.s * ratio >= 1 THEN 0 ELSE w END)) FROM raked) FROM fill f WHERE k < 50),
+scale AS (SELECT max(s) AS s FROM fill)
+SELECT d.doc_id, d.source, d.lang, d.topic, d.n_words, round(ratio, 6) AS weight, round(least(1.0, s * ratio), 6) AS probability,
+  CAST(('0x' || substr(md5('mix:' || CAST(d.doc_id AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0 < least(1.0, s * ratio) AS sampled
+FROM docs d JOIN raked USING (source, lang, topic) CROSS JOIN scale
+"""
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_token_files": op3_token_files,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_fingerprints": op7_fingerprints,
+    "op8_mixing": op8_mixing,
+    "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op8_mixing": OP8_SQL}
