@@ -65,6 +65,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, write_tokens(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.htmltree import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioforge.llm.pii import KINDS, pseudonymize
 
@@ -131,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_token_files": op3_token_files,
+    "op4_html_text": op4_html_text,
     "op6_pseudonyms": op6_pseudonyms,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
