@@ -71,6 +71,30 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.repeats import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM docs),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, n - 50)) AS i FROM sized WHERE n >= 50)),
+hits AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS low FROM strings) WHERE doc_id > low),
+runs AS (
+  SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM (
+      SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hits))
+  GROUP BY doc_id, r),
+gone AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(e - b) AS BIGINT) AS n_removed, list(b ORDER BY b) AS bs, list(e ORDER BY b) AS es FROM runs GROUP BY doc_id)
+SELECT s.doc_id, s.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN bs IS NULL THEN h ELSE array_to_string(list_transform(generate_series(1, len(bs) + 1),
+    lambda k: substr(h, 2 * (CASE WHEN k = 1 THEN 0 ELSE es[k - 1] END) + 1, 2 * ((CASE WHEN k > len(bs) THEN s.n ELSE bs[k] END) - (CASE WHEN k = 1 THEN 0 ELSE es[k - 1] END)))), '') END)) AS kept_sha256
+FROM sized s LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioforge.llm.pii import KINDS, pseudonymize
 
@@ -138,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_token_files": op3_token_files,
     "op4_html_text": op4_html_text,
+    "op5_repeats": op5_repeats,
     "op6_pseudonyms": op6_pseudonyms,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
@@ -145,4 +170,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op8_mixing": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_repeats": OP5_SQL, "op8_mixing": OP8_SQL}

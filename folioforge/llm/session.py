@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +41,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files of frames that nothing refers to any more; else they stay until the JVM tidies up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
