@@ -11,9 +11,12 @@ is missed with a probability of 2 * 0.36**10 < 0.0001, and far less above it. Be
 formed, keys that no other document has are dropped, which loses no pair.
 
 Equal sets are one class from the start. Within a table's group every member is held against the
-group's smallest member only. Groups that still span several components afterwards are held pair
-by pair if they are small; larger ones are cut by one more key of the first collection, again and
-again, until they are small or one component. No group is capped, sampled or dropped.
+group's smallest member only. Groups that still span several components are gathered into clusters
+(documents that such groups connect). A cluster's members outside its largest component are held
+against all others of other components through an inverted index of the members' sets, without
+making pairs. A cluster of more than CLUSTER_SHINGLES shingles is cut along the small keys of the
+first collection, and what is still larger into blocks of which each pair is one task, so that
+memory is bounded and no group is capped, sampled or dropped.
 
 Nulls and empty texts have an empty set and are linked with nothing. Rows without an id are kept
 and belong to no component (null). Rows that repeat an id share its component. An empty table
@@ -31,13 +34,13 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import textkit as tk
 from folioforge.llm.components import components
-from folioforge.llm.session import written
+from folioforge.llm.session import release, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 COLLECTION = 10
-#: Members of a table's group up to which all pairs across components are confirmed at once.
-SMALL_GROUP = 24
+#: Shingles that a task holds at once when it looks for links across the components of a cluster.
+CLUSTER_SHINGLES = 2_000_000
 
 
 def shingles(words: tk.Words, n: int) -> list[np.ndarray]:
@@ -108,37 +111,54 @@ def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         yield batch.select(["u", "v"]).filter(pa.array(keep))
 
 
-class _Confirmer:
-    """Confirms pairs of class representatives on their full sets, which are made for candidates only."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int):
-        self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
-        self.done: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame, name: str) -> None:
-        """pairs: (u, v, size_u, size_v) with u > v. Those that sizes rule out, or that were held before, are skipped."""
-        percent = self.percent
-        pairs = pairs.where(f"100 * least(size_u, size_v) >= {percent} * greatest(size_u, size_v)").select("u", "v").distinct()
-        if self.done is not None:
-            pairs = pairs.join(self.done, ["u", "v"], "left_anti")
-        pairs = written(pairs, f"pairs-{name}")
-        ids = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
-        texts = self.docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
-        sets = written(texts.mapInArrow(lambda it, n=self.words: _sets(it, n), "id bigint, set binary").dropDuplicates(["id"]), f"sets-{name}")
-        held = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v")
-        links = written(held.select("u", "v", "set_u", "set_v").mapInArrow(lambda it: _confirmed(it, percent), "u bigint, v bigint"), f"links-{name}")
-        self.done = pairs if self.done is None else self.done.unionByName(pairs)
-        self.links = links if self.links is None else self.links.unionByName(links)
-
-
-def _stars(tables: DataFrame) -> DataFrame:
-    """Each member of a group with the group's smallest."""
-    heads = tables.groupBy("key").agg(F.min(F.struct("id", "size")).alias("head"))
-    return tables.join(heads, "key").where("id > head.id").select(F.col("id").alias("u"), F.col("head.id").alias("v"), F.col("size").alias("size_u"), F.col("head.size").alias("size_v"))
-
-
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, collection: int = COLLECTION, small_group: int = SMALL_GROUP) -> DataFrame:
+def _across(group: pa.Table, percent: int) -> pa.Table:
+    """Links between members of different components, as few as join those components.
+
+    Members outside the largest component ask, one by one, an inverted index of all sets for the
+    size of each intersection.
+    """
+    ids, component = np.asarray(group["id"]), np.asarray(group["component"])
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in group["set"]]
+    sizes = np.array([len(x) for x in sets])
+    names, own = np.unique(component, return_inverse=True)
+    label = np.arange(len(names))  # components that links have joined get one label
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    largest = np.bincount(own).argmax()
+    out: list[tuple[int, int]] = []
+    for q in np.flatnonzero(own != largest).tolist():
+        low, high = np.searchsorted(flat, sets[q], side="left"), np.searchsorted(flat, sets[q], side="right")
+        length = high - low
+        hits = owner[np.arange(int(length.sum())) + np.repeat(low - (np.cumsum(length) - length), length)]
+        both = np.bincount(hits, minlength=len(sets))
+        for m in np.flatnonzero((100 * both >= percent * (sizes + sizes[q] - both)) & (own != own[q])).tolist():
+            x, y = label[own[q]], label[own[m]]
+            if x != y:
+                label[label == x] = y
+                out.append((max(ids[q], ids[m]), min(ids[q], ids[m])))
+    return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+
+
+def _cluster_links(members: DataFrame, keys: DataFrame, sets: DataFrame, percent: int, limit: int) -> DataFrame:
+    """members: id, size, component, cluster. Links across the components of each cluster."""
+
+    def sized(rows: DataFrame) -> DataFrame:
+        totals = rows.groupBy("group").agg(F.sum("size").alias("total"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("group", "total")
+        return rows.join(totals, "group")
+
+    whole = sized(members.withColumn("group", F.xxhash64("cluster")))
+    small = whole.where(F.col("total") <= limit).select("id", "component", "group")
+    cut = sized(whole.where(F.col("total") > limit).select("id", "size", "component", "cluster").join(keys, "id").select("id", "size", "component", F.xxhash64("cluster", "x").alias("group")))
+    fitting = cut.where(F.col("total") <= limit).select("id", "component", "group")
+    blocks = F.ceil(F.col("total") * 2 / limit).cast("int")
+    blocked = cut.where(F.col("total") > limit).withColumn("n", blocks).withColumn("b", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("id", "component", F.xxhash64("group", F.least("b", "other"), F.greatest("b", "other")).alias("group"))
+    groups = small.unionByName(fitting).unionByName(blocked).join(sets, "id").select("id", "component", "group", "set")
+    return groups.groupBy("group").applyInArrow(lambda g: _across(g, percent), "u bigint, v bigint")
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, collection: int = COLLECTION, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class_id (smallest id with the same set)."""
     m = collection
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -149,36 +169,37 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     live = single.join(shared, "key").groupBy("id").agg(F.collect_list(F.when(F.col("at") < m, F.col("key"))).alias("a"), F.collect_list(F.when(F.col("at") >= m, F.col("key"))).alias("b"))
     live = written(live.where("size(a) > 0 and size(b) > 0").join(classes.select("id", "size"), "id"), "live")
-    tables = written(live.select("id", "size", F.col("a").alias("more"), F.explode("a").alias("x"), "b").select("id", "size", F.explode("b").alias("y"), "x").select("id", "size", F.xxhash64("x", "y").alias("key")), "tables")
-
-    confirmer = _Confirmer(docs, classes, words, percent)
-    level = 0
-    while True:
-        confirmer.confirm(_stars(tables), f"star{level}")
-        found = written(components(confirmer.links), "components")
-        marked = tables.join(found, tables["id"] == found["id"], "left").select(tables["id"], "size", "key", F.coalesce(found["component"], tables["id"]).alias("component"))
-        open_keys = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "n")
-        open_rows = written(marked.join(open_keys, "key"), "open")
-        if open_rows.isEmpty():
-            break
-        small = open_rows.where(F.col("n") <= small_group)
-        other = small.select("key", F.col("id").alias("v"), F.col("size").alias("size_v"), F.col("component").alias("component_v"))
-        confirmer.confirm(small.join(other, "key").where("id > v and component <> component_v").select(F.col("id").alias("u"), "v", F.col("size").alias("size_u"), "size_v"), f"small{level}")
-        large = open_rows.where(F.col("n") > small_group)
-        level += 1
-        if level > 2 * m or large.isEmpty():
-            found = written(components(confirmer.links), "components")
-            break
-        tables = written(large.select("id", "size", "key").join(live.select("id", F.explode("a").alias("x")), "id").select("id", "size", F.xxhash64("key", "x").alias("key")), "tables")
-
-    named = sketch.join(classes.select("d1", "d2", F.col("id").alias("class_id")), ["d1", "d2"], "left")
-    named = named.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
-    result = named.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
-    result = result.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
+    tables = live.select("id", "size", F.explode("a").alias("x"), "b").select("id", "size", "x", F.explode("b").alias("y")).select("id", "size", F.xxhash64("x", "y").alias("key"))
+    heads = tables.groupBy("key").agg(F.min(F.struct("id", "size")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.col("head.id").alias("v"), F.col("head.size").alias("size_v"))
+    stars = written(tables.join(heads, "key").select("key", F.col("id").alias("u"), "v", F.col("size").alias("size_u"), "size_v"), "stars")
+
+    release(docs.sparkSession)
+    held = stars.select(F.col("u").alias("doc_id")).distinct()
+    texts = docs.join(held, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text")
+    sets = written(texts.mapInArrow(lambda it: _sets(it, words), "id bigint, set binary"), "sets")
+    release(docs.sparkSession)
+
+    pairs = stars.where(f"u > v and 100 * least(size_u, size_v) >= {percent} * greatest(size_u, size_v)").select("u", "v").distinct()
+    both = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v")
+    links = written(both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it: _confirmed(it, percent), "u bigint, v bigint"), "links")
+    found = written(components(links), "components")
+
+    named = stars.join(found.withColumnRenamed("id", "u"), "u", "left").withColumn("component", F.coalesce("component", "u"))
+    still = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    still = written(named.join(still, "key", "left_semi").groupBy("u", "v").agg(F.first("size_u").alias("size"), F.first("component").alias("component")), "open")
+    if not still.isEmpty():
+        clusters = components(still.select("u", "v")).withColumnRenamed("component", "cluster")
+        members = still.groupBy(F.col("u").alias("id")).agg(F.first("size").alias("size"), F.first("component").alias("component")).join(clusters, "id")
+        more = _cluster_links(written(members, "members"), live.select("id", F.explode("a").alias("x")), sets, percent, cluster_shingles)
+        found = written(components(links.unionByName(more)), "components")
+
+    classed = sketch.join(classes.select("d1", "d2", F.col("id").alias("class_id")), ["d1", "d2"], "left")
+    classed = classed.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    result = classed.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
     return result.select(F.col("doc_id").alias(doc_id), "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "class_id")
 
 
 def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """docs, with the same columns, with the smallest id of each group of near duplicates only."""
-    gone = near_duplicates(docs, doc_id=doc_id, **options).where("not kept").select(doc_id)
-    return docs.join(gone.distinct(), doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = near_duplicates(docs, doc_id=doc_id, **options).where("not kept").select(F.col(doc_id).alias("gone")).distinct()
+    return docs.join(gone, docs[f"`{doc_id}`"] == F.col("gone"), "left_anti")
