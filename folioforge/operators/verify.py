@@ -35,8 +35,11 @@ def verify(files: DataFrame) -> DataFrame:
     """
     out: list[DataFrame] = []
 
-    def report(df: DataFrame, check: str, bad: Column, message: str, entity: Column | None = None, row: Column | None = None) -> None:
-        out.append(df.where(bad).select("key", F.lit(check).alias("check_id"), (entity if entity is not None else F.lit(None)).cast("string").alias("entity_id"), (row if row is not None else F.lit(None)).cast("long").alias("row_no"), F.lit(message).alias("message")))
+    def report(df: DataFrame, entity: str | None, row: str | None, *checks: tuple[str, Column, str]) -> None:
+        """One pass over df for all of its checks."""
+        found = F.array(*[F.when(bad, F.struct(F.lit(check).alias("check_id"), F.lit(message).alias("message"))) for check, bad, message in checks])
+        hits = df.select("key", (F.col(entity) if entity else F.lit(None)).cast("string").alias("entity_id"), (F.col(row) if row else F.lit(None)).cast("long").alias("row_no"), F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x"))
+        out.append(hits.select("key", "x.check_id", "entity_id", "row_no", "x.message"))
 
     files = files.select(F.col("project_id").alias("key"), "path", "content")
 
@@ -48,21 +51,19 @@ def verify(files: DataFrame) -> DataFrame:
     top = file(F.lit("project.json"), keys, "project_bytes").withColumn("project", F.try_parse_json(_text("project_bytes")))
     top = file(_get("project", "source_manifest", "string"), top, "manifest_bytes").withColumn("manifest", F.try_parse_json(_text("manifest_bytes")))
     is_object = F.coalesce(F.schema_of_variant("project").startswith("OBJECT") & F.schema_of_variant("manifest").startswith("OBJECT"), F.lit(False))
-    report(top, "V1", ~is_object, "project or manifest unreadable")
+    report(top, None, None, ("V1", ~is_object, "project or manifest unreadable"))
     top = top.where(is_object)
-    report(top, "V2", ~_same(_get("project", "project_id", "string"), _get("manifest", "project_id", "string")), "project ids differ")
+    report(top, None, None, ("V2", ~_same(_get("project", "project_id", "string"), _get("manifest", "project_id", "string")), "project ids differ"))
     artifacts = F.coalesce(F.try_variant_get("project", "$.artifacts", "array<struct<path:string,sha256:string>>"), F.array().cast("array<struct<path:string,sha256:string>>"))
     declared = F.try_element_at(F.filter(artifacts, lambda a: a["path"] == "source/manifest.json"), F.lit(-1))["sha256"]
-    report(top, "V3", ~_same(declared, F.sha2("manifest_bytes", 256)), "manifest hash mismatch")
+    report(top, None, None, ("V3", ~_same(declared, F.sha2("manifest_bytes", 256)), "manifest hash mismatch"))
 
     base = file(_get("manifest", "source.copy_path", "string"), top.select("key", "manifest"), "copy")
     base = file(_get("manifest", "canonical.path", "string"), base, "canonical_bytes").withColumn("canonical", _text("canonical_bytes"))
     readable = F.col("copy").isNotNull() & F.col("canonical").isNotNull()
-    report(base, "V4", ~readable, "source baseline unreadable")
+    report(base, None, None, ("V4", ~readable, "source baseline unreadable"))
     base = base.where(readable)
-    report(base, "V5", ~(_same(F.length("copy").cast("long"), _get("manifest", "source.byte_length", "bigint")) & _same(F.sha2("copy", 256), _get("manifest", "source.sha256", "string"))), "original copy differs from manifest")
-    report(base, "V6", ~(_same(F.length("canonical_bytes").cast("long"), _get("manifest", "canonical.byte_length", "bigint")) & _same(F.sha2("canonical_bytes", 256), _get("manifest", "canonical.sha256", "string"))), "canonical text differs from manifest")
-    report(base, "V7", ~_same(F.length("canonical").cast("long"), _get("manifest", "canonical.character_length", "bigint")), "canonical length mismatch")
+    report(base, None, None, ("V5", ~(_same(F.length("copy").cast("long"), _get("manifest", "source.byte_length", "bigint")) & _same(F.sha2("copy", 256), _get("manifest", "source.sha256", "string"))), "original copy differs from manifest"), ("V6", ~(_same(F.length("canonical_bytes").cast("long"), _get("manifest", "canonical.byte_length", "bigint")) & _same(F.sha2("canonical_bytes", 256), _get("manifest", "canonical.sha256", "string"))), "canonical text differs from manifest"), ("V7", ~_same(F.length("canonical").cast("long"), _get("manifest", "canonical.character_length", "bigint")), "canonical length mismatch"))
 
     # The text stays with its project: each chapter carries the digest of its declared slice.
     each = F.expr("""transform(coalesce(try_variant_get(manifest, '$.chapters', 'array<variant>'), array()), c -> struct(c,
@@ -76,41 +77,37 @@ def verify(files: DataFrame) -> DataFrame:
         _get("c", "source_path", "string").alias("source_path"), _get("c", "units_path", "string").alias("units_path"),
     )
     again = chapters.withColumn("n", F.row_number().over(Window.partitionBy("key", "chapter_id").orderBy("pos")))
-    report(again, "V8", F.col("n") > 1, "duplicate chapter id", F.col("chapter_id"))
-    report(chapters, "V9", ~F.col("ranged"), "invalid source range", F.col("chapter_id"))
+    report(again, "chapter_id", None, ("V8", F.col("n") > 1, "duplicate chapter id"))
+    report(chapters, "chapter_id", None, ("V9", ~F.col("ranged"), "invalid source range"))
     ranged = chapters.where("ranged").withColumn("expected", F.lag("end", 1, 0).over(Window.partitionBy("key").orderBy("pos")))
-    report(ranged, "V10", (F.col("start") != F.col("expected")) | (F.col("end") <= F.col("start")), "chapter ranges are not contiguous", F.col("chapter_id"))
+    report(ranged, "chapter_id", None, ("V10", (F.col("start") != F.col("expected")) | (F.col("end") <= F.col("start")), "chapter ranges are not contiguous"))
     read = file(F.col("source_path"), ranged, "bytes").withColumn("text", _text("bytes"))
-    report(read, "V11", F.col("text").isNull(), "chapter unreadable", F.col("chapter_id"))
+    report(read, "chapter_id", None, ("V11", F.col("text").isNull(), "chapter unreadable"))
     read = read.where("text is not null")
-    report(read, "V12", ~_same(F.sha2("bytes", 256), F.col("slice")), "chapter is not the declared slice", F.col("chapter_id"))
-    report(read, "V13", ~_same(F.sha2("bytes", 256), F.col("sha256")), "chapter hash mismatch", F.col("chapter_id"))
-    report(read, "V14", ~_same(F.length("text").cast("long"), F.col("length")), "chapter length mismatch", F.col("chapter_id"))
+    report(read, "chapter_id", None, ("V12", ~_same(F.sha2("bytes", 256), F.col("slice")), "chapter is not the declared slice"), ("V13", ~_same(F.sha2("bytes", 256), F.col("sha256")), "chapter hash mismatch"), ("V14", ~_same(F.length("text").cast("long"), F.col("length")), "chapter length mismatch"))
 
     listed = file(F.col("units_path"), read.select("key", "pos", "chapter_id", "unit_count", "units_path", F.sha2("bytes", 256).alias("chapter_sha")), "unit_bytes").withColumn("unit_text", _text("unit_bytes"))
-    report(listed, "V15", F.col("unit_text").isNull(), "units unreadable", F.col("chapter_id"))
+    report(listed, "chapter_id", None, ("V15", F.col("unit_text").isNull(), "units unreadable"))
     listed = listed.where("unit_text is not null").withColumn("rows", F.when(F.col("unit_text") == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace("unit_text", r"\n\z", ""), "\n")))
-    report(listed, "V16", ~_same(F.size("rows").cast("long"), F.col("unit_count")), "unit count mismatch", F.col("chapter_id"))
+    report(listed, "chapter_id", None, ("V16", ~_same(F.size("rows").cast("long"), F.col("unit_count")), "unit count mismatch"))
     rows = listed.select("key", "pos", "chapter_id", F.posexplode("rows").alias("i", "raw")).select("key", "pos", "chapter_id", (F.col("i") + 1).alias("row"), F.try_parse_json("raw").alias("u"))
-    report(rows, "V17", F.col("u").isNull(), "invalid JSONL row", F.col("chapter_id"), F.col("row"))
+    report(rows, "chapter_id", "row", ("V17", F.col("u").isNull(), "invalid JSONL row"))
     rows = rows.where("u is not null")
     identity = _same(_get("u", "unit_id", "string"), F.format_string("%s-U%04d", "chapter_id", "row")) & _same(_get("u", "ordinal", "bigint"), F.col("row").cast("long"))
-    report(rows, "V18a", ~identity, "unstable unit identity", F.col("chapter_id"), F.col("row"))
-    report(rows, "V18b", ~_same(_get("u", "chapter_id", "string"), F.col("chapter_id")), "unit belongs to another chapter", F.col("chapter_id"), F.col("row"))
+    report(rows, "chapter_id", "row", ("V18a", ~identity, "unstable unit identity"), ("V18b", ~_same(_get("u", "chapter_id", "string"), F.col("chapter_id")), "unit belongs to another chapter"))
     is_text = F.coalesce(_kind("u", "source_text") == "STRING", F.lit(False))
-    report(rows, "V18c", ~is_text, "unit text is not a string", F.col("chapter_id"), F.col("row"))
+    report(rows, "chapter_id", "row", ("V18c", ~is_text, "unit text is not a string"))
     worded = rows.where(is_text).withColumn("t", _get("u", "source_text", "string"))
-    report(worded, "V18d", ~_same(F.sha2("t", 256), _get("u", "source_sha256", "string")), "unit hash mismatch", F.col("chapter_id"), F.col("row"))
+    report(worded, "chapter_id", "row", ("V18d", ~_same(F.sha2("t", 256), _get("u", "source_sha256", "string")), "unit hash mismatch"))
 
     def joined(part: str, order: str) -> Column:
         return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, part))), lambda x: x[part]), ""), 256)
 
     rebuilt = listed.select("key", "pos", "chapter_id", "chapter_sha").join(worded.groupBy("key", "pos").agg(joined("t", "row").alias("rebuilt")), ["key", "pos"], "left")
     empty = F.sha2(F.lit(""), 256)
-    report(rebuilt, "V18e", F.coalesce("rebuilt", empty) != F.col("chapter_sha"), "units do not reconstruct the chapter", F.col("chapter_id"))
+    report(rebuilt, "chapter_id", None, ("V18e", F.coalesce("rebuilt", empty) != F.col("chapter_sha"), "units do not reconstruct the chapter"))
 
     last = ranged.groupBy("key").agg(F.max_by("end", "pos").alias("last"))
     whole = base.select("key", F.length("canonical").cast("long").alias("n"), F.sha2("canonical_bytes", 256).alias("sha")).join(last, "key", "left").join(read.groupBy("key").agg(joined("text", "pos").alias("rebuilt")), "key", "left")
-    report(whole, "V19", F.coalesce("last", F.lit(0)) != F.col("n"), "chapter ranges do not cover the canonical text")
-    report(whole, "V20", F.coalesce("rebuilt", empty) != F.col("sha"), "chapters do not reconstruct the canonical text")
+    report(whole, None, None, ("V19", F.coalesce("last", F.lit(0)) != F.col("n"), "chapter ranges do not cover the canonical text"), ("V20", F.coalesce("rebuilt", empty) != F.col("sha"), "chapters do not reconstruct the canonical text"))
     return reduce(DataFrame.unionByName, out).withColumnRenamed("key", "project_id")
