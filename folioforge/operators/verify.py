@@ -26,44 +26,57 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def _fault(check: str, bad: str, message: str, row: str = "null") -> str:
+    return f"case when {bad} then named_struct('check_id', '{check}', 'row_no', cast({row} as bigint), 'message', '{message}') end"
+
+
+_IS_TEXT = "coalesce(schema_of_variant(try_variant_get(u, '$.source_text', 'variant')) = 'STRING', false)"
+_ROW = "cast(i + 1 as bigint)"
+_UNIT_FAULTS = ", ".join(
+    [
+        _fault("V17", "u is null", "invalid JSONL row", _ROW),
+        _fault("V18a", f"u is not null and not ((try_variant_get(u, '$.unit_id', 'string') <=> format_string('%s-U%04d', chapter_id, i + 1)) and (try_variant_get(u, '$.ordinal', 'bigint') <=> {_ROW}))", "unstable unit identity", _ROW),
+        _fault("V18b", "u is not null and not (try_variant_get(u, '$.chapter_id', 'string') <=> chapter_id)", "unit belongs to another chapter", _ROW),
+        _fault("V18c", f"u is not null and not {_IS_TEXT}", "unit text is not a string", _ROW),
+        _fault("V18d", f"{_IS_TEXT} and not (sha2(try_variant_get(u, '$.source_text', 'string'), 256) <=> try_variant_get(u, '$.source_sha256', 'string'))", "unit hash mismatch", _ROW),
+    ]
+)
+_REBUILT = f"sha2(array_join(transform(filter(us, u -> {_IS_TEXT}), u -> try_variant_get(u, '$.source_text', 'string')), ''), 256)"
+
+
 def verify(files: DataFrame) -> DataFrame:
     """files: project_id (any key of the project's folder), path, content.
 
     Returns violations: project_id, check_id, entity_id, row_no, message. A project whose project or
     manifest cannot be read (V1), or whose baseline cannot (V4), is checked no further. Unit files
-    are cut at line feeds only.
+    are cut at line feeds only. Four passes: projects, baselines, chapters with their units, coverage.
     """
-    out: list[DataFrame] = []
-
-    def report(df: DataFrame, entity: str | None, row: str | None, *checks: tuple[str, Column, str]) -> None:
-        """One pass over df for all of its checks."""
-        found = F.array(*[F.when(bad, F.struct(F.lit(check).alias("check_id"), F.lit(message).alias("message"))) for check, bad, message in checks])
-        hits = df.select("key", (F.col(entity) if entity else F.lit(None)).cast("string").alias("entity_id"), (F.col(row) if row else F.lit(None)).cast("long").alias("row_no"), F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x"))
-        out.append(hits.select("key", "x.check_id", "entity_id", "row_no", "x.message"))
-
     files = files.select(F.col("project_id").alias("key"), "path", "content")
 
     def file(path: Column, left: DataFrame, name: str) -> DataFrame:
         found = files.select(F.col("key").alias("k"), F.col("path").alias("p"), F.col("content").alias(name))
         return left.join(found, (F.col("key") == F.col("k")) & (path == F.col("p")), "left").drop("k", "p")
 
-    keys = files.select("key").distinct()
-    top = file(F.lit("project.json"), keys, "project_bytes").withColumn("project", F.try_parse_json(_text("project_bytes")))
+    def report(df: DataFrame, entity: str, faults: str) -> DataFrame:
+        hits = df.select("key", F.expr(entity).alias("entity_id"), F.explode(F.expr(f"filter({faults}, x -> x is not null)")).alias("x"))
+        return hits.select(F.col("key").alias("project_id"), "x.check_id", "entity_id", "x.row_no", "x.message")
+
+    top = file(F.lit("project.json"), files.select("key").distinct(), "project_bytes").withColumn("project", F.try_parse_json(_text("project_bytes")))
     top = file(_get("project", "source_manifest", "string"), top, "manifest_bytes").withColumn("manifest", F.try_parse_json(_text("manifest_bytes")))
     is_object = F.coalesce(F.schema_of_variant("project").startswith("OBJECT") & F.schema_of_variant("manifest").startswith("OBJECT"), F.lit(False))
-    report(top, None, None, ("V1", ~is_object, "project or manifest unreadable"))
-    top = top.where(is_object)
-    report(top, None, None, ("V2", ~_same(_get("project", "project_id", "string"), _get("manifest", "project_id", "string")), "project ids differ"))
-    artifacts = F.coalesce(F.try_variant_get("project", "$.artifacts", "array<struct<path:string,sha256:string>>"), F.array().cast("array<struct<path:string,sha256:string>>"))
-    declared = F.try_element_at(F.filter(artifacts, lambda a: a["path"] == "source/manifest.json"), F.lit(-1))["sha256"]
-    report(top, None, None, ("V3", ~_same(declared, F.sha2("manifest_bytes", 256)), "manifest hash mismatch"))
-
-    base = file(_get("manifest", "source.copy_path", "string"), top.select("key", "manifest"), "copy")
+    artifact = "array<struct<path:string,sha256:string>>"
+    declared = F.expr(f"try_element_at(filter(coalesce(try_variant_get(project, '$.artifacts', '{artifact}'), cast(array() as {artifact})), a -> a.path = 'source/manifest.json'), -1).sha256")
+    top = top.withColumn("ok", is_object).withColumn("same_id", _same(_get("project", "project_id", "string"), _get("manifest", "project_id", "string"))).withColumn("same_sha", _same(declared, F.sha2("manifest_bytes", 256)))
+    out = [report(top, "cast(null as string)", f"array({_fault('V1', 'not ok', 'project or manifest unreadable')}, {_fault('V2', 'ok and not same_id', 'project ids differ')}, {_fault('V3', 'ok and not same_sha', 'manifest hash mismatch')})")]
+
+    base = file(_get("manifest", "source.copy_path", "string"), top.where("ok").select("key", "manifest"), "copy")
     base = file(_get("manifest", "canonical.path", "string"), base, "canonical_bytes").withColumn("canonical", _text("canonical_bytes"))
-    readable = F.col("copy").isNotNull() & F.col("canonical").isNotNull()
-    report(base, None, None, ("V4", ~readable, "source baseline unreadable"))
-    base = base.where(readable)
-    report(base, None, None, ("V5", ~(_same(F.length("copy").cast("long"), _get("manifest", "source.byte_length", "bigint")) & _same(F.sha2("copy", 256), _get("manifest", "source.sha256", "string"))), "original copy differs from manifest"), ("V6", ~(_same(F.length("canonical_bytes").cast("long"), _get("manifest", "canonical.byte_length", "bigint")) & _same(F.sha2("canonical_bytes", 256), _get("manifest", "canonical.sha256", "string"))), "canonical text differs from manifest"), ("V7", ~_same(F.length("canonical").cast("long"), _get("manifest", "canonical.character_length", "bigint")), "canonical length mismatch"))
+    base = base.withColumn("ok", F.col("copy").isNotNull() & F.col("canonical").isNotNull())
+    base = base.withColumn("same_copy", _same(F.length("copy").cast("long"), _get("manifest", "source.byte_length", "bigint")) & _same(F.sha2("copy", 256), _get("manifest", "source.sha256", "string")))
+    base = base.withColumn("same_text", _same(F.length("canonical_bytes").cast("long"), _get("manifest", "canonical.byte_length", "bigint")) & _same(F.sha2("canonical_bytes", 256), _get("manifest", "canonical.sha256", "string")))
+    base = base.withColumn("same_length", _same(F.length("canonical").cast("long"), _get("manifest", "canonical.character_length", "bigint")))
+    out.append(report(base, "cast(null as string)", f"array({_fault('V4', 'not ok', 'source baseline unreadable')}, {_fault('V5', 'ok and not same_copy', 'original copy differs from manifest')}, {_fault('V6', 'ok and not same_text', 'canonical text differs from manifest')}, {_fault('V7', 'ok and not same_length', 'canonical length mismatch')})"))
+    base = base.where("ok")
 
     # The text stays with its project: each chapter carries the digest of its declared slice.
     each = F.expr("""transform(coalesce(try_variant_get(manifest, '$.chapters', 'array<variant>'), array()), c -> struct(c,
@@ -76,38 +89,31 @@ def verify(files: DataFrame) -> DataFrame:
         _get("c", "character_length", "bigint").alias("length"), _get("c", "unit_count", "bigint").alias("unit_count"),
         _get("c", "source_path", "string").alias("source_path"), _get("c", "units_path", "string").alias("units_path"),
     )
-    again = chapters.withColumn("n", F.row_number().over(Window.partitionBy("key", "chapter_id").orderBy("pos")))
-    report(again, "chapter_id", None, ("V8", F.col("n") > 1, "duplicate chapter id"))
-    report(chapters, "chapter_id", None, ("V9", ~F.col("ranged"), "invalid source range"))
-    ranged = chapters.where("ranged").withColumn("expected", F.lag("end", 1, 0).over(Window.partitionBy("key").orderBy("pos")))
-    report(ranged, "chapter_id", None, ("V10", (F.col("start") != F.col("expected")) | (F.col("end") <= F.col("start")), "chapter ranges are not contiguous"))
-    read = file(F.col("source_path"), ranged, "bytes").withColumn("text", _text("bytes"))
-    report(read, "chapter_id", None, ("V11", F.col("text").isNull(), "chapter unreadable"))
-    read = read.where("text is not null")
-    report(read, "chapter_id", None, ("V12", ~_same(F.sha2("bytes", 256), F.col("slice")), "chapter is not the declared slice"), ("V13", ~_same(F.sha2("bytes", 256), F.col("sha256")), "chapter hash mismatch"), ("V14", ~_same(F.length("text").cast("long"), F.col("length")), "chapter length mismatch"))
-
-    listed = file(F.col("units_path"), read.select("key", "pos", "chapter_id", "unit_count", "units_path", F.sha2("bytes", 256).alias("chapter_sha")), "unit_bytes").withColumn("unit_text", _text("unit_bytes"))
-    report(listed, "chapter_id", None, ("V15", F.col("unit_text").isNull(), "units unreadable"))
-    listed = listed.where("unit_text is not null").withColumn("rows", F.when(F.col("unit_text") == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace("unit_text", r"\n\z", ""), "\n")))
-    report(listed, "chapter_id", None, ("V16", ~_same(F.size("rows").cast("long"), F.col("unit_count")), "unit count mismatch"))
-    rows = listed.select("key", "pos", "chapter_id", F.posexplode("rows").alias("i", "raw")).select("key", "pos", "chapter_id", (F.col("i") + 1).alias("row"), F.try_parse_json("raw").alias("u"))
-    report(rows, "chapter_id", "row", ("V17", F.col("u").isNull(), "invalid JSONL row"))
-    rows = rows.where("u is not null")
-    identity = _same(_get("u", "unit_id", "string"), F.format_string("%s-U%04d", "chapter_id", "row")) & _same(_get("u", "ordinal", "bigint"), F.col("row").cast("long"))
-    report(rows, "chapter_id", "row", ("V18a", ~identity, "unstable unit identity"), ("V18b", ~_same(_get("u", "chapter_id", "string"), F.col("chapter_id")), "unit belongs to another chapter"))
-    is_text = F.coalesce(_kind("u", "source_text") == "STRING", F.lit(False))
-    report(rows, "chapter_id", "row", ("V18c", ~is_text, "unit text is not a string"))
-    worded = rows.where(is_text).withColumn("t", _get("u", "source_text", "string"))
-    report(worded, "chapter_id", "row", ("V18d", ~_same(F.sha2("t", 256), _get("u", "source_sha256", "string")), "unit hash mismatch"))
-
-    def joined(part: str, order: str) -> Column:
-        return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, part))), lambda x: x[part]), ""), 256)
-
-    rebuilt = listed.select("key", "pos", "chapter_id", "chapter_sha").join(worded.groupBy("key", "pos").agg(joined("t", "row").alias("rebuilt")), ["key", "pos"], "left")
-    empty = F.sha2(F.lit(""), 256)
-    report(rebuilt, "chapter_id", None, ("V18e", F.coalesce("rebuilt", empty) != F.col("chapter_sha"), "units do not reconstruct the chapter"))
-
-    last = ranged.groupBy("key").agg(F.max_by("end", "pos").alias("last"))
-    whole = base.select("key", F.length("canonical").cast("long").alias("n"), F.sha2("canonical_bytes", 256).alias("sha")).join(last, "key", "left").join(read.groupBy("key").agg(joined("text", "pos").alias("rebuilt")), "key", "left")
-    report(whole, None, None, ("V19", F.coalesce("last", F.lit(0)) != F.col("n"), "chapter ranges do not cover the canonical text"), ("V20", F.coalesce("rebuilt", empty) != F.col("sha"), "chapters do not reconstruct the canonical text"))
-    return reduce(DataFrame.unionByName, out).withColumnRenamed("key", "project_id")
+    before = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    chapters = chapters.withColumn("expected", F.coalesce(F.last(F.when(F.col("ranged"), F.col("end")), ignorenulls=True).over(before), F.lit(0)))
+    chapters = chapters.withColumn("seen", F.row_number().over(Window.partitionBy("key", "chapter_id").orderBy("pos")))
+    read = file(F.col("source_path"), chapters, "bytes").withColumn("text", _text("bytes"))
+    listed = file(F.col("units_path"), read, "unit_bytes").withColumn("unit_text", _text("unit_bytes")).withColumn("sha", F.sha2("bytes", 256)).withColumn("n", F.length("text").cast("long"))
+    rows = F.when(F.col("unit_text") == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace("unit_text", r"\n\z", ""), "\n"))
+    listed = listed.withColumn("us", F.when(F.col("ranged") & F.col("text").isNotNull() & F.col("unit_text").isNotNull(), F.transform(rows, F.try_parse_json)))
+    faults = ", ".join(
+        [
+            _fault("V8", "seen > 1", "duplicate chapter id"),
+            _fault("V9", "not ranged", "invalid source range"),
+            _fault("V10", "ranged and (start <> expected or end <= start)", "chapter ranges are not contiguous"),
+            _fault("V11", "ranged and text is null", "chapter unreadable"),
+            _fault("V12", "ranged and text is not null and not (sha <=> slice)", "chapter is not the declared slice"),
+            _fault("V13", "ranged and text is not null and not (sha <=> sha256)", "chapter hash mismatch"),
+            _fault("V14", "ranged and text is not null and not (n <=> length)", "chapter length mismatch"),
+            _fault("V15", "ranged and text is not null and unit_text is null", "units unreadable"),
+            _fault("V16", "us is not null and not (cast(size(us) as bigint) <=> unit_count)", "unit count mismatch"),
+            _fault("V18e", f"us is not null and {_REBUILT} <> sha", "units do not reconstruct the chapter"),
+        ]
+    )
+    out.append(report(listed, "chapter_id", f"concat(array({faults}), coalesce(flatten(transform(us, (u, i) -> array({_UNIT_FAULTS}))), array()))"))
+
+    ends = read.where("ranged").groupBy("key").agg(F.max_by("end", "pos").alias("last"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("pos", "text")))), lambda x: x["text"]), ""), 256).alias("rebuilt"))
+    whole = base.select("key", F.length("canonical").cast("long").alias("n"), F.sha2("canonical_bytes", 256).alias("sha")).join(ends, "key", "left")
+    empty = "sha2('', 256)"
+    out.append(report(whole, "cast(null as string)", f"array({_fault('V19', 'coalesce(last, 0) <> n', 'chapter ranges do not cover the canonical text')}, {_fault('V20', f'coalesce(rebuilt, {empty}) <> sha', 'chapters do not reconstruct the canonical text')})"))
+    return reduce(DataFrame.unionByName, out)
