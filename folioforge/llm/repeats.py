@@ -18,7 +18,7 @@ have equal anchors in equal places, and about one position in sixteen is an anch
 Copies within one batch of input are settled before the shuffle: only the smallest document of a
 (rank, context) pair is sorted, so a passage that a third of all documents share is sent once a
 batch. Sorting spills to disk and scans hold one row; no group is gathered in memory. Ranks are
-64-bit fingerprints, strings are told apart by 96 bits and contexts by 128.
+fingerprints of 48 bits, contexts are told apart by 96 bits in all, strings by 95.
 
 Nulls: a null text is empty; rows without an id keep all bytes and are no source. Rows that repeat
 an id are one document's, so they do not remove each other's bytes. Texts shorter than `length`
@@ -44,9 +44,11 @@ GRAM = 20
 #: Bytes of a text that are anchored at once; strings that cross the cut belong to the first part.
 SEGMENT_BYTES = 32 << 20
 
+# Rank and context are packed into 96 bits, 48 each: `rank` has the rank and 16 bits of the context, `context` the rest.
 # A place is packed into 64 bits: settled (sign), 16 bits of the text's hash, 30 of the first string, 8 of the
 # number of strings less one, 8 of the anchor's distance from the first string.
 _MARK, _LOW, _COUNT = 46, 16, 8
+_HIGH = np.uint64(0xFFFFFFFFFFFF0000)
 
 
 def _segments(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -78,18 +80,19 @@ def _anchored(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iter
         if not parts:
             continue
         rank, context, doc, info = (np.concatenate(x) for x in zip(*parts, strict=True))
+        rank, context = rank & _HIGH | context >> np.uint64(48), context >> np.uint64(16) & np.uint64(0xFFFFFFFF)
         order = np.lexsort((doc, context, rank))
-        rank, context, doc, info = rank[order], context[order], doc[order], info[order]
         first = np.ones(len(rank), bool)
-        first[1:] = (rank[1:] != rank[:-1]) | (context[1:] != context[:-1])
+        first[1:] = (rank[order][1:] != rank[order][:-1]) | (context[order][1:] != context[order][:-1])
         heads = np.flatnonzero(first)
-        settled = doc > np.repeat(doc[heads], np.diff(np.append(heads, len(doc)))) if len(heads) else np.zeros(0, bool)
+        settled = np.zeros(len(rank), bool)
+        settled[order] = doc[order] > np.repeat(doc[order][heads], np.diff(np.append(heads, len(doc))))
         rank = np.where(settled, tk.mix(info.astype(np.uint64) ^ doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), rank)
-        context = np.where(settled, np.uint64(0), context)
         info = np.where(settled, info | np.int64(-(2**63)), info)
+        context = np.where(settled, np.uint64(0), context).astype(np.uint32).view(np.int32)
         for s in range(0, len(rank), 500_000):
             e = s + 500_000
-            yield pa.RecordBatch.from_arrays([pa.array(rank[s:e].view(np.int64)), pa.array(context[s:e].view(np.int64)), pa.array(doc[s:e]), pa.array(info[s:e])], ["rank", "context", "doc_id", "info"])
+            yield pa.RecordBatch.from_arrays([pa.array(rank[s:e].view(np.int64)), pa.array(context[s:e]), pa.array(doc[s:e]), pa.array(info[s:e])], ["rank", "context", "doc_id", "info"])
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -154,16 +157,16 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     known = every.where("doc_id is not null")
     long = known.where(F.octet_length("text") >= length)
 
-    ranked = long.mapInArrow(lambda it: _anchored(it, length, gram), "rank bigint, context bigint, doc_id bigint, info bigint")
-    ranked = ranked.repartition(partitions(spark), "rank").sortWithinPartitions("rank", "context", "doc_id")
+    ranked = long.mapInArrow(lambda it: _anchored(it, length, gram), "rank bigint, context int, doc_id bigint, info bigint")
+    ranked = ranked.repartition(partitions(spark), F.shiftright("rank", 16)).sortWithinPartitions(F.shiftright("rank", 16), "rank", "context", "doc_id")
     ranked.createOrReplaceTempView(view := f"ranked_{id(ranked)}")
     open_or_past = written(
         spark.sql(f"""
-            SELECT rank, doc_id, info, info < 0 OR doc_id > leader AS past FROM (
-              SELECT *, min(doc_id) OVER (PARTITION BY rank, context) AS leader FROM (
-                SELECT *, min(doc_id) OVER (PARTITION BY rank) AS low, max(doc_id) OVER (PARTITION BY rank) AS high, min(context) OVER (PARTITION BY rank) AS c0, max(context) OVER (PARTITION BY rank) AS c1
-                FROM {view}))
-            WHERE info < 0 OR doc_id > leader OR (low < high AND c0 < c1)"""),
+            SELECT doc_id, info, info < 0 OR doc_id > leader AS past FROM (
+              SELECT *, min(doc_id) OVER (PARTITION BY shiftright(rank, 16), rank, context) AS leader FROM (
+                SELECT *, min(doc_id) OVER w AS low, max(doc_id) OVER w AS high, min(struct(rank, context)) OVER w AS c0, max(struct(rank, context)) OVER w AS c1
+                FROM {view} WINDOW w AS (PARTITION BY shiftright(rank, 16))))
+            WHERE info < 0 OR doc_id > leader OR (low < high AND c0 <> c1)"""),
         "anchors",
     )
     spark.catalog.dropTempView(view)

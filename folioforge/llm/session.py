@@ -45,6 +45,7 @@ def partitions(spark: SparkSession) -> int:
 
 def release(spark: SparkSession) -> None:
     """Frees the shuffle files of frames that nothing refers to any more; else they stay until the JVM tidies up."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(1)
+    for _ in range(3):  # the JVM's references go after Python's, and the files after them
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
