@@ -43,6 +43,8 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of a text that are anchored at once; strings that cross the cut belong to the first part.
 SEGMENT_BYTES = 32 << 20
+#: Bytes of text whose copies are settled before the shuffle.
+COMBINED_BYTES = 8 << 20
 
 # Rank and context are packed into 96 bits, 48 each: `rank` has the rank and 16 bits of the context, `context` the rest.
 # A place is packed into 64 bits: settled (sign), 16 bits of the text's hash, 30 of the first string, 8 of the
@@ -75,7 +77,7 @@ def _found(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[tuple[np.n
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
+    for whole in tk.chunks(batches, "text", COMBINED_BYTES):
         parts = [x for batch in tk.chunks([whole], "text") for x in _found(batch, length, gram)]
         if not parts:
             continue
@@ -90,8 +92,8 @@ def _anchored(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iter
         rank = np.where(settled, tk.mix(info.astype(np.uint64) ^ doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), rank)
         info = np.where(settled, info | np.int64(-(2**63)), info)
         context = np.where(settled, np.uint64(0), context).astype(np.uint32).view(np.int32)
-        for s in range(0, len(rank), 500_000):
-            e = s + 500_000
+        for s in range(0, len(rank), 200_000):
+            e = s + 200_000
             yield pa.RecordBatch.from_arrays([pa.array(rank[s:e].view(np.int64)), pa.array(context[s:e]), pa.array(doc[s:e]), pa.array(info[s:e])], ["rank", "context", "doc_id", "info"])
 
 
