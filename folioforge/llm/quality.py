@@ -14,7 +14,8 @@ less those of all documents.
 Nulls: a null text is empty; a null host or language is a site of its own; labels that are null
 or belong to no document are ignored. With fewer than 20 labels, or labels of one kind only, that model
 finds nothing: its chance is 0 and rejects no document. An empty table gives an empty result.
-Repeated rows are scored each. Other columns are carried on untouched.
+Repeated rows are scored each, and rejected each: rows that share an id, or have none, do not take
+each other along. Other columns are carried on untouched.
 """
 
 from __future__ import annotations
@@ -177,7 +178,8 @@ def _score(batches: Iterator[pa.RecordBatch], models: dict[str, Logistic]) -> It
     for batch in tk.chunks(batches, "text"):
         measured = _measure(batch.column("text"))
         odds = {y: models[y].log_odds(*measured) for y in ("low", "toxic")}
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), batch.column("lang"), pa.array(odds["low"]), pa.array(odds["toxic"])], ["doc_id", "host", "lang", "low", "toxic"])
+        others = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(odds["low"]), pa.array(odds["toxic"])], [*others, "low", "toxic"])
 
 
 def _chance(odds: Column | str) -> Column:
@@ -204,9 +206,15 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
 
     kept: both the final chance of low quality and that of toxicity are below the threshold.
     """
+    return _judged(docs, labels, [], doc_id=doc_id, text=text, host=host, lang=lang, threshold=threshold, **options)
+
+
+def _judged(docs: DataFrame, labels: DataFrame, carried: list[Column], *, doc_id: str, text: str, host: str, lang: str, threshold: float = 0.5, **options) -> DataFrame:
+    """classify, and the carried columns (named, binary) of each row."""
     models = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id=doc_id, text=text, **options))  # a few thousand numbers
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    scored = written(narrow.mapInArrow(lambda it: _score(it, models.value), "doc_id bigint, host string, lang string, low double, toxic double"), "scored")
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(lang).cast("string").alias("lang"), *carried, F.col(text).alias("text"))
+    extra = [c for c in narrow.columns if c not in ("doc_id", "host", "lang", "text")]
+    scored = written(narrow.mapInArrow(lambda it: _score(it, models.value), ", ".join(["doc_id bigint, host string, lang string", *(f"{c} binary" for c in extra), "low double, toxic double"])), "scored")
 
     paths = written(scored.groupBy("host", "lang").agg(F.count(F.lit(1)).alias("n"), *[F.sum(_chance(y)).alias(f"{y}_sum") for y in ("low", "toxic")]), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), *[F.sum(f"{y}_sum").alias(f"host_{y}_sum") for y in ("low", "toxic")])
@@ -228,11 +236,23 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
         _chance("low").alias("evidence_low"), _chance("toxic").alias("evidence_toxic"),
         "host_low", "host_toxic", "path_low", "path_toxic",
         _chance(F.col("low") + F.col("shift_low")).alias("chance_low"), _chance(F.col("toxic") + F.col("shift_toxic")).alias("chance_toxic"),
+        *extra,
     )
     return final.withColumn("kept", (F.col("chance_low") < threshold) & (F.col("chance_toxic") < threshold))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs, with the same columns, without the documents that the classifier rejects."""
-    gone = classify(docs, labels, doc_id=doc_id, **options).where("not kept").select(F.col(doc_id).alias("gone")).distinct()
-    return docs.join(gone, docs[f"`{doc_id}`"].eqNullSafe(F.col("gone")), "left_anti")
+def accepted(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", host: str = "source", lang: str = "lang", **options) -> DataFrame:
+    """docs, with the same columns, without the documents that the classifier rejects.
+
+    The decision follows from text, host and language alone, so a row is found again by those (the
+    text by its MD5); the id only deals equal texts over tasks.
+    """
+
+    def digest(column: Column) -> Column:
+        return F.unhex(F.md5(F.coalesce(column.cast("binary"), F.lit("").cast("binary"))))
+
+    judged = _judged(docs, labels, [digest(F.col(text)).alias("digest")], doc_id=doc_id, text=text, host=host, lang=lang, **options)
+    gone = judged.where("not kept").select(F.col(doc_id).alias("gone"), "digest", F.col("host").alias("gone_host"), F.col("lang").alias("gone_lang")).distinct()
+    same = docs[f"`{doc_id}`"].cast("long").eqNullSafe(gone["gone"]) & (digest(docs[f"`{text}`"]) == gone["digest"])
+    same &= docs[f"`{host}`"].cast("string").eqNullSafe(gone["gone_host"]) & docs[f"`{lang}`"].cast("string").eqNullSafe(gone["gone_lang"])
+    return docs.join(gone, same, "left_anti")

@@ -24,3 +24,21 @@ def test_edges(spark):
         assert len(got) == len(rows) and all(r["kept"] for r in got)
     assert accepted(docs, none).columns == docs.columns and accepted(docs, none).count() == len(rows)
     assert classify(docs.limit(0), none).count() == 0
+
+
+def test_rejection_is_by_row(spark):
+    """A rejected row takes no clean row along that shares its id, a null id or its text."""
+    clean = [(100 + k, f"a calm article about rivers and hills number {k}", "s", "en", "clean") for k in range(60)]
+    bad = [(200 + k, f"$$$ buy now cheap pills || click {k}", "s", "en", "bad") for k in range(60)]
+    labels = spark.createDataFrame([(r[0], int(r[4] == "clean"), 0) for r in clean + bad], "doc_id long, quality int, toxic int")
+    mixed = []
+    for i in (None, None, 7):
+        mixed += [(i, "$$$ buy now cheap pills || click here", "s", "en", "bad"), (i, "a calm article about rivers and hills here", "s", "en", "clean")]
+    mixed += [(7, "a calm article about rivers and hills", None, None, "clean")]
+    docs = spark.createDataFrame(clean + bad + mixed, "doc_id long, text string, source string, lang string, digest string")
+    judged = classify(docs, labels).where("kept").groupBy("doc_id").count().collect()
+    left = accepted(docs, labels)
+    rows = [tuple(r) for r in left.collect()]
+    assert left.columns == docs.columns
+    assert sorted(map(repr, rows)) == sorted(repr(r) for r in clean + [m for m in mixed if m[4] == "clean"])
+    assert {r["doc_id"]: r["count"] for r in judged} == {i: [r[0] for r in rows].count(i) for i in {r[0] for r in rows}}
