@@ -3,7 +3,7 @@
 The cut follows the public pattern of byte-level tokenizers,
 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+ , after which pieces
 are independent of each other. Texts with characters whose class may differ between Unicode
-versions go to the library whole.
+versions go to the library whole, and so do texts that hold an added token, where those count.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_in_text
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_in_text else []
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if special_in_text else []
         self.classes = _classes()
         self._clear()
 
@@ -101,16 +101,31 @@ class Encoder:
         self.used += len(ids)
         self.known.update(zip(hashes, range(n, n + len(hashes)), strict=True))
 
+    def _with_special(self, raw: bytes, offsets: np.ndarray) -> list[int]:
+        """Texts that hold an added token."""
+        out = []
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                inside = at + len(token) <= offsets[i + 1]
+                if inside:
+                    out.append(i)
+                at = raw.find(token, int(offsets[i + 1]) if inside else at + 1)
+        return out
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text."""
         heads = (data & 0xC0) != 0x80
         byte_of = np.append(np.flatnonzero(heads), len(data))
         char_offsets = np.concatenate([[0], np.cumsum(heads)])[offsets]
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        raw = data.tobytes()
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
         cls = self.classes[points]
         whole = np.zeros(len(offsets) - 1, bool)
         unsure = np.flatnonzero(cls == UNSURE)
         whole[np.searchsorted(char_offsets, unsure, side="right") - 1] = True
+        whole[self._with_special(raw, offsets)] = True
         start = cut(points, char_offsets, cls)
         doc = np.searchsorted(char_offsets, start, side="right") - 1
         end = byte_of[np.append(start[1:], len(points))]
@@ -135,11 +150,6 @@ class Encoder:
             out = [ids[bounds[i] : bounds[i + 1]] for i in range(len(whole))]
         for i in np.flatnonzero(whole).tolist():
             out[i] = np.array(self.tokenizer.encode(data[offsets[i] : offsets[i + 1]].tobytes().decode(), add_special_tokens=False).ids, np.uint32)
-        if self.special:
-            for i in range(len(whole)):
-                text = data[offsets[i] : offsets[i + 1]].tobytes().decode()
-                if any(s in text for s in self.special):
-                    out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         return out
 
 

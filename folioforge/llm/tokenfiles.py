@@ -156,10 +156,10 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri("file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
 
 
-def _encode_and_write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, bits: int, end_id: int, file_ids: int) -> Iterator[pa.RecordBatch]:
+def _encode_and_write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, bits: int, end_id: int, file_ids: int, special_in_text: bool) -> Iterator[pa.RecordBatch]:
     system, base = _filesystem(folder)
     part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-    coder, seq, writer = encoder(tokenizer), 0, FileWriter(bits)
+    coder, seq, writer = encoder(tokenizer, special_in_text), 0, FileWriter(bits)
 
     def close() -> pa.RecordBatch:
         nonlocal seq, writer
@@ -180,9 +180,12 @@ def _encode_and_write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer:
         yield close()
 
 
-def write_tokens(docs: DataFrame, *, tokenizer: str, folder: str | None = None, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
+def write_tokens(docs: DataFrame, *, tokenizer: str, folder: str | None = None, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS, special_in_text: bool = True) -> DataFrame:
     """Encodes and writes all documents in ascending order of id. Returns the manifest:
     file, first (ids of all documents before it), n_docs, n_ids.
+
+    special_in_text: a special token spelt out in a text gets its own id, as the library gives it;
+    else it is encoded as any other text.
     """
     from tokenizers import Tokenizer
 
@@ -193,7 +196,7 @@ def write_tokens(docs: DataFrame, *, tokenizer: str, folder: str | None = None,
     bits = bits_for(max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1))
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    files = ordered.mapInArrow(lambda it: _encode_and_write(it, folder, tokenizer, bits, end_id, file_ids), "part bigint, seq bigint, file string, n_docs bigint, n_ids bigint")
+    files = ordered.mapInArrow(lambda it: _encode_and_write(it, folder, tokenizer, bits, end_id, file_ids, special_in_text), "part bigint, seq bigint, file string, n_docs bigint, n_ids bigint")
     rows = sorted(written(files, "manifest").collect())
     first, out = 0, []
     for r in rows:

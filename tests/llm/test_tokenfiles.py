@@ -85,3 +85,24 @@ def test_edges(spark):
     got = [tuple(r) for r in read_tokens(spark, write_tokens(with_null, tokenizer=PATH)).orderBy("start").collect()]
     assert [g[0] for g in got] == [None, 0]
     assert read_tokens(spark, write_tokens(docs.limit(0), tokenizer=PATH)).count() == 0
+
+
+def test_special_tokens_in_text(spark):
+    """Held against the library as the file gives it, with no switch set."""
+    import pyarrow as pa
+
+    plain = Tokenizer.from_file(PATH)
+    assert plain.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    rng, special = random.Random(6), "<|endoftext|>"
+    pieces = [special, special[:5], special[5:], "<|", "|>", " ", "a", "don't", "\n", "é", "日本", "𝒳", "12"]
+    texts = ["", special, special * 2, f"a{special}b", special[:5], special[5:], None] + ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(500)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    got = Encoder(PATH, special_in_text=True).encode(*tk.text_bytes(pa.array(texts)))
+    assert [g.tolist() for g in got] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, start = [], 0
+    for k, ids in enumerate(want):
+        ids = ids + [0]
+        rows.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in read_tokens(spark, write_tokens(docs, tokenizer=PATH)).collect()) == rows
