@@ -1,10 +1,10 @@
-"""Repeated passages removed by distributed prefix doubling over anchored suffixes.
+"""Repeated passages removed by fingerprints of anchored strings, in place of prefix doubling.
 
 A byte goes when it is covered by a string of `length` bytes that also starts in a document with a
 smaller id. Texts are UTF-8 bytes; strings do not cross documents and are judged on the input.
 
-Suffixes are ranked by growing prefixes, and only those whose rank is not unique go on. Sorting
-all suffixes would shuffle every byte many times over, so the first rank is taken at anchors: the
+Doubling would shuffle a row for every byte many times over. Strings are named at anchors instead,
+without reranking, and each by itself only where that leaves it open. The
 anchor of a string is its leftmost gram of GRAM bytes with the least fingerprint, so equal strings
 have equal anchors in equal places, and about one position in sixteen is an anchor.
 
@@ -18,7 +18,8 @@ have equal anchors in equal places, and about one position in sixteen is an anch
 Copies within one batch of input are settled before the shuffle: only the smallest document of a
 (rank, context) pair is sorted, so a passage that a third of all documents share is sent once a
 batch. Sorting spills to disk and scans hold one row; no group is gathered in memory. Ranks are
-fingerprints of 48 bits, contexts are told apart by 96 bits in all, strings by 95.
+fingerprints of 48 bits, strings are told apart by 95. Contexts that share a gram are told apart by
+48 bits alone, and what is past the threshold is cut without a check of its bytes.
 
 Nulls: a null text is empty; rows without an id keep all bytes and are no source. Rows that repeat
 an id are one document's, so they do not remove each other's bytes. Texts shorter than `length`
