@@ -19,8 +19,9 @@ first collection, and what is still larger into blocks of which each pair is one
 memory is bounded and no group is capped, sampled or dropped.
 
 Nulls and empty texts have an empty set and are linked with nothing. Rows without an id are kept
-and belong to no component (null). Rows that repeat an id share its component. An empty table
-gives an empty result. Other columns take no part.
+and belong to no component (null). Rows that repeat an id are judged each by its own text; of the
+rows with a component's smallest id all stay. An empty table gives an empty result. Other columns
+take no part.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm import textkit as tk
@@ -65,7 +66,7 @@ def _seeds(m: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], words: int, m: int) -> Iterator[pa.RecordBatch]:
-    """Id, set size, 128-bit digest of the set, and the 2 * m small keys."""
+    """Id, mark of the text, set size, 128-bit digest of the set, and the 2 * m small keys."""
     xors, muls = _seeds(m)
     place = np.arange(2 * m, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)
     for batch in tk.chunks(batches, "text"):
@@ -85,8 +86,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, m: int) -> Iterator
             keys[full] = tk.mix(tk.mix(lows[:, 0::2] + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) + lows[:, 1::2] + place)
         values = pa.array(keys.view(np.int64).reshape(-1))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (2 * m)), values)],
-            ["doc_id", "n_shingles", "d1", "d2", "keys"],
+            [batch.column("doc_id"), batch.column("mark"), pa.array(sizes), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (2 * m)), values)],
+            ["doc_id", "mark", "n_shingles", "d1", "d2", "keys"],
         )
 
 
@@ -160,10 +161,21 @@ def _cluster_links(members: DataFrame, keys: DataFrame, sets: DataFrame, percent
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, collection: int = COLLECTION, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class_id (smallest id with the same set)."""
+    return _judged(docs, doc_id, text, words, percent, collection, cluster_shingles).select(F.col("doc_id").alias(doc_id), "n_shingles", "component_id", "kept", "class_id")
+
+
+def _mark(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(text)
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, collection: int, cluster_shingles: int) -> DataFrame:
+    """near_duplicates, and the mark of each row's text. Classes of equal sets go by numbers of their own until the end."""
     m = collection
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketch = written(docs.mapInArrow(lambda it: _sketches(it, words, m), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>"), "sketch")
-    classes = written(sketch.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")), "classes")
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    sketch = written(docs.mapInArrow(lambda it: _sketches(it, words, m), "doc_id bigint, mark bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>"), "sketch")
+    classes = sketch.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "mark")).alias("head"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "head.doc_id", "head.mark", "size", "keys"), "classes")
 
     single = classes.select("id", F.posexplode("keys").alias("at", "key"))
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
@@ -174,8 +186,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     stars = written(tables.join(heads, "key").select("key", F.col("id").alias("u"), "v", F.col("size").alias("size_u"), "size_v"), "stars")
 
     release(docs.sparkSession)
-    held = stars.select(F.col("u").alias("doc_id")).distinct()
-    texts = docs.join(held, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text")
+    held = stars.select(F.col("u").alias("id")).distinct().join(classes.select("id", "doc_id", "mark"), "id")
+    texts = docs.join(held, ["doc_id", "mark"]).dropDuplicates(["id"]).select("id", "text")
     sets = written(texts.mapInArrow(lambda it: _sets(it, words), "id bigint, set binary"), "sets")
     release(docs.sparkSession)
 
@@ -193,13 +205,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         more = _cluster_links(written(members, "members"), live.select("id", F.explode("a").alias("x")), sets, percent, cluster_shingles)
         found = written(components(links.unionByName(more)), "components")
 
-    classed = sketch.join(classes.select("d1", "d2", F.col("id").alias("class_id")), ["d1", "d2"], "left")
-    classed = classed.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
-    result = classed.join(found.select(F.col("id").alias("class_id"), "component"), "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
-    return result.select(F.col("doc_id").alias(doc_id), "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "class_id")
+    lowest = found.join(classes.select("id", "doc_id"), "id").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    found = found.join(lowest, "component").select("id", "lowest")
+    classed = sketch.where("n_shingles > 0 and doc_id is not null").join(classes.select("d1", "d2", "id", F.col("doc_id").alias("class_id")), ["d1", "d2"])
+    linked = classed.join(found, "id", "left").select("doc_id", "mark", "n_shingles", F.coalesce("lowest", "class_id").alias("component_id"), "class_id")
+    lone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "mark", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+    return linked.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs, with the same columns, with the smallest id of each group of near duplicates only."""
-    gone = near_duplicates(docs, doc_id=doc_id, **options).where("not kept").select(F.col(doc_id).alias("gone")).distinct()
-    return docs.join(gone, docs[f"`{doc_id}`"] == F.col("gone"), "left_anti")
+def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT, collection: int = COLLECTION, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
+    """docs, with the same columns, with the rows of the smallest id of each group of near duplicates only."""
+    gone = _judged(docs, doc_id, text, words, percent, collection, cluster_shingles).where("not kept").select(F.col("doc_id").alias("gone"), F.col("mark").alias("gone_mark")).distinct()
+    same = (docs[f"`{doc_id}`"].cast("long") == gone["gone"]) & (_mark(docs[f"`{text}`"]) == gone["gone_mark"])
+    return docs.join(gone, same, "left_anti")

@@ -72,3 +72,17 @@ def test_table_matches_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert run(spark, rows) == brute(rows)
+
+
+def test_one_id_with_two_texts(spark):
+    """Each text of an id keeps its own links, and goes or stays by itself."""
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+    near = [[*w[:-1], "edited"] for w in base]
+    texts = [" ".join(w) for w in base + near] + ["all on its own here"]
+    rows = [(1, texts[0]), (20, texts[3]), (20, texts[6]), (20, texts[1]), (30, texts[4]), (5, texts[2]), (20, texts[5]), (20, texts[5])]
+    want = [(1, 1), (20, 1), (20, 20), (20, 20), (30, 20), (5, 5), (20, 5), (20, 5)]
+    assert sorted((r[0], r[2], r[3]) for r in run(spark, rows)) == sorted((i, c, i == c) for i, c in want)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(tuple(r) for r in deduplicate(docs, words=4).collect())
+    assert left == sorted(r for r, (i, c) in zip(rows, want, strict=True) if i == c)
