@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import argparse
-import shutil
+import re
 import sys
-import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -19,20 +18,19 @@ def _session() -> SparkSession:
 def ingest_file(spark: SparkSession, source: Path, target: Path, title: str | None) -> str | None:
     """Writes the project folder; returns the reason where it cannot."""
     from folioforge.operators.ingest import ingest, project_files
-    from folioforge.sources.files import read_sources
     from folioforge.sources.records import write_projects
 
     if not source.is_file():
         return f"source file not found: {source}"
     if target.exists():
         return f"project directory already exists: {target}"
-    with tempfile.TemporaryDirectory() as alone:
-        shutil.copy(source, alone)
-        got = ingest(read_sources(spark, alone).withColumn("title", F.lit(title)))
-        if refused := got.rejected.first():
-            return refused["reason"]
-        target.parent.mkdir(parents=True, exist_ok=True)
-        write_projects(project_files(got).withColumn("project_id", F.lit(target.name)), str(target.parent.resolve()))
+    plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", str(source.resolve()))  # no pattern of file names
+    file = spark.read.format("binaryFile").load(f"file://{plain}").select(F.lit(source.name).alias("filename"), "content", F.lit(title).alias("title"))
+    got = ingest(file)
+    if refused := got.rejected.first():
+        return refused["reason"]
+    target.parent.mkdir(parents=True, exist_ok=True)
+    write_projects(project_files(got).withColumn("project_id", F.lit(target.name)), str(target.parent.resolve()))
     return None
 
 
@@ -55,7 +53,7 @@ def main(args: list[str] | None = None) -> int:
     commands.add_parser("validate").add_argument("project_dir", type=Path)
     commands.add_parser("lint").add_argument("schema_dir", type=Path)
     got = parser.parse_args(args)
-    spark = _session()
+    spark, notices = _session(), []
     if got.command == "ingest":
         reason = ingest_file(spark, got.input, got.project_dir, got.title)
         print(f"INGESTION FAILED: {reason}" if reason else f"INGESTION PASSED: {got.project_dir}")
@@ -67,10 +65,14 @@ def main(args: list[str] | None = None) -> int:
 
         files = sorted(got.schema_dir.glob("*.json"))
         documents = read_documents(spark, str(got.schema_dir)) if files else spark.createDataFrame([], "name string, json string")
-        found = [f"{r['check_id']} {r['name'] or ''} {r['message']}" for r in lint_schemas(documents).collect()]
+        rows = lint_schemas(documents).collect()
+        found = [f"{r['check_id']} {r['name'] or ''} {r['message']}" for r in rows if r["check_id"] != "notice"]
+        notices = [r["message"] for r in rows if r["check_id"] == "notice"]
     print(f"{got.command.upper()} {'FAILED' if found else 'PASSED'}")
     for line in found:
         print(f"- {line}")
+    for line in notices:
+        print(f"NOTICE: {line}")
     return int(bool(found))
 
 

@@ -86,3 +86,27 @@ def piece(text: Column, start: Column, end: Column) -> Column:
 def joined(parts: Column, order: Column) -> Column:
     """Aggregate: the parts' concatenation in order."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), parts.alias("p")))), lambda x: x["p"]), "")
+
+
+def json_string(text: Column) -> Column:
+    """A JSON string as strict writers give it: control characters escaped (short forms, else four lower-case digits), all else as it is."""
+    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    rare = out
+    for code in range(32):
+        rare = F.replace(rare, F.lit(chr(code)), F.lit({8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}.get(code, f"\\u{code:04x}")))
+    common = F.replace(F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t"))
+    return F.when(text.isNull(), "null").otherwise(F.concat(F.lit('"'), F.when(text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), rare).otherwise(common), F.lit('"')))
+
+
+def json_object(fields: dict[str, Column], depth: int = 0) -> Column:
+    """An object of JSON values, a key a line, indented by two spaces a level."""
+    parts = [F.lit("{")]
+    for k, (name, value) in enumerate(fields.items()):
+        parts += [F.lit(f"{',' if k else ''}\n{'  ' * (depth + 1)}\"{name}\": "), value]
+    return F.concat(*parts, F.lit(f"\n{'  ' * depth}}}"))
+
+
+def json_array(values: Column, depth: int = 0) -> Column:
+    """An array of JSON values, an element a line."""
+    inner = "  " * (depth + 1)
+    return F.when(F.size(values) == 0, "[]").otherwise(F.concat(F.lit(f"[\n{inner}"), F.array_join(values, f",\n{inner}"), F.lit(f"\n{'  ' * depth}]")))

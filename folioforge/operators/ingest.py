@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
@@ -13,6 +13,7 @@ from folioforge.sources.files import decode_sources
 # Fixed values of records.
 METHOD = "anchored-heading-v1"
 NO_HEADING = "No anchored chapter heading detected; retained as one chapter for review."
+UNTOUCHED = ',"translation":{"zh_cn":null,"status":"pending"},"classification":{"text_type":"unknown","speaker_character_id":null,"speaker_label":null,"status":"unknown","confidence":0,"evidence":[]}}'
 _EVIDENCE = "array<struct<source_unit_id:string,quote:string,note:string>>"
 
 
@@ -85,26 +86,34 @@ def units_of(marked: DataFrame, key: str) -> DataFrame:
     )
 
 
-def detection(chapters: DataFrame, key: str) -> DataFrame:
-    """status and warnings of heading detection."""
+def _detected() -> list[Column]:
+    """Aggregates over a text's chapters: status and warnings of heading detection."""
     none = F.max("source_label").isNull()
     status = F.when(none, "single_chapter_review").when(F.min("ordinal") == 0, "detected_with_preamble").otherwise("detected")
-    return chapters.groupBy(key).agg(status.alias("status"), F.when(none, F.array(F.lit(NO_HEADING))).otherwise(F.array().cast("array<string>")).alias("detection_warnings"))
+    return [status.alias("status"), F.when(none, F.array(F.lit(NO_HEADING))).otherwise(F.array().cast("array<string>")).alias("detection_warnings")]
+
+
+def detection(chapters: DataFrame, key: str) -> DataFrame:
+    """status and warnings of heading detection."""
+    return chapters.groupBy(key).agg(*_detected())
 
 
 def manifests(sources: DataFrame, chapters: DataFrame) -> DataFrame:
-    """project_id, manifest (JSON of the record), sha256 of it."""
-    listed = chapters.groupBy("project_id").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", F.struct("chapter_id", "ordinal", "heading", "source_label", "source_start", "source_end", "character_length", "sha256", "source_path", "units_path", "unit_count").alias("c")))).alias("all")
-    )
-    record = F.struct(
-        F.lit(tx.SCHEMA_VERSION).alias("schema_version"), "project_id",
-        F.struct("filename", "format", "encoding", "copy_path", "byte_length", "sha256", "warnings").alias("source"),
-        "canonical",
-        F.struct(F.lit(METHOD).alias("method"), "status", F.col("detection_warnings").alias("warnings")).alias("chapter_detection"),
-        F.transform("all", lambda x: x["c"]).alias("chapters"),
-    )
-    out = sources.join(listed, "project_id").join(detection(chapters, "project_id"), "project_id").select("project_id", F.to_json(record, {"ignoreNullFields": "false"}).alias("manifest"))
+    """project_id, manifest (indented JSON with a line feed at its end), sha256 of it, the number of chapters."""
+    text, number = (lambda c: tx.json_string(F.col(c))), (lambda c: F.col(c).cast("string"))
+    chapter = tx.json_object(
+        {"chapter_id": text("chapter_id"), "ordinal": number("ordinal"), "heading": text("heading"), "source_label": text("source_label"), "source_start": number("source_start"), "source_end": number("source_end"),
+         "character_length": number("character_length"), "sha256": text("sha256"), "source_path": text("source_path"), "units_path": text("units_path"), "unit_count": number("unit_count")}, 2)
+    listed = chapters.groupBy("project_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", chapter.alias("c")))).alias("all"), *_detected())
+    strings = lambda c: tx.json_array(F.transform(c, tx.json_string), 2)
+    record = tx.json_object({
+        "schema_version": tx.json_string(F.lit(tx.SCHEMA_VERSION)), "project_id": text("project_id"),
+        "source": tx.json_object({"filename": text("filename"), "format": text("format"), "encoding": text("encoding"), "copy_path": text("copy_path"), "byte_length": number("byte_length"), "sha256": text("sha256"), "warnings": strings("warnings")}, 1),
+        "canonical": tx.json_object({"path": text("canonical.path"), "encoding": text("canonical.encoding"), "character_length": number("canonical.character_length"), "byte_length": number("canonical.byte_length"), "sha256": text("canonical.sha256"), "rule": text("canonical.rule")}, 1),
+        "chapter_detection": tx.json_object({"method": tx.json_string(F.lit(METHOD)), "status": text("status"), "warnings": strings("detection_warnings")}, 1),
+        "chapters": tx.json_array(F.transform("all", lambda x: x["c"]), 1),
+    })
+    out = sources.join(listed, "project_id").select("project_id", F.concat(record, F.lit("\n")).alias("manifest"), F.size("all").cast("long").alias("n_chapters"))
     return out.withColumn("sha256", tx.digest(F.col("manifest")))
 
 
@@ -131,15 +140,21 @@ def ingest(files: DataFrame) -> Ingested:
     artifact = F.struct(F.lit("source_manifest").alias("artifact_type"), F.lit("source/manifest.json").alias("path"), F.lit(tx.SCHEMA_VERSION).alias("schema_version"), F.col("sha256"))
     projects = sources.select("project_id", "title").join(made, "project_id").select(
         "project_id", F.lit(tx.SCHEMA_VERSION).alias("schema_version"), "title", F.lit(tx.PIPELINE_VERSION).alias("pipeline_version"), F.lit("ingested").alias("state"),
-        F.lit("source/manifest.json").alias("source_manifest"), F.array(artifact).alias("artifacts"), "manifest",
+        F.lit("source/manifest.json").alias("source_manifest"), F.array(artifact).alias("artifacts"), "manifest", "n_chapters",
     )
     return Ingested(projects, sources, chapters, units_of(marked, "project_id"), taken.where("reason is not null").select("filename", "title", "reason"))
 
 
 def project_files(got: Ingested) -> DataFrame:
     """All files of all projects: project_id, path, content."""
-    project = F.to_json(F.struct("schema_version", "project_id", "title", "pipeline_version", "state", "source_manifest", "artifacts"), {"ignoreNullFields": "false"})
-    unit = F.to_json(F.struct("schema_version", "unit_id", "chapter_id", "ordinal", "source_text", "source_sha256", "translation", "classification"), {"ignoreNullFields": "false"})
+    text = lambda c: tx.json_string(F.col(c))
+    artifact = F.transform("artifacts", lambda a: tx.json_object({k: tx.json_string(a[k]) for k in ("artifact_type", "path", "schema_version", "sha256")}, 2))
+    project = F.concat(tx.json_object({**{k: text(k) for k in ("schema_version", "project_id", "title", "pipeline_version", "state", "source_manifest")}, "artifacts": tx.json_array(artifact, 1)}), F.lit("\n"))
+    # Units as ingested: nothing is classified or translated yet.
+    unit = F.concat(
+        F.lit('{"schema_version":'), text("schema_version"), F.lit(',"unit_id":'), text("unit_id"), F.lit(',"chapter_id":'), text("chapter_id"), F.lit(',"ordinal":'), F.col("ordinal").cast("string"),
+        F.lit(',"source_text":'), text("source_text"), F.lit(',"source_sha256":'), text("source_sha256"), F.lit(UNTOUCHED),
+    )
     unit_files = got.units.groupBy("project_id", "chapter_id").agg(tx.joined(F.concat(unit, F.lit("\n")), F.col("ordinal")).alias("text"))
     parts = [
         got.projects.select("project_id", F.lit("project.json").alias("path"), project.cast("binary").alias("content")),

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.sources.shared import numbered
+
 
 def _report(df: DataFrame, rule: str, entity: str, message: str) -> DataFrame:
     return df.select(F.lit(rule).alias("rule"), F.col(entity).cast("string").alias("entity_id"), F.lit(message).alias("message"))
@@ -16,6 +20,51 @@ def dangling(child: DataFrame, entity: str, ref: str, parent: DataFrame, target:
     return _report(refs.join(parent.select(F.col(target).alias("ref")).distinct(), "ref", "left_anti").distinct(), f"X1 {name}", "entity_id", "reference to a record that is not there")
 
 
+#: The references of a project's records. Table, entity, reference, table and column that it points to.
+REFERENCES = {
+    "unit-chapter": ("units", "unit_id", "chapter_id", "chapters", "chapter_id"),
+    "unit-speaker": ("units", "unit_id", "speaker_character_id", "characters", "character_id"),
+    "unit-evidence": ("units", "unit_id", "evidence_unit_ids", "units", "unit_id"),
+    "analysis-chapter": ("analyses", "chapter_id", "chapter_id", "chapters", "chapter_id"),
+    "analysis-unit": ("analyses", "chapter_id", "source_unit_ids", "units", "unit_id"),
+    "scene-location": ("scenes", "scene_id", "location_id", "locations", "location_id"),
+    "scene-unit": ("scenes", "scene_id", "source_unit_ids", "units", "unit_id"),
+    "scene-evidence": ("scenes", "scene_id", "evidence_unit_ids", "units", "unit_id"),
+    "beat-unit": ("beats", "beat_id", "source_unit_ids", "units", "unit_id"),
+    "character-appearance": ("characters", "character_id", "first_appearance_id", "appearances", "appearance_id"),
+    "character-evidence": ("characters", "character_id", "evidence_unit_ids", "units", "unit_id"),
+    "appearance-character": ("appearances", "appearance_id", "character_id", "characters", "character_id"),
+    "appearance-chapter": ("appearances", "appearance_id", "chapter_id", "chapters", "chapter_id"),
+    "appearance-scene": ("appearances", "appearance_id", "scene_id", "scenes", "scene_id"),
+    "appearance-unit": ("appearances", "appearance_id", "source_unit_ids", "units", "unit_id"),
+    "appearance-evidence": ("appearances", "appearance_id", "evidence_unit_ids", "units", "unit_id"),
+    "profile-character": ("profile_fields", "character_id", "character_id", "characters", "character_id"),
+    "profile-evidence": ("profile_fields", "character_id", "evidence_unit_ids", "units", "unit_id"),
+}
+
+
+def referential_integrity(tables: dict[str, DataFrame]) -> DataFrame:
+    """X1 over all records of a project: the references of REFERENCES whose tables are given.
+
+    A column `evidence` (structs) stands for evidence_unit_ids. References that are the same column
+    of the same kind of target are gathered, so each target is joined once.
+    """
+    ready = {name: t.withColumn("evidence_unit_ids", F.transform("evidence", lambda e: e["source_unit_id"])) if "evidence" in t.columns and "evidence_unit_ids" not in t.columns else t for name, t in tables.items()}
+    by_target: dict[tuple[str, str], list[DataFrame]] = {}
+    for name, (table, entity, ref, target, column) in REFERENCES.items():
+        if table in ready and target in ready and ref in ready[table].columns:
+            child = ready[table]
+            each = F.explode(ref) if child.schema[ref].dataType.typeName() == "array" else F.col(ref)
+            by_target.setdefault((target, column), []).append(child.select(F.lit(f"X1 {name}").alias("rule"), F.col(entity).cast("string").alias("entity_id"), each.alias("ref")).where("ref is not null"))
+    found = [reduce(DataFrame.unionByName, refs).join(ready[target].select(F.col(column).alias("ref")).distinct(), "ref", "left_anti") for (target, column), refs in by_target.items()]
+    return reduce(DataFrame.unionByName, found).select("rule", "entity_id", F.lit("reference to a record that is not there").alias("message")).distinct()
+
+
+def known_unknowns(df: DataFrame, entity: str, value: str = "value", status: str = "status") -> DataFrame:
+    """An unknown value is null."""
+    return _report(df.where((F.col(status) == "unknown") & F.col(value).isNotNull()), "X5", entity, "unknown value is not null")
+
+
 def without_evidence(df: DataFrame, entity: str, status: str = "status", evidence: str = "evidence") -> DataFrame:
     """Every status but unknown needs evidence."""
     return _report(df.where((F.col(status) != "unknown") & (F.coalesce(F.size(evidence), F.lit(0)) <= 0)), "X2", entity, "no evidence")
@@ -125,8 +174,8 @@ def first_appearances(appearances: DataFrame, order: list[str]) -> DataFrame:
     return appearances.groupBy("character_id").agg(F.min_by("appearance_id", F.struct(*order)).alias("first_appearance_id"))
 
 
-def numbered_by_first(df: DataFrame, name: str, order: list[str], prefix: str, start: int = 0) -> DataFrame:
-    """Ids in the order in which names first occur; start: ids that are given already."""
+def numbered_by_first(df: DataFrame, name: str, order: list[str], prefix: str, start: Column | int = 0) -> DataFrame:
+    """Ids in the order in which names first occur; start: the number of ids that are given already."""
     first = df.groupBy(name).agg(F.min(F.struct(*order)).alias("first"))
-    n = F.row_number().over(Window.orderBy("first", name)) + start
-    return first.select(name, F.format_string(f"{prefix}-%04d", n).alias("id"))
+    out = numbered(first, ["first", name])
+    return out.select(name, F.format_string(f"{prefix}-%04d", F.col("n") + start).alias("id"))

@@ -24,6 +24,12 @@ def appearance_matrix(appearances: DataFrame, chapters: list[str] | None = None)
     return wide.count().na.fill(0).join(on_stage.groupBy("character_id").agg(F.count(F.lit(1)).alias("total")), "character_id")
 
 
+def appearance_cells(appearances: DataFrame) -> DataFrame:
+    """R2 with a row a cell, for any number of chapters: appearances on stage, and the character's total."""
+    cells = appearances.where("appearance_type <> 'mentioned'").groupBy("character_id", "chapter_id").agg(F.count(F.lit(1)).alias("appearances"))
+    return cells.join(cells.groupBy("character_id").agg(F.sum("appearances").alias("total")), "character_id")
+
+
 def appearance_totals(appearances: DataFrame) -> DataFrame:
     """R2 in long form, with totals per character and over all (rollup)."""
     return appearances.rollup("character_id", "chapter_id").agg(F.count(F.lit(1)).alias("appearances"), F.sum((F.col("appearance_type") == "mentioned").cast("long")).alias("mentions"))

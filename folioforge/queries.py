@@ -1,15 +1,12 @@
 """The engine's own queries over the driver's tables, and DuckDB SQL that gives the same rows.
 
-Two views stand for books and scripts. A book is a source's documents in order of id, with a heading
-line before each; some have front matter. A screenplay is a conversation: it is the chapter, its
+Two views stand for books and scripts. A book is a source's documents among 500 ids in a row, in order
+of id, with a heading line before each; some have front matter. A screenplay is a conversation: it is the chapter, its
 turns are units, its roles are characters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,36 +15,25 @@ from folioforge.operators import constraints, ledger, rules
 from folioforge.operators.ingest import chapters_of, detection, ingest, marked_lines, project_files, units_of
 from folioforge.operators.verify import verify
 from folioforge.plans import reports
+from folioforge.registry import query
 from folioforge.sources.files import decode_sources
-from folioforge.sources.records import missing_references, references
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def _query(sql: str | None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
+from folioforge.sources.records import file_references, missing_references
+from folioforge.sources.shared import written
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-_PIECES = """SELECT source, rn, concat(CASE WHEN rn = 1 AND source LIKE '%5' THEN 'Front matter\n' ELSE '' END,
+_PIECES = """SELECT book, rn, concat(CASE WHEN rn = 1 AND source LIKE '%5' THEN 'Front matter\n' ELSE '' END,
     CASE WHEN rn = 1 AND length(source) % 2 = 0 THEN 'Prologue' WHEN rn = n AND n > 2 THEN 'Epilogue: the end' ELSE concat('Chapter ', CAST(rn AS {string})) END, '\n', text, '\n') AS piece
-  FROM (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY source) AS n FROM {documents})"""
+  FROM (SELECT source, book, text, row_number() OVER (PARTITION BY book ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY book) AS n
+    FROM (SELECT source, concat(source, '-', CAST(CAST(floor(doc_id / 500) AS BIGINT) AS {string})) AS book, doc_id, text FROM {documents}))"""
 
 
 def books(spark: SparkSession, sf: str) -> DataFrame:
-    """project_id (the source), canonical_text."""
+    """project_id (the source and its run of documents), canonical_text."""
     pieces = spark.sql(_PIECES.format(string="STRING", documents="{d}"), d=_table(spark, sf, "documents"))
-    return pieces.groupBy(F.col("source").alias("project_id")).agg(tx.joined(F.col("piece"), F.col("rn")).alias("canonical_text"))
+    return pieces.groupBy(F.col("book").alias("project_id")).agg(tx.joined(F.col("piece"), F.col("rn")).alias("canonical_text"))
 
 
 def _book_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +41,7 @@ def _book_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BOOK_SQL = f"""pieces AS ({_PIECES.format(string="VARCHAR", documents="documents")}),
-book AS (SELECT source AS project_id, string_agg(piece, '' ORDER BY rn) AS t FROM pieces GROUP BY source)"""
+book AS (SELECT book AS project_id, string_agg(piece, '' ORDER BY rn) AS t FROM pieces GROUP BY book)"""
 
 _LINES_SQL = r"""
 raw AS (SELECT project_id, ls, unnest(generate_series(1, len(ls))) AS p FROM (SELECT project_id, regexp_extract_all(t, '[^\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]*(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}])|[^\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]+') AS ls FROM book)),
@@ -72,23 +58,23 @@ chapters AS (SELECT *, CASE WHEN any_h = 1 AND ordinal = 0 THEN 'preamble' ELSE
 _WITH = f"WITH {_BOOK_SQL}, {_LINES_SQL} "
 
 
-@_query(_WITH + "SELECT project_id, chapter_id, ordinal, heading, source_label, source_start, source_end, source_end - source_start AS character_length, sha256, concat('source/chapters/', lower(chapter_id), '.txt') AS source_path, concat('data/units/', lower(chapter_id), '.units.jsonl') AS units_path, unit_count FROM chapters")
+@query(_WITH + "SELECT project_id, chapter_id, ordinal, heading, source_label, source_start, source_end, source_end - source_start AS character_length, sha256, concat('source/chapters/', lower(chapter_id), '.txt') AS source_path, concat('data/units/', lower(chapter_id), '.units.jsonl') AS units_path, unit_count FROM chapters")
 def chapters(spark, sf):
     return chapters_of(marked_lines(books(spark, sf), "project_id"), "project_id").drop("chapter_text")
 
 
-@_query("SELECT doc_id, 'utf-8' AS encoding, CAST(length(text) AS BIGINT) AS n_chars, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS sha256 FROM documents")
+@query("SELECT doc_id, 'utf-8' AS encoding, CAST(length(text) AS BIGINT) AS n_chars, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS sha256 FROM documents")
 def decode_fingerprint(spark, sf):
     files = _table(spark, sf, "documents").select("doc_id", F.lit("d.txt").alias("filename"), F.col("text").cast("binary").alias("content"))
     return decode_sources(files).select("doc_id", "encoding", F.length("canonical_text").cast("long").alias("n_chars"), F.octet_length("canonical_text").cast("long").alias("n_bytes"), tx.digest(F.col("content")).alias("sha256"))
 
 
-@_query(_WITH + "SELECT project_id, concat(chapter_id, '-U', CASE WHEN ordinal < 10000 THEN printf('%04d', ordinal) ELSE CAST(ordinal AS VARCHAR) END) AS unit_id, chapter_id, ordinal, sha256(line) AS source_sha256 FROM mm")
+@query(_WITH + "SELECT project_id, concat(chapter_id, '-U', CASE WHEN ordinal < 10000 THEN printf('%04d', ordinal) ELSE CAST(ordinal AS VARCHAR) END) AS unit_id, chapter_id, ordinal, sha256(line) AS source_sha256 FROM mm")
 def units(spark, sf):
     return units_of(marked_lines(books(spark, sf), "project_id"), "project_id").select("project_id", "unit_id", "chapter_id", "ordinal", "source_sha256")
 
 
-@_query(_WITH + "SELECT project_id, start, trim(c) AS heading, label FROM mm WHERE label IS NOT NULL")
+@query(_WITH + "SELECT project_id, start, trim(c) AS heading, label FROM mm WHERE label IS NOT NULL")
 def headings(spark, sf):
     return marked_lines(books(spark, sf), "project_id").where("label is not null").select("project_id", "start", "heading", "label")
 
@@ -96,27 +82,27 @@ def headings(spark, sf):
 _EDGES = ["Chapter 1", "chapter IV. x", "Chapter Vicious", "Chapter I-beam", "Chapter civil-war", "Chapter Twenty-One", "Chapter 1.5", "Chapter of accidents began", "Chapter 1st", "Chapter: 1", "# Chapter 1", "Chapters 1", "Chapter one_two", "Prologue The", "Prologue", "Prologue: a", "Prologue-x", "EPILOGUE . z", "  chapter 7", "Chapter"]
 
 
-@_query(f"WITH book AS (SELECT 'x' AS project_id, 'x' AS t), {_LINES_SQL.replace('l AS (SELECT project_id, p - 1 AS line_no, ls[p] AS line, regexp_replace(ls[p],', 'l AS (SELECT project_id, 0 AS line_no, line, regexp_replace(line,').replace('FROM raw),', 'FROM (SELECT line AS project_id, line FROM (VALUES ' + ', '.join(f'''('{e}')''' for e in _EDGES) + ') e(line))),', 1)} SELECT line, label FROM lab")
+@query(f"WITH book AS (SELECT 'x' AS project_id, 'x' AS t), {_LINES_SQL.replace('l AS (SELECT project_id, p - 1 AS line_no, ls[p] AS line, regexp_replace(ls[p],', 'l AS (SELECT project_id, 0 AS line_no, line, regexp_replace(line,').replace('FROM raw),', 'FROM (SELECT line AS project_id, line FROM (VALUES ' + ', '.join(f'''('{e}')''' for e in _EDGES) + ') e(line))),', 1)} SELECT line, label FROM lab")
 def heading_labels(spark, sf):
     lines = spark.createDataFrame([(e,) for e in _EDGES], "line string")
     return lines.select("line", tx.heading_label(F.col("line")).alias("label"))
 
 
-@_query(_WITH + "SELECT project_id, CASE WHEN max(any_h) = 0 THEN 'single_chapter_review' WHEN min(ordinal) = 0 THEN 'detected_with_preamble' ELSE 'detected' END AS status FROM chapters GROUP BY project_id")
+@query(_WITH + "SELECT project_id, CASE WHEN max(any_h) = 0 THEN 'single_chapter_review' WHEN min(ordinal) = 0 THEN 'detected_with_preamble' ELSE 'detected' END AS status FROM chapters GROUP BY project_id")
 def chapter_status(spark, sf):
     return detection(chapters_of(marked_lines(books(spark, sf), "project_id"), "project_id"), "project_id").select("project_id", "status")
 
 
-@_query("SELECT doc_id, 'P01' AS chapter_id, CAST(length(text) AS BIGINT) AS source_end, sha256(text) AS sha256, CAST(len(regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+')) AS BIGINT) AS unit_count FROM documents WHERE length(text) > 0")
+@query("SELECT doc_id, 'P01' AS chapter_id, CAST(length(text) AS BIGINT) AS source_end, sha256(text) AS sha256, CAST(len(regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+')) AS BIGINT) AS unit_count FROM documents WHERE length(text) > 0")
 def single_chapter_review(spark, sf):
     texts = _table(spark, sf, "documents").select("doc_id", F.col("text").alias("canonical_text"))
     return chapters_of(marked_lines(texts, "doc_id"), "doc_id").select("doc_id", "chapter_id", "source_end", "sha256", "unit_count")
 
 
-@_query(_WITH + "SELECT concat('PRJ-', project_id) AS project_id, concat(project_id, '.txt') AS filename, CAST(length(t) AS BIGINT) AS character_length, CAST(strlen(t) AS BIGINT) AS byte_length, sha256(t) AS sha256, (SELECT count(*) FROM chapters c WHERE c.project_id = b.project_id) AS n_chapters FROM book b")
+@query(_WITH + "SELECT concat('PRJ-', project_id) AS project_id, concat(project_id, '.txt') AS filename, CAST(length(t) AS BIGINT) AS character_length, CAST(strlen(t) AS BIGINT) AS byte_length, sha256(t) AS sha256, (SELECT count(*) FROM chapters c WHERE c.project_id = b.project_id) AS n_chapters FROM book b")
 def manifests(spark, sf):
     got = ingest(_book_files(spark, sf))
-    n = got.projects.select("project_id", F.size(F.expr("variant_get(parse_json(manifest), '$.chapters', 'array<variant>')")).cast("long").alias("n_chapters"))
+    n = got.projects.select("project_id", "n_chapters")
     return got.sources.select("project_id", "filename", "canonical.character_length", "canonical.byte_length", "canonical.sha256").join(n, "project_id")
 
 
@@ -125,35 +111,40 @@ SELECT check_id, concat('PRJ-', project_id) AS project_id, chapter_id AS entity_
 UNION ALL SELECT DISTINCT 'V20', concat('PRJ-', project_id), CAST(NULL AS VARCHAR) FROM bad"""
 
 
-@_query(_CORRUPT_SQL)
+@query(_CORRUPT_SQL)
 def integrity_violations(spark, sf):
     """A copy of the project files in which every seventh chapter file has a character too many."""
-    files = project_files(ingest(_book_files(spark, sf))).persist(StorageLevel.DISK_ONLY)  # verification reads them many times
+    files = written(project_files(ingest(_book_files(spark, sf))), "project-files")  # verification reads them many times
     number = F.regexp_extract("path", r"chapters/p([0-9]+)", 1)
     changed = files.withColumn("content", F.when((number != "") & (F.try_to_number(number, F.lit("99999")) % 7 == 3), F.concat(F.col("content"), F.lit(b"x"))).otherwise(F.col("content")))
     return verify(changed).select("check_id", "project_id", "entity_id")
 
 
-@_query("WITH t AS (SELECT DISTINCT source AS title FROM documents UNION SELECT DISTINCT p_name FROM part UNION SELECT DISTINCT url FROM pages), s AS (SELECT title, trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-') AS x FROM t) SELECT title, rtrim(substr(CASE WHEN x = '' THEN substr(sha256(title), 1, 12) ELSE x END, 1, 63), '-') AS slug FROM s")
+@query("WITH t AS (SELECT DISTINCT source AS title FROM documents UNION SELECT DISTINCT p_name FROM part UNION SELECT DISTINCT url FROM pages), s AS (SELECT title, trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-') AS x FROM t) SELECT title, rtrim(substr(CASE WHEN x = '' THEN substr(sha256(title), 1, 12) ELSE x END, 1, 63), '-') AS slug FROM s")
 def slugs(spark, sf):
     t = _table(spark, sf, "documents").select(F.col("source").alias("title")).union(_table(spark, sf, "part").select("p_name")).union(_table(spark, sf, "pages").select("url")).distinct()
     return t.select("title", tx.slug(F.col("title"), tx.digest(F.col("title"))).alias("slug"))
 
 
-@_query("SELECT page_id, lower(regexp_extract(url, '[^/](\\.[^./]+)$', 1)) AS suffix, CASE lower(regexp_extract(url, '[^/](\\.[^./]+)$', 1)) WHEN '.txt' THEN 'txt' WHEN '.md' THEN 'md' WHEN '.docx' THEN 'docx' END AS format FROM pages")
+@query("SELECT page_id, lower(regexp_extract(url, '[^/](\\.[^./]+)$', 1)) AS suffix, CASE lower(regexp_extract(url, '[^/](\\.[^./]+)$', 1)) WHEN '.txt' THEN 'txt' WHEN '.md' THEN 'md' WHEN '.docx' THEN 'docx' END AS format FROM pages")
 def formats(spark, sf):
     s = tx.suffix(F.col("url"))
     return _table(spark, sf, "pages").select("page_id", s.alias("suffix"), F.when(s.isin(".txt", ".md", ".docx"), F.substring(s, 2, 9)).alias("format"))
 
 
-@_query("SELECT * FROM (VALUES ('none.json'), ('other.json')) t(file)")
+@query("""SELECT DISTINCT file FROM (SELECT concat('p', p_partkey + 1, '.json') AS file FROM part WHERE p_partkey % 4 <> 3 UNION SELECT concat('n', p_size, '.json') FROM part WHERE p_partkey % 4 <> 3)
+  WHERE file NOT IN (SELECT concat('p', p_partkey, '.json') FROM part) AND file NOT IN (SELECT concat('n', n_nationkey, '.json') FROM nation)""")
 def missing_refs(spark, sf):
-    docs = spark.createDataFrame([("a.json", '{"$ref":"b.json#/x","items":[{"$ref":"none.json"},{"deep":{"$ref":"#/local"}}]}'), ("b.json", '{"x":{"$ref":"other.json#/y","$refs":1}}')], "name string, json string")
-    refs = docs.select(F.explode(F.udf(references, "array<string>")("json")).alias("ref")).select(F.split_part("ref", F.lit("#"), F.lit(1)).alias("file")).where("file <> ''").distinct()
-    return missing_references(refs, docs)
+    """Every part is a schema that refers to the next part's, to one of its size, and to itself."""
+    next_part, size = F.concat(F.lit("p"), F.col("p_partkey") + 1, F.lit(".json")), F.concat(F.lit("n"), "p_size", F.lit(".json"))
+    own = F.concat(F.lit('{"$ref":"'), next_part, F.lit('#/x","items":[{"$ref":"'), size, F.lit('"},{"deep":{"$ref":"#/local"}}],"$refs":"no.json"}'))
+    parts = _table(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey", F.lit(".json")).alias("name"), F.when(F.col("p_partkey") % 4 == 3, "{").otherwise(own).alias("json"))
+    nations = _table(spark, sf, "nation").select(F.concat(F.lit("n"), "n_nationkey", F.lit(".json")).alias("name"), F.lit("{}").alias("json"))
+    documents = parts.unionByName(nations)
+    return missing_references(file_references(documents), documents)
 
 
-@_query("""WITH r AS (SELECT conv_id, turn, conv_id % 5 = 0 AS a, turn % 3 = 1 AS b, conv_id % 7 = 2 AS c, turn = 2 AS d FROM conversations)
+@query("""WITH r AS (SELECT conv_id, turn, conv_id % 5 = 0 AS a, turn % 3 = 1 AS b, conv_id % 7 = 2 AS c, turn = 2 AS d FROM conversations)
 SELECT path, rule, count(*) AS n FROM (
   SELECT 'source_sha256' AS path, 'pattern' AS rule FROM r WHERE a UNION ALL SELECT '', 'additionalProperties' FROM r WHERE b
   UNION ALL SELECT 'classification.confidence', 'maximum' FROM r WHERE c UNION ALL SELECT 'classification.evidence[]', 'required' FROM r WHERE d) GROUP BY ALL""")
@@ -181,13 +172,13 @@ def _facts(spark, sf):
     return spark.sql(_FACTS.replace("labels", "{l}"), l=_table(spark, sf, "labels")).withColumn("evidence", F.when(F.col("k") == 0, F.array().cast(_E)).otherwise(e.cast(_E)))
 
 
-@_query(f"SELECT 'X2' AS rule, CAST(doc_id AS VARCHAR) AS entity_id FROM ({_FACTS}) WHERE status <> 'unknown' AND k = 0 UNION ALL SELECT 'X3', CAST(doc_id AS VARCHAR) FROM ({_FACTS}) WHERE status = 'inferred' AND k <> 2")
+@query(f"SELECT 'X2' AS rule, CAST(doc_id AS VARCHAR) AS entity_id FROM ({_FACTS}) WHERE status <> 'unknown' AND k = 0 UNION ALL SELECT 'X3', CAST(doc_id AS VARCHAR) FROM ({_FACTS}) WHERE status = 'inferred' AND k <> 2")
 def evidence_rules(spark, sf):
     facts = _facts(spark, sf)
     return rules.without_evidence(facts, "doc_id").unionByName(rules.unexplained(facts, "doc_id")).select("rule", "entity_id")
 
 
-@_query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS entity_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 0)")
+@query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS entity_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 0)")
 def dangling_references(spark, sf):
     return rules.dangling(_table(spark, sf, "labels"), "doc_id", "doc_id", _table(spark, sf, "documents").where("doc_id % 10 <> 0"), "doc_id", "label-document").select("entity_id")
 
@@ -202,7 +193,7 @@ def screenplay(spark, sf):
     return t.select("conv_id", "turn", "role", "text", chapter.alias("chapter_id"), tx.unit_id(chapter, F.col("turn") + 1).alias("unit_id"))
 
 
-@_query(f"SELECT unit_id AS entity_id FROM ({_SCREEN}) WHERE strpos(text, CASE WHEN turn % 2 = 0 THEN concat(substr(text, 2, 8), '~') ELSE substr(text, 2, 8) END) = 0")
+@query(f"SELECT unit_id AS entity_id FROM ({_SCREEN}) WHERE strpos(text, CASE WHEN turn % 2 = 0 THEN concat(substr(text, 2, 8), '~') ELSE substr(text, 2, 8) END) = 0")
 def quotes_in_units(spark, sf):
     s = screenplay(spark, sf)
     quote = F.when(F.col("turn") % 2 == 0, F.concat(F.substring("text", 2, 8), F.lit("~"))).otherwise(F.substring("text", 2, 8))
@@ -210,20 +201,20 @@ def quotes_in_units(spark, sf):
     return rules.unquoted(evidence, s.select("unit_id", F.col("text").alias("source_text"))).select("entity_id")
 
 
-@_query(f"SELECT conv_id, turn, CAST(sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS island FROM (SELECT conv_id, turn, CASE WHEN long IS DISTINCT FROM lag(long) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM (SELECT *, length(text) > 150 AS long FROM ({_SCREEN})))")
+@query(f"SELECT conv_id, turn, CAST(sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS island FROM (SELECT conv_id, turn, CASE WHEN long IS DISTINCT FROM lag(long) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM (SELECT *, length(text) > 150 AS long FROM ({_SCREEN})))")
 def scene_islands(spark, sf):
     s = screenplay(spark, sf).withColumn("long", F.length("text") > 150)
     return rules.islands(s, ["conv_id"], "turn", ["long"]).select("conv_id", "turn", "island")
 
 
-@_query(f"WITH s AS (SELECT *, length(text) > 150 AS long FROM ({_SCREEN})), i AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS scene FROM (SELECT *, CASE WHEN long IS DISTINCT FROM lag(long) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM s)), b AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id, scene ORDER BY turn) THEN 1 ELSE 0 END AS nb FROM i) SELECT conv_id, turn, concat(chapter_id, '-S', printf('%03d', CAST(scene AS INTEGER)), '-B', printf('%03d', CAST(sum(nb) OVER (PARTITION BY conv_id, scene ORDER BY turn) AS INTEGER))) AS beat_id FROM b")
+@query(f"WITH s AS (SELECT *, length(text) > 150 AS long FROM ({_SCREEN})), i AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS scene FROM (SELECT *, CASE WHEN long IS DISTINCT FROM lag(long) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM s)), b AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id, scene ORDER BY turn) THEN 1 ELSE 0 END AS nb FROM i) SELECT conv_id, turn, concat(chapter_id, '-S', printf('%03d', CAST(scene AS INTEGER)), '-B', printf('%03d', CAST(sum(nb) OVER (PARTITION BY conv_id, scene ORDER BY turn) AS INTEGER))) AS beat_id FROM b")
 def beat_islands(spark, sf):
     s = rules.islands(screenplay(spark, sf).withColumn("long", F.length("text") > 150), ["conv_id"], "turn", ["long"]).withColumnRenamed("island", "scene")
     b = rules.islands(s, ["conv_id", "scene"], "turn", ["role"])
     return b.select("conv_id", "turn", tx.beat_id(tx.scene_id(F.col("chapter_id"), F.col("scene")), F.col("island")).alias("beat_id"))
 
 
-@_query(f"SELECT role AS character_id, min_by(unit_id, conv_id * 1000000 + turn) AS first_appearance_id FROM ({_SCREEN}) GROUP BY role")
+@query(f"SELECT role AS character_id, min_by(unit_id, conv_id * 1000000 + turn) AS first_appearance_id FROM ({_SCREEN}) GROUP BY role")
 def first_appearances(spark, sf):
     s = screenplay(spark, sf).select(F.col("role").alias("character_id"), F.col("unit_id").alias("appearance_id"), "conv_id", "turn")
     return rules.first_appearances(s, ["conv_id", "turn"])
@@ -237,17 +228,17 @@ def appearances(spark, sf):
     return s.select("conv_id", "turn", "chapter_id", F.col("role").alias("character_id"), tx.scene_id(F.col("chapter_id"), F.floor(F.col("turn") / 3) + 1).alias("scene_id"), F.when(F.length("text") % 5 == 0, "mentioned").otherwise("dialogue").alias("appearance_type"), (F.length("text") % 2 == 0).alias("has_dialogue"), "text")
 
 
-@_query(f"SELECT character_id, chapter_id, count(*) AS appearances, CAST(sum(CASE WHEN appearance_type = 'mentioned' THEN 1 ELSE 0 END) AS BIGINT) AS mentions FROM ({_APPEAR}) GROUP BY ROLLUP (character_id, chapter_id)")
+@query(f"SELECT character_id, chapter_id, count(*) AS appearances, CAST(sum(CASE WHEN appearance_type = 'mentioned' THEN 1 ELSE 0 END) AS BIGINT) AS mentions FROM ({_APPEAR}) GROUP BY ROLLUP (character_id, chapter_id)")
 def appearance_totals(spark, sf):
     return reports.appearance_totals(appearances(spark, sf))
 
 
-@_query(f"SELECT character_id, CAST(sum(CASE WHEN conv_id = 0 THEN 1 ELSE 0 END) AS BIGINT) AS \"P00\", CAST(sum(CASE WHEN conv_id = 1 THEN 1 ELSE 0 END) AS BIGINT) AS \"P01\", count(*) AS total FROM ({_APPEAR}) WHERE appearance_type <> 'mentioned' GROUP BY character_id")
+@query(f"SELECT character_id, chapter_id, count(*) AS appearances, CAST(sum(count(*)) OVER (PARTITION BY character_id) AS BIGINT) AS total FROM ({_APPEAR}) WHERE appearance_type <> 'mentioned' GROUP BY character_id, chapter_id")
 def appearance_matrix(spark, sf):
-    return reports.appearance_matrix(appearances(spark, sf), ["P00", "P01"])
+    return reports.appearance_cells(appearances(spark, sf))
 
 
-@_query(f"SELECT character_id, concat('name ', character_id) AS canonical_name, location_id, count(DISTINCT scene_id) AS scenes, count(*) AS appearances, max(has_dialogue) AS speaks FROM (SELECT *, CASE WHEN (turn // 3) % 2 = 0 THEN 'LOC-0001' ELSE 'LOC-0002' END AS location_id FROM ({_APPEAR})) WHERE character_id <> 'system' GROUP BY ALL")
+@query(f"SELECT character_id, concat('name ', character_id) AS canonical_name, location_id, count(DISTINCT scene_id) AS scenes, count(*) AS appearances, max(has_dialogue) AS speaks FROM (SELECT *, CASE WHEN (turn // 3) % 2 = 0 THEN 'LOC-0001' ELSE 'LOC-0002' END AS location_id FROM ({_APPEAR})) WHERE character_id <> 'system' GROUP BY ALL")
 def scene_statistics(spark, sf):
     a = appearances(spark, sf)
     scenes = a.select("scene_id", F.when(F.floor(F.col("turn") / 3) % 2 == 0, "LOC-0001").otherwise("LOC-0002").alias("location_id")).distinct()
@@ -255,7 +246,7 @@ def scene_statistics(spark, sf):
     return reports.scene_statistics(a, people, scenes)
 
 
-@_query("SELECT CAST(doc_id AS VARCHAR) AS character_id, field, value, status, CAST(0.5 AS DOUBLE) AS confidence, n AS n_evidence FROM (SELECT doc_id, unnest(['age', 'gender']) AS field, unnest([CAST(quality AS VARCHAR), CAST(toxic AS VARCHAR)]) AS value, unnest(['explicit', 'inferred']) AS status, unnest([CAST(1 AS BIGINT), CAST(0 AS BIGINT)]) AS n FROM labels)")
+@query("SELECT CAST(doc_id AS VARCHAR) AS character_id, field, value, status, CAST(0.5 AS DOUBLE) AS confidence, n AS n_evidence FROM (SELECT doc_id, unnest(['age', 'gender']) AS field, unnest([CAST(quality AS VARCHAR), CAST(toxic AS VARCHAR)]) AS value, unnest(['explicit', 'inferred']) AS status, unnest([CAST(1 AS BIGINT), CAST(0 AS BIGINT)]) AS n FROM labels)")
 def dossier(spark, sf):
     def cell(value, status, n):
         return F.struct(F.col(value).alias("value"), F.lit(status).alias("status"), F.lit(0.5).alias("confidence"), F.array_repeat(F.lit("P01-U0001"), n).alias("evidence"))
@@ -264,54 +255,54 @@ def dossier(spark, sf):
     return reports.dossier(p, ["age", "gender"])
 
 
-@_query(f"SELECT chapter_id, string_agg(concat(CASE WHEN role <> 'system' THEN concat(CASE role WHEN 'user' THEN 'Ann' ELSE 'unknown' END, ': ') ELSE '' END, regexp_replace(text, '[\\r\\n]+$', ''), ' / ', upper(role), chr(10)), '' ORDER BY turn) AS script FROM ({_SCREEN}) GROUP BY chapter_id")
+@query(f"SELECT chapter_id, string_agg(concat(CASE WHEN role <> 'system' THEN concat(CASE role WHEN 'user' THEN 'Ann' ELSE 'unknown' END, ': ') ELSE '' END, regexp_replace(text, '[\\r\\n]+$', ''), ' / ', upper(role), chr(10)), '' ORDER BY turn) AS script FROM ({_SCREEN}) GROUP BY chapter_id")
 def bilingual_script(spark, sf):
     s = screenplay(spark, sf)
     u = s.select("chapter_id", F.col("turn").alias("ordinal"), F.col("text").alias("source_text"), F.upper("role").alias("zh_cn"), F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.when(F.col("role") == "user", "CHAR-0001").alias("speaker_character_id"))
     return reports.bilingual_script(u, spark.createDataFrame([("CHAR-0001", "Ann")], "character_id string, canonical_name string"))
 
 
-@_query(f"SELECT chapter_id, count(*) AS units, CAST(sum(CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS translated, CAST(sum(CASE WHEN turn % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pending_with_text FROM ({_SCREEN}) GROUP BY chapter_id")
+@query(f"SELECT chapter_id, count(*) AS units, CAST(sum(CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS translated, CAST(sum(CASE WHEN turn % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pending_with_text FROM ({_SCREEN}) GROUP BY chapter_id")
 def translation_coverage(spark, sf):
     s = screenplay(spark, sf)
     return rules.translation_coverage(s.select("chapter_id", F.when(F.col("turn") % 2 == 0, "x").alias("zh_cn"), F.when(F.col("turn") % 4 == 0, "pending").otherwise("translated").alias("translation_status")))
 
 
-@_query("WITH a AS (SELECT DISTINCT source FROM documents WHERE doc_id % 2 = 0), f AS (SELECT source, min(doc_id) AS d FROM documents GROUP BY source), old AS (SELECT source, concat('CHAR-', printf('%04d', row_number() OVER (ORDER BY source))) AS character_id FROM a), n AS (SELECT count(*) AS n FROM a), new AS (SELECT source, concat('CHAR-', printf('%04d', n + row_number() OVER (ORDER BY d, source))) AS character_id FROM f, n WHERE source NOT IN (SELECT source FROM a)) SELECT character_id, source AS canonical_name FROM old UNION ALL SELECT character_id, source FROM new")
+@query("WITH a AS (SELECT DISTINCT source FROM documents WHERE doc_id % 2 = 0), f AS (SELECT source, min(doc_id) AS d FROM documents GROUP BY source), old AS (SELECT source, concat('CHAR-', printf('%04d', row_number() OVER (ORDER BY source))) AS character_id FROM a), n AS (SELECT count(*) AS n FROM a), new AS (SELECT source, concat('CHAR-', printf('%04d', n + row_number() OVER (ORDER BY d, source))) AS character_id FROM f, n WHERE source NOT IN (SELECT source FROM a)) SELECT character_id, source AS canonical_name FROM old UNION ALL SELECT character_id, source FROM new")
 def registry_incremental(spark, sf):
     d = _table(spark, sf, "documents").select(F.col("source").alias("canonical_name"), "doc_id")
     old = rules.numbered_by_first(d.where("doc_id % 2 = 0"), "canonical_name", ["canonical_name"], "CHAR").select(F.col("id").alias("character_id"), "canonical_name")
     return ledger.extended_registry(old, d, order=["doc_id"])
 
 
-@_query("SELECT CAST(doc_id AS VARCHAR) AS entity_id FROM documents WHERE doc_id % 9 = 0 OR doc_id % 5 = 1")
+@query("SELECT CAST(doc_id AS VARCHAR) AS entity_id FROM documents WHERE doc_id % 9 = 0 OR doc_id % 5 = 1")
 def id_stability(spark, sf):
     d = _table(spark, sf, "documents")
     after = d.where("doc_id % 9 <> 0").select(F.col("doc_id").alias("natural"), F.when(F.col("doc_id") % 5 == 1, -F.col("doc_id")).otherwise(F.col("doc_id")).alias("id"))
     return rules.changed_ids(d.select(F.col("doc_id").alias("natural"), F.col("doc_id").alias("id")), after, ["natural"], "id").select("entity_id")
 
 
-@_query("SELECT CAST(doc_id AS VARCHAR) AS entity_id, sha256(text) AS input_sha256 FROM documents WHERE NOT (doc_id % 3 = 0 AND doc_id % 2 = 0)")
+@query("SELECT CAST(doc_id AS VARCHAR) AS entity_id, sha256(text) AS input_sha256 FROM documents WHERE NOT (doc_id % 3 = 0 AND doc_id % 2 = 0)")
 def ledger_resume(spark, sf):
     items = _table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("entity_id"), tx.digest(F.col("text")).alias("input_sha256"), "doc_id")
     done = items.where("doc_id % 3 = 0").select("entity_id", F.when(F.col("doc_id") % 2 == 0, F.col("input_sha256")).otherwise("old").alias("input_sha256"), F.lit("structured").alias("stage"), F.lit("validated").alias("status"))
     return ledger.open_work(items.drop("doc_id"), done, "structured")
 
 
-@_query("SELECT chapter_id AS entity_id FROM (SELECT printf('P%02d', conv_id) AS chapter_id, conv_id FROM conversations GROUP BY conv_id) WHERE conv_id % 3 = 0")
+@query("SELECT chapter_id AS entity_id FROM (SELECT printf('P%02d', conv_id) AS chapter_id, conv_id FROM conversations GROUP BY conv_id) WHERE conv_id % 3 = 0")
 def stale_analyses(spark, sf):
     c = screenplay(spark, sf).groupBy("chapter_id", "conv_id").agg(F.max("text").alias("t")).select("chapter_id", "conv_id", tx.digest(F.col("t")).alias("sha256"))
     return rules.stale(c.select("chapter_id", F.when(F.col("conv_id") % 3 == 0, "old").otherwise(F.col("sha256")).alias("source_sha256")), c).select("entity_id")
 
 
-@_query("SELECT doc_id, CASE WHEN quality = 0 OR doc_id % 2 = 1 THEN 0 ELSE 1 END AS version, CASE WHEN quality = 0 THEN 'conflict' ELSE 'explicit' END AS status FROM labels")
+@query("SELECT doc_id, CASE WHEN quality = 0 OR doc_id % 2 = 1 THEN 0 ELSE 1 END AS version, CASE WHEN quality = 0 THEN 'conflict' ELSE 'explicit' END AS status FROM labels")
 def conflicts_kept(spark, sf):
     old = _table(spark, sf, "labels").select("doc_id", F.lit(0).alias("version"), F.when(F.col("quality") == 0, "conflict").otherwise("explicit").alias("status"))
     new = old.where("doc_id % 2 = 0").select("doc_id", F.lit(1).alias("version"), F.lit("explicit").alias("status"))
     return rules.merged_keeping_conflicts(old, new, ["doc_id"])
 
 
-@_query("SELECT * FROM (VALUES ('m1', 'scenes', '2.1.0', true), ('m1', 'looks', NULL, true), ('m2', 'scenes', NULL, false), ('m3', 'profiles', '1.4.2', true), ('m4', 'profiles', '1.10.0', true)) t(module_id, data_type, version, ready)")
+@query("SELECT * FROM (VALUES ('m1', 'scenes', '2.1.0', true), ('m1', 'looks', NULL, true), ('m2', 'scenes', NULL, false), ('m3', 'profiles', '1.4.2', true), ('m4', 'profiles', '1.10.0', true)) t(module_id, data_type, version, ready)")
 def extension_match(spark, sf):
     e = spark.sql("""SELECT * FROM VALUES ('m1', array(named_struct('data_type', 'scenes', 'version_range', '>=2.0.0 <3.0.0', 'required', true), named_struct('data_type', 'looks', 'version_range', '*', 'required', false))),
       ('m2', array(named_struct('data_type', 'scenes', 'version_range', '^3.0.0', 'required', CAST(NULL AS BOOLEAN)))), ('m3', array(named_struct('data_type', 'profiles', 'version_range', '~1.4.0', 'required', true))),
@@ -320,7 +311,7 @@ def extension_match(spark, sf):
     return reports.extension_inputs(e, have)
 
 
-@_query("SELECT * FROM (VALUES ('a.txt', 'cp1252', 'café €', CAST(NULL AS VARCHAR)), ('b.txt', 'utf-16-le-bom', 'é🎉', NULL), ('c.docx', 'docx-xml', 'Hi' || chr(9) || 'there' || chr(10) || 'End', NULL), ('d.pdf', NULL, NULL, 'supported inputs: .txt, .md, .docx'), ('e.md', 'utf-8', '', 'source contains no text')) t(filename, encoding, canonical_text, reason)")
+@query("SELECT * FROM (VALUES ('a.txt', 'cp1252', 'café €', CAST(NULL AS VARCHAR)), ('b.txt', 'utf-16-le-bom', 'é🎉', NULL), ('c.docx', 'docx-xml', 'Hi' || chr(9) || 'there' || chr(10) || 'End', NULL), ('d.pdf', NULL, NULL, 'supported inputs: .txt, .md, .docx'), ('e.md', 'utf-8', '', 'source contains no text')) t(filename, encoding, canonical_text, reason)")
 def decoders(spark, sf):
     import io
     import zipfile

@@ -6,14 +6,58 @@ import json
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The shapes of the records that a project's folder holds beside its source.
+EVIDENCE = "ARRAY<STRUCT<source_unit_id:STRING,quote:STRING,note:STRING>>"
+_BEATS = "ARRAY<STRUCT<beat_id:STRING,ordinal:INT,summary_zh:STRING,change_type:STRING,source_unit_ids:ARRAY<STRING>>>"
+_SCENES = f"""ARRAY<STRUCT<scene_id:STRING,ordinal:INT,int_ext:STRING,location_id:STRING,location_name:STRING,parent_location:STRING,sub_location:STRING,
+  time_of_day:STRING,reality_layer:STRING,source_unit_ids:ARRAY<STRING>,evidence:{EVIDENCE},beats:{_BEATS}>>"""
+RECORDS = {
+    "analysis": f"schema_version STRING, chapter_id STRING, source_sha256 STRING, source_unit_ids ARRAY<STRING>, scenes {_SCENES}",
+    "characters": f"schema_version STRING, character_id STRING, canonical_name STRING, chinese_name STRING, aliases ARRAY<STRING>, character_type STRING, importance STRING, first_appearance_id STRING, evidence {EVIDENCE}",
+    "appearances": f"schema_version STRING, appearance_id STRING, character_id STRING, chapter_id STRING, scene_id STRING, appearance_type STRING, has_dialogue BOOLEAN, source_unit_ids ARRAY<STRING>, evidence {EVIDENCE}",
+    "profiles": f"schema_version STRING, character_id STRING, fields MAP<STRING, STRUCT<value:VARIANT,status:STRING,confidence:DOUBLE,evidence:{EVIDENCE},notes:STRING>>",
+    "extensions": """manifest_version STRING, module_id STRING, module_version STRING, display_name STRING, description STRING, consumes ARRAY<STRUCT<data_type:STRING,version_range:STRING,required:BOOLEAN>>,
+      produces ARRAY<STRUCT<artifact_type:STRING,format:STRING>>, output_namespace STRING, entrypoint STRING, config_schema STRING""",
+}
+#: Where they lie below a project's folder.
+PLACES = {"analysis": "data/analysis/*.analysis.json", "characters": "data/registries/characters.json", "appearances": "data/appearances.jsonl", "profiles": "data/profiles.json", "extensions": "extensions/*/extension.json"}
+
+
+def typed_records(files: DataFrame, kind: str) -> DataFrame:
+    """project_id and the record's columns, from the project files (project_id, path, content) of this kind.
+
+    A file is a record, an array of records, or, as JSONL, a record a line. Text that is no such
+    record gives no row; verification and shape checks report it.
+    """
+    pattern = "^" + PLACES[kind].replace(".", "[.]").replace("*", "[^/]+") + "$"
+    text = files.where(F.col("path").rlike(pattern)).select("project_id", F.col("content").cast("string").alias("json"))
+    if PLACES[kind].endswith("jsonl"):
+        text = text.select("project_id", F.explode(F.split("json", "\n")).alias("json"))
+    array = F.col("json").rlike(r"\A\s*\[")
+    rows = text.select("project_id", F.explode(F.when(array, F.from_json("json", f"ARRAY<STRUCT<{_as_struct(RECORDS[kind])}>>")).otherwise(F.array(F.from_json("json", f"STRUCT<{_as_struct(RECORDS[kind])}>")))).alias("r"))
+    return rows.where("r is not null and r." + RECORDS[kind].split()[0] + " is not null").select("project_id", "r.*")
+
+
+def _as_struct(ddl: str) -> str:
+    """Top-level columns of a DDL string as fields of a struct."""
+    return T.StructType.fromDDL(ddl).simpleString().removeprefix("struct<").removesuffix(">")
+
+
+def profile_fields(profiles: DataFrame) -> DataFrame:
+    """A row a field of each profile."""
+    return profiles.select("project_id", "character_id", F.explode("fields").alias("field", "f")).select("project_id", "character_id", "field", "f.*")
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Whole JSON documents with a declared schema."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
@@ -42,6 +86,48 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(path)
 
 
+def _csv_line(columns: list[Column]) -> Column:
+    text = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    quoted = [F.when(t.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(t) for t in text]
+    return F.concat_ws(",", *quoted)
+
+
+def _markdown_line(columns: list[Column]) -> Column:
+    text = [F.regexp_replace(F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")), r"\s+", " ") for c in columns]
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *text), F.lit(" |"))
+
+
+def table_files(df: DataFrame, by: str, path: Column, kind: str, order: list[str]) -> DataFrame:
+    """K9: (path, content): the rows of each value of `by`, such as a chapter, as one text, "csv" or "markdown".
+
+    Rows stand in the given order, a heading first; lines end in line feeds. A table that has no
+    such bounded groups is written by write_csv.
+    """
+    columns = [c for c in df.columns if c != by]
+    line, head = (_csv_line, _csv_line([F.lit(c) for c in columns])) if kind == "csv" else (_markdown_line, F.concat(_markdown_line([F.lit(c) for c in columns]), F.lit("\n|" + " --- |" * len(columns))))
+    rows = df.select(path.alias("path"), F.struct(*order).alias("o"), line([F.col(c) for c in columns]).alias("line"))
+    listed = rows.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    return listed.select("path", F.concat(head, F.lit("\n"), "body", F.lit("\n")).cast("binary").alias("content"))
+
+
+def write_files(files: DataFrame, root: str) -> int:
+    """Writes (path, content) below a folder that all workers share, each file by a rename; returns how many."""
+
+    def put(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                place = Path(root) / path
+                place.parent.mkdir(parents=True, exist_ok=True)
+                part = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
+                part.write_bytes(content)
+                os.replace(part, place)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return files.select("path", "content").mapInArrow(put, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_projects(files: DataFrame, root: str) -> list[str]:
     """Writes project_id, path, content below a folder that all workers share, each project as a whole.
 
@@ -102,33 +188,50 @@ def references(text: str | None) -> list[str]:
     return out
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _references_of(texts: pd.Series) -> pd.Series:
+    return texts.map(references)
+
+
+#: L4: said where schemas cannot be held against their own schema.
+NOT_VALIDATED = "jsonschema is unavailable; meta-schema validation was skipped."
+
+
 def lint_schemas(documents: DataFrame) -> DataFrame:
-    """documents: name, json. Violations (check_id, name, message) of a set of schema files.
+    """documents: name, json. Findings (check_id, name, message) of a set of schema files.
 
-    L1 no files; L2 not JSON; L3 a reference to a file that is not there; L4, where the jsonschema
-    library is installed, not a schema.
+    L1 no files; L2 not JSON; L3 a reference to a file that is not there; L4 not a schema. Where the
+    jsonschema library is not installed, one row says so ("notice", which is no violation).
     """
-    refs_of = F.udf(references, T.ArrayType(T.StringType()))
     none = documents.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("L1").alias("check_id"), F.lit(None).cast("string").alias("name"), F.lit("no schema files found").alias("message"))
     bad = documents.where(F.try_parse_json("json").isNull()).select(F.lit("L2").alias("check_id"), "name", F.lit("invalid JSON").alias("message"))
-    refs = documents.select(F.explode(refs_of("json")).alias("ref")).select(F.split_part("ref", F.lit("#"), F.lit(1)).alias("file")).where("file <> ''").distinct()
-    missing = missing_references(refs, documents).select(F.lit("L3").alias("check_id"), F.col("file").alias("name"), F.lit("missing schema reference").alias("message"))
+    missing = missing_references(file_references(documents), documents).select(F.lit("L3").alias("check_id"), F.col("file").alias("name"), F.lit("missing schema reference").alias("message"))
     out = none.unionByName(bad).unionByName(missing)
     try:
         from jsonschema import Draft202012Validator, SchemaError
-    except ImportError:
-        return out
+    except ModuleNotFoundError:
+        return out.unionByName(documents.sparkSession.range(1).select(F.lit("notice").alias("check_id"), F.lit(None).cast("string").alias("name"), F.lit(NOT_VALIDATED).alias("message")))
 
-    def fault(text: str) -> str | None:
-        try:
-            Draft202012Validator.check_schema(json.loads(text))
-        except (SchemaError, ValueError) as e:
-            return str(e)[:500]
-        return None
+    @F.pandas_udf(T.StringType())
+    def faults(texts: pd.Series) -> pd.Series:
+        def fault(text: str) -> str | None:
+            try:
+                Draft202012Validator.check_schema(json.loads(text))
+            except (SchemaError, ValueError) as e:
+                return str(e)[:500]
+            return None
 
-    checked = documents.where(F.try_parse_json("json").isNotNull()).select("name", F.udf(fault, T.StringType())("json").alias("message")).where("message is not null")
+        return texts.map(fault)
+
+    checked = documents.where(F.try_parse_json("json").isNotNull()).select("name", faults("json").alias("message")).where("message is not null")
     return out.unionByName(checked.select(F.lit("L4").alias("check_id"), "name", "message"))
 
 
+def file_references(documents: DataFrame) -> DataFrame:
+    """file: the files that references of the documents name."""
+    refs = documents.where("json is not null").select(F.explode(_references_of("json")).alias("ref"))
+    return refs.select(F.split_part("ref", F.lit("#"), F.lit(1)).alias("file")).where("file <> ''").distinct()
+
+
 def missing_references(refs: DataFrame, documents: DataFrame) -> DataFrame:
     return refs.join(documents.select(F.col("name").alias("file")), "file", "left_anti")

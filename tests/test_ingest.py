@@ -125,16 +125,16 @@ TAMPERING = [
     ("project.json", lambda c: c.replace(b'"PRJ-s"', b'"PRJ-t"'), {"V2"}), ("source/manifest.json", lambda c: c + b" ", {"V3"}),
     ("source/original.txt", lambda c: b"\xff", {"V4"}), ("source/original.input.txt", lambda c: c + b"x", {"V5"}),
     ("source/original.txt", lambda c: c + b"x", {"V6", "V7", "V19", "V20"}),
-    ("source/manifest.json", lambda c: c.replace(b'"P02","ordinal"', b'"P01","ordinal"'), {"V3", "V8", "V18a", "V18b"}),
-    ("source/manifest.json", lambda c: c.replace(b'"source_end":19', b'"source_end":"x"'), {"V3", "V9", "V10", "V20"}),
-    ("source/manifest.json", lambda c: c.replace(b'"source_end":19', b'"source_end":18'), {"V3", "V10", "V12"}),
+    ("source/manifest.json", lambda c: c.replace(b'"chapter_id": "P02"', b'"chapter_id": "P01"'), {"V3", "V8", "V18a", "V18b"}),
+    ("source/manifest.json", lambda c: c.replace(b'"source_end": 19', b'"source_end": "x"'), {"V3", "V9", "V10", "V20"}),
+    ("source/manifest.json", lambda c: c.replace(b'"source_end": 19', b'"source_end": 18'), {"V3", "V10", "V12"}),
     ("source/chapters/p01.txt", lambda c: b"\xff", {"V11", "V20"}), ("source/chapters/p01.txt", lambda c: b"Chapter 1\nChanged!\n", {"V12", "V13", "V18e", "V20"}),
     ("source/chapters/p01.txt", lambda c: c + b"x", {"V12", "V13", "V14", "V18e", "V20"}),
     ("data/units/p02.units.jsonl", lambda c: b"\xff", {"V15"}), ("data/units/p02.units.jsonl", lambda c: c.split(b"\n")[0], {"V16", "V18e"}),
     ("data/units/p02.units.jsonl", lambda c: b"{\n" + c.split(b"\n", 1)[1], {"V17", "V18e"}), ("data/units/p02.units.jsonl", lambda c: c.replace(b"P02-U0001", b"P02-U0009"), {"V18a"}),
     ("data/units/p02.units.jsonl", lambda c: c.replace(b'"chapter_id":"P02"', b'"chapter_id":"P03"'), {"V18b"}), ("data/units/p02.units.jsonl", lambda c: c.replace(b'"source_text":"More\\n"', b'"source_text":5'), {"V18c", "V18e"}),
     ("data/units/p02.units.jsonl", lambda c: c.replace(b"More", b"Less"), {"V18d", "V18e"}),
-("none", lambda c: c, set()),
+    ("none", lambda c: c, set()),
 ]
 
 
@@ -148,6 +148,19 @@ def test_tampering(spark):
     assert [got.get(f"case{k}", set()) for k in range(len(TAMPERING))] == [found for _, _, found in TAMPERING]
 
 
+def test_bytes_of_records(spark):
+    """Manifests and projects are written as json.dumps(indent=2) and a line feed, units as compact lines; nothing but quotes, backslashes and control characters is escaped."""
+    odd = 'Chapter 1: "a\\b"\n' + "".join(map(chr, [*range(1, 9), 11, 12, *range(14, 32), 127, 0x85, 0x2028])) + "/é🎉\t\r\n"
+    got = run(spark, ("odd.txt", odd.encode(), 'T "\\" \x0b'), ("x.docx", docx("<w:r><w:t>Hi</w:t></w:r>"), None))
+    files = {(r["project_id"], r["path"]): bytes(r["content"]) for r in project_files(got).collect()}
+    assert len({p for p, _ in files}) == 2
+    for (_, path), content in files.items():
+        text = content.decode() if ".json" in path else ""
+        if path.endswith(".json"):
+            assert text == json.dumps(json.loads(text), ensure_ascii=False, indent=2) + "\n"
+        if path.endswith(".jsonl"):
+            assert text == "".join(json.dumps(json.loads(line), ensure_ascii=False, separators=(",", ":")) + "\n" for line in text.split("\n")[:-1])
+            assert '"confidence":0,' in text
 
 
 def test_own_records_fit_their_shapes(spark):

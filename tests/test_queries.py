@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from folioforge import queries as own
+from folioforge import project_queries, queries  # noqa: F401
+from folioforge import registry as own
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
