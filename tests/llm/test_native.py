@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm.mixing import mixture, rake, sample, weights
+from folioforge.llm.mixing import mixture, rake, sample, topic_of, weights, words_of
 from folioforge.llm.pii import permuted_digits, permuted_number, pseudonymize
 from folioforge.llm.secrets import find_secrets
 
@@ -93,3 +93,34 @@ def test_mixing_edges(spark):
     kept = sample(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r["__sampled"] for r in got)
     assert weights(docs.limit(0)).count() == 0
+
+
+def test_raking_in_many_tasks_equals_one(spark):
+    """Past SMALL_CELLS the sums are grouped and joined; the rows stay the same."""
+    rng = random.Random(12)
+    rows = [(k, "w " * rng.randint(0, 90), rng.choice(["a", "b", None, "hot", "hot", "hot"]), rng.choice(["x", "y", None]), "c") for k in range(400)] + [(900, "long " * 60000, "a", "x", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, words string")
+    small, large = ({r["doc_id"]: r for r in weights(docs, rounds=4, small_cells=n).collect()} for n in (100_000, 0))
+    assert small.keys() == large.keys() and len(small) == len(rows)
+    for k, r in small.items():
+        assert (r["source"], r["lang"], r["topic"], r["n_words"], r["sampled"]) == tuple(large[k][c] for c in ("source", "lang", "topic", "n_words", "sampled"))
+        assert r["weight"] == pytest.approx(large[k]["weight"], abs=2e-6) and r["probability"] == pytest.approx(large[k]["probability"], abs=2e-6)
+
+
+def test_unreachable_targets_are_reported(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 50), ("b", "y", "p", 50)], "source string, lang string, topic string, words long")
+    targets = {"source": spark.createDataFrame([("a", 9.0), ("b", 1.0)], "value string, weight double"), "lang": spark.createDataFrame([("x", 1.0), ("y", 9.0)], "value string, weight double")}
+    with pytest.warns(UserWarning, match="from its target"):
+        rake(cells, targets=targets)
+
+
+def test_counts_of_texts(spark):
+    rng = random.Random(13)
+    parts = ["a", "B", "|", "*#", "$", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\xa0", "é", "AB", "日本", "  "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(500)] + [None, "", " ", "|" * 3000, "W " * 3000]
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, text string").withColumn("n", words_of("text")).withColumn("topic", topic_of("text", F.col("n"))).collect()
+    for r in got:
+        t = texts[r["i"]] or ""
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", t))
+        topic = "table" if t.count("|") * 5 > n else "marked" if sum(t.count(c) for c in "*#$%&") > n else "shouted" if len(re.findall("[A-Z]", t)) * 2 > len(t) else "note" if n < 50 else "long" if n >= 2000 else "article"
+        assert (r["n"], r["topic"]) == (n, topic), t
