@@ -106,3 +106,20 @@ def test_special_tokens_in_text(spark):
         rows.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(tuple(r) for r in read_tokens(spark, write_tokens(docs, tokenizer=PATH)).collect()) == rows
+
+
+def test_all_sure_code_points_and_a_full_cache(spark, monkeypatch):
+    """The classes of code points, and texts whose pieces do not fit into the cache, against the untouched library."""
+    import pyarrow as pa
+
+    from folioforge.llm import bpe
+
+    plain, own = Tokenizer.from_file(PATH), Encoder(PATH, True)
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 4000)
+    sure = np.flatnonzero(own.classes != bpe.UNSURE)
+    assert (own.classes[[0x2018, 0x2019, 0x201C, 0x2014, 0x65E5, 0x3042, 0xAC00]] != bpe.UNSURE).all()
+    for s in range(0, len(sure), 3000):
+        texts = [f"a{c}1{c}{c} {c}! {c}{c}\n{c} x'{c}" for c in map(chr, sure[s : s + 3000 : 3].tolist())]
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in own.encode(*tk.text_bytes(pa.array(texts)))] == want
+    assert len(own.hash) == len(own.slot) and len(own.flat) == own.size.sum()
