@@ -2,20 +2,24 @@
 
 Document evidence. Two logistic models, for low quality and for toxicity, are fitted on the driver
 on at most MAX_LABELLED labelled documents (those with the smallest hashes of their ids). Features
-are the presence of words and of word beginnings, chosen by their G2 statistic, and the shape of
-the text (share of signs, capitals, bars, sign runs, immediate repeats, distinct words, length).
-
-Hierarchy. All documents are scored; sums by path (host and language) and host are aggregated
-before the shuffle. A host's mean is its sum shrunk toward the mean of all documents, a path's is
-shrunk toward its host's; the strengths are moment estimates over all hosts and paths, so sparse
-sites fall back on their parents. A document's final log odds are its own plus those of its path
-less those of all documents.
+are the presence of words and of word beginnings, and the shape of the text (share of signs,
+capitals, bars, sign runs, immediate repeats, distinct words, length). Features are counted and
+chosen by their G2 statistic in Spark; the driver gets the chosen ones, and for each labelled
+document which of them it has, so what it holds does not grow with the length of texts.
+
+Hierarchy. A host's posterior is the share of low (toxic) documents among its labelled ones, shrunk
+toward the share of all labelled ones; a path's is that of the labelled documents of its host and
+language, shrunk toward its host's. The language stands for the path's section, as documents have
+no URL. The strengths are moment estimates over all hosts and paths, so sparse sites fall back on
+their parents, and sites without labels take their host's or the global share. All labels count
+here, in grouped sums. The evidence of the text and of the site's labels are apart: a document's
+final log odds are its own, plus the log odds of its path's posterior less those of all documents.
 
 Nulls: a null text is empty; a null host or language is a site of its own; labels that are null
 or belong to no document are ignored. With fewer than 20 labels, or labels of one kind only, that model
 finds nothing: its chance is 0 and rejects no document. An empty table gives an empty result.
-Repeated rows are scored each, and rejected each: rows that share an id, or have none, do not take
-each other along. Other columns are carried on untouched.
+Repeated rows are scored each, and rejected each: the decision stays with its row. A label counts
+for each row that has its id. Other columns are carried on untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +31,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.llm import textkit as tk
 from folioforge.llm.session import written
 
+KINDS = ("low", "toxic")
+
 #: Labelled documents that are fitted on at most.
 MAX_LABELLED = 6000
 FEATURES = 400
+#: Labelled documents that have a feature at least, and its least G2 statistic.
+LEAST_SEEN, LEAST_G2 = 4, 6
 PREFIX_BYTES = (4, 5, 6, 8)
 N_SHAPES = 8
+#: Labels without which nothing is fitted.
+LEAST_LABELS = 20
 _BITS = np.uint64(40)
 
 
@@ -102,28 +113,15 @@ class Logistic:
     shape_weights: np.ndarray = field(default_factory=lambda: np.zeros(N_SHAPES))
 
     @classmethod
-    def fitted(cls, docs: np.ndarray, feats: np.ndarray, shapes: np.ndarray, y: np.ndarray, n_features: int = FEATURES, ridge: float = 1.0) -> Logistic:
-        """docs and feats: distinct pairs. Newton's method with a ridge."""
+    def fitted(cls, features: np.ndarray, docs: np.ndarray, columns: np.ndarray, shapes: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
+        """features: the chosen ones, sorted. docs and columns: distinct pairs of a text and a feature's place. Newton's method with a ridge."""
         n, positive = len(y), int(y.sum())
-        if n < 20 or not 0 < positive < n:
+        if n < LEAST_LABELS or not 0 < positive < n:
             return cls()
-        distinct, back, total = np.unique(feats, return_inverse=True, return_counts=True)
-        with_y = np.bincount(back, weights=y[docs], minlength=len(distinct))
-        score = np.zeros(len(distinct))
-        cells = ((with_y, total, positive), (total - with_y, total, n - positive), (positive - with_y, n - total, positive), (n - positive - total + with_y, n - total, n - positive))
-        for seen, row, col in cells:
-            expected = np.maximum(row * col / n, 1e-12)
-            score += 2 * seen * np.log(np.maximum(seen, 1e-12) / expected)
-        score[total < 4] = 0
-        chosen = np.sort(np.argsort(-score, kind="stable")[:n_features])
-        chosen = chosen[score[chosen] > 6]
-        x = np.zeros((n, len(chosen) + N_SHAPES + 1))
-        column = np.full(len(distinct), -1)
-        column[chosen] = np.arange(len(chosen))
-        used = column[back] >= 0
-        x[docs[used], column[back][used]] = 1
+        x = np.zeros((n, len(features) + N_SHAPES + 1))
+        x[docs, columns] = 1
         mean, scale = shapes.mean(0), shapes.std(0) + 1e-6
-        x[:, len(chosen) : -1] = (shapes - mean) / scale
+        x[:, len(features) : -1] = (shapes - mean) / scale
         x[:, -1] = 1
         w = np.zeros(x.shape[1])
         w[-1] = np.log(positive / (n - positive))
@@ -135,7 +133,7 @@ class Logistic:
             w += np.clip(step, -4, 4)
             if np.abs(step).max() < 1e-6:
                 break
-        return cls(w[-1], distinct[chosen], w[: len(chosen)], mean, scale, w[len(chosen) : -1])
+        return cls(w[-1], features, w[: len(features)], mean, scale, w[len(features) : -1])
 
     def log_odds(self, docs: np.ndarray, feats: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         out = self.prior + (shapes - self.shape_mean) / self.shape_scale @ self.shape_weights
@@ -147,39 +145,75 @@ class Logistic:
         return np.clip(out, -12, 12)
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over a batch: of each feature, the labelled documents that have it, and those of them that are low and toxic."""
     for batch in tk.chunks(batches, "text"):
-        docs, feats, shapes = _measure(batch.column("text"))
+        docs, feats, _ = _measure(batch.column("text"))
         pairs = np.unique(docs << 24 | feats)
+        feats, docs = pairs & 0xFFFFFF, pairs >> 24
+        distinct, back = np.unique(feats, return_inverse=True)
+        sums = [np.bincount(back, minlength=len(distinct))] + [np.bincount(back, weights=np.asarray(batch.column(y))[docs], minlength=len(distinct)) for y in KINDS]
+        yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int32)), *(pa.array(x.astype(np.int64)) for x in sums)], ["feature", "n", *KINDS])
+
+
+def _examples(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The places of the chosen features that each text has, and its shape."""
+    for batch in tk.chunks(batches, "text"):
+        docs, feats, shapes = _measure(batch.column("text"))
+        at = np.minimum(np.searchsorted(chosen, feats), max(len(chosen) - 1, 0))
+        hit = chosen[at] == feats if len(chosen) else np.zeros(len(feats), bool)
+        pairs = np.unique(docs[hit] << 24 | at[hit])
         bounds = np.searchsorted(pairs, np.arange(batch.num_rows + 1) << 24)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("low"), batch.column("toxic"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs & 0xFFFFFF).astype(np.int32))), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * N_SHAPES), pa.array(shapes.reshape(-1)))],
-            ["low", "toxic", "feats", "shapes"],
+            [batch.column("low"), batch.column("toxic"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs & 0xFFFFFF).astype(np.int16))), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * N_SHAPES), pa.array(shapes.reshape(-1)))],
+            ["low", "toxic", "places", "shapes"],
         )
 
 
+def _g2(kind: str, n: int, positive: int) -> Column:
+    """The G2 statistic of a feature and a label, from the counts of documents."""
+    out = F.lit(0.0)
+    for seen, row, col in [(F.col(kind), F.col("n"), positive), (F.col("n") - F.col(kind), F.col("n"), n - positive), (F.lit(positive) - F.col(kind), F.lit(n) - F.col("n"), positive), (F.lit(n - positive) - F.col("n") + F.col(kind), F.lit(n) - F.col("n"), n - positive)]:
+        out = out + F.when(seen > 0, 2.0 * seen * F.log(seen * F.lit(float(n)) / (row * F.lit(float(col))))).otherwise(0.0)
+    return out
+
+
+def _valid(labels: DataFrame) -> DataFrame:
+    """label_id, low, toxic: one row an id."""
+    known = labels.where("quality is not null and toxic is not null and doc_id is not null")
+    return known.select(F.col("doc_id").cast("long").alias("label_id"), (F.col("quality") == 0).cast("int").alias("low"), (F.col("toxic") == 1).cast("int").alias("toxic")).groupBy("label_id").agg(F.max("low").alias("low"), F.max("toxic").alias("toxic"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED, n_features: int = FEATURES) -> dict[str, Logistic]:
     """Models "low" and "toxic" from labels (doc_id, quality, toxic)."""
-    chosen = labels.where("quality is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("label_id"), (F.col("quality") == 0).cast("int").alias("low"), (F.col("toxic") == 1).cast("int").alias("toxic"))
-    chosen = chosen.dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id")).limit(max_labelled)
-    known = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id")  # at most max_labelled rows
-    table = known.select("low", "toxic", "text").mapInArrow(_examples, "low int, toxic int, feats array<int>, shapes array<double>").toArrow().combine_chunks()
-    if not table.num_rows:
-        return {"low": Logistic(), "toxic": Logistic()}
-    feats = table["feats"].combine_chunks()
-    sizes = np.asarray(feats.value_lengths())
-    flat = np.asarray(feats.flatten()).astype(np.int64)
+    chosen = _valid(labels).orderBy(F.xxhash64("label_id")).limit(max_labelled)
+    known = written(docs.select(F.col(f"`{doc_id}`").cast("long").alias("label_id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "label_id").select("low", "toxic", "text"), "labelled")  # at most max_labelled rows
+    total = known.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in KINDS]).first()
+    if total["n"] < LEAST_LABELS:
+        return {y: Logistic() for y in KINDS}
+    counts = known.mapInArrow(_feature_counts, "feature int, n bigint, low bigint, toxic bigint").groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(y).alias(y) for y in KINDS]).where(F.col("n") >= LEAST_SEEN)
+    best = counts.select("feature", *[_g2(y, total["n"], total[y]).alias(y) if 0 < total[y] < total["n"] else F.lit(0.0).alias(y) for y in KINDS]).where(F.greatest(*KINDS) > LEAST_G2)
+    best = written(best, "features")
+    features = {y: np.array(sorted(r[0] for r in best.where(F.col(y) > LEAST_G2).orderBy(F.col(y).desc(), "feature").limit(n_features).select("feature").collect()), np.int64) for y in KINDS}
+    every = np.union1d(features["low"], features["toxic"])
+    table = known.mapInArrow(lambda it: _examples(it, every), "low int, toxic int, places array<smallint>, shapes array<double>").toArrow().combine_chunks()
+    places = table["places"].combine_chunks()
+    rows = np.repeat(np.arange(table.num_rows), np.asarray(places.value_lengths()))
+    held = every[np.asarray(places.flatten()).astype(np.int64)]
     shapes = np.asarray(table["shapes"].combine_chunks().flatten()).reshape(-1, N_SHAPES)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    return {y: Logistic.fitted(rows, flat, shapes, np.asarray(table[y]).astype(float), n_features) for y in ("low", "toxic")}
+    models = {}
+    for y in KINDS:
+        own = np.isin(held, features[y])
+        models[y] = Logistic.fitted(features[y], rows[own], np.searchsorted(features[y], held[own]), shapes, np.asarray(table[y]).astype(float))
+    return models
 
 
-def _score(batches: Iterator[pa.RecordBatch], models: dict[str, Logistic]) -> Iterator[pa.RecordBatch]:
-    for batch in tk.chunks(batches, "text"):
-        measured = _measure(batch.column("text"))
-        odds = {y: models[y].log_odds(*measured) for y in ("low", "toxic")}
-        others = [c for c in batch.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(odds["low"]), pa.array(odds["toxic"])], [*others, "low", "toxic"])
+def _score(batches: Iterator[pa.RecordBatch], models: dict[str, Logistic], text: str, keep_text: bool) -> Iterator[pa.RecordBatch]:
+    for batch in tk.chunks(batches, text):
+        measured = _measure(batch.column(text))
+        names = [c for c in batch.schema.names if keep_text or c != text]
+        odds = [pa.array(models[y].log_odds(*measured)) for y in KINDS]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *odds], [*names, *KINDS])
 
 
 def _chance(odds: Column | str) -> Column:
@@ -201,58 +235,62 @@ def _strength(groups: DataFrame, mean: str, parent: Column, n: str) -> float:
     return min(1e6, max(1.0, level / excess - 1)) if excess > 1e-12 else 1e6
 
 
+def site_posteriors(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", host: str = "source", lang: str = "lang") -> tuple[DataFrame, DataFrame, dict[str, float]]:
+    """Hosts (host, host_low, host_toxic), paths (host, lang, path_low, path_toxic), and the shares of all labelled documents."""
+    narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("label_id"), F.col(f"`{host}`").cast("string").alias("host"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    paths = narrow.join(_valid(labels), "label_id").groupBy("host", "lang").agg(F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(f"{y}_sum") for y in KINDS])
+    paths = written(paths, "paths")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), *[F.sum(f"{y}_sum").alias(f"host_{y}_sum") for y in KINDS])
+    every = hosts.agg(F.sum("host_n").alias("n"), *[F.sum(f"host_{y}_sum").alias(y) for y in KINDS]).first()
+    means = {y: every[y] / every["n"] if every["n"] else 0.5 for y in KINDS}
+    for y in KINDS:
+        k = _strength(hosts.withColumn("m", F.col(f"host_{y}_sum") / F.col("host_n")), "m", F.lit(means[y]), "host_n")
+        hosts = hosts.withColumn(f"host_{y}", (F.col(f"host_{y}_sum") + k * means[y]) / (F.col("host_n") + k))
+    paths = paths.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
+    for y in KINDS:
+        k = _strength(paths.withColumn("m", F.col(f"{y}_sum") / F.col("n")), "m", F.col(f"host_{y}"), "n")
+        paths = paths.withColumn(f"path_{y}", (F.col(f"{y}_sum") + k * F.col(f"host_{y}")) / (F.col("n") + k))
+    paths = written(paths.select("host", "lang", *[f"path_{y}" for y in KINDS]), "sites")
+    return written(hosts.select("host", *[f"host_{y}" for y in KINDS]), "hosts"), paths, means
+
+
+def _combined(scored: DataFrame, host: Column, lang: Column, sites: tuple[DataFrame, DataFrame, dict[str, float]], threshold: float) -> DataFrame:
+    """scored (low and toxic are log odds) and host_*, path_*, chance_*, __kept. Sites without labels take their parents' shares."""
+    hosts, paths, means = sites
+    out = scored.join(hosts.withColumnRenamed("host", "__h"), host.eqNullSafe(F.col("__h")), "left").join(paths.withColumnsRenamed({"host": "__ph", "lang": "__pl"}), host.eqNullSafe(F.col("__ph")) & lang.eqNullSafe(F.col("__pl")), "left")
+    for y in KINDS:
+        out = out.withColumn(f"host_{y}", F.coalesce(f"host_{y}", F.lit(means[y]))).withColumn(f"path_{y}", F.coalesce(f"path_{y}", f"host_{y}"))
+        out = out.withColumn(f"chance_{y}", _chance(F.col(y) + _odds(F.col(f"path_{y}")) - _odds(F.lit(means[y]))))
+    return out.withColumn("__kept", (F.col("chance_low") < threshold) & (F.col("chance_toxic") < threshold))
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", host: str = "source", lang: str = "lang", threshold: float = 0.5, **options) -> DataFrame:
-    """Per document: doc_id, host, path language, evidence, site posteriors, final chances, kept.
+    """Per document: doc_id, host, lang (the path's section), evidence, site posteriors, final chances, kept.
 
     kept: both the final chance of low quality and that of toxicity are below the threshold.
     """
-    return _judged(docs, labels, [], doc_id=doc_id, text=text, host=host, lang=lang, threshold=threshold, **options)
-
-
-def _judged(docs: DataFrame, labels: DataFrame, carried: list[Column], *, doc_id: str, text: str, host: str, lang: str, threshold: float = 0.5, **options) -> DataFrame:
-    """classify, and the carried columns (named, binary) of each row."""
     models = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id=doc_id, text=text, **options))  # a few thousand numbers
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(lang).cast("string").alias("lang"), *carried, F.col(text).alias("text"))
-    extra = [c for c in narrow.columns if c not in ("doc_id", "host", "lang", "text")]
-    scored = written(narrow.mapInArrow(lambda it: _score(it, models.value), ", ".join(["doc_id bigint, host string, lang string", *(f"{c} binary" for c in extra), "low double, toxic double"])), "scored")
-
-    paths = written(scored.groupBy("host", "lang").agg(F.count(F.lit(1)).alias("n"), *[F.sum(_chance(y)).alias(f"{y}_sum") for y in ("low", "toxic")]), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), *[F.sum(f"{y}_sum").alias(f"host_{y}_sum") for y in ("low", "toxic")])
-    every = hosts.agg(F.sum("host_n").alias("n"), *[F.sum(f"host_{y}_sum").alias(y) for y in ("low", "toxic")]).first()
-    for y in ("low", "toxic"):
-        mean = (every[y] or 0.0) / every["n"] if every["n"] else 0.5
-        k = _strength(hosts.withColumn("m", F.col(f"host_{y}_sum") / F.col("host_n")), "m", F.lit(mean), "host_n")
-        hosts = hosts.withColumn(f"host_{y}", (F.col(f"host_{y}_sum") + k * mean) / (F.col("host_n") + k))
-    sites = paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-    for y in ("low", "toxic"):
-        k = _strength(sites.withColumn("m", F.col(f"{y}_sum") / F.col("n")), "m", F.col(f"host_{y}"), "n")
-        mean = (every[y] or 0.0) / every["n"] if every["n"] else 0.5
-        sites = sites.withColumn(f"path_{y}", (F.col(f"{y}_sum") + k * F.col(f"host_{y}")) / (F.col("n") + k)).withColumn(f"shift_{y}", _odds(F.col(f"path_{y}")) - _odds(F.lit(mean)))
-    sites = written(sites.select("host", "lang", "host_low", "host_toxic", "path_low", "path_toxic", "shift_low", "shift_toxic"), "sites")
-
-    both = scored.join(sites.withColumnsRenamed({"host": "h", "lang": "l"}), F.col("host").eqNullSafe(F.col("h")) & F.col("lang").eqNullSafe(F.col("l")))
-    final = both.select(
+    sites = site_posteriors(docs, labels, doc_id=doc_id, host=host, lang=lang)
+    narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{host}`").cast("string").alias("host"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
+    scored = narrow.mapInArrow(lambda it: _score(it, models.value, "text", False), "doc_id bigint, host string, lang string, low double, toxic double")
+    final = _combined(scored, F.col("host"), F.col("lang"), sites, threshold)
+    return final.select(
         F.col("doc_id").alias(doc_id), "host", "lang",
         _chance("low").alias("evidence_low"), _chance("toxic").alias("evidence_toxic"),
-        "host_low", "host_toxic", "path_low", "path_toxic",
-        _chance(F.col("low") + F.col("shift_low")).alias("chance_low"), _chance(F.col("toxic") + F.col("shift_toxic")).alias("chance_toxic"),
-        *extra,
+        "host_low", "host_toxic", "path_low", "path_toxic", "chance_low", "chance_toxic", F.col("__kept").alias("kept"),
     )
-    return final.withColumn("kept", (F.col("chance_low") < threshold) & (F.col("chance_toxic") < threshold))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", host: str = "source", lang: str = "lang", **options) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", host: str = "source", lang: str = "lang", threshold: float = 0.5, **options) -> DataFrame:
     """docs, with the same columns, without the documents that the classifier rejects.
 
-    The decision follows from text, host and language alone, so a row is found again by those (the
-    text by its MD5); the id only deals equal texts over tasks.
+    Rows are scored with all their columns, so that no decision has to find its row again.
     """
-
-    def digest(column: Column) -> Column:
-        return F.unhex(F.md5(F.coalesce(column.cast("binary"), F.lit("").cast("binary"))))
-
-    judged = _judged(docs, labels, [digest(F.col(text)).alias("digest")], doc_id=doc_id, text=text, host=host, lang=lang, **options)
-    gone = judged.where("not kept").select(F.col(doc_id).alias("gone"), "digest", F.col("host").alias("gone_host"), F.col("lang").alias("gone_lang")).distinct()
-    same = docs[f"`{doc_id}`"].cast("long").eqNullSafe(gone["gone"]) & (digest(docs[f"`{text}`"]) == gone["digest"])
-    same &= docs[f"`{host}`"].cast("string").eqNullSafe(gone["gone_host"]) & docs[f"`{lang}`"].cast("string").eqNullSafe(gone["gone_lang"])
-    return docs.join(gone, same, "left_anti")
+    models = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id=doc_id, text=text, **options))  # a few thousand numbers
+    sites = site_posteriors(docs, labels, doc_id=doc_id, host=host, lang=lang)
+    place = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in place.items()])
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in named.schema], *[T.StructField(y, T.DoubleType()) for y in KINDS]])
+    scored = named.mapInArrow(lambda it: _score(it, models.value, place[text], True), schema)
+    final = _combined(scored, F.col(place[host]).cast("string"), F.col(place[lang]).cast("string"), sites, threshold)
+    return final.where("__kept").select(*[F.col(p).alias(c) for c, p in place.items()])
