@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.session import written
+from folioforge.llm.session import discard, written
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -31,18 +31,21 @@ def components(links: DataFrame, *, max_rounds: int = 64) -> DataFrame:
     """links: two bigint columns. Returns (id, component), the smallest id reachable, for each linked id.
 
     Rounds work on a table of links only; a node with very many links is aggregated before the
-    shuffle, and joins on it can be split. Each round is written to the shared folder.
+    shuffle, and joins on it can be split. Each round is written to the shared folder, and the one before it deleted.
     """
     a, b = links.columns
     edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links")
     digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")))
     before = edges.agg(digest.alias("d")).first()["d"]
     for _ in range(max_rounds):
-        edges = written(_small_star(_large_star(edges)), "links")
+        last, edges = edges, written(_small_star(_large_star(edges)), "links")
+        discard(last)
         now = edges.agg(digest.alias("d")).first()["d"]
         if now == before:
             break
         before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    out = written(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()), "components")
+    discard(edges)
+    return out

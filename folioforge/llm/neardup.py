@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import textkit as tk
 from folioforge.llm.components import components
-from folioforge.llm.session import release, written
+from folioforge.llm.session import discard, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -185,25 +185,27 @@ def _judged(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, c
     heads = tables.groupBy("key").agg(F.min(F.struct("id", "size")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.col("head.id").alias("v"), F.col("head.size").alias("size_v"))
     stars = written(tables.join(heads, "key").select("key", F.col("id").alias("u"), "v", F.col("size").alias("size_u"), "size_v"), "stars")
 
-    release(docs.sparkSession)
     held = stars.select(F.col("u").alias("id")).distinct().join(classes.select("id", "doc_id", "mark"), "id")
     texts = docs.join(held, ["doc_id", "mark"]).dropDuplicates(["id"]).select("id", "text")
     sets = written(texts.mapInArrow(lambda it: _sets(it, words), "id bigint, set binary"), "sets")
-    release(docs.sparkSession)
 
     pairs = stars.where(f"u > v and 100 * least(size_u, size_v) >= {percent} * greatest(size_u, size_v)").select("u", "v").distinct()
     both = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v")
     links = written(both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it: _confirmed(it, percent), "u bigint, v bigint"), "links")
-    found = written(components(links), "components")
+    found = components(links)
 
     named = stars.join(found.withColumnRenamed("id", "u"), "u", "left").withColumn("component", F.coalesce("component", "u"))
     still = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     still = written(named.join(still, "key", "left_semi").groupBy("u", "v").agg(F.first("size_u").alias("size"), F.first("component").alias("component")), "open")
+    spent = [live, stars, sets, links, still]
     if not still.isEmpty():
-        clusters = components(still.select("u", "v")).withColumnRenamed("component", "cluster")
-        members = still.groupBy(F.col("u").alias("id")).agg(F.first("size").alias("size"), F.first("component").alias("component")).join(clusters, "id")
-        more = _cluster_links(written(members, "members"), live.select("id", F.explode("a").alias("x")), sets, percent, cluster_shingles)
-        found = written(components(links.unionByName(more)), "components")
+        clusters = components(still.select("u", "v"))
+        members = still.groupBy(F.col("u").alias("id")).agg(F.first("size").alias("size"), F.first("component").alias("component")).join(clusters.withColumnRenamed("component", "cluster"), "id")
+        members = written(members, "members")
+        more = written(_cluster_links(members, live.select("id", F.explode("a").alias("x")), sets, percent, cluster_shingles), "more")
+        spent += [found, clusters, members, more]
+        found = components(links.unionByName(more))
+    discard(*spent)
 
     lowest = found.join(classes.select("id", "doc_id"), "id").groupBy("component").agg(F.min("doc_id").alias("lowest"))
     found = found.join(lowest, "component").select("id", "lowest")

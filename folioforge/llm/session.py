@@ -1,51 +1,18 @@
-"""Session helpers: tables, the shared folder, checkpoints."""
+"""Session helpers of the corpus operators."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from folioforge.sources.shared import discard, fresh_path, shared_dir, written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    have = spark.conf.get("spark.checkpoint.dir", None)
-    if not have:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        have = "file://" + tempfile.mkdtemp(prefix="folioforge-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(have)
-    return have
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def release(spark: SparkSession) -> None:
-    """Frees the shuffle files of frames that nothing refers to any more; else they stay until the JVM tidies up."""
-    for _ in range(3):  # the JVM's references go after Python's, and the files after them
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.7)
+__all__ = ["discard", "fresh_path", "partitions", "shared_dir", "table", "written"]

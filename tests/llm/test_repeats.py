@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import pyarrow as pa
+import pytest
+
 from folioforge.llm.repeats import repeated_passages
 
 
@@ -60,3 +63,33 @@ def test_many_small_alphabets(spark):
         rows.append((k // 2 * 2 + rng.randint(0, 1), "".join(t)[rng.randint(0, 40) :] + rng.choice(base)[: rng.randint(0, 120)]))
     assert run(spark, rows) == brute(rows)
     assert run(spark, rows, length=30, gram=9) == brute(rows, 30)
+
+
+def test_lengths_offsets_and_segments(spark, monkeypatch):
+    """Several lengths take one to three doublings; texts longer than a segment; columns with clashing names."""
+    from folioforge.llm import repeats
+
+    rng = random.Random(21)
+    base = "".join(rng.choices("abcdefgh ", k=1500))
+    rows = [(k, "".join(rng.choices("xyz", k=rng.randint(0, 30))) + base[rng.randint(0, 700) : rng.randint(701, 1500)] + "".join(rng.choices("xyz", k=rng.randint(0, 30)))) for k in range(12)]
+    for length, gram in ((50, 20), (51, 20), (50, 50), (50, 49), (120, 20), (270, 15)):
+        assert run(spark, rows, length=length, gram=gram) == brute(rows, length)
+    with pytest.raises(ValueError):
+        run(spark, rows, length=500, gram=20)
+    monkeypatch.setattr(repeats, "SEGMENT_BYTES", 300)
+    parts = [b for b in pa.table({"text": [t for _, t in rows], "doc_id": [i for i, _ in rows], "mark": [0] * len(rows)}).to_batches()]
+    cut = sorted(x for batch in parts for f in repeats._found(batch, 50, 20) for x in zip(*(v.tolist() for v in f), strict=True))
+    monkeypatch.setattr(repeats, "SEGMENT_BYTES", 1 << 25)
+    whole = sorted(x for batch in parts for f in repeats._found(batch, 50, 20) for x in zip(*(v.tolist() for v in f), strict=True))
+    places = lambda found: {(doc, (info >> 16 & (2**31 - 1)) + k) for _, _, doc, info in found for k in range((info >> 8 & 255) + 1)}
+    assert places(cut) == places(whole) and len(cut) > len(whole)
+    docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id long, text string, info int, rank int, mark string")
+    assert sorted((tuple(r) for r in repeated_passages(docs).collect()), key=repr) == brute(rows)
+
+
+def test_settled_strings(spark, monkeypatch):
+    """Copies within one batch are settled before the shuffle, in rows of up to 256 strings."""
+    rng = random.Random(22)
+    base = "".join(rng.choices("abcdefgh ", k=2000))
+    rows = [(k, base[rng.randint(0, 5) : 2000 - rng.randint(0, 5)] + f" end {k}") for k in range(8)] + [(9, base[:900] + "~" + base[901:]), (9, base[:900] + "~" + base[901:]), (10, base[:400] + "#" + base[401:])]
+    assert run(spark, rows) == brute(rows)
