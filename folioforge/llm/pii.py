@@ -10,7 +10,7 @@ and gets a right check digit, an IBAN keeps its country and letters and gets rig
 an address stays an address, a date a date in the same notation, a social security number stays a
 possible one (by walking the cycle), a telephone number keeps its country code and signs. The same
 value always gets the same pseudonym, in all documents and notations, and different values get
-different ones. E-mail addresses have no digits to permute and get a keyed hash.
+different ones. E-mail addresses are neither numbers nor dates and get a keyed hash as user name.
 
 Nulls stay null with counts 0, empty texts stay empty, empty tables give empty results, repeated
 rows are each handled, other columns are carried on. The key is part of the plan: keep plans and
@@ -168,9 +168,10 @@ def _pseudonym(m: str, kind: str, key: str) -> str:
       else {m} end"""
 
 
-def pseudonymize(docs: DataFrame, *, text: str = "text", key: str = "folioforge", prefix: str = "n_") -> DataFrame:
+def pseudonymize(docs: DataFrame, *, key: str, text: str = "text", prefix: str = "n_") -> DataFrame:
     """docs with pseudonyms in the text column, and a count of each kind in n_<kind> (bigint).
 
+    key: whoever has it can tell which pseudonym a value gets, so it is never a default.
     A column of docs that has the name of a count is replaced.
     """
     secret, pattern = _quoted(key), _quoted(EVERY)

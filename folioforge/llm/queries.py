@@ -98,7 +98,7 @@ FROM sized s LEFT JOIN gone USING (doc_id)
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioforge.llm.pii import KINDS, pseudonymize
 
-    return pseudonymize(table(spark, sf_dir, "documents")).select("doc_id", *[f"n_{k}" for k in KINDS], "text")
+    return pseudonymize(table(spark, sf_dir, "documents"), key="folioforge").select("doc_id", *[f"n_{k}" for k in KINDS], "text")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,9 @@ results. Offsets are code points, ends exclusive. Other columns take no part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,19 +44,45 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_names = count()
+
+
+def _let(value: str, body: Callable[[str], str]) -> str:
+    """body(name of value), with value computed once."""
+    name = f"v{next(_names)}"
+    return f"transform(array({value}), {name} -> {body(name)})[0]"
+
+
+def _placed(matches: str) -> str:
+    """Starts and ends of matches (structs of the length before it, its own, and g), summed up in blocks of the square
+    root of their number: arrays grow by one only within a block, so many matches in one text cost little more than their number.
+    """
+    total = "aggregate({b}, 0L, (t, x) -> t + x.a + x.l)"
+    grown = "aggregate({b}, named_struct('at', {s}, 'out', cast(array() as array<struct<s: bigint, e: bigint, g: string>>)), (acc, x) -> named_struct('at', acc.at + x.a + x.l, 'out', array_append(acc.out, named_struct('s', acc.at + x.a, 'e', acc.at + x.a + x.l, 'g', x.g))), acc -> acc.out)"
+
+    def blocks(m: str) -> str:
+        size = f"cast(ceil(sqrt(size({m}))) as int)"
+        return f"transform(sequence(0, (size({m}) - 1) div {size}), i -> slice({m}, cast(i * {size} as int) + 1, {size}))"
+
+    def joined(b: str) -> str:
+        starts = f"aggregate({b}, named_struct('at', 0L, 'out', cast(array() as array<bigint>)), (acc, x) -> named_struct('at', acc.at + {total.format(b='x')}, 'out', array_append(acc.out, acc.at)), acc -> acc.out)"
+        return f"flatten(zip_with({b}, {starts}, (x, y) -> {grown.format(b='x', s='y')}))"
+
+    return _let(matches, lambda m: _let(blocks(m), joined))
+
+
 def _spans(text: str, pattern: str, kind: str, keep: str = "true", group: int = 0) -> Column:
-    """Spans of all matches. keep: on g, the match or its group."""
-    pieces = f"split({text}, {_quoted(pattern)}, -1)"
-    matches = f"regexp_extract_all({text}, {_quoted(pattern)}, 0)"
-    values = matches if not group else f"regexp_extract_all({text}, {_quoted(pattern)}, {group})"
-    ends = f"""aggregate(
-        arrays_zip(slice({pieces}, 1, size({matches})), {matches}, {values}),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<s: bigint, e: bigint, g: string>>)),
-        (acc, z) -> named_struct('at', acc.at + length(z.`0`) + length(z.`1`), 'out', concat(acc.out, array(named_struct('s', acc.at + length(z.`0`), 'e', acc.at + length(z.`0`) + length(z.`1`), 'g', z.`2`)))),
-        acc -> acc.out)"""
+    """Spans of all matches. keep: on g, the match or its group. A text is scanned once, and once more where it has matches."""
+    value = f"regexp_extract(x, {_quoted(pattern)}, {group})" if group else "x"
     none = "cast(array() as array<struct<s: bigint, k: int, e: bigint>>)"
-    kept = f"transform(filter({ends}, x -> {keep.replace('$g', 'x.g')}), x -> named_struct('s', x.s, 'k', {KINDS.index(kind)}, 'e', x.e))"
-    return F.expr(f"case when {text} rlike {_quoted(pattern)} then {kept} else {none} end")
+
+    def found(m: str) -> str:
+        pieces = f"slice(split({text}, {_quoted(pattern)}, -1), 1, size({m}))"
+        lengths = f"zip_with({pieces}, {m}, (p, x) -> named_struct('a', cast(length(p) as bigint), 'l', cast(length(x) as bigint), 'g', {value}))"
+        kept = f"transform(filter({_placed(lengths)}, x -> {keep.replace('$g', 'x.g')}), x -> named_struct('s', x.s, 'k', {KINDS.index(kind)}, 'e', x.e))"
+        return f"case when size({m}) > 0 then {kept} else {none} end"
+
+    return F.expr(_let(f"regexp_extract_all({text}, {_quoted(pattern)}, 0)", found))
 
 
 def _listed(spans: Column) -> Column:

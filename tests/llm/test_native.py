@@ -1,5 +1,6 @@
 """Pseudonyms, secrets and mixing against brute force."""
 
+import datetime
 import hashlib
 import random
 import re
@@ -8,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.llm.mixing import mixture, rake, sample, topic_of, weights, words_of
-from folioforge.llm.pii import permuted_digits, permuted_number, pseudonymize
-from folioforge.llm.secrets import find_secrets
+from folioforge.llm.pii import KINDS, permuted_digits, permuted_number, pseudonymize
+from folioforge.llm.secrets import HEX, SCOPE, WEAK_ENDPOINT, WEAK_ID, WEAK_SECRET, find_secrets
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -56,7 +57,7 @@ def test_permutations_are_one_to_one(spark):
 
 def test_pseudonyms(spark):
     rows = [(1, "a.b@c.example.com, +1 (017) 555-7713; 4111 1111 1111 1111 or 4111111111111111 at 97.51.17.173 on 2001-02-03, 123-45-6789 GB82 WEST 1234 5698 7654 32"), (2, "4111111111111111"), (3, "4111111111111112 999.1.1.1 2001-02-30 000-12-3456 Version 2.0."), (4, None), (5, ""), (2, "4111111111111111"), (6, "9807915762804490 4104321470856409")]
-    out = pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), key="folioforge").collect()
     by = {r["doc_id"]: r for r in out}
     assert len(out) == len(rows) and by[4]["text"] is None and by[5]["text"] == "" and by[3]["text"] == rows[2][1]
     cards = re.findall(r"\b\d{4} \d{4} \d{4} \d{4}|\b\d{16}", by[1]["text"])
@@ -124,3 +125,139 @@ def test_counts_of_texts(spark):
         n = len(re.findall(r"[^\x20\x09-\x0D]+", t))
         topic = "table" if t.count("|") * 5 > n else "marked" if sum(t.count(c) for c in "*#$%&") > n else "shouted" if len(re.findall("[A-Z]", t)) * 2 > len(t) else "note" if n < 50 else "long" if n >= 2000 else "article"
         assert (r["n"], r["topic"]) == (n, topic), t
+
+
+def linked(text):
+    """All spans: the base ones, and weak ones with a complementary part whose start is at most SCOPE away."""
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(HEX, text)]
+    weak = [(m.start(), 3, m.end()) for m in re.finditer(WEAK_ID, text, re.A)] + [(m.start(), 4, m.end()) for m in re.finditer(WEAK_ENDPOINT, text, re.A)]
+    weak += [(m.start(), 5, m.end()) for m in re.finditer(WEAK_SECRET, text, re.A) if re.search("[0-9]", m[0]) and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])]
+    weak = [w for w in weak if not any(b[0] <= w[0] and w[2] <= b[2] for b in spans)]
+    secret = {0: True, 2: True, 5: True}
+    near = [w for w in weak if any(abs(w[0] - o[0]) <= SCOPE and secret.get(o[1], False) != secret.get(w[1], False) for o in spans + weak)]
+    names = ("assign", "access", "hex", "id", "endpoint", "secret")
+    return ",".join(f"{names[k]}:{s}:{e}" for s, k, e in sorted(spans + near))
+
+
+def test_linked_spans_match_brute_force(spark):
+    rng = random.Random(16)
+    parts = ["token=abcdefgh1", "AKIAABCDEFGH1234", "0123456789abcdef" * 2, "é🎉", "user: bob", "Login=al", "client_id: x_y", "https://h.example.com/x?q=1", "http://a.b", "Zx9" * 8, "Zx9-_/" * 5 + "==", " ", "\n", "word " * 20, "word " * 90, "'", ","]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(400)]
+    texts += [("https://host.example.com/a " * 6000) + "Zx9" * 8, "token=abcdefgh1 " * 7000, None, ""]
+    rows = [(i, t, "clash", 5) for i, t in enumerate(texts)] + [(0, texts[0], "again", 5), (None, texts[1], "no id", 5)]
+    got = find_secrets(spark.createDataFrame(rows, "doc_id long, text string, spans string, row int")).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add(r["spans"])
+    assert by.pop(None) == {linked(texts[1])}
+    for i, spans in by.items():
+        assert spans == {linked(texts[i] or "")}, texts[i]
+    assert sum(any(k in next(iter(by[i])) for k in ("id:", "endpoint:", "secret:")) for i in range(400)) > 100
+
+
+def keyed(key, *parts):
+    return int(hashlib.sha256("|".join([key, *map(str, parts), key]).encode()).hexdigest()[:15], 16)
+
+
+def feistel_digits(x, key, tag):
+    a, b = x[: len(x) // 2], x[len(x) // 2 :]
+    for i in range(10):
+        a, b = b, str((int(a) + keyed(key, tag, i, len(x), b)) % 10 ** len(a)).zfill(len(a))
+    return a + b
+
+
+def feistel_number(x, key, tag, high, low):
+    a, b = divmod(x, low)
+    for i in range(10):
+        a, b = b, (a + keyed(key, tag, i, b)) % (low if i % 2 else high)
+    return a * low + b
+
+
+def put_back(value, digits):
+    rest = iter(digits)
+    return "".join(next(rest) if c in "0123456789" else c for c in value)
+
+
+def plain_pseudonym(kind, value, key):
+    """The same pseudonyms without Spark."""
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "email":
+        return "user-" + hashlib.sha256("|".join([key, "email", value.lower(), key]).encode()).hexdigest()[:16] + "@masked.invalid"
+    if kind == "ip":
+        n = feistel_number(int.from_bytes(map(int, value.split("."))), key, "ip", 65536, 65536)
+        return ".".join(map(str, n.to_bytes(4)))
+    if kind == "date":
+        form = "%Y-%m-%d" if "-" in value else value[-5] .join(["%d", "%m", "%Y"])
+        try:
+            day = datetime.datetime.strptime(value, form)
+        except ValueError:
+            form = value[-5].join(["%m", "%d", "%Y"])
+            day = datetime.datetime.strptime(value, form)
+        origin, n = datetime.datetime(1900, 1, 1), None
+        while n is None or n >= 73049:
+            n = feistel_number((day - origin).days if n is None else n, key, "date", 271, 270)
+        return (origin + datetime.timedelta(n)).strftime(form)
+    if kind == "ssn":
+        fits, d = False, digits
+        while not fits:
+            d = feistel_digits(d, key, "ssn")
+            fits = d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+        return put_back(value, d)
+    if kind == "card":
+        payload = feistel_digits(digits[:-1], key, "card")
+        return put_back(value, payload + next(c for c in "0123456789" if luhn(payload + c)))
+    if kind == "phone":
+        code = re.match(r"\+([0-9]{1,3}?)(?=[ .(-]|[0-9]{6,12}$)", value)
+        k = len(code[1]) if code else 0
+        return put_back(value, digits[:k] + feistel_digits(digits[k:], key, "phone"))
+    plain = value.replace(" ", "")
+    body = put_back(plain[4:], feistel_digits(re.sub("[^0-9]", "", plain[4:]), key, "iban"))
+    check = 98 - int("".join(str(int(c, 36)) for c in body + plain[:2] + "00")) % 97
+    rest = iter(f"{plain[:2]}{check:02d}{body}")
+    return "".join(c if c == " " else next(rest) for c in value)
+
+
+def test_pseudonyms_match_plain_python(spark):
+    rng = random.Random(17)
+
+    def digits(n):
+        return "".join(rng.choices("0123456789", k=n))
+
+    def made(kind):
+        if kind == "email":
+            return f"{rng.choice(['a.b', 'X', 'jo-e+1'])}@{rng.choice(['c', 'd.ex'])}.{rng.choice(['com', 'Org'])}"
+        if kind == "ip":
+            return ".".join(str(rng.randrange(256)) for _ in range(4))
+        if kind == "date":
+            day = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(73049))
+            return day.strftime(rng.choice(["%Y-%m-%d", "%d/%m/%Y", "%d.%m.%Y"])) if rng.random() < 0.8 else f"{day.month:02d}/{rng.randint(13, 28)}/{day.year}"
+        if kind == "ssn":
+            return f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"
+        if kind == "card":
+            n = digits(rng.choice([12, 15, 18]))
+            whole = n + next(c for c in "0123456789" if luhn(n + c))
+            return f"{whole[:4]} {whole[4:8]} {whole[8:12]} {whole[12:]}" if len(whole) == 16 and rng.random() < 0.5 else whole
+        if kind == "phone":
+            return rng.choice([f"+{rng.randint(1, 9)} ({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"+49 {digits(3)} {digits(4)}"])
+        body = rng.choice(["WEST", "A1B2"]) + digits(14)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + "GB" + "00")) % 97
+        return " ".join(re.findall(".{1,4}", f"GB{check:02d}{body}")) if rng.random() < 0.5 else f"GB{check:02d}{body}"
+
+    rows, want = [], []
+    for k in range(120):
+        kinds = [rng.choice(KINDS) for _ in range(rng.randint(0, 5))] + [KINDS[k % len(KINDS)]]
+        values = [made(kind) for kind in kinds]
+        rows.append((k, " and ; ".join(values) + " end", "n", 7))
+        want.append((" and ; ".join(plain_pseudonym(*p, "other key") for p in zip(kinds, values, strict=True)) + " end", tuple(kinds.count(x) for x in KINDS)))
+    rows.append((120, "word " * 60000 + "4111111111111111", "n", 7))
+    want.append(("word " * 60000 + plain_pseudonym("card", "4111111111111111", "other key"), (0, 0, 0, 0, 0, 1, 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_email string, __row int")
+    out = pseudonymize(docs, key="other key")
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == [*docs.columns, *[f"n_{k}" for k in KINDS if k != "email"]] and len(got) == len(rows)
+    for k, (text, counts) in enumerate(want):
+        assert (got[k]["text"], tuple(got[k][f"n_{x}"] for x in KINDS)) == (text, counts), rows[k][1][:300]
+    assert pseudonymize(docs.limit(0), key="k").count() == 0
