@@ -40,7 +40,7 @@ def frames(spark, docs=DOCS, items=ITEMS):
 
 def test_edges_in_one_block_and_many(spark):
     docs, items = frames(spark)
-    for block in (1 << 20, 300):
+    for block in (1 << 22, 1500):
         got = sorted((tuple(r)[:6] for r in findings(docs, items, block_bytes=block).collect()), key=repr)
         assert got == brute(DOCS, ITEMS)
 
@@ -59,3 +59,35 @@ def test_removal(spark):
     cut = {r["doc_id"]: r["text"] for r in decontaminate(docs, items, mode="spans").collect()}
     assert cut[1] == "x  y" and cut[2] == ", and " and cut[3] is None and cut[None] == "clean" and cut[5] == ""
     assert scan(docs, items).columns == ["row", "found"]
+
+
+def test_blocks_shuffle_no_text_and_sets_are_as_small_as_counted(spark):
+    import pickle
+    import random
+
+    from folioforge.llm import decontaminate as d
+
+    docs, items = frames(spark)
+    plan = findings(docs, items, block_bytes=1500)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.randrange(10**6):x}" for _ in range(rng.randint(1, 400))) for _ in range(2000)]
+    counted = sum(len(t) + d.WORD_BYTES * len(t.split()) + d.ITEM_BYTES for t in texts)
+    assert len(pickle.dumps(d.WindowSet(list(enumerate(texts)), 10))) < counted + (1 << 20) * 10
+
+
+def test_equal_hashes_of_other_words(monkeypatch):
+    """With hashes of four values all hits rest on the words."""
+    import numpy as np
+    import pyarrow as pa
+
+    from folioforge.llm import decontaminate as d
+    from folioforge.llm import textkit as tk
+
+    whole = tk.window_hashes
+    monkeypatch.setattr(d.tk, "window_hashes", lambda h, n: whole(h, n) % np.uint64(4))
+    items = [(k, " ".join(f"w{(k + j) % 7}" for j in range(3))) for k in range(7)] + [(9, "w0 w1 w2")]
+    windows = d.WindowSet(items, 10)
+    words = tk.find_words(*tk.text_bytes(pa.array(["w0 w1 w2 w3 x w5 w6", "w0 w1", "w6 w0 w1"])), tk.ALNUM_WORDS)
+    found = sorted((t, sorted(windows.items_of(size, k))) for t, size, k in windows.hits(words))
+    assert found == [(0, ["0", "9"]), (1, ["1"]), (9, ["6"])]
