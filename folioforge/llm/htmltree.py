@@ -4,7 +4,8 @@ A page becomes a tree of its block elements. Each element has a hidden state, bo
 content (an element that holds main text, itself or below, is content). Parent-child potentials
 P(state | parent's state, tag) connect the elements; each element's evidence is a product of
 P(feature | state) over its tag, its parent's tag, the words of its class, id and role, the length
-of its text and its share of link text. Sum-product messages go up from the leaves and down from
+of its text, its share of link text, whether it holds and ends in sentences, and
+the words of short texts that hold a notice. Sum-product messages go up from the leaves and down from
 the root and give each element's exact marginal; text in elements at least half certain is kept.
 
 Both kinds of tables are counted on labelled pages: HTML in which data-main="1" or "0" marks where
@@ -50,16 +51,24 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
 MARKS = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Ends of sentences, and what notices say in a few languages.
+STOPS = re.compile(r"[.!?…。！？](?=\s|$)")
+CUES = re.compile(r"©|\(c\)|copyright|rights reserved|derechos reservados|droits réservés|Rechte vorbehalten|cookies?|subscribe|newsletter|advertisement|sponsored|log ?in|sign up|read more|share this|terms of (?:use|service)|privacy|impressum", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+#: Children alike in tag and names speak to their parent as so many at most: they say the same thing again and again.
+ALIKE = 4
+
+
 class Element:
-    __slots__ = ("parent", "tag", "marks", "label", "chars", "linked", "blocks")
+    __slots__ = ("parent", "tag", "marks", "label", "chars", "linked", "stops", "ended", "cues")
 
     def __init__(self, parent: int, tag: str, marks: tuple[str, ...], label: int | None):
         self.parent, self.tag, self.marks, self.label = parent, tag, marks, label
-        self.chars = self.linked = 0
-        self.blocks: list[str] = []
+        self.chars = self.linked = self.stops = 0
+        self.ended: bool | None = None
+        self.cues: set[str] = set()
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
@@ -81,6 +90,10 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 blocks.append((k, text))
                 nodes[k].chars += len(text)
                 nodes[k].linked += min(linked, len(text))
+                nodes[k].stops += len(STOPS.findall(text))
+                nodes[k].ended = not linked and text[-1] in ".!?…。！？"
+                if len(text) < 200:
+                    nodes[k].cues.update(w.lower() for w in CUES.findall(text))
         linked = 0
 
     def close(upto: int) -> None:
@@ -157,16 +170,20 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     for k in range(len(nodes) - 1, 0, -1):
         nodes[nodes[k].parent].chars += nodes[k].chars
         nodes[nodes[k].parent].linked += nodes[k].linked
+        nodes[nodes[k].parent].stops += nodes[k].stops
     return nodes, blocks
 
 
 def features(nodes: list[Element], k: int) -> list[str]:
     e = nodes[k]
     out = [f"t:{e.tag}", f"p:{e.tag}<{nodes[e.parent].tag if e.parent >= 0 else '-'}"]
-    out += [f"m:{w}" for w in e.marks]
+    out += [f"m:{w}" for w in e.marks] or [f"m:-{e.tag}"]
     out.append(f"c:{min(e.chars, 4000).bit_length() // 2}")
     if e.chars:
-        out.append(f"l:{min(4, 5 * e.linked // e.chars)}")
+        out.append(f"l:{min(4, 5 * e.linked // e.chars)}{'s' if e.stops >= 3 and 20 * e.stops < e.chars else ''}")
+    if e.ended is not None:
+        out.append(f"e:{'-' if e.marks else e.tag}{int(e.ended)}")
+    out += [f"w:{w}" for w in e.cues] or (["w:"] if e.chars else [])
     return out
 
 
@@ -212,21 +229,26 @@ class TreeModel:
         n = len(nodes)
         odds = [0.0] * n
         for k in range(1, n):
-            kinds: dict[str, list[float]] = {"t": [], "p": [], "m": [], "c": [], "l": []}
+            kinds: dict[str, list[float]] = {"t": [], "p": [], "m": [], "c": [], "l": [], "e": [], "w": []}
             for f in features(nodes, k):
                 if (v := self.evidence.get(f)) is not None:
                     kinds[f[0]].append(v)
             # A tag and its pair with the parent's tag say much the same: the pair counts where it is known.
             shape = kinds["p"] or kinds["t"]
-            odds[k] = sum(shape) + sum(kinds["m"]) + sum(kinds["c"]) + sum(kinds["l"])
+            # Names that speak for and against weigh as the strongest of each; the rest of a list says little more.
+            names = max([0.0, *kinds["m"]]) + min([0.0, *kinds["m"]])
+            odds[k] = sum(shape) + names + sum(kinds["c"]) + sum(kinds["l"]) + sum(kinds["e"]) + sum(kinds["w"])
         up0, up1 = [1.0] * n, [1.0] * n  # evidence of the element and all below it
         for k in range(1, n):
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds[k]))))
             up0[k], up1[k] = 1 - p, p
+        alike = Counter((e.parent, e.tag, e.marks) for e in nodes)
         message0, message1 = [1.0] * n, [1.0] * n
         for k in range(n - 1, 0, -1):
             a, b = self.move(nodes[k].tag, 0), self.move(nodes[k].tag, 1)
             to0, to1 = (1 - a) * up0[k] + a * up1[k], (1 - b) * up0[k] + b * up1[k]
+            weight = min(1.0, ALIKE / alike[nodes[k].parent, nodes[k].tag, nodes[k].marks])
+            to0, to1 = to0**weight, to1**weight
             s = to0 + to1
             message0[k], message1[k] = to0 / s, to1 / s
             parent = nodes[k].parent
@@ -254,7 +276,7 @@ class TreeModel:
         return "\n\n".join(text for k, text in blocks if belief[k] >= threshold)
 
 
-def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 800, seed: int = 11) -> list[str]:
     """Pages of many layouts with data-main marks: menus, headers, footers, sidebars, notices, adverts,
     forms and comments around an article, with and without telling names.
     """
@@ -275,20 +297,33 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     def some(p: float, f) -> str:
         return f() if rng.random() < p else ""
 
+    def sentences(k: int) -> str:
+        return " ".join(words(rng.randint(3, 14)).rstrip(".!?") + rng.choice([".", ".", ".", "!", "?"]) for _ in range(k))
+
     def paragraph() -> str:
-        text = words(rng.choice([2, 6, 15, 40, 80, 160]))
+        text = words(rng.choice([1, 2, 2, 3, 6, 15, 40, 80, 160, 400])) if rng.random() < 0.6 else sentences(rng.randint(1, 8))
         if rng.random() < 0.2:
             text += " " + link() + " " + words(rng.randint(5, 30))
         if rng.random() < 0.15:
             text = f"<b>{text}" + rng.choice(["</b>", "<br>", ""])
-        return f"<p>{text}" + rng.choice(["</p>", "</p>", "</p>", ""])
+        name = rng.choice(["lead", "intro", "text", "first", "para", "summary", "noindent", "x" + rng.choice(letters)])
+        return (f'<p class="{name}">' if rng.random() < 0.15 else "<p>") + text + rng.choice(["</p>", "</p>", "</p>", ""])
 
     def body() -> str:
         parts = []
         for _ in range(rng.randint(1, 12)):
-            parts.append(rng.choices([paragraph, lambda: f"<h{rng.randint(2, 4)}>{words(rng.randint(2, 8))}</h{rng.randint(2, 4)}>", lambda: "<ul>" + "".join(f"<li>{words(rng.randint(3, 20))}</li>" for _ in range(rng.randint(2, 5))) + "</ul>", lambda: f"<blockquote><p>{words(25)}</p></blockquote>", lambda: "<table><tr>" + "".join(f"<td>{words(3)}</td>" for _ in range(3)) + "</tr></table>", lambda: f"<pre>{words(20)}</pre>", lambda: f"<figure><img src=x><figcaption>{words(8)}</figcaption></figure>", lambda: f"<div>{words(30)}</div>"], weights=[16, 2, 2, 1, 1, 1, 1, 1])[0]())
+            parts.append(rng.choices([paragraph, lambda: f"<h{rng.randint(2, 4)}>{words(rng.randint(2, 8))}</h{rng.randint(2, 4)}>", lambda: "<ul>" + "".join(f"<li>{words(rng.randint(3, 20)) if rng.random() < 0.5 else sentences(rng.randint(1, 3))}</li>" for _ in range(rng.randint(2, 5))) + "</ul>", lambda: f"<blockquote><p>{words(25)}</p></blockquote>", lambda: "<table><tr>" + "".join(f"<td>{words(3)}</td>" for _ in range(3)) + "</tr></table>", lambda: f"<pre>{words(20)}</pre>", lambda: f"<figure><img src=x><figcaption>{words(8)}</figcaption></figure>", lambda: f"<div>{words(30)}</div>"], weights=[16, 2, 4, 1, 1, 1, 1, 1])[0]())
         return "".join(parts)
 
+    def linked_paragraph() -> str:
+        return "<p>" + " ".join(f'<a href="/{rng.randint(1, 99)}">{sentences(1)}</a>' for _ in range(rng.randint(1, 4))) + "</p>"
+
+    def short_lines() -> str:
+        return "".join(f"<div>{sentences(rng.randint(1, 2))}</div>" for _ in range(rng.randint(2, 6)))
+
+    def notice_text() -> str:
+        return rng.choice(["&copy; 2021 {}. All rights reserved.", "Copyright {} 2020", "All rights reserved {}", "(c) {}", "{} Alle Rechte vorbehalten", "Tous droits réservés {}", "Todos los derechos reservados {}", "Privacy {} Terms of use"]).format(words(rng.randint(0, 4)).rstrip(".!?"))
+
     def bare(tag: str, names: str) -> str:
         return f'<{tag}{mark(names)} data-main="0">'
 
@@ -303,20 +338,20 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
 
     def footer() -> str:
         tag = rng.choice(["footer", "footer", "div"])
-        return bare(tag, "footer site-footer bottom copyright colophon legal") + rng.choice([f"&copy; {words(4)}", f"<p>&copy; 2020 {words(6)}</p>", "".join(f"<p>{link()}</p>" for _ in range(4))]) + f"</{tag}>"
+        return bare(tag, "footer site-footer bottom copyright colophon legal") + rng.choice([f"&copy; {words(4)}", f"<p>&copy; 2020 {words(6)}</p>", notice_text(), f"<p>{notice_text()}</p>", f"<div>{notice_text()}</div>", "".join(f"<p>{link()}</p>" for _ in range(4))]) + f"</{tag}>"
 
     def advert() -> str:
         tag = rng.choice(["div", "div", "aside", "section"])
-        return bare(tag, "ad ads advert advertisement sponsor sponsored promo promotion banner adsense") + rng.choice([words(rng.randint(3, 14)), f"<p>{words(rng.randint(3, 20))}</p>", link()]) + f"</{tag}>"
+        return bare(tag, "ad ads advert advertisement sponsor sponsored promo promotion banner adsense") + rng.choice([words(rng.randint(3, 14)), f"<p>{words(rng.randint(3, 20))}</p>", sentences(rng.randint(1, 3)), f"<p>{sentences(rng.randint(1, 3))}</p>", link()]) + f"</{tag}>"
 
     def notice() -> str:
         tag = rng.choice(["div", "div", "section", "p", "dialog"])
-        return bare(tag, "cookie cookies notice consent alert message popup modal gdpr warning disclaimer newsletter subscribe overlay") + (words(rng.randint(5, 25)) if tag == "p" else f"<p>{words(rng.randint(5, 30))}</p>" + some(0.5, lambda: f"<button>{words(1)}</button>")) + f"</{tag}>"
+        return bare(tag, "cookie cookies notice consent alert message popup modal gdpr warning disclaimer newsletter subscribe overlay") + (words(rng.randint(5, 25)) if tag == "p" else f"<p>{rng.choice(['We use cookies. ', 'This site uses cookies. ', 'Subscribe to the newsletter. ', ''])}{words(rng.randint(5, 30))}</p>" + some(0.5, lambda: f"<button>{words(1)}</button>")) + f"</{tag}>"
 
     def sidebar() -> str:
         tag = rng.choice(["aside", "aside", "div", "section"])
-        lines = "".join(rng.choice([lambda: f"<li>{link()}</li>", lambda: f"<p>{words(rng.randint(3, 25))}</p>"])() for _ in range(rng.randint(2, 7)))
-        return bare(tag, "sidebar side related widget widgets recommended popular trending share social author-box tags more-stories") + f"<h3>{words(2)}</h3>" + f"<div>{lines}</div></{tag}>"
+        lines = "".join(rng.choice([lambda: f"<li>{link()}</li>", lambda: f"<p>{words(rng.randint(3, 25))}</p>", lambda: f"<p>{sentences(rng.randint(1, 3))}</p>"])() for _ in range(rng.randint(2, 7)))
+        return bare(tag, "sidebar side related widget widgets recommended popular trending share social author-box tags more-stories") + rng.choice(["<h2>{}</h2>", "<h3>{}</h3>", "<h3>{}</h3>", "<h4>{}</h4>", "<b>{}</b>"]).format(words(2)) + rng.choice([f"<div>{lines}</div>", f"<ul>{lines}</ul>", lines]) + f"</{tag}>"
 
     def form() -> str:
         return bare("form", "search search-form login signup contact newsletter subscribe") + f"<label>{words(2)}</label><input name=q>" + some(0.5, lambda: f"<p>{words(6)}</p>") + some(0.4, lambda: f"<select><option>{words(1)}<option>{words(1)}</select>") + some(0.3, lambda: f"<textarea>{words(5)}</textarea>") + f"<button>{words(1)}</button></form>"
@@ -324,23 +359,35 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     def comments() -> str:
         tag = rng.choice(["section", "div", "div", "ol"])
         inner = rng.choice(["div", "article", "li"]) if tag != "ol" else "li"
-        each = "".join(f"<{inner}{mark('comment comment reply comment-body response post-comment')}><p>{words(rng.randint(4, 60))}</p>" + some(0.4, lambda: f"<span>{words(2)}</span>") + f"</{inner}>" for _ in range(rng.randint(1, 6)))
-        return f'<{tag} {rng.choice(["class", "id"])}="{rng.choice(["comments", "comments", "comment-list", "responses", "discussion", "disqus", "user-comments", "reader-comments", "replies"])}" data-main="0">' + some(0.6, lambda: f"<h3>{words(2)}</h3>") + each + some(0.3, form) + f"</{tag}>"
+        each = "".join(f"<{inner}{mark('comment comment reply comment-body response post-comment')}><p>{words(rng.randint(4, 60)) if rng.random() < 0.5 else sentences(rng.randint(1, 5))}</p>" + some(0.4, lambda: f"<span>{words(2)}</span>") + f"</{inner}>" for _ in range(rng.randint(1, 6)))
+        return f'<{tag} {rng.choice(["class", "id"])}="{rng.choice(["comments", "comments", "comment-list", "responses", "discussion", "disqus", "user-comments", "reader-comments", "replies"])}" data-main="0">' + some(0.6, lambda: rng.choice(["<h2>{}</h2>", "<h3>{}</h3>", "<h4>{}</h4>"]).format(words(2))) + each + some(0.3, form) + f"</{tag}>"
 
     pages = []
     for _ in range(n):
         tag = rng.choice(["article", "article", "main", "div", "div", "section"])
         names = "content article post entry main story text body article-body post-content entry-content page"
         title = rng.choice([f"<h1>{words(rng.randint(2, 9))}</h1>", f"<header><h1>{words(5)}</h1></header>", ""])
-        inner = title + body()
+        form_of = rng.random()
+        inner = title + (body() if form_of < 0.8 else "".join(linked_paragraph() for _ in range(rng.randint(2, 6))) if form_of < 0.9 else short_lines())
         if rng.random() < 0.3:
             inner += rng.choice([advert, sidebar, notice, form])() + body()
-        main = f'<{tag}{mark(names)} data-main="1">{inner}' + some(0.15, comments) + f"</{tag}>"
+        name = mark(names)
+        if rng.random() < 0.06:  # names that mislead, beside one that does not
+            beside = ["cookie-recipe", "related-topic", "social-studies", "login-guide", "newsletter-issue"]
+            name = f' class="{" ".join(rng.sample([rng.choice(beside), rng.choice(names.split())], 2))}"'
+        main = f'<{tag}{name} data-main="1">{inner}' + some(0.15, comments) + f"</{tag}>"
         before = some(0.6, header) + some(0.7, menu) + some(0.4, advert) + some(0.3, notice) + some(0.2, form)
         after = some(0.4, sidebar) + some(0.4, comments) + some(0.3, advert) + some(0.2, form) + some(0.85, footer) + some(0.2, notice)
         middle = some(0.2, sidebar) + main
         if rng.random() < 0.3:
             middle = f'<div{mark("container wrapper wrap layout row page site")}>{middle}' + some(0.4, sidebar) + "</div>"
+        layout = rng.random()
+        if layout < 0.08:  # a table that lays out the page
+            middle = f'<table><tr><td data-main="0">{menu()}</td><td data-main="1">{inner}</td></tr></table>' if rng.random() < 0.5 else f'<table><tr><td data-main="0">{"".join(f"<p>{link()}</p>" for _ in range(rng.randint(3, 8)))}</td><td data-main="1">{inner}</td>' + some(0.5, lambda: f'<td data-main="0">{words(8)}</td>') + "</tr></table>"
+        elif layout < 0.2:  # text right below the body, and blocks without names
+            inner = inner if rng.random() < 0.5 else title + short_lines()
+            middle = f'<div data-main="1">{inner}</div>' if rng.random() < 0.5 else inner.replace("<p", '<p data-main="1"').replace('<p data-main="1"re', "<pre").replace("<div>", '<div data-main="1">').replace("<h1>", '<h1 data-main="1">')
+            after = f'<div data-main="0">{notice_text()}</div>' if rng.random() < 0.7 else after
         pages.append(f"<!DOCTYPE html><html><head><title>{words(4)}</title><style>p{{}}</style></head><body>{before}{middle}{after}" + rng.choice(["</body></html>", "</body></html>", ""]))
     return pages
 
