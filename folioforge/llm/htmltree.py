@@ -174,13 +174,17 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     return nodes, blocks
 
 
+#: Elements whose share of link text counts by tag.
+LISTS = frozenset("li ul ol dl td".split())
+
+
 def features(nodes: list[Element], k: int) -> list[str]:
     e = nodes[k]
     out = [f"t:{e.tag}", f"p:{e.tag}<{nodes[e.parent].tag if e.parent >= 0 else '-'}"]
     out += [f"m:{w}" for w in e.marks] or [f"m:-{e.tag}"]
     out.append(f"c:{min(e.chars, 4000).bit_length() // 2}")
     if e.chars:
-        out.append(f"l:{min(4, 5 * e.linked // e.chars)}{'s' if e.stops >= 3 and 20 * e.stops < e.chars else ''}")
+        out.append(f"l:{e.tag if e.tag in LISTS else ''}{min(4, 5 * e.linked // e.chars)}{'s' if e.stops >= 3 and 20 * e.stops < e.chars else ''}")
     if e.ended is not None:
         out.append(f"e:{'-' if e.marks else e.tag}{int(e.ended)}")
     out += [f"w:{w}" for w in e.cues] or (["w:"] if e.chars else [])
@@ -312,12 +316,16 @@ def labelled_pages(n: int = 800, seed: int = 11) -> list[str]:
     def body() -> str:
         parts = []
         for _ in range(rng.randint(1, 12)):
-            parts.append(rng.choices([paragraph, lambda: f"<h{rng.randint(2, 4)}>{words(rng.randint(2, 8))}</h{rng.randint(2, 4)}>", lambda: "<ul>" + "".join(f"<li>{words(rng.randint(3, 20)) if rng.random() < 0.5 else sentences(rng.randint(1, 3))}</li>" for _ in range(rng.randint(2, 5))) + "</ul>", lambda: f"<blockquote><p>{words(25)}</p></blockquote>", lambda: "<table><tr>" + "".join(f"<td>{words(3)}</td>" for _ in range(3)) + "</tr></table>", lambda: f"<pre>{words(20)}</pre>", lambda: f"<figure><img src=x><figcaption>{words(8)}</figcaption></figure>", lambda: f"<div>{words(30)}</div>"], weights=[16, 2, 4, 1, 1, 1, 1, 1])[0]())
+            parts.append(rng.choices([paragraph, lambda: f"<h{rng.randint(2, 4)}>{words(rng.randint(2, 8))}</h{rng.randint(2, 4)}>", listed, lambda: f"<blockquote><p>{words(25)}</p></blockquote>", lambda: "<table><tr>" + "".join(f"<td>{words(3)}</td>" for _ in range(3)) + "</tr></table>", lambda: f"<pre>{words(20)}</pre>", lambda: f"<figure><img src=x><figcaption>{words(8)}</figcaption></figure>", lambda: f"<div>{words(30)}</div>"], weights=[16, 2, 4, 1, 1, 1, 1, 1])[0]())
         return "".join(parts)
 
     def linked_paragraph() -> str:
         return "<p>" + " ".join(f'<a href="/{rng.randint(1, 99)}">{sentences(1)}</a>' for _ in range(rng.randint(1, 4))) + "</p>"
 
+    def listed() -> str:
+        tag, short = rng.choice(["ul", "ul", "ol"]), rng.random() < 0.5
+        return f"<{tag}>" + "".join(f"<li>{words(rng.randint(1, 6)) if short else sentences(rng.randint(1, 3))}</li>" for _ in range(rng.randint(2, 7))) + f"</{tag}>"
+
     def short_lines() -> str:
         return "".join(f"<div>{sentences(rng.randint(1, 2))}</div>" for _ in range(rng.randint(2, 6)))
 
