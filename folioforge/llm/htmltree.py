@@ -377,6 +377,7 @@ def labelled_pages(n: int = 800, seed: int = 11) -> list[str]:
         title = rng.choice([f"<h1>{words(rng.randint(2, 9))}</h1>", f"<header><h1>{words(5)}</h1></header>", ""])
         form_of = rng.random()
         inner = title + (body() if form_of < 0.8 else "".join(linked_paragraph() for _ in range(rng.randint(2, 6))) if form_of < 0.9 else short_lines())
+        inner += some(0.2, lambda: f"<p>{notice_text()}</p>" + some(0.3, paragraph))  # articles quote notices, too
         if rng.random() < 0.3:
             inner += rng.choice([advert, sidebar, notice, form])() + body()
         name = mark(names)
