@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioforge.llm.session import discard, written
@@ -16,14 +16,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u is linked to the smallest of u and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = _lowest(both).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """u and its smaller neighbours are linked to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = _lowest(down)
-    kept = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    kept = down.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return kept.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
@@ -31,16 +31,16 @@ def components(links: DataFrame, *, max_rounds: int = 64) -> DataFrame:
     """links: two bigint columns. Returns (id, component), the smallest id reachable, for each linked id.
 
     Rounds work on a table of links only; a node with very many links is aggregated before the
-    shuffle, and joins on it can be split. Each round is written to the shared folder, and the one before it deleted.
+    shuffle, and joins on it can be split (by sorts, never by a broadcast from the driver). Each round is written to the shared folder, and the one before it deleted.
     """
     a, b = links.columns
     edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links")
-    digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")))
-    before = edges.agg(digest.alias("d")).first()["d"]
+    before = None
     for _ in range(max_rounds):
-        last, edges = edges, written(_small_star(_large_star(edges)), "links")
+        seen = Observation()
+        last, edges = edges, written(_small_star(_large_star(edges)).observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "links")
         discard(last)
-        now = edges.agg(digest.alias("d")).first()["d"]
+        now = tuple(seen.get.values())
         if now == before:
             break
         before = now
