@@ -46,7 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("near duplicates", near_dedup), ("decontamination", benchmark_free), ("mixing", mix), ("token files", tokens)]
 
-#: The classifier and the byte-level tokenizer cannot be expressed in SQL; the stages are tested against brute force.
+#: The classifier and the byte-level tokenizer cannot be expressed in SQL; each stage is tested on its own input (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
