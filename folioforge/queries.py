@@ -82,9 +82,15 @@ def headings(spark, sf):
 _EDGES = ["Chapter 1", "chapter IV. x", "Chapter Vicious", "Chapter I-beam", "Chapter civil-war", "Chapter Twenty-One", "Chapter 1.5", "Chapter of accidents began", "Chapter 1st", "Chapter: 1", "# Chapter 1", "Chapters 1", "Chapter one_two", "Prologue The", "Prologue", "Prologue: a", "Prologue-x", "EPILOGUE . z", "  chapter 7", "Chapter"]
 
 
-@query(f"WITH book AS (SELECT 'x' AS project_id, 'x' AS t), {_LINES_SQL.replace('l AS (SELECT project_id, p - 1 AS line_no, ls[p] AS line, regexp_replace(ls[p],', 'l AS (SELECT project_id, 0 AS line_no, line, regexp_replace(line,').replace('FROM raw),', 'FROM (SELECT line AS project_id, line FROM (VALUES ' + ', '.join(f'''('{e}')''' for e in _EDGES) + ') e(line))),', 1)} SELECT line, label FROM lab")
+_HEADS = """SELECT {edges} UNION ALL SELECT concat(CASE p_partkey % 9 WHEN 0 THEN 'Chapter ' WHEN 1 THEN '  CHAPTER  ' WHEN 2 THEN 'Prologue' WHEN 3 THEN 'Prologue: ' WHEN 4 THEN 'Chapter:' WHEN 5 THEN 'chapter IX ' WHEN 6 THEN 'Epilogue - ' WHEN 7 THEN 'The chapter ' ELSE 'Chapter ' END, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS {string}) ELSE '' END, CASE WHEN p_partkey % 3 = 0 THEN '. ' WHEN p_partkey % 3 = 1 THEN '' ELSE ' ' END, p_name) AS line FROM {part}"""
+_HEAD_LINES = _HEADS.format(edges="unnest([" + ", ".join(f"'{e}'" for e in _EDGES) + "]) AS line", string="VARCHAR", part="part")
+
+
+@query(f"WITH book AS (SELECT 'x' AS project_id, 'x' AS t), {_LINES_SQL.replace('l AS (SELECT project_id, p - 1 AS line_no, ls[p] AS line, regexp_replace(ls[p],', 'l AS (SELECT project_id, 0 AS line_no, line, regexp_replace(line,').replace('FROM raw),', f'FROM (SELECT line AS project_id, line FROM ({_HEAD_LINES}))),', 1)} SELECT line, label FROM lab")
 def heading_labels(spark, sf):
-    lines = spark.createDataFrame([(e,) for e in _EDGES], "line string")
+    """Edge cases of headings, and a line made of every part's name."""
+    edges = "explode(array(" + ", ".join(f"'{e}'" for e in _EDGES) + ")) AS line"
+    lines = spark.sql(_HEADS.format(edges=edges, string="STRING", part="{p}"), p=_table(spark, sf, "part"))
     return lines.select("line", tx.heading_label(F.col("line")).alias("label"))
 
 
@@ -302,13 +308,21 @@ def conflicts_kept(spark, sf):
     return rules.merged_keeping_conflicts(old, new, ["doc_id"])
 
 
-@query("SELECT * FROM (VALUES ('m1', 'scenes', '2.1.0', true), ('m1', 'looks', NULL, true), ('m2', 'scenes', NULL, false), ('m3', 'profiles', '1.4.2', true), ('m4', 'profiles', '1.10.0', true)) t(module_id, data_type, version, ready)")
+@query("""WITH wants AS (SELECT p_partkey AS m, concat('t', p_size % 11) AS t, p_size % 6 AS a, p_partkey % 7 AS b, p_partkey % 6 AS k, p_size % 4 <> 1 AS required FROM part),
+have AS (SELECT concat('t', s_suppkey % 9) AS t, s_nationkey % 6 AS a, CAST(s_suppkey AS INTEGER) % 13 AS b, s_nationkey AS c FROM supplier),
+fit AS (SELECT m, wants.t, required, have.a * 1000000 + have.b * 1000 + have.c AS v, have.a || '.' || have.b || '.' || have.c AS version FROM wants LEFT JOIN have ON wants.t = have.t AND CASE k WHEN 0 THEN true WHEN 1 THEN have.a >= wants.a AND have.a < wants.a + 2
+  WHEN 2 THEN have.a = wants.a AND have.b >= wants.b WHEN 3 THEN have.a = wants.a AND have.b = wants.b WHEN 4 THEN have.a * 1000000 + have.b * 1000 + have.c > wants.a * 1000000 + wants.b * 1000 ELSE have.a * 1000000 + have.b * 1000 + have.c <= wants.a * 1000000 + wants.b * 1000 END)
+SELECT concat('m', m) AS module_id, t AS data_type, max_by(version, v) AS version, max(version) IS NOT NULL OR NOT bool_or(required) AS ready FROM fit GROUP BY m, t""")
 def extension_match(spark, sf):
-    e = spark.sql("""SELECT * FROM VALUES ('m1', array(named_struct('data_type', 'scenes', 'version_range', '>=2.0.0 <3.0.0', 'required', true), named_struct('data_type', 'looks', 'version_range', '*', 'required', false))),
-      ('m2', array(named_struct('data_type', 'scenes', 'version_range', '^3.0.0', 'required', CAST(NULL AS BOOLEAN)))), ('m3', array(named_struct('data_type', 'profiles', 'version_range', '~1.4.0', 'required', true))),
-      ('m4', array(named_struct('data_type', 'profiles', 'version_range', '^1.0.0', 'required', true))) t(module_id, consumes)""")
-    have = spark.createDataFrame([("scenes", "1.0.0"), ("scenes", "2.1.0"), ("scenes", "2.0.5"), ("profiles", "1.4.2"), ("profiles", "1.10.0"), ("profiles", "1.9.0")], "data_type string, version string")
-    return reports.extension_inputs(e, have)
+    """Every part is a module that wants one type of data in a range of versions; suppliers have the versions."""
+    p = _table(spark, sf, "part").select("p_partkey", "p_size", (F.col("p_size") % 6).alias("a"), (F.col("p_partkey") % 7).alias("b"))
+    at = lambda a: F.concat_ws(".", a, "b", F.lit("0"))
+    k = F.col("p_partkey") % 6
+    wanted = F.when(k == 0, "*").when(k == 1, F.concat(F.lit(">="), "a", F.lit(".0.0 <"), F.col("a") + 2, F.lit(".0.0"))).when(k == 2, F.concat(F.lit("^"), at("a"))).when(k == 3, F.concat(F.lit("~"), at("a"))).when(k == 4, F.concat(F.lit(">"), at("a"))).otherwise(F.concat(F.lit("<="), at("a")))
+    required = F.when(F.col("p_size") % 4 == 1, False).when(F.col("p_size") % 4 == 2, True)  # null: the default, required
+    modules = p.select(F.concat(F.lit("m"), "p_partkey").alias("module_id"), F.array(F.struct(F.concat(F.lit("t"), F.col("p_size") % 11).alias("data_type"), wanted.alias("version_range"), required.alias("required"))).alias("consumes"))
+    have = _table(spark, sf, "supplier").select(F.concat(F.lit("t"), F.col("s_suppkey") % 9).alias("data_type"), F.concat_ws(".", F.col("s_nationkey") % 6, F.col("s_suppkey") % 13, "s_nationkey").alias("version"))
+    return reports.extension_inputs(modules, have)
 
 
 @query("SELECT * FROM (VALUES ('a.txt', 'cp1252', 'café €', CAST(NULL AS VARCHAR)), ('b.txt', 'utf-16-le-bom', 'é🎉', NULL), ('c.docx', 'docx-xml', 'Hi' || chr(9) || 'there' || chr(10) || 'End', NULL), ('d.pdf', NULL, NULL, 'supported inputs: .txt, .md, .docx'), ('e.md', 'utf-8', '', 'source contains no text')) t(filename, encoding, canonical_text, reason)")
