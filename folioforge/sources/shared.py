@@ -45,12 +45,24 @@ def _tidied(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
 
 
+#: Share of the driver's largest heap that may be taken from the system before what is free in it is given back.
+_HEAP_SHARE = 0.6
+
+
+def _trimmed(spark: SparkSession) -> None:
+    """Plans leave much garbage; a heap that once grew by it keeps its size until a full collection."""
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() > _HEAP_SHARE * heap.maxMemory():
+        spark._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     with _tidied(spark):
         df.write.option("compression", "zstd").parquet(path)
+    _trimmed(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
