@@ -67,6 +67,18 @@ def published_projects(spark, sf):
     return _digests(records.read_projects(spark, root))
 
 
+_PROJECT = "schema_version STRING, project_id STRING, title STRING, pipeline_version STRING, state STRING, source_manifest STRING, artifacts ARRAY<STRUCT<artifact_type:STRING,path:STRING,schema_version:STRING,sha256:STRING>>"
+
+
+@query(_FILES_SQL + " SELECT concat('PRJ-', project_id) AS project_id, project_id AS title, 'ingested' AS state, concat('source_manifest source/manifest.json ', sha256(content)) AS artifact FROM files WHERE path = 'source/manifest.json'")
+def project_records(spark, sf):
+    """project.json of published folders, read as whole JSON files with their declared schema."""
+    root = fresh_path(spark, "projects")
+    records.write_projects(project_files(ingest(_book_files(spark, sf))), root.removeprefix("file://"))
+    got = records.read_json(spark, f"{root}/*/project.json", _PROJECT)
+    return got.select("project_id", "title", "state", F.concat_ws(" ", F.col("artifacts")[0]["artifact_type"], F.col("artifacts")[0]["path"], F.col("artifacts")[0]["sha256"]).alias("artifact"))
+
+
 @query(_WITH + "SELECT 'first' AS side, project_id, chapter_id FROM chapters WHERE ordinal % 3 = 1 UNION ALL SELECT 'second', project_id, chapter_id FROM chapters WHERE ordinal % 3 = 1")
 def run_differences(spark, sf):
     """Two runs of which the second has another text in every third chapter."""

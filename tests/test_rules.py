@@ -128,6 +128,30 @@ def test_command_line(spark, tmp_path, capsys):
     assert any(v.startswith("V12") for v in cli.violations(spark, target))
 
 
+def test_exit_codes(spark, tmp_path, capsys):
+    source = tmp_path / "odd [1] name.md"
+    source.write_text("Prologue\nOnce.\nChapter 1\nTwice.\n")
+    target = tmp_path / "p" / "odd"
+    assert cli.main(["ingest", str(source), "--project-dir", str(target)]) == 0
+    assert cli.main(["ingest", str(source), "--project-dir", str(target)]) == 1
+    assert cli.main(["ingest", str(tmp_path / "none.txt"), "--project-dir", str(tmp_path / "q")]) == 1
+    assert cli.main(["validate", str(target)]) == 0
+    assert json.loads((target / "project.json").read_text())["project_id"] == "PRJ-odd-1-name"
+    (target / "data/units/p01.units.jsonl").write_text("x\n")
+    assert cli.main(["validate", str(target)]) == 1 and cli.main(["validate", str(tmp_path / "gone")]) == 1
+    said = capsys.readouterr().out
+    assert "INGESTION PASSED" in said and "INGESTION FAILED: project directory already exists" in said and "VALIDATE PASSED" in said and "- V17 P01 1" in said
+    schemas = tmp_path / "schemas"
+    schemas.mkdir()
+    assert cli.main(["lint", str(schemas)]) == 1
+    (schemas / "a.json").write_text('{"$ref":"b.json"}')
+    assert cli.main(["lint", str(schemas)]) == 1
+    (schemas / "b.json").write_text("{}")
+    assert cli.main(["lint", str(schemas)]) == 0
+    said = capsys.readouterr().out
+    assert "- L1" in said and "- L3 b.json" in said and ("NOTICE: jsonschema is unavailable" in said or "L4" not in said)
+
+
 def test_stream(spark, tmp_path):
     inbox, target = tmp_path / "in", str(tmp_path / "tables")
     inbox.mkdir()
