@@ -1,44 +1,61 @@
-"""Record shapes as data, compiled to column predicates over JSON records held as VARIANT.
+"""Record shapes as data, compiled to one column over JSON records held as VARIANT.
 
-A shape is built from the small classes below. `checks` turns it into (path, rule, predicate);
-a record violates a check only where the predicate is false. Keys are told apart from nulls: a
-required key may hold null if its shape allows it, and an absent optional key is not looked at.
+A shape is built from the small classes below. Each compiles to SQL that gives the array of (path,
+rule) that a value violates; every node of a record is taken out of its parent and typed once, and
+all its rules look at that. A rule is violated only where its predicate is false. Keys are told
+apart from nulls: a required key may hold null if its shape allows it, and an absent optional key is
+not looked at. Elements of an array report a rule once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _names = count()
+_NONE = "cast(array() as array<struct<path: string, rule: string>>)"
 
 
 def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _type(v: str) -> str:
-    return f"regexp_extract(schema_of_variant({v}), '^[A-Z]+', 0)"
+def _string(n: str) -> str:
+    return f"try_variant_get({n}.v, '$', 'string')"
 
 
-def _string(v: str) -> str:
-    return f"try_variant_get({v}, '$', 'string')"
+def _violated(rules: list[tuple[str, str, str]]) -> str:
+    """rules: path, rule, predicate."""
+    each = [f"CASE WHEN NOT coalesce({sql}, true) THEN named_struct('path', {_quoted(path)}, 'rule', {_quoted(rule)}) END" for path, rule, sql in rules]
+    return f"filter(array({', '.join(each)}), r -> r IS NOT NULL)" if each else _NONE
 
 
 class Shape:
-    def checks(self, v: str, path: str) -> list[tuple[str, str, str]]:
-        """v: SQL of a non-null variant."""
-        raise NotImplementedError
+    def rules(self, n: str, path: str) -> list[tuple[str, str, str]]:
+        """n: SQL of a node: its value v, a variant, and its type t."""
+        return []
+
+    def below(self, n: str, path: str) -> list[str]:
+        """Arrays of the violations of what the node holds."""
+        return []
+
+    def body(self, n: str, path: str) -> str:
+        parts = [_violated(self.rules(n, path)), *self.below(n, path)]
+        return f"flatten(array({', '.join(parts)}))" if len(parts) > 1 else parts[0]
+
+    def violations(self, value: str, path: str) -> str:
+        """value: SQL of a variant; null gives none."""
+        n = f"n{next(_names)}"
+        node = f"named_struct('v', {value}, 't', regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0))"
+        return f"transform(array({node}), {n} -> CASE WHEN {n}.v IS NULL THEN {_NONE} ELSE {self.body(n, path)} END)[0]"
 
 
 @dataclass
 class Any(Shape):
-    def checks(self, v, path):
-        return []
+    pass
 
 
 @dataclass
@@ -46,12 +63,12 @@ class Str(Shape):
     pattern: str | None = None
     least: int = 0
 
-    def checks(self, v, path):
-        out = [(path, "type", f"{_type(v)} = 'STRING'")]
+    def rules(self, n, path):
+        out = [(path, "type", f"{n}.t = 'STRING'")]
         if self.pattern:
-            out.append((path, "pattern", f"{_type(v)} <> 'STRING' OR {_string(v)} rlike {_quoted(rf'\A(?:{self.pattern})\z')}"))
+            out.append((path, "pattern", f"{n}.t <> 'STRING' OR {_string(n)} rlike {_quoted(rf'\A(?:{self.pattern})\z')}"))
         if self.least:
-            out.append((path, "minLength", f"{_type(v)} <> 'STRING' OR length({_string(v)}) >= {self.least}"))
+            out.append((path, "minLength", f"{n}.t <> 'STRING' OR length({_string(n)}) >= {self.least}"))
         return out
 
 
@@ -59,8 +76,8 @@ class Str(Shape):
 class Enum(Shape):
     values: tuple[str, ...]
 
-    def checks(self, v, path):
-        return [(path, "enum" if len(self.values) > 1 else "const", f"{_type(v)} = 'STRING' AND {_string(v)} IN ({', '.join(map(_quoted, self.values))})")]
+    def rules(self, n, path):
+        return [(path, "enum" if len(self.values) > 1 else "const", f"{n}.t = 'STRING' AND {_string(n)} IN ({', '.join(map(_quoted, self.values))})")]
 
 
 @dataclass
@@ -69,9 +86,9 @@ class Number(Shape):
     high: float | None = None
     whole: bool = False
 
-    def checks(self, v, path):
-        numeric = f"{_type(v)} IN ('BIGINT', 'DECIMAL', 'DOUBLE')"
-        value = f"try_variant_get({v}, '$', 'double')"
+    def rules(self, n, path):
+        numeric = f"{n}.t IN ('BIGINT', 'DECIMAL', 'DOUBLE')"
+        value = f"try_variant_get({n}.v, '$', 'double')"
         out = [(path, "type", f"{numeric} AND {value} = floor({value})" if self.whole else numeric)]
         if self.low is not None:
             out.append((path, "minimum", f"NOT {numeric} OR {value} >= {self.low}"))
@@ -82,16 +99,16 @@ class Number(Shape):
 
 @dataclass
 class Bool(Shape):
-    def checks(self, v, path):
-        return [(path, "type", f"{_type(v)} = 'BOOLEAN'")]
+    def rules(self, n, path):
+        return [(path, "type", f"{n}.t = 'BOOLEAN'")]
 
 
 @dataclass
 class OrNull(Shape):
     shape: Shape
 
-    def checks(self, v, path):
-        return [(p, rule, f"is_variant_null({v}) OR ({sql})") for p, rule, sql in self.shape.checks(v, path)]
+    def body(self, n, path):
+        return f"CASE WHEN is_variant_null({n}.v) THEN {_NONE} ELSE {self.shape.body(n, path)} END"
 
 
 @dataclass
@@ -100,16 +117,23 @@ class List(Shape):
     least: int = 0
     unique: bool = False
 
-    def checks(self, v, path):
-        elements = f"try_variant_get({v}, '$', 'array<variant>')"
-        is_list = f"{_type(v)} = 'ARRAY'"
+    def _elements(self, n: str) -> str:
+        return f"try_variant_get({n}.v, '$', 'array<variant>')"
+
+    def rules(self, n, path):
+        is_list = f"{n}.t = 'ARRAY'"
         out = [(path, "type", is_list)]
         if self.least:
-            out.append((path, "minItems", f"NOT {is_list} OR size({elements}) >= {self.least}"))
+            out.append((path, "minItems", f"NOT {is_list} OR size({self._elements(n)}) >= {self.least}"))
         if self.unique:
-            out.append((path, "uniqueItems", f"NOT {is_list} OR size(array_distinct(transform({elements}, u -> to_json(u)))) = size({elements})"))
+            out.append((path, "uniqueItems", f"NOT {is_list} OR size(array_distinct(transform({self._elements(n)}, u -> to_json(u)))) = size({self._elements(n)})"))
+        return out
+
+    def below(self, n, path):
+        if isinstance(self.items, Any):
+            return []
         x = f"x{next(_names)}"
-        return out + [(p, rule, f"NOT {is_list} OR forall({elements}, {x} -> coalesce({sql}, true))") for p, rule, sql in self.items.checks(x, f"{path}[]")]
+        return [f"CASE WHEN {n}.t = 'ARRAY' THEN array_distinct(flatten(transform({self._elements(n)}, {x} -> {self.items.violations(x, f'{path}[]')}))) ELSE {_NONE} END"]
 
 
 @dataclass
@@ -120,18 +144,18 @@ class Record(Shape):
     optional: frozenset[str] = frozenset()
     extra: tuple[tuple[str, str, str], ...] = field(default=())
 
-    def checks(self, v, path):
-        is_object = f"{_type(v)} = 'OBJECT'"
-        keys = f"json_object_keys(to_json({v}))"
+    def rules(self, n, path):
+        is_object = f"{n}.t = 'OBJECT'"
+        keys = f"json_object_keys(to_json({n}.v))"
         listed = lambda names: f"array({', '.join(map(_quoted, names))})"
         needed = [k for k in self.fields if k not in self.optional]
         out = [(path, "type", is_object), (path, "additionalProperties", f"NOT {is_object} OR size(array_except({keys}, {listed(self.fields)})) = 0")]
         if needed:
             out.append((path, "required", f"NOT {is_object} OR size(array_except({listed(needed)}, {keys})) = 0"))
-        for name, shape in self.fields.items():
-            child = f"try_variant_get({v}, '$.{name}', 'variant')"
-            out += [(p, rule, f"{child} IS NULL OR ({sql})") for p, rule, sql in shape.checks(child, f"{path}.{name}" if path else name)]
-        return out + [(path, rule, sql.format(v=v)) for _, rule, sql in self.extra]
+        return out + [(path, rule, sql.format(v=f"{n}.v")) for _, rule, sql in self.extra]
+
+    def below(self, n, path):
+        return [shape.violations(f"try_variant_get({n}.v, '$.{name}', 'variant')", f"{path}.{name}" if path else name) for name, shape in self.fields.items() if not isinstance(shape, Any)]
 
 
 # Identifiers, enumerations and formats of the records.
@@ -209,7 +233,5 @@ def check_records(records: DataFrame, shape: Shape | str, *, key: str = "key", j
     """records: a key and a JSON text. Returns violations (key, path, rule); text that is no JSON violates "json"."""
     shape = SHAPES[shape] if isinstance(shape, str) else shape
     parsed = records.select(F.col(key).alias("key"), F.expr(f"try_parse_json(`{json}`)").alias("v"))
-    rules = [f"CASE WHEN NOT coalesce({sql}, true) THEN named_struct('path', {_quoted(path)}, 'rule', {_quoted(rule)}) END" for path, rule, sql in shape.checks("v", "")]
-    found = reduce(lambda a, b: f"concat({a}, {b})", [f"array({', '.join(rules[i : i + 40])})" for i in range(0, len(rules), 40)])
-    bad = F.expr(f"CASE WHEN v IS NULL THEN array(named_struct('path', '', 'rule', 'json')) ELSE filter({found}, x -> x IS NOT NULL) END")
+    bad = F.expr(f"CASE WHEN v IS NULL THEN array(named_struct('path', '', 'rule', 'json')) ELSE {shape.violations('v', '')} END")
     return parsed.select("key", F.explode(bad).alias("x")).select("key", "x.path", "x.rule")
