@@ -30,7 +30,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.session import written
+from folioforge.llm.session import discard, written
 
 ALPHA = 0.7
 FRACTION = 0.8
@@ -80,12 +80,13 @@ def _targets(cells: DataFrame, dim: str, alpha: float, given: DataFrame | None)
     return raw.select("value", (F.col("raw") / F.lit(max(total, 1e-300))).alias("share"))
 
 
-def _scaled(cells: DataFrame, dim: str, total: float, one_task: bool) -> DataFrame:
-    """raked, scaled to the target share of each of the dimension's values."""
+def _scaled(cells: DataFrame, dim: str, total: float, one_task: bool, spent: list[DataFrame]) -> DataFrame:
+    """raked, scaled to the target share of each of the dimension's values. spent: gets tables to delete after the rounds."""
     if one_task:
         out = cells.withColumn("have", F.sum("raked").over(Window.partitionBy(dim)))
     else:  # sums are combined before the shuffle, so a value that most cells share is no task of its own
         sums = written(cells.groupBy(F.col(dim).alias("value")).agg(F.sum("raked").alias("have")), "sums")  # else each step would hold the plan before it twice
+        spent.append(sums)
         out = cells.join(sums, F.col(dim).eqNullSafe(F.col("value"))).drop("value")
     scaled = F.when(F.col("have") > 0, F.col("raked") * F.col(f"to_{dim}") * F.lit(total) / F.col("have")).otherwise(F.col("raked"))
     return out.withColumn("raked", scaled).drop("have")
@@ -109,14 +110,16 @@ def rake(cells: DataFrame, *, alpha: float = ALPHA, rounds: int = ROUNDS, target
         want = _targets(cells, dim, alpha, targets.get(dim))
         cells = cells.join(want, F.col(dim).eqNullSafe(F.col("value")), "left").drop("value").withColumn(f"to_{dim}", F.coalesce("share", F.lit(0.0))).drop("share")
     cells = cells.withColumn("raked", F.col("words").cast("double"))
-    step = ROUNDS_A_STEP if one_task else 1
+    step, spent = ROUNDS_A_STEP if one_task else 1, []
     for start in range(0, rounds, step):
         cells = written(cells.coalesce(1) if one_task else cells, "raked")
+        spent.append(cells)
         cells = cells.coalesce(1) if one_task else cells
         for _ in range(min(step, rounds - start)):
             for dim in DIMENSIONS:
-                cells = _scaled(cells, dim, total, one_task)
+                cells = _scaled(cells, dim, total, one_task, spent)
     cells = written(cells, "raked")
+    discard(*spent)
     if (error := marginal_error(cells)) > TOLERANCE:
         warnings.warn(f"raking stopped after {rounds} rounds with a marginal {error:.2g} from its target", stacklevel=2)
     return cells.drop(*[f"to_{d}" for d in DIMENSIONS])

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.llm import textkit as tk
-from folioforge.llm.session import written
+from folioforge.llm.session import discard, written
 
 KINDS = ("low", "toxic")
 
@@ -190,6 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     known = written(docs.select(F.col(f"`{doc_id}`").cast("long").alias("label_id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "label_id").select("low", "toxic", "text"), "labelled")  # at most max_labelled rows
     total = known.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in KINDS]).first()
     if total["n"] < LEAST_LABELS:
+        discard(known)
         return {y: Logistic() for y in KINDS}
     counts = known.mapInArrow(_feature_counts, "feature int, n bigint, low bigint, toxic bigint").groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(y).alias(y) for y in KINDS]).where(F.col("n") >= LEAST_SEEN)
     best = counts.select("feature", *[_g2(y, total["n"], total[y]).alias(y) if 0 < total[y] < total["n"] else F.lit(0.0).alias(y) for y in KINDS]).where(F.greatest(*KINDS) > LEAST_G2)
@@ -197,6 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     features = {y: np.array(sorted(r[0] for r in best.where(F.col(y) > LEAST_G2).orderBy(F.col(y).desc(), "feature").limit(n_features).select("feature").collect()), np.int64) for y in KINDS}
     every = np.union1d(features["low"], features["toxic"])
     table = known.mapInArrow(lambda it: _examples(it, every), "low int, toxic int, places array<smallint>, shapes array<double>").toArrow().combine_chunks()
+    discard(known, best)
     places = table["places"].combine_chunks()
     rows = np.repeat(np.arange(table.num_rows), np.asarray(places.value_lengths()))
     held = every[np.asarray(places.flatten()).astype(np.int64)]
@@ -239,7 +241,7 @@ def site_posteriors(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
     """Hosts (host, host_low, host_toxic), paths (host, lang, path_low, path_toxic), and the shares of all labelled documents."""
     narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("label_id"), F.col(f"`{host}`").cast("string").alias("host"), F.col(f"`{lang}`").cast("string").alias("lang"))
     paths = narrow.join(_valid(labels), "label_id").groupBy("host", "lang").agg(F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(f"{y}_sum") for y in KINDS])
-    paths = written(paths, "paths")
+    counts = paths = written(paths, "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), *[F.sum(f"{y}_sum").alias(f"host_{y}_sum") for y in KINDS])
     every = hosts.agg(F.sum("host_n").alias("n"), *[F.sum(f"host_{y}_sum").alias(y) for y in KINDS]).first()
     means = {y: every[y] / every["n"] if every["n"] else 0.5 for y in KINDS}
@@ -251,7 +253,9 @@ def site_posteriors(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
         k = _strength(paths.withColumn("m", F.col(f"{y}_sum") / F.col("n")), "m", F.col(f"host_{y}"), "n")
         paths = paths.withColumn(f"path_{y}", (F.col(f"{y}_sum") + k * F.col(f"host_{y}")) / (F.col("n") + k))
     paths = written(paths.select("host", "lang", *[f"path_{y}" for y in KINDS]), "sites")
-    return written(hosts.select("host", *[f"host_{y}" for y in KINDS]), "hosts"), paths, means
+    hosts = written(hosts.select("host", *[f"host_{y}" for y in KINDS]), "hosts")
+    discard(counts)
+    return hosts, paths, means
 
 
 def _combined(scored: DataFrame, host: Column, lang: Column, sites: tuple[DataFrame, DataFrame, dict[str, float]], threshold: float) -> DataFrame:

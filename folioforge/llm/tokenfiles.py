@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import textkit as tk
 from folioforge.llm.bpe import encoder
-from folioforge.llm.session import fresh_path, partitions, written
+from folioforge.llm.session import discard, fresh_path, partitions, written
 
 MAGIC = b"FOLIOTK1"
 BLOCK_IDS = 1 << 14
@@ -197,7 +197,9 @@ def write_tokens(docs: DataFrame, *, tokenizer: str, folder: str | None = None,
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     files = ordered.mapInArrow(lambda it: _encode_and_write(it, folder, tokenizer, bits, end_id, file_ids, special_in_text), "part bigint, seq bigint, file string, n_docs bigint, n_ids bigint")
-    rows = sorted(written(files, "manifest").collect())
+    listed = written(files, "manifest")
+    rows = sorted(listed.collect())
+    discard(listed)
     first, out = 0, []
     for r in rows:
         out.append((f"{folder}/{r['file']}", first, r["n_docs"], r["n_ids"]))
