@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioforge.llm.session import table
 
@@ -157,6 +158,69 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, present: rows dropped, emptied, cut, repeated or given to the user by the checksum of their key. A null is one space."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    rows = conversations.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), kind.alias("kind"))
+    copies = F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (F.col("kind") != 0).alias("present"), F.explode(copies).alias("copy"))
+    return rows.drop("copy")
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.conversations import repair
+
+    return repair(damaged_conversations(table(spark, sf_dir, "conversations")), present="present")
+
+
+# States: 0 nothing, 1 a system turn, 2 a user turn, 3 an assistant turn before. ins: what may be inserted; acts: what may be done with a row.
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS k FROM conversations),
+keyed AS (SELECT src.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 20 AS d FROM src, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed WHERE d <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k FROM damaged),
+judged AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before
+  FROM numbered),
+facts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n
+  FROM judged GROUP BY conv_id),
+ins(st, st2, cost, letters, lines) AS (VALUES (0, 0, 0, '', ''), (0, 2, 3, 'I', E'user:
+'), (0, 3, 6, 'II', E'user:
+assistant:
+'), (1, 1, 0, '', ''), (1, 2, 3, 'I', E'user:
+'), (1, 3, 6, 'II', E'user:
+assistant:
+'),
+  (2, 2, 0, '', ''), (2, 3, 3, 'I', E'assistant:
+'), (3, 3, 0, '', ''), (3, 2, 3, 'I', E'user:
+')),
+acts(st, letter, initial, st2, cost) AS (VALUES (0, 'D', NULL, 0, 4), (1, 'D', NULL, 1, 4), (2, 'D', NULL, 2, 4), (3, 'D', NULL, 3, 4), (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (3, 'K', 'u', 2, 0),
+  (0, 'R', NULL, 2, 3), (1, 'R', NULL, 2, 3), (2, 'R', NULL, 3, 3), (3, 'R', NULL, 2, 3)),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS k, 0 AS st, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, k, st, min({'cost': cost, 'audit': audit, 'lines': lines}) FROM (
+    SELECT r.conv_id, r.k, a.st2 AS st, s.best.cost + i.cost + a.cost + CASE WHEN a.letter <> 'D' AND r.cut THEN 3 ELSE 0 END AS cost, s.best.audit || i.letters || a.letter AS audit,
+      s.best.lines || i.lines || CASE a.letter WHEN 'D' THEN '' WHEN 'K' THEN r.role || ':' || r.text || chr(10) ELSE CASE a.st2 WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || r.text || chr(10) END AS lines
+    FROM steps s JOIN judged r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.k = s.k + 1 JOIN ins i ON i.st = s.st JOIN acts a ON a.st = i.st2 AND (a.letter = 'D' OR NOT (r.blank OR r.again)) AND (a.letter <> 'K' OR a.initial = r.initial))
+  GROUP BY conv_id, k, st),
+ends AS (
+  SELECT s.conv_id, f.gaps, f.blank, f.duplicate, f.truncated, f.illegal, min({'cost': s.best.cost + i.cost, 'audit': s.best.audit || i.letters, 'lines': s.best.lines || i.lines}) AS b
+  FROM steps s LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM s.conv_id JOIN ins i ON i.st = s.st AND i.st2 IN (0, 3) WHERE s.k = coalesce(f.n, 0) GROUP BY ALL)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(b.cost AS BIGINT) AS cost, b.audit AS audit,
+  sha256(CASE WHEN b.lines = '' THEN '' ELSE left(b.lines, length(b.lines) - 1) END) AS repaired_sha256
+FROM ends
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
@@ -168,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_conversations": op11_conversations,
 }
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_repeats": OP5_SQL, "op8_mixing": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_repeats": OP5_SQL, "op8_mixing": OP8_SQL, "op11_conversations": OP11_SQL}
