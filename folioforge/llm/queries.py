@@ -185,8 +185,10 @@ damaged AS (
   FROM keyed WHERE d <> 0),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k FROM damaged),
 judged AS (
-  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again,
-    NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before
   FROM numbered),
 facts AS (
   SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
@@ -221,6 +223,12 @@ FROM ends
 """
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioforge.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
@@ -233,6 +241,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
     "op11_conversations": op11_conversations,
+    "op12_language": op12_language,
 }
 
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_repeats": OP5_SQL, "op8_mixing": OP8_SQL, "op11_conversations": OP11_SQL}
