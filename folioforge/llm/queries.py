@@ -229,6 +229,14 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from folioforge.llm.alignment import align
+
+    return align(table(spark, sf_dir, "documents"), byte_level=public_tokenizers.path("byte_bpe_50k.json"), pieces=public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_duplicates": op2_near_duplicates,
@@ -242,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "op11_conversations": op11_conversations,
     "op12_language": op12_language,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_repeats": OP5_SQL, "op8_mixing": OP8_SQL, "op11_conversations": OP11_SQL}
