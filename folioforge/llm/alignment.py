@@ -10,11 +10,11 @@ ends one before white space that follows something else, and looks no further ba
 tokens are the same in any text.
 
 Spark cuts blocks of documents into segments; a block becomes its distinct segments and, for each
-document, their numbers in order. All blocks' distinct segments are tokenised and aligned once; the
-alignments are joined back by segment, then brought to their blocks, where documents are composed.
-Blocks also count the documents of each pair of linked ids; the sums over all blocks are joined back
-by pair. A common segment or pair is a row a block on either side of these joins, never a row an
-occurrence, and AQE may split it.
+document, their numbers in order. All blocks' segments are sorted, so that each distinct one is
+tokenised and aligned once, and the alignments are joined back to their blocks, where documents are
+composed. Blocks also count the documents of each pair of linked ids; the sums over all blocks are
+joined back by pair. A common segment or pair is a row a block in these steps, never a row an
+occurrence: at most one in some hundred thousand of the rows that are shuffled.
 
 A null or empty text, and one whose tokens do not give back its bytes (it holds U+2581, say), has no
 tokens: zeros, and empty groups. Repeated rows are documents of their own. A text of any length is
@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.llm import textkit as tk
-from folioforge.llm.session import discard, written
+from folioforge.llm.session import discard, partitions, written
 
 #: Bytes of text of a block; one text at least.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Rows of segments that are handed on, or aligned, at once.
+_ROWS = 200_000
 #: A space, tab or line feed may begin a segment.
 SPLITS = b" \t\n"
 #: White space beyond ASCII, and characters that some tables count as such.
@@ -143,30 +145,75 @@ def segment_starts(data: np.ndarray, offsets: np.ndarray, splits: np.ndarray) ->
 _ID = "doc_id"
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Small numbers, compressed: the lowest bytes of all, then the next ones."""
+    return pa.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 4 * n, codec="zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def _row(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
+    """A batch of the columns given, null in all others."""
+    given = {k: v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, schema.field(k).type) for k, v in columns.items()}
+    n = len(next(iter(given.values())))
+    return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def _whole_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], splits: np.ndarray, block_bytes: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """A row a document, with the numbers of its segments, and a row a distinct segment of the block."""
+    """For each block a row with its documents: ids, how many segments each has, their numbers; and a row a distinct segment, the most frequent first."""
     part, seq = TaskContext.get().partitionId(), 0
     for batch in tk.chunks(batches, "text", block_bytes):
         block, seq = part << 32 | seq, seq + 1
         data, offsets = tk.text_bytes(batch.column("text"))
         starts = segment_starts(data, offsets, splits)
         bounds = np.append(starts, len(data)).astype(np.int64)
-        segments = pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        ends = np.searchsorted(starts, offsets).astype(np.int32)
-        numbers = pa.ListArray.from_arrays(pa.array(ends), segments.indices.cast(pa.int32()))
-        n, m = batch.num_rows, len(segments.dictionary)
-        yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), batch.column(_ID), numbers.cast(schema.field("numbers").type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], schema=schema)
-        for s in range(0, m, 50_000):
-            own = segments.dictionary.slice(s, 50_000)
-            k = len(own)
-            yield pa.RecordBatch.from_arrays([pa.array([block] * k, pa.int64()), pa.nulls(k, schema.field(_ID).type), pa.nulls(k, schema.field("numbers").type), pa.array(np.arange(s, s + k, dtype=np.int32)), own.cast(pa.string())], schema=schema)
-
-
-def _align(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str) -> Iterator[pa.RecordBatch]:
+        coded = pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        numbers = coded.indices.to_numpy()
+        order = np.argsort(-np.bincount(numbers, minlength=len(coded.dictionary)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        sizes = np.diff(np.searchsorted(starts, offsets))
+        yield _row(schema, block=[block], ids=_whole_list(batch.column(_ID)), sizes=_whole_list(pa.array(sizes, pa.int32())), numbers=[_packed(rank[numbers])])
+        distinct = coded.dictionary.take(pa.array(order))
+        for s in range(0, len(distinct), _ROWS):
+            own = distinct.slice(s, _ROWS)
+            yield _row(schema, block=pa.array(np.full(len(own), block)), number=pa.array(np.arange(s, s + len(own))), segment=own.cast(pa.string()))
+
+
+def _align(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by segment: each distinct one is aligned once. Gives rows of a block's numbers and their alignments, a line each (empty where there is none)."""
     pair = tokenizers(byte_level, pieces)
+    last: tuple[str, str] | None = None
+
+    def aligned(table: pa.Table) -> pa.RecordBatch:
+        nonlocal last
+        coded = table["segment"].combine_chunks().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = int(last is not None and distinct[0] == last[0])
+        groups = ([last[1]] if known else []) + [g or "" for g in pair.align(distinct[known:])]
+        last = (distinct[-1], groups[-1])
+        index, block, number = coded.indices.to_numpy(), table["block"].to_numpy(), table["number"].to_numpy()
+        order = np.lexsort((number, block))
+        index, block, number = index[order], block[order], number[order]
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        lines = ["\n".join([groups[k] for k in own.tolist()]) for own in np.split(index, cuts[1:])]
+        return _row(schema, of=block[cuts], numbers=pa.ListArray.from_arrays(pa.array(np.append(cuts, len(block)), pa.int32()), pa.array(number, pa.int32())), groups=lines)
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        segments = batch.column("segment")
-        yield pa.RecordBatch.from_arrays([segments, pa.array(pair.align(segments.to_pylist()), pa.string())], ["segment", "groups"])
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= _ROWS:
+            yield aligned(pa.Table.from_batches(held))
+            held = []
+    if held and sum(b.num_rows for b in held):
+        yield aligned(pa.Table.from_batches(held))
 
 
 class _Parsed:
@@ -223,25 +270,29 @@ _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups: bool) -> pa.Table:
-    """Documents of a block, each with its distinct pairs of linked ids (their numbers in the block, and how often); and a row a pair with its documents."""
-    block = docs["block"][0]
-    segments = segments.sort_by("number")
-    groups = segments["groups"].combine_chunks().cast(pa.string())
-    parsed = _Parsed(groups)
-    bad = groups.is_null().to_numpy(zero_copy_only=False)
-    lists = docs["numbers"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    flat = lists.flatten().to_numpy().astype(np.int64)
-    n = len(docs)
+    """A row with a block's documents, and their distinct pairs of linked ids (numbers in the block, as steps, and how often); and a row a pair with how many documents have it."""
+    numbers = segments["numbers"].combine_chunks().flatten().to_numpy()
+    texts = "\n".join(segments["groups"].to_pylist()).split("\n") if len(numbers) else []
+    order = np.argsort(numbers)
+    texts = [texts[k] for k in order.tolist()]
+    parsed = _Parsed(pa.array(texts, pa.string()))
+    bad = np.array([not t for t in texts], bool)
+    sizes = docs["sizes"].combine_chunks().flatten().to_numpy()
+    n = len(sizes)
+    flat = _unpacked(docs["numbers"][0].as_py(), int(sizes.sum()))
     doc = np.repeat(np.arange(n), sizes)
     ok = sizes > 0
     ok[doc[bad[flat]]] = False
     has = ok[doc]
     doc, flat = doc[has], flat[has]
-    counts = [np.bincount(doc, weights=getattr(parsed, c)[flat], minlength=n).astype(np.int64) for c in _COUNTS]
-    texts = groups.to_pylist()
+    counts = {c: np.bincount(doc, weights=getattr(parsed, c)[flat], minlength=n).astype(np.int64) for c in _COUNTS}
     bounds = np.searchsorted(doc, np.arange(n + 1))
-    whole = [";".join([texts[k] for k in flat[bounds[i] : bounds[i + 1]].tolist()]) if ok[i] else "" for i in range(n)]
+    digests, whole = [], []
+    for i in range(n):
+        groups = ";".join([texts[k] for k in flat[bounds[i] : bounds[i + 1]].tolist()])
+        digests.append(hashlib.sha256(groups.encode()).hexdigest() if ok[i] else "")
+        if with_groups:
+            whole.append(groups)
     # Distinct segments of each document, how often; then their links.
     key, often = np.unique(doc * max(len(bad), 1) + flat, return_counts=True)
     seg_doc, seg = np.divmod(key, max(len(bad), 1))
@@ -252,30 +303,40 @@ def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups:
     key, slot = np.unique(np.repeat(seg_doc, links) * m + local[_spread(links, first[seg])], return_inverse=True)
     times = np.bincount(slot, weights=np.repeat(often, links), minlength=len(key)).astype(np.int64)
     pair_doc, pair = np.divmod(key, m)
-    ends = np.searchsorted(pair_doc, np.arange(n + 1)).astype(np.int32)
     held = np.bincount(pair, minlength=len(pairs)) if len(pairs) else np.zeros(0, np.int64)
     used = np.flatnonzero(held)
-    as_list = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
-    ids = docs[_ID].combine_chunks()
-    own = [pa.array([block.as_py()] * n, pa.int64()), ids, *map(pa.array, counts), pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in whole]), pa.array(whole if with_groups else [None] * n, pa.string()), as_list(pair, pa.int32()), as_list(times, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-    k = len(used)
-    rest = [pa.array([block.as_py()] * k, pa.int64()), *[pa.nulls(k, f.type) for f in list(schema)[1:10]], pa.array(used, pa.int32()), pa.array(pairs[used], pa.int64()), pa.array(held[used], pa.int64())]
-    parts = [pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema) for columns in (own, rest)]
-    return pa.Table.from_batches(parts)
+    steps = np.diff(key, prepend=0) if len(key) else key  # of doc * m + pair, ascending
+    block = docs["block"][0].as_py()
+    columns = {c: _whole_list(pa.array(counts[c])) for c in _COUNTS} | ({"groups": _whole_list(pa.array(whole, pa.string()))} if with_groups else {})
+    own = _row(schema, block=[block], ids=docs["ids"].combine_chunks(), groups_sha256=_whole_list(pa.array(digests, pa.string())), n_pairs=[len(pairs)], n_held=[len(key)], steps=[_packed_wide(steps)], times=[_packed_wide(times)], **columns)
+    rest = _row(schema, block=pa.array(np.full(len(used), block)), number=pa.array(used), pair=pa.array(pairs[used]), n=pa.array(held[used]))
+    return pa.Table.from_batches([own, rest])
+
+
+def _packed_wide(values: np.ndarray) -> bytes:
+    """Numbers that may be of over 32 bits: low and high halves."""
+    return b"".join(len(part).to_bytes(8, "little") + part for part in (_packed(values & 0xFFFFFFFF), _packed(values >> 32)))
+
+
+def _unpacked_wide(raw: bytes, n: int) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    return _unpacked(raw[8 : 8 + size], n) | _unpacked(raw[16 + size :], n) << 32
 
 
 def _finish(docs: pa.Table, totals: pa.Table, schema: pa.Schema) -> pa.Table:
-    """Adds n_best and count_sum by the totals of the block's pairs."""
+    """A row a document, with n_best and count_sum by the totals of the block's pairs."""
+    m, size = docs["n_pairs"][0].as_py(), docs["n_held"][0].as_py()
+    count, best = np.zeros(m, np.int64), np.zeros(m, np.int64)
     numbers = totals["number"].to_numpy()
-    count, best = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64), np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
     count[numbers], best[numbers] = totals["count"].to_numpy(), totals["best"].to_numpy()
-    lists = docs["pairs"].combine_chunks()
-    doc = np.repeat(np.arange(len(docs)), np.diff(lists.offsets.to_numpy()))
-    pair, times = lists.flatten().to_numpy(), docs["times"].combine_chunks().flatten().to_numpy()
-    n_best, count_sum = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
+    doc, pair = np.divmod(np.cumsum(_unpacked_wide(docs["steps"][0].as_py(), size)), max(m, 1))
+    times = _unpacked_wide(docs["times"][0].as_py(), size)
+    columns = {c: docs[c].combine_chunks().flatten() for c in ("ids", *_COUNTS, "groups_sha256", "groups") if c in docs.column_names}
+    n = len(columns["ids"])
+    n_best, count_sum = np.zeros(n, np.int64), np.zeros(n, np.int64)
     np.add.at(n_best, doc, best[pair] * times)
     np.add.at(count_sum, doc, count[pair] * times)
-    columns = {c: docs[c] for c in (_ID, *_COUNTS, "groups_sha256", "groups")} | {"n_best": pa.array(n_best), "count_sum": pa.array(count_sum)}
+    columns |= {_ID: columns.pop("ids"), "n_best": pa.array(n_best), "count_sum": pa.array(count_sum)}
     return pa.table([columns[f.name].cast(f.type) for f in schema], schema=schema)
 
 
@@ -291,18 +352,16 @@ def align(docs: DataFrame, *, byte_level: str, pieces: str, doc_id: str = "doc_i
     splits = Tokenizers(byte_level, pieces).splits()
     whole = F.when(F.length(text) > 0, F.concat(F.lit(" "), F.col(text).cast("string")))
     given = docs.select(F.col(doc_id).alias(_ID), whole.alias("text"))
-    ident = given.schema[_ID]
-    long, ints = T.LongType(), T.ArrayType(T.IntegerType())
-    field = T.StructField
-    cut = T.StructType([field("block", long), ident, field("numbers", ints), field("number", T.IntegerType()), field("segment", T.StringType())])
+    kind = given.schema[_ID].dataType
+    long, integer, string, raw, field, many = T.LongType(), T.IntegerType(), T.StringType(), T.BinaryType(), T.StructField, T.ArrayType
+    cut = T.StructType([field("block", long), field("ids", many(kind)), field("sizes", many(integer)), field("numbers", raw), field("number", integer), field("segment", string)])
     blocks = written(given.mapInArrow(lambda it: _blocks(it, splits, block_bytes, to_arrow_schema(cut)), cut), "segments")
-    rows, segments = blocks.where("number is null").select("block", _ID, "numbers"), blocks.where("number is not null").select("block", "number", "segment")
-    aligned = segments.select("segment").distinct().mapInArrow(lambda it: _align(it, byte_level, pieces), "segment string, groups string")
-    back = segments.join(aligned, "segment").select(F.col("block").alias("of"), "number", "groups")
-    made = T.StructType([
-        field("block", long), ident, *[field(c, long) for c in _COUNTS], field("groups_sha256", T.StringType()), field("groups", T.StringType()), field("pairs", ints), field("times", T.ArrayType(long)),
-        field("number", T.IntegerType()), field("pair", long), field("n", long),
-    ])
+    rows, segments = blocks.where("number is null").select("block", "ids", "sizes", "numbers"), blocks.where("number is not null").select("block", "number", "segment")
+    lined = T.StructType([field("of", long), field("numbers", many(integer)), field("groups", string)])
+    sorted_segments = segments.repartition(partitions(docs.sparkSession), "segment").sortWithinPartitions("segment")
+    back = sorted_segments.mapInArrow(lambda it: _align(it, byte_level, pieces, to_arrow_schema(lined)), lined)
+    of_docs = [*[field(c, many(long)) for c in _COUNTS], field("groups_sha256", many(string)), *([field("groups", many(string))] if with_groups else [])]
+    made = T.StructType([field("block", long), field("ids", many(kind)), *of_docs, field("n_pairs", long), field("n_held", long), field("steps", raw), field("times", raw), field("number", integer), field("pair", long), field("n", long)])
     composed = rows.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(lambda d, s: _compose(d, s, to_arrow_schema(made), with_groups), made)
     composed = written(composed, "aligned")
     discard(blocks)
@@ -311,6 +370,6 @@ def align(docs: DataFrame, *, byte_level: str, pieces: str, doc_id: str = "doc_i
     highest = F.max("count").over(Window.partitionBy(F.shiftright("pair", 32)))  # a row a B id at most
     totals = totals.withColumn("best", (F.col("count") == highest).cast("long"))
     back = pairs.join(totals, "pair").select(F.col("block").alias("of"), "number", "count", "best")
-    ends = [ident, *[field(c, long) for c in (*_COUNTS, "n_best", "count_sum")], field("groups_sha256", T.StringType()), *([field("groups", T.StringType())] if with_groups else [])]
-    kept = composed.where("number is null").select("block", _ID, *_COUNTS, "groups_sha256", "groups", "pairs", "times")
-    return kept.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(lambda d, t: _finish(d, t, to_arrow_schema(T.StructType(ends))), T.StructType(ends)).withColumnRenamed(_ID, doc_id)
+    ends = T.StructType([field(_ID, kind), *[field(c, long) for c in (*_COUNTS, "n_best", "count_sum")], field("groups_sha256", string), *([field("groups", string)] if with_groups else [])])
+    kept = composed.where("number is null").drop("number", "pair", "n")
+    return kept.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(lambda d, t: _finish(d, t, to_arrow_schema(ends)), ends).withColumnRenamed(_ID, doc_id)
