@@ -42,6 +42,8 @@ from folioforge.llm.session import discard, partitions, written
 BLOCK_BYTES = 8 << 20
 #: Rows of segments that are handed on, or aligned, at once.
 _ROWS = 200_000
+#: Segments that the tokenizers get at once.
+_ENCODED = 10_000
 #: A space, tab or line feed may begin a segment.
 SPLITS = b" \t\n"
 #: White space beyond ASCII, and characters that some tables count as such.
@@ -188,7 +190,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], splits: np.ndarray, block_bytes:
 
 
 def _align(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by segment: each distinct one is aligned once. Gives rows of a block's numbers and their alignments, a line each (empty where there is none)."""
+    """Rows sorted by segment: each distinct one is aligned once. Gives rows of some of a block's numbers and their alignments, a line each (empty where there is none), compressed."""
     pair = tokenizers(byte_level, pieces)
     last: tuple[str, str] | None = None
 
@@ -197,14 +199,18 @@ def _align(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, sche
         coded = table["segment"].combine_chunks().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         known = int(last is not None and distinct[0] == last[0])
-        groups = ([last[1]] if known else []) + [g or "" for g in pair.align(distinct[known:])]
+        groups = [last[1]] if known else []
+        for k in range(known, len(distinct), _ENCODED):
+            groups += [g or "" for g in pair.align(distinct[k : k + _ENCODED])]
         last = (distinct[-1], groups[-1])
         index, block, number = coded.indices.to_numpy(), table["block"].to_numpy(), table["number"].to_numpy()
         order = np.lexsort((number, block))
         index, block, number = index[order], block[order], number[order]
         cuts = np.flatnonzero(np.diff(block, prepend=-1))
-        lines = ["\n".join([groups[k] for k in own.tolist()]) for own in np.split(index, cuts[1:])]
-        return _row(schema, of=block[cuts], numbers=pa.ListArray.from_arrays(pa.array(np.append(cuts, len(block)), pa.int32()), pa.array(number, pa.int32())), groups=lines)
+        lines = ["\n".join([groups[k] for k in own.tolist()]).encode() for own in np.split(index, cuts[1:])]
+        rows = np.diff(np.append(cuts, len(block)))
+        packed = [_packed(own) for own in np.split(number, cuts[1:])]
+        return _row(schema, of=block[cuts], rows=rows, numbers=packed, size=[len(x) for x in lines], groups=[pa.compress(x, codec="zstd", asbytes=True) for x in lines])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -271,8 +277,9 @@ _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups: bool) -> pa.Table:
     """A row with a block's documents, and their distinct pairs of linked ids (numbers in the block, as steps, and how often); and a row a pair with how many documents have it."""
-    numbers = segments["numbers"].combine_chunks().flatten().to_numpy()
-    texts = "\n".join(segments["groups"].to_pylist()).split("\n") if len(numbers) else []
+    parts = [segments[c].to_pylist() for c in ("rows", "numbers", "size", "groups")]
+    numbers = np.concatenate([np.zeros(0, np.int64), *[_unpacked(x, n) for n, x in zip(*parts[:2], strict=True)]])
+    texts = [t for n, x in zip(*parts[2:], strict=True) for t in pa.decompress(x, n, codec="zstd", asbytes=True).decode().split("\n")]
     order = np.argsort(numbers)
     texts = [texts[k] for k in order.tolist()]
     parsed = _Parsed(pa.array(texts, pa.string()))
@@ -357,7 +364,7 @@ def align(docs: DataFrame, *, byte_level: str, pieces: str, doc_id: str = "doc_i
     cut = T.StructType([field("block", long), field("ids", many(kind)), field("sizes", many(integer)), field("numbers", raw), field("number", integer), field("segment", string)])
     blocks = written(given.mapInArrow(lambda it: _blocks(it, splits, block_bytes, to_arrow_schema(cut)), cut), "segments")
     rows, segments = blocks.where("number is null").select("block", "ids", "sizes", "numbers"), blocks.where("number is not null").select("block", "number", "segment")
-    lined = T.StructType([field("of", long), field("numbers", many(integer)), field("groups", string)])
+    lined = T.StructType([field("of", long), field("rows", integer), field("numbers", raw), field("size", integer), field("groups", raw)])
     sorted_segments = segments.repartition(partitions(docs.sparkSession), "segment").sortWithinPartitions("segment")
     back = sorted_segments.mapInArrow(lambda it: _align(it, byte_level, pieces, to_arrow_schema(lined)), lined)
     of_docs = [*[field(c, many(long)) for c in _COUNTS], field("groups_sha256", many(string)), *([field("groups", many(string))] if with_groups else [])]
