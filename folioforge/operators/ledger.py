@@ -9,10 +9,10 @@ from folioforge.operators.rules import numbered_by_first
 
 
 def extended_registry(registry: DataFrame, seen: DataFrame, *, name: str = "canonical_name", identity: str = "character_id", prefix: str = "CHAR", order: list[str]) -> DataFrame:
-    """The registry with new names appended; given ids never change."""
-    fresh = seen.join(registry.select(name), name, "left_anti")
-    last = registry.agg(F.coalesce(F.max(F.regexp_extract(identity, r"([0-9]+)\z", 1).cast("int")), F.lit(0))).scalar()
-    return registry.select(identity, name).unionByName(numbered_by_first(fresh, name, order, prefix, last).select(F.col("id").alias(identity), name))
+    """The registries of all projects with new names appended; given ids never change."""
+    fresh = seen.join(registry.select("project_id", name), ["project_id", name], "left_anti")
+    last = registry.groupBy("project_id").agg(F.max(F.regexp_extract(identity, r"([0-9]+)\z", 1).cast("int")).alias("last"))
+    return registry.select("project_id", identity, name).unionByName(numbered_by_first(fresh, name, order, prefix, last).select("project_id", F.col("id").alias(identity), name))
 
 
 def open_work(items: DataFrame, ledger: DataFrame, stage: str) -> DataFrame:

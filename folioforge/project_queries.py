@@ -20,7 +20,7 @@ from folioforge.operators.ingest import ingest, project_files
 from folioforge.operators.ledger import differences
 from folioforge.operators.verify import verify
 from folioforge.plans import reports
-from folioforge.queries import _APPEAR, _SCREEN, _WITH, _book_files, _table, appearances, books, screenplay
+from folioforge.queries import _APPEAR, _SCREEN, _WITH, _book_files, _in_projects, _one_project, _table, appearances, books, screenplay
 from folioforge.registry import query
 from folioforge.sources import records
 from folioforge.sources.files import decode_sources
@@ -210,7 +210,7 @@ _STEP = f"SELECT *, turn // 3 + 1 AS s, concat(chapter_id, '-S', printf('%03d',
 def _steps(spark, sf):
     s = screenplay(spark, sf)
     scene = tx.scene_id(F.col("chapter_id"), F.floor(F.col("turn") / 3) + 1)
-    return s.select("*", scene.alias("scene_id"), F.concat(F.lit("PRJ-"), "conv_id").alias("project_id"), tx.appearance_id(F.col("chapter_id"), F.col("turn") + 1).alias("appearance_id"))
+    return s.drop("project_id").select("*", scene.alias("scene_id"), F.concat(F.lit("PRJ-"), "conv_id").alias("project_id"), tx.appearance_id(F.col("chapter_id"), F.col("turn") + 1).alias("appearance_id"))
 
 
 def _record_files(spark, sf):
@@ -368,12 +368,12 @@ def reference_integrity(spark, sf):
         "appearances": s.select("appearance_id", F.col("role").alias("character_id"), "chapter_id", scene_of.alias("scene_id"), F.array("unit_id").alias("source_unit_ids"), F.array(F.struct(F.col("unit_id").alias("source_unit_id"))).alias("evidence")),
         "profile_fields": s.select(F.col("role").alias("character_id")).distinct(),
     }
-    return rules.referential_integrity(tables).select("rule", "entity_id")
+    return rules.referential_integrity({name: _one_project(t) for name, t in tables.items()}).select("rule", "entity_id")
 
 
 @query("""SELECT 'X5' AS rule, CAST(doc_id AS VARCHAR) AS entity_id FROM labels WHERE toxic = 1 AND doc_id % 3 <> 0""")
 def unknown_values(spark, sf):
-    facts = _table(spark, sf, "labels").select("doc_id", F.when(F.col("toxic") == 1, "unknown").otherwise("explicit").alias("status"), F.when(F.col("doc_id") % 3 != 0, F.col("quality")).alias("value"))
+    facts = _in_projects(_table(spark, sf, "labels"), "doc_id").select("project_id", "doc_id", F.when(F.col("toxic") == 1, "unknown").otherwise("explicit").alias("status"), F.when(F.col("doc_id") % 3 != 0, F.col("quality")).alias("value"))
     return rules.known_unknowns(facts, "doc_id").select("rule", "entity_id")
 
 
@@ -386,6 +386,7 @@ def scene_rules(spark, sf):
     scenes = s.groupBy("scene_id", "conv_id").agg(F.min("turn").alias("t"), F.collect_list(F.when(F.col("turn") != 2, F.col("unit_id"))).alias("source_unit_ids"))
     scenes = scenes.select("scene_id", "conv_id", "source_unit_ids", F.when(F.col("conv_id") % 4 == 0, "unknown").otherwise("INT").alias("int_ext"), F.when(F.col("t") == 3, "unknown").otherwise("day").alias("time_of_day"), F.when(F.col("conv_id") % 5 > 1, "LOC-0001").alias("location_id"), F.when(F.col("conv_id") % 5 == 2, "日常卧室").when(F.col("conv_id") % 5 == 0, "Hall").alias("location_name"))
     beats = s.select(F.concat_ws("-B", "scene_id", "turn").alias("beat_id"), "scene_id", F.array("unit_id").alias("source_unit_ids"))
+    scenes, beats = _one_project(scenes), _one_project(beats)
     return rules.vague_scenes(scenes).unionByName(rules.stray_beats(beats, scenes.where("conv_id % 8 <> 7"))).select("rule", "entity_id")
 
 
@@ -404,14 +405,15 @@ def role_mergers(spark, sf):
     alias = F.array(F.concat(F.lit("alias "), "c_mktsegment"))
     none = F.array().cast("array<string>")
     people = c.where("t <> 'crowd' or low").select(F.col("c_custkey").alias("character_id"), F.col("t").alias("character_type"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string"), F.col("low").cast("string")).alias("canonical_name"), F.when((F.col("t") == "crowd") | (F.col("c_custkey") % 2 == 0), alias).otherwise(none).alias("aliases"))
-    return rules.merged_roles(people).select("entity_id")
+    return rules.merged_roles(_one_project(people)).select("entity_id")
 
 
 @query("SELECT c_custkey AS character_id, CASE WHEN c_custkey % 3 = 0 THEN CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 'major' ELSE 'candidate_major' END ELSE 'minor' END AS importance FROM customer")
 def major_confirmations(spark, sf):
     """Candidates become major only where someone confirmed them (here: ordered)."""
     people = _table(spark, sf, "customer").select(F.col("c_custkey").alias("character_id"), F.when(F.col("c_custkey") % 3 == 0, "candidate_major").otherwise("minor").alias("importance"))
-    return rules.confirmed_majors(people, _table(spark, sf, "orders").select(F.col("o_custkey").alias("character_id")))
+    confirmed = _in_projects(_table(spark, sf, "orders").select(F.col("o_custkey").alias("character_id")), "character_id")
+    return rules.confirmed_majors(_in_projects(people, "character_id"), confirmed).select("character_id", "importance")
 
 
 @query("""SELECT 'X17' AS rule, CAST(p_partkey AS VARCHAR) AS entity_id FROM part WHERE p_partkey % 4 = 1
@@ -422,13 +424,13 @@ def extension_outputs(spark, sf):
     modules = p.select("module_id", F.concat(F.lit("extensions/"), F.when(F.col("p_partkey") % 4 == 1, "other").otherwise(F.col("module_id")), F.lit("/")).alias("output_namespace"))
     path = F.when(F.col("p_partkey") % 5 == 2, "source/x").when(F.col("p_partkey") % 5 == 3, "extensions/other/x").when(F.col("p_partkey") % 5 == 4, "deliverables/x").otherwise(F.concat(F.lit("extensions/"), "module_id", F.lit("/x")))
     outputs = p.select("module_id", path.alias("path"), F.when(F.col("p_size") <= 40, "h").alias("input_sha256"), F.lit("1.0.0").alias("module_version"), F.lit("2024").alias("generated_at"))
-    return rules.bad_namespaces(modules).unionByName(rules.bad_outputs(outputs)).select("rule", "entity_id")
+    return rules.bad_namespaces(_one_project(modules)).unionByName(rules.bad_outputs(_one_project(outputs))).select("rule", "entity_id")
 
 
 @query(f"SELECT unit_id, CASE role WHEN 'user' THEN 'Ann' ELSE 'unknown' END AS speaker FROM ({_SCREEN}) WHERE role <> 'system'")
 def dialogue_lines(spark, sf):
-    u = screenplay(spark, sf).select("unit_id", F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.when(F.col("role") == "user", "CHAR-0001").alias("speaker_character_id"))
-    return rules.dialogue(u, spark.createDataFrame([("CHAR-0001", "Ann")], "character_id string, canonical_name string")).select("unit_id", "speaker")
+    u = screenplay(spark, sf).select("project_id", "unit_id", F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.when(F.col("role") == "user", "CHAR-0001").alias("speaker_character_id"))
+    return rules.dialogue(u, spark.createDataFrame([("PRJ-all", "CHAR-0001", "Ann")], "project_id string, character_id string, canonical_name string")).select("unit_id", "speaker")
 
 
 # -- reports and deliverables ------------------------------------------------------------------
@@ -437,7 +439,7 @@ def dialogue_lines(spark, sf):
 @query(f"SELECT chapter_id, count(*) AS unit_count, count(DISTINCT CASE WHEN length(text) % 5 <> 0 THEN role END) AS characters, count(DISTINCT CASE WHEN length(text) % 5 = 0 THEN role END) AS mentioned, count(DISTINCT scene_id) AS scenes FROM ({_STEP}) GROUP BY chapter_id")
 def chapter_summary(spark, sf):
     a = appearances(spark, sf)
-    return reports.summary(a.groupBy("chapter_id").agg(F.count(F.lit(1)).alias("unit_count")), a, a.select("chapter_id", "scene_id").distinct())
+    return reports.summary(a.groupBy("project_id", "chapter_id").agg(F.count(F.lit(1)).alias("unit_count")), a, a.select("project_id", "chapter_id", "scene_id").distinct()).drop("project_id")
 
 
 @query(f"""WITH a AS ({_APPEAR}), scenes AS (SELECT scene_id, min(conv_id) AS c FROM a GROUP BY scene_id),
@@ -445,10 +447,10 @@ worn AS (SELECT scene_id, string_agg(concat(character_id, ' ', f, ' ', length(ch
 SELECT scene_id, concat('Place ', c) AS location_name, 'INT' AS int_ext, 'day' AS time_of_day, looks FROM scenes LEFT JOIN worn USING (scene_id)""")
 def scene_prompts(spark, sf):
     a = appearances(spark, sf)
-    scenes = a.groupBy("scene_id").agg(F.min("conv_id").alias("c")).select("scene_id", F.concat(F.lit("Place "), "c").alias("location_name"), F.lit("INT").alias("int_ext"), F.lit("day").alias("time_of_day"))
-    looks = a.where("character_id <> 'system'").select("character_id").distinct().select("character_id", F.explode(F.array(F.lit("clothing"), F.lit("hair"))).alias("field"))
+    scenes = a.groupBy("project_id", "scene_id").agg(F.min("conv_id").alias("c")).select("project_id", "scene_id", F.concat(F.lit("Place "), "c").alias("location_name"), F.lit("INT").alias("int_ext"), F.lit("day").alias("time_of_day"))
+    looks = a.where("character_id <> 'system'").select("project_id", "character_id").distinct().select("project_id", "character_id", F.explode(F.array(F.lit("clothing"), F.lit("hair"))).alias("field"))
     looks = looks.withColumn("value", F.when(~((F.col("field") == "hair") & (F.col("character_id") == "user")), F.length("character_id").cast("string")))
-    return reports.art_prompts(scenes, a, looks).withColumn("looks", F.array_join(F.transform("looks", lambda x: F.concat_ws(" ", x["character_id"], x["field"], x["value"])), ", "))
+    return reports.art_prompts(scenes, a, looks).drop("project_id").withColumn("looks", F.array_join(F.transform("looks", lambda x: F.concat_ws(" ", x["character_id"], x["field"], x["value"])), ", "))
 
 
 _DELIVERABLES_SQL = f"""WITH a AS ({_APPEAR}),

@@ -30,6 +30,15 @@ _PIECES = """SELECT book, rn, concat(CASE WHEN rn = 1 AND source LIKE '%5' THEN
     FROM (SELECT source, concat(source, '-', CAST(CAST(floor(doc_id / 500) AS BIGINT) AS {string})) AS book, doc_id, text FROM {documents}))"""
 
 
+def _in_projects(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to seven projects by a key."""
+    return df.withColumn("project_id", F.concat(F.lit("PRJ-"), F.col(key) % 7))
+
+
+def _one_project(df: DataFrame) -> DataFrame:
+    return df.withColumn("project_id", F.lit("PRJ-all"))
+
+
 def books(spark: SparkSession, sf: str) -> DataFrame:
     """project_id (the source and its run of documents), canonical_text."""
     pieces = spark.sql(_PIECES.format(string="STRING", documents="{d}"), d=_table(spark, sf, "documents"))
@@ -180,31 +189,32 @@ def _facts(spark, sf):
 
 @query(f"SELECT 'X2' AS rule, CAST(doc_id AS VARCHAR) AS entity_id FROM ({_FACTS}) WHERE status <> 'unknown' AND k = 0 UNION ALL SELECT 'X3', CAST(doc_id AS VARCHAR) FROM ({_FACTS}) WHERE status = 'inferred' AND k <> 2")
 def evidence_rules(spark, sf):
-    facts = _facts(spark, sf)
+    facts = _in_projects(_facts(spark, sf), "doc_id")
     return rules.without_evidence(facts, "doc_id").unionByName(rules.unexplained(facts, "doc_id")).select("rule", "entity_id")
 
 
 @query("SELECT DISTINCT CAST(doc_id AS VARCHAR) AS entity_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 0)")
 def dangling_references(spark, sf):
-    return rules.dangling(_table(spark, sf, "labels"), "doc_id", "doc_id", _table(spark, sf, "documents").where("doc_id % 10 <> 0"), "doc_id", "label-document").select("entity_id")
+    labels, documents = (_in_projects(_table(spark, sf, t), "doc_id") for t in ("labels", "documents"))
+    return rules.dangling(labels, "doc_id", "doc_id", documents.where("doc_id % 10 <> 0"), "doc_id", "label-document").select("entity_id")
 
 
 _SCREEN = """SELECT conv_id, turn, role, text, printf('P%02d', conv_id) AS chapter_id, concat(printf('P%02d', conv_id), '-U', printf('%04d', turn + 1)) AS unit_id FROM conversations"""
 
 
 def screenplay(spark, sf):
-    """conv_id, turn, role, text, chapter_id, unit_id."""
+    """conv_id, turn, role, text, chapter_id, unit_id, and project_id: all conversations are chapters of one project."""
     t = _table(spark, sf, "conversations")
     chapter = tx.chapter_id(F.col("conv_id"))
-    return t.select("conv_id", "turn", "role", "text", chapter.alias("chapter_id"), tx.unit_id(chapter, F.col("turn") + 1).alias("unit_id"))
+    return _one_project(t.select("conv_id", "turn", "role", "text", chapter.alias("chapter_id"), tx.unit_id(chapter, F.col("turn") + 1).alias("unit_id")))
 
 
 @query(f"SELECT unit_id AS entity_id FROM ({_SCREEN}) WHERE strpos(text, CASE WHEN turn % 2 = 0 THEN concat(substr(text, 2, 8), '~') ELSE substr(text, 2, 8) END) = 0")
 def quotes_in_units(spark, sf):
     s = screenplay(spark, sf)
     quote = F.when(F.col("turn") % 2 == 0, F.concat(F.substring("text", 2, 8), F.lit("~"))).otherwise(F.substring("text", 2, 8))
-    evidence = s.select(F.col("unit_id").alias("entity_id"), F.col("unit_id").alias("source_unit_id"), quote.alias("quote"))
-    return rules.unquoted(evidence, s.select("unit_id", F.col("text").alias("source_text"))).select("entity_id")
+    evidence = s.select("project_id", F.col("unit_id").alias("entity_id"), F.col("unit_id").alias("source_unit_id"), quote.alias("quote"))
+    return rules.unquoted(evidence, s.select("project_id", "unit_id", F.col("text").alias("source_text"))).select("entity_id")
 
 
 @query(f"SELECT conv_id, turn, CAST(sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS island FROM (SELECT conv_id, turn, CASE WHEN long IS DISTINCT FROM lag(long) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM (SELECT *, length(text) > 150 AS long FROM ({_SCREEN})))")
@@ -222,8 +232,8 @@ def beat_islands(spark, sf):
 
 @query(f"SELECT role AS character_id, min_by(unit_id, conv_id * 1000000 + turn) AS first_appearance_id FROM ({_SCREEN}) GROUP BY role")
 def first_appearances(spark, sf):
-    s = screenplay(spark, sf).select(F.col("role").alias("character_id"), F.col("unit_id").alias("appearance_id"), "conv_id", "turn")
-    return rules.first_appearances(s, ["conv_id", "turn"])
+    s = screenplay(spark, sf).select("project_id", F.col("role").alias("character_id"), F.col("unit_id").alias("appearance_id"), "conv_id", "turn")
+    return rules.first_appearances(s, ["conv_id", "turn"]).drop("project_id")
 
 
 _APPEAR = f"SELECT conv_id, turn, chapter_id, role AS character_id, concat(chapter_id, '-S', printf('%03d', turn // 3 + 1)) AS scene_id, CASE WHEN length(text) % 5 = 0 THEN 'mentioned' ELSE 'dialogue' END AS appearance_type, length(text) % 2 = 0 AS has_dialogue, text FROM ({_SCREEN})"
@@ -231,25 +241,25 @@ _APPEAR = f"SELECT conv_id, turn, chapter_id, role AS character_id, concat(chapt
 
 def appearances(spark, sf):
     s = screenplay(spark, sf)
-    return s.select("conv_id", "turn", "chapter_id", F.col("role").alias("character_id"), tx.scene_id(F.col("chapter_id"), F.floor(F.col("turn") / 3) + 1).alias("scene_id"), F.when(F.length("text") % 5 == 0, "mentioned").otherwise("dialogue").alias("appearance_type"), (F.length("text") % 2 == 0).alias("has_dialogue"), "text")
+    return s.select("project_id", "conv_id", "turn", "chapter_id", F.col("role").alias("character_id"), tx.scene_id(F.col("chapter_id"), F.floor(F.col("turn") / 3) + 1).alias("scene_id"), F.when(F.length("text") % 5 == 0, "mentioned").otherwise("dialogue").alias("appearance_type"), (F.length("text") % 2 == 0).alias("has_dialogue"), "text")
 
 
 @query(f"SELECT character_id, chapter_id, count(*) AS appearances, CAST(sum(CASE WHEN appearance_type = 'mentioned' THEN 1 ELSE 0 END) AS BIGINT) AS mentions FROM ({_APPEAR}) GROUP BY ROLLUP (character_id, chapter_id)")
 def appearance_totals(spark, sf):
-    return reports.appearance_totals(appearances(spark, sf))
+    return reports.appearance_totals(appearances(spark, sf)).drop("project_id")
 
 
 @query(f"SELECT character_id, chapter_id, count(*) AS appearances, CAST(sum(count(*)) OVER (PARTITION BY character_id) AS BIGINT) AS total FROM ({_APPEAR}) WHERE appearance_type <> 'mentioned' GROUP BY character_id, chapter_id")
 def appearance_matrix(spark, sf):
-    return reports.appearance_cells(appearances(spark, sf))
+    return reports.appearance_cells(appearances(spark, sf)).drop("project_id")
 
 
 @query(f"SELECT character_id, concat('name ', character_id) AS canonical_name, location_id, count(DISTINCT scene_id) AS scenes, count(*) AS appearances, max(has_dialogue) AS speaks FROM (SELECT *, CASE WHEN (turn // 3) % 2 = 0 THEN 'LOC-0001' ELSE 'LOC-0002' END AS location_id FROM ({_APPEAR})) WHERE character_id <> 'system' GROUP BY ALL")
 def scene_statistics(spark, sf):
     a = appearances(spark, sf)
-    scenes = a.select("scene_id", F.when(F.floor(F.col("turn") / 3) % 2 == 0, "LOC-0001").otherwise("LOC-0002").alias("location_id")).distinct()
-    people = a.select("character_id").distinct().select("character_id", F.concat(F.lit("name "), "character_id").alias("canonical_name"), F.when(F.col("character_id") != "system", "major").otherwise("minor").alias("importance"))
-    return reports.scene_statistics(a, people, scenes)
+    scenes = a.select("project_id", "scene_id", F.when(F.floor(F.col("turn") / 3) % 2 == 0, "LOC-0001").otherwise("LOC-0002").alias("location_id")).distinct()
+    people = a.select("project_id", "character_id").distinct().select("project_id", "character_id", F.concat(F.lit("name "), "character_id").alias("canonical_name"), F.when(F.col("character_id") != "system", "major").otherwise("minor").alias("importance"))
+    return reports.scene_statistics(a, people, scenes).drop("project_id")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS character_id, field, value, status, CAST(0.5 AS DOUBLE) AS confidence, n AS n_evidence FROM (SELECT doc_id, unnest(['age', 'gender']) AS field, unnest([CAST(quality AS VARCHAR), CAST(toxic AS VARCHAR)]) AS value, unnest(['explicit', 'inferred']) AS status, unnest([CAST(1 AS BIGINT), CAST(0 AS BIGINT)]) AS n FROM labels)")
@@ -257,35 +267,35 @@ def dossier(spark, sf):
     def cell(value, status, n):
         return F.struct(F.col(value).alias("value"), F.lit(status).alias("status"), F.lit(0.5).alias("confidence"), F.array_repeat(F.lit("P01-U0001"), n).alias("evidence"))
 
-    p = _table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("character_id"), cell("quality", "explicit", 1).alias("age"), cell("toxic", "inferred", 0).alias("gender"))
-    return reports.dossier(p, ["age", "gender"])
+    p = _in_projects(_table(spark, sf, "labels"), "doc_id").select("project_id", F.col("doc_id").cast("string").alias("character_id"), cell("quality", "explicit", 1).alias("age"), cell("toxic", "inferred", 0).alias("gender"))
+    return reports.dossier(p, ["age", "gender"]).drop("project_id")
 
 
 @query(f"SELECT chapter_id, string_agg(concat(CASE WHEN role <> 'system' THEN concat(CASE role WHEN 'user' THEN 'Ann' ELSE 'unknown' END, ': ') ELSE '' END, regexp_replace(text, '[\\r\\n]+$', ''), ' / ', upper(role), chr(10)), '' ORDER BY turn) AS script FROM ({_SCREEN}) GROUP BY chapter_id")
 def bilingual_script(spark, sf):
     s = screenplay(spark, sf)
-    u = s.select("chapter_id", F.col("turn").alias("ordinal"), F.col("text").alias("source_text"), F.upper("role").alias("zh_cn"), F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.when(F.col("role") == "user", "CHAR-0001").alias("speaker_character_id"))
-    return reports.bilingual_script(u, spark.createDataFrame([("CHAR-0001", "Ann")], "character_id string, canonical_name string"))
+    u = s.select("project_id", "chapter_id", F.col("turn").alias("ordinal"), F.col("text").alias("source_text"), F.upper("role").alias("zh_cn"), F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.when(F.col("role") == "user", "CHAR-0001").alias("speaker_character_id"))
+    return reports.bilingual_script(u, spark.createDataFrame([("PRJ-all", "CHAR-0001", "Ann")], "project_id string, character_id string, canonical_name string")).drop("project_id")
 
 
 @query(f"SELECT chapter_id, count(*) AS units, CAST(sum(CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS translated, CAST(sum(CASE WHEN turn % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pending_with_text FROM ({_SCREEN}) GROUP BY chapter_id")
 def translation_coverage(spark, sf):
     s = screenplay(spark, sf)
-    return rules.translation_coverage(s.select("chapter_id", F.when(F.col("turn") % 2 == 0, "x").alias("zh_cn"), F.when(F.col("turn") % 4 == 0, "pending").otherwise("translated").alias("translation_status")))
+    return rules.translation_coverage(s.select("project_id", "chapter_id", F.when(F.col("turn") % 2 == 0, "x").alias("zh_cn"), F.when(F.col("turn") % 4 == 0, "pending").otherwise("translated").alias("translation_status"))).drop("project_id")
 
 
 @query("WITH a AS (SELECT DISTINCT source FROM documents WHERE doc_id % 2 = 0), f AS (SELECT source, min(doc_id) AS d FROM documents GROUP BY source), old AS (SELECT source, concat('CHAR-', printf('%04d', row_number() OVER (ORDER BY source))) AS character_id FROM a), n AS (SELECT count(*) AS n FROM a), new AS (SELECT source, concat('CHAR-', printf('%04d', n + row_number() OVER (ORDER BY d, source))) AS character_id FROM f, n WHERE source NOT IN (SELECT source FROM a)) SELECT character_id, source AS canonical_name FROM old UNION ALL SELECT character_id, source FROM new")
 def registry_incremental(spark, sf):
-    d = _table(spark, sf, "documents").select(F.col("source").alias("canonical_name"), "doc_id")
-    old = rules.numbered_by_first(d.where("doc_id % 2 = 0"), "canonical_name", ["canonical_name"], "CHAR").select(F.col("id").alias("character_id"), "canonical_name")
-    return ledger.extended_registry(old, d, order=["doc_id"])
+    d = _one_project(_table(spark, sf, "documents").select(F.col("source").alias("canonical_name"), "doc_id"))
+    old = rules.numbered_by_first(d.where("doc_id % 2 = 0"), "canonical_name", ["canonical_name"], "CHAR").select("project_id", F.col("id").alias("character_id"), "canonical_name")
+    return ledger.extended_registry(old, d, order=["doc_id"]).drop("project_id")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS entity_id FROM documents WHERE doc_id % 9 = 0 OR doc_id % 5 = 1")
 def id_stability(spark, sf):
-    d = _table(spark, sf, "documents")
-    after = d.where("doc_id % 9 <> 0").select(F.col("doc_id").alias("natural"), F.when(F.col("doc_id") % 5 == 1, -F.col("doc_id")).otherwise(F.col("doc_id")).alias("id"))
-    return rules.changed_ids(d.select(F.col("doc_id").alias("natural"), F.col("doc_id").alias("id")), after, ["natural"], "id").select("entity_id")
+    d = _in_projects(_table(spark, sf, "documents"), "doc_id")
+    after = d.where("doc_id % 9 <> 0").select("project_id", F.col("doc_id").alias("natural"), F.when(F.col("doc_id") % 5 == 1, -F.col("doc_id")).otherwise(F.col("doc_id")).alias("id"))
+    return rules.changed_ids(d.select("project_id", F.col("doc_id").alias("natural"), F.col("doc_id").alias("id")), after, ["natural"], "id").select("entity_id")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS entity_id, sha256(text) AS input_sha256 FROM documents WHERE NOT (doc_id % 3 = 0 AND doc_id % 2 = 0)")
@@ -297,15 +307,15 @@ def ledger_resume(spark, sf):
 
 @query("SELECT chapter_id AS entity_id FROM (SELECT printf('P%02d', conv_id) AS chapter_id, conv_id FROM conversations GROUP BY conv_id) WHERE conv_id % 3 = 0")
 def stale_analyses(spark, sf):
-    c = screenplay(spark, sf).groupBy("chapter_id", "conv_id").agg(F.max("text").alias("t")).select("chapter_id", "conv_id", tx.digest(F.col("t")).alias("sha256"))
-    return rules.stale(c.select("chapter_id", F.when(F.col("conv_id") % 3 == 0, "old").otherwise(F.col("sha256")).alias("source_sha256")), c).select("entity_id")
+    c = screenplay(spark, sf).groupBy("project_id", "chapter_id", "conv_id").agg(F.max("text").alias("t")).select("project_id", "chapter_id", "conv_id", tx.digest(F.col("t")).alias("sha256"))
+    return rules.stale(c.select("project_id", "chapter_id", F.when(F.col("conv_id") % 3 == 0, "old").otherwise(F.col("sha256")).alias("source_sha256")), c).select("entity_id")
 
 
 @query("SELECT doc_id, CASE WHEN quality = 0 OR doc_id % 2 = 1 THEN 0 ELSE 1 END AS version, CASE WHEN quality = 0 THEN 'conflict' ELSE 'explicit' END AS status FROM labels")
 def conflicts_kept(spark, sf):
-    old = _table(spark, sf, "labels").select("doc_id", F.lit(0).alias("version"), F.when(F.col("quality") == 0, "conflict").otherwise("explicit").alias("status"))
-    new = old.where("doc_id % 2 = 0").select("doc_id", F.lit(1).alias("version"), F.lit("explicit").alias("status"))
-    return rules.merged_keeping_conflicts(old, new, ["doc_id"])
+    old = _in_projects(_table(spark, sf, "labels"), "doc_id").select("project_id", "doc_id", F.lit(0).alias("version"), F.when(F.col("quality") == 0, "conflict").otherwise("explicit").alias("status"))
+    new = old.where("doc_id % 2 = 0").select("project_id", "doc_id", F.lit(1).alias("version"), F.lit("explicit").alias("status"))
+    return rules.merged_keeping_conflicts(old, new, ["doc_id"]).drop("project_id")
 
 
 @query("""WITH wants AS (SELECT p_partkey AS m, concat('t', p_size % 11) AS t, p_size % 6 AS a, p_partkey % 7 AS b, p_partkey % 6 AS k, p_size % 4 <> 1 AS required FROM part),
@@ -322,7 +332,7 @@ def extension_match(spark, sf):
     required = F.when(F.col("p_size") % 4 == 1, False).when(F.col("p_size") % 4 == 2, True)  # null: the default, required
     modules = p.select(F.concat(F.lit("m"), "p_partkey").alias("module_id"), F.array(F.struct(F.concat(F.lit("t"), F.col("p_size") % 11).alias("data_type"), wanted.alias("version_range"), required.alias("required"))).alias("consumes"))
     have = _table(spark, sf, "supplier").select(F.concat(F.lit("t"), F.col("s_suppkey") % 9).alias("data_type"), F.concat_ws(".", F.col("s_nationkey") % 6, F.col("s_suppkey") % 13, "s_nationkey").alias("version"))
-    return reports.extension_inputs(modules, have)
+    return reports.extension_inputs(_one_project(modules), _one_project(have)).drop("project_id")
 
 
 @query("SELECT * FROM (VALUES ('a.txt', 'cp1252', 'café €', CAST(NULL AS VARCHAR)), ('b.txt', 'utf-16-le-bom', 'é🎉', NULL), ('c.docx', 'docx-xml', 'Hi' || chr(9) || 'there' || chr(10) || 'End', NULL), ('d.pdf', NULL, NULL, 'supported inputs: .txt, .md, .docx'), ('e.md', 'utf-8', '', 'source contains no text')) t(filename, encoding, canonical_text, reason)")
