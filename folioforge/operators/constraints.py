@@ -143,6 +143,7 @@ class Record(Shape):
     fields: dict[str, Shape]
     optional: frozenset[str] = frozenset()
     extra: tuple[tuple[str, str, str], ...] = field(default=())
+    conditions: tuple[dict, ...] = field(default=())  # extra, as JSON Schema states it
 
     def rules(self, n, path):
         is_object = f"{n}.t = 'OBJECT'"
@@ -189,6 +190,7 @@ _CELL = Record(
     {"value": Any(), "status": Enum(STATUSES), "confidence": Number(0, 1), "evidence": List(_EVIDENCE), "notes": _TEXT},
     frozenset(["notes"]),
     (("", "unknown is null, all else has evidence", f"CASE WHEN coalesce({_UNKNOWN}, true) THEN try_variant_get({{v}}, '$.value', 'variant') IS NULL OR is_variant_null(try_variant_get({{v}}, '$.value', 'variant')) ELSE size(try_variant_get({{v}}, '$.evidence', 'array<variant>')) >= 1 END"),),
+    ({"title": "unknown is null, all else has evidence", "if": {"properties": {"status": {"const": "unknown"}}}, "then": {"properties": {"value": {"type": "null"}}}, "else": {"properties": {"evidence": {"minItems": 1}}}},),
 )
 
 SHAPES: dict[str, Shape] = {
@@ -229,6 +231,13 @@ SHAPES: dict[str, Shape] = {
 }
 
 
+#: What several shapes share.
+COMMON: dict[str, Shape] = {
+    "unit_id": Str(UNIT_ID), "chapter_id": Str(CHAPTER_ID), "scene_id": Str(SCENE_ID), "character_id": Str(CHARACTER_ID), "sha256": Str(SHA), "status": Enum(STATUSES), "confidence": Number(0, 1),
+    "evidence": _EVIDENCE, "unit_ids": _UNITS, "profile_field": _CELL,
+}
+
+
 def check_records(records: DataFrame, shape: Shape | str, *, key: str = "key", json: str = "json") -> DataFrame:
     """records: a key and a JSON text. Returns violations (key, path, rule); text that is no JSON violates "json"."""
     shape = SHAPES[shape] if isinstance(shape, str) else shape

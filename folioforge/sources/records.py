@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import shutil
 import tempfile
@@ -10,11 +9,11 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.operators.schemas import HOLD_LISTED, HOLD_NAMED, HOLD_ONE, schema_faults
 
 # The shapes of the records that a project's folder holds beside its source.
 EVIDENCE = "ARRAY<STRUCT<source_unit_id:STRING,quote:STRING,note:STRING>>"
@@ -170,67 +169,49 @@ def read_projects(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.split_part(inner, F.lit("/"), F.lit(1)).alias("project_id"), F.regexp_replace(inner, "^[^/]*/", "").alias("path"), "content")
 
 
-def references(text: str | None) -> list[str]:
-    """All string values of "$ref" keys, at any depth."""
-    try:
-        open_nodes = [json.loads(text or "")]
-    except ValueError:
-        return []
-    out = []
-    while open_nodes:
-        node = open_nodes.pop()
-        if isinstance(node, dict):
-            if isinstance(node.get("$ref"), str):
-                out.append(node["$ref"])
-            open_nodes.extend(node.values())
-        elif isinstance(node, list):
-            open_nodes.extend(node)
-    return out
+def document_nodes(documents: DataFrame) -> DataFrame:
+    """All nodes of JSON documents (name, json): name, path, key (null in arrays), kind, value.
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _references_of(texts: pd.Series) -> pd.Series:
-    return texts.map(references)
-
-
-#: L4: said where schemas cannot be held against their own schema.
-NOT_VALIDATED = "jsonschema is unavailable; meta-schema validation was skipped."
+    kind is what a node is where documents are schemas: a "schema", a holder of schemas ("named" or
+    "listed"), or "other". The walk is a recursive query, a level a step; text that is no JSON has no node.
+    """
+    spark = documents.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # it guards against endless recursion; here each step is a level deeper
+    inside = lambda names: ", ".join(f"'{n}'" for n in names)
+    return spark.sql(
+        f"""WITH RECURSIVE nodes(name, path, key, kind, value) MAX RECURSION LEVEL 10000 AS (
+          SELECT name, '', CAST(NULL AS STRING), 'schema', try_parse_json(json) FROM {{documents}} WHERE try_parse_json(json) IS NOT NULL
+          UNION ALL
+          SELECT n.name, concat(n.path, '/', coalesce(c.key, CAST(c.pos AS STRING))), c.key,
+            CASE WHEN n.kind IN ('named', 'listed') THEN 'schema' WHEN n.kind = 'other' THEN 'other' WHEN c.key IN ({inside(HOLD_ONE)}) THEN 'schema' WHEN c.key IN ({inside(HOLD_NAMED)}) THEN 'named' WHEN c.key IN ({inside(HOLD_LISTED)}) THEN 'listed' ELSE 'other' END,
+            c.value
+          FROM nodes n, LATERAL variant_explode(n.value) AS c)
+        SELECT * FROM nodes""",
+        documents=documents.select("name", "json"),
+    )
 
 
 def lint_schemas(documents: DataFrame) -> DataFrame:
     """documents: name, json. Findings (check_id, name, message) of a set of schema files.
 
-    L1 no files; L2 not JSON; L3 a reference to a file that is not there; L4 not a schema. Where the
-    jsonschema library is not installed, one row says so ("notice", which is no violation).
+    L1 no files; L2 not JSON; L3 a reference to a file that is not there; L4 a keyword whose value no schema may have.
     """
     none = documents.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("L1").alias("check_id"), F.lit(None).cast("string").alias("name"), F.lit("no schema files found").alias("message"))
     bad = documents.where(F.try_parse_json("json").isNull()).select(F.lit("L2").alias("check_id"), "name", F.lit("invalid JSON").alias("message"))
-    missing = missing_references(file_references(documents), documents).select(F.lit("L3").alias("check_id"), F.col("file").alias("name"), F.lit("missing schema reference").alias("message"))
-    out = none.unionByName(bad).unionByName(missing)
-    try:
-        from jsonschema import Draft202012Validator, SchemaError
-    except ModuleNotFoundError:
-        return out.unionByName(documents.sparkSession.range(1).select(F.lit("notice").alias("check_id"), F.lit(None).cast("string").alias("name"), F.lit(NOT_VALIDATED).alias("message")))
+    nodes = document_nodes(documents)
+    missing = missing_references(_named_files(nodes), documents).select(F.lit("L3").alias("check_id"), F.col("file").alias("name"), F.lit("missing schema reference").alias("message"))
+    broken = schema_faults(nodes.where("kind = 'schema'")).select(F.lit("L4").alias("check_id"), "name", F.concat(F.lit("not a schema: "), F.concat_ws(" ", "at", "path", "rule")).alias("message"))
+    return none.unionByName(bad).unionByName(missing).unionByName(broken)
 
-    @F.pandas_udf(T.StringType())
-    def faults(texts: pd.Series) -> pd.Series:
-        def fault(text: str) -> str | None:
-            try:
-                Draft202012Validator.check_schema(json.loads(text))
-            except (SchemaError, ValueError) as e:
-                return str(e)[:500]
-            return None
 
-        return texts.map(fault)
-
-    checked = documents.where(F.try_parse_json("json").isNotNull()).select("name", faults("json").alias("message")).where("message is not null")
-    return out.unionByName(checked.select(F.lit("L4").alias("check_id"), "name", "message"))
+def _named_files(nodes: DataFrame) -> DataFrame:
+    refs = nodes.where("key = '$ref'").select(F.try_variant_get("value", "$", "string").alias("ref"), F.schema_of_variant("value").alias("t")).where("t = 'STRING'")
+    return refs.select(F.split_part("ref", F.lit("#"), F.lit(1)).alias("file")).where("file <> ''").distinct()
 
 
 def file_references(documents: DataFrame) -> DataFrame:
-    """file: the files that references of the documents name."""
-    refs = documents.where("json is not null").select(F.explode(_references_of("json")).alias("ref"))
-    return refs.select(F.split_part("ref", F.lit("#"), F.lit(1)).alias("file")).where("file <> ''").distinct()
+    """file: the files that references of the documents name, at any depth."""
+    return _named_files(document_nodes(documents))
 
 
 def missing_references(refs: DataFrame, documents: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from folioforge import multi_queries, project_queries, queries  # noqa: F401
+from folioforge import multi_queries, project_queries, queries, schema_queries  # noqa: F401
 from folioforge import registry as own
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
