@@ -18,6 +18,7 @@ def _session() -> SparkSession:
 def ingest_file(spark: SparkSession, source: Path, target: Path, title: str | None) -> str | None:
     """Writes the project folder; returns the reason where it cannot."""
     from folioforge.operators.ingest import ingest, project_files
+    from folioforge.sources.files import read_sources
     from folioforge.sources.records import write_projects
 
     if not source.is_file():
@@ -25,7 +26,7 @@ def ingest_file(spark: SparkSession, source: Path, target: Path, title: str | No
     if target.exists():
         return f"project directory already exists: {target}"
     plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", str(source.resolve()))  # no pattern of file names
-    file = spark.read.format("binaryFile").load(f"file://{plain}").select(F.lit(source.name).alias("filename"), "content", F.lit(title).alias("title"))
+    file = read_sources(spark, f"file://{plain}").select(F.lit(source.name).alias("filename"), "content", F.lit(title).alias("title"))
     got = ingest(file)
     if refused := got.rejected.first():
         return refused["reason"]

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Versions, line ends, heading forms.
 SCHEMA_VERSION = "2.0.0"
 PIPELINE_VERSION = "2.0.0"
-_LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
-LINE = rf"[^{_LINE_ENDS}]*(?:\r\n|[{_LINE_ENDS}])|[^{_LINE_ENDS}]+"
+LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+LINE = rf"[^{LINE_ENDS}]*(?:\r\n|[{LINE_ENDS}])|[^{LINE_ENDS}]+"
 _SPACE = r"[\s\x1c-\x1f]"
 CHAPTER = rf"(?isU)\A{_SPACE}*chapter{_SPACE}+([0-9]+|[ivxlcdm]+|[a-z]+(?:-[a-z]+)*)(?![\p{{L}}\p{{N}}_]).*\z"
 SPECIAL = rf"(?isU)\A{_SPACE}*(prologue|epilogue)(?:{_SPACE}*[:.\-\x{{2014}}].*)?{_SPACE}*\z"

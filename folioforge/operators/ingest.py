@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
+from folioforge.operators.scan import marked_lines_of, pieces_of
 from folioforge.sources.files import decode_sources
 
 # Fixed values of records.
@@ -28,7 +29,8 @@ class Ingested:
 
 def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text") -> DataFrame:
     """Each line with its offset, heading and chapter: key, line_no (from 0), line, start, heading, label,
-    any_heading, chapter_ordinal, ordinal. One window over the lines of a text gives all of it.
+    any_heading, chapter_ordinal, ordinal. One window over the lines of a text gives all of it, so a text is
+    the work of one task; `marked` does the same for texts that come in blocks.
     """
     line = texts.select(key, F.posexplode(tx.lines(F.col(text))).alias("line_no", "line"))
     line = line.withColumn("label", tx.heading_label(F.col("line")))
@@ -49,6 +51,17 @@ def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text") -> Da
     )
 
 
+def marked(blocks: DataFrame, key: str) -> DataFrame:
+    """The columns of marked_lines for texts of any size that come in blocks (key, block, text; see operators/scan.py): a text is the work of many tasks."""
+    out = marked_lines_of(pieces_of(blocks, key), key)
+    is_heading = F.col("label").isNotNull()
+    return out.select(
+        key, "line_no", "line", "start", F.when(is_heading, tx.heading_text(F.col("line"))).alias("heading"), "label", "any_heading",
+        F.when(F.col("any_heading"), F.col("headings")).otherwise(1).cast("int").alias("chapter_ordinal"),
+        (F.col("line_no") - F.col("first_line") + 1).cast("int").alias("ordinal"),
+    )
+
+
 def chapters_of(marked: DataFrame, key: str) -> DataFrame:
     """key, chapter_id, ordinal, heading, source_label, source_start, source_end, character_length, sha256, paths, unit_count, chapter_text."""
     grouped = marked.groupBy(key, F.col("chapter_ordinal").alias("ordinal")).agg(

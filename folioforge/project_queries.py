@@ -23,7 +23,8 @@ from folioforge.plans import reports
 from folioforge.queries import _APPEAR, _SCREEN, _WITH, _book_files, _in_projects, _one_project, _table, appearances, books, screenplay
 from folioforge.registry import query
 from folioforge.sources import records
-from folioforge.sources.files import decode_sources
+from folioforge.sources.files import decode_sources, read_sources
+from folioforge.sources.projects import read_folders
 from folioforge.sources.shared import fresh_path, written
 
 # -- files of projects -------------------------------------------------------------------------
@@ -60,11 +61,20 @@ def ingested_files(spark: SparkSession, sf: str) -> DataFrame:
 def published_projects(spark, sf):
     """Projects written as folders, refused the second time, and read back."""
     files = written(project_files(ingest(_book_files(spark, sf))), "project-files")
-    root = fresh_path(spark, "projects").removeprefix("file://")
+    root = fresh_path(spark, "projects")
     records.write_projects(files, root)
     if again := records.write_projects(files.withColumn("content", F.lit(b"other")), root):
         raise RuntimeError(f"projects were overwritten: {again[:3]}")
-    return _digests(records.read_projects(spark, root))
+    return _digests(read_folders(spark, root))
+
+
+@query(_FILES_SQL + _LISTED)
+def ingested_folder(spark, sf):
+    """The same project files, ingested from a folder of source files."""
+    root = fresh_path(spark, "sources")
+    files = _book_files(spark, sf)
+    records.write_files(files.select(F.concat(F.substring(tx.digest(F.col("filename")), 1, 2), F.lit("/"), "filename").alias("path"), "content"), root)
+    return _digests(project_files(ingest(read_sources(spark, root, glob="*.txt"))))
 
 
 _PROJECT = "schema_version STRING, project_id STRING, title STRING, pipeline_version STRING, state STRING, source_manifest STRING, artifacts ARRAY<STRUCT<artifact_type:STRING,path:STRING,schema_version:STRING,sha256:STRING>>"
@@ -74,7 +84,7 @@ _PROJECT = "schema_version STRING, project_id STRING, title STRING, pipeline_ver
 def project_records(spark, sf):
     """project.json of published folders, read as whole JSON files with their declared schema."""
     root = fresh_path(spark, "projects")
-    records.write_projects(project_files(ingest(_book_files(spark, sf))), root.removeprefix("file://"))
+    records.write_projects(project_files(ingest(_book_files(spark, sf))), root)
     got = records.read_json(spark, f"{root}/*/project.json", _PROJECT)
     return got.select("project_id", "title", "state", F.concat_ws(" ", F.col("artifacts")[0]["artifact_type"], F.col("artifacts")[0]["path"], F.col("artifacts")[0]["sha256"]).alias("artifact"))
 
@@ -259,7 +269,7 @@ def _record_files(spark, sf):
   UNION ALL SELECT DISTINCT project_id, 'extension', concat('m', conv_id), 'scenes *' FROM s""")
 def typed_records(spark, sf):
     """Record files written as project folders and read back with their declared schemas."""
-    root = fresh_path(spark, "records").removeprefix("file://")
+    root = fresh_path(spark, "records")
     records.write_projects(_record_files(spark, sf), root)
     files = records.read_projects(spark, root)
     scenes = records.typed_records(files, "analysis").select("project_id", F.inline("scenes"))
@@ -284,7 +294,7 @@ def jsonl_rows(spark, sf):
     row = F.to_json(F.struct("unit_id", F.col("text").alias("source_text")))
     row = F.when((F.col("conv_id") % 4 == 3) & (F.col("turn") == 0), F.concat(F.lit("x"), row)).otherwise(row)
     files = s.groupBy("conv_id").agg(F.concat(tx.joined(F.concat(row, F.lit("\n")), F.col("turn"))).cast("binary").alias("content"))
-    root = fresh_path(spark, "units").removeprefix("file://")
+    root = fresh_path(spark, "units")
     records.write_projects(files.select(F.concat(F.lit("c"), "conv_id").alias("project_id"), F.lit("units.jsonl").alias("path"), "content"), root)
     got = records.read_jsonl(spark, root)
     whole = F.coalesce("record", F.try_parse_json(F.substring("raw", 2, 2147483647)))
@@ -298,7 +308,7 @@ def schema_lint(spark, sf):
     """A folder of schema files, one a part, each referring to the next one's; and an empty set of schemas."""
     number = F.col("p_partkey")
     body = F.when(number % 5 == 2, "{,}").otherwise(F.concat(F.lit('{"type":"object","properties":{"x":{"$ref":"p'), number + 1, F.lit('.json#/x"}}}')))
-    root = fresh_path(spark, "schemas").removeprefix("file://")
+    root = fresh_path(spark, "schemas")
     records.write_projects(_table(spark, sf, "part").select(F.concat(F.lit("f"), number % 16).alias("project_id"), F.concat(F.lit("p"), number, F.lit(".json")).alias("path"), body.cast("binary").alias("content")), root)
     found = records.lint_schemas(records.read_documents(spark, root))
     none = records.lint_schemas(spark.createDataFrame([], "name string, json string"))
@@ -478,8 +488,8 @@ def deliverables(spark, sf):
         root = fresh_path(spark, "deliverables")
         for kind, end in (("markdown", ".md"), ("csv", ".csv")):
             place = F.concat(F.lit("book/deliverables/scripts_bilingual/"), F.lower("chapter_id"), F.lit(end))
-            records.write_files(records.table_files(script, "chapter_id", place, kind, ["unit_id"]), root.removeprefix("file://"))
-        files = records.read_projects(spark, root.removeprefix("file://")).select("path", tx.digest(F.col("content")).alias("sha256"))
+            records.write_files(records.table_files(script, "chapter_id", place, kind, ["unit_id"]), root)
+        files = records.read_projects(spark, root).select("path", tx.digest(F.col("content")).alias("sha256"))
         records.write_csv(reports.appearance_cells(appearances(spark, sf)), f"{root}-appearances.csv")
         cells = spark.read.option("header", True).csv(f"{root}-appearances.csv")
         cells = cells.select(F.concat_ws("/", F.lit("deliverables/appearances.csv"), "character_id", "chapter_id").alias("path"), tx.digest(F.concat_ws("/", "appearances", "total")).alias("sha256"))

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
 from folioforge.operators import constraints, ledger, rules
-from folioforge.operators.ingest import chapters_of, detection, ingest, marked_lines, project_files, units_of
+from folioforge.operators.ingest import chapters_of, detection, ingest, marked, marked_lines, project_files, units_of
+from folioforge.operators.scan import read_blocks, text_blocks
 from folioforge.operators.verify import verify
 from folioforge.plans import reports
 from folioforge.registry import query
 from folioforge.sources.files import decode_sources
-from folioforge.sources.records import file_references, missing_references
-from folioforge.sources.shared import written
+from folioforge.sources.records import file_references, missing_references, write_files
+from folioforge.sources.shared import fresh_path, written
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -78,11 +79,30 @@ def decode_fingerprint(spark, sf):
     return decode_sources(files).select("doc_id", "encoding", F.length("canonical_text").cast("long").alias("n_chars"), F.octet_length("canonical_text").cast("long").alias("n_bytes"), tx.digest(F.col("content")).alias("sha256"))
 
 
-@query(_WITH + "SELECT project_id, concat(chapter_id, '-U', CASE WHEN ordinal < 10000 THEN printf('%04d', ordinal) ELSE CAST(ordinal AS VARCHAR) END) AS unit_id, chapter_id, ordinal, sha256(line) AS source_sha256 FROM mm")
+_UNITS_SQL = _WITH + "SELECT project_id, concat(chapter_id, '-U', CASE WHEN ordinal < 10000 THEN printf('%04d', ordinal) ELSE CAST(ordinal AS VARCHAR) END) AS unit_id, chapter_id, ordinal, sha256(line) AS source_sha256 FROM mm"
+
+
+@query(_UNITS_SQL)
 def units(spark, sf):
     return units_of(marked_lines(books(spark, sf), "project_id"), "project_id").select("project_id", "unit_id", "chapter_id", "ordinal", "source_sha256")
 
 
+@query(_UNITS_SQL)
+def units_in_blocks(spark, sf):
+    """The same units, of books that are cut into blocks of 64 kB and scanned in parts."""
+    blocks = written(text_blocks(books(spark, sf), "project_id", "canonical_text"), "blocks")
+    return units_of(marked(blocks, "project_id"), "project_id").select("project_id", "unit_id", "chapter_id", "ordinal", "source_sha256")
+
+
+@query(_UNITS_SQL)
+def units_of_files(spark, sf):
+    """The same units, of books that are files: many tasks read each of them, a block at a time."""
+    root = fresh_path(spark, "books")
+    write_files(books(spark, sf).select(F.concat("project_id", F.lit(".txt")).alias("path"), F.col("canonical_text").cast("binary").alias("content")), root)
+    blocks = read_blocks(spark, root).withColumn("project_id", F.regexp_extract("path", r"([^/]*)\.txt\z", 1)).drop("path")
+    return units_of(marked(blocks, "project_id"), "project_id").select("project_id", "unit_id", "chapter_id", "ordinal", "source_sha256")
+
+
 @query(_WITH + "SELECT project_id, start, trim(c) AS heading, label FROM mm WHERE label IS NOT NULL")
 def headings(spark, sf):
     return marked_lines(books(spark, sf), "project_id").where("label is not null").select("project_id", "start", "heading", "label")

@@ -18,7 +18,7 @@ def _written_schemas(spark, files: dict[str, str]) -> schemas.SchemaSet:
     """Schema files written to a folder, and read from it."""
     root = fresh_path(spark, "schemas")
     rows = spark.createDataFrame([("schemas", name, text.encode()) for name, text in files.items()], "project_id string, path string, content binary")
-    records.write_projects(rows, root.removeprefix("file://"))
+    records.write_projects(rows, root)
     return schemas.read_schemas(spark, root)
 
 

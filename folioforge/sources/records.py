@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.operators.schemas import HOLD_LISTED, HOLD_NAMED, HOLD_ONE, schema_faults
+from folioforge.sources.filesystems import opened
+from folioforge.sources.projects import write_projects  # noqa: F401
 
 # The shapes of the records that a project's folder holds beside its source.
 EVIDENCE = "ARRAY<STRUCT<source_unit_id:STRING,quote:STRING,note:STRING>>"
@@ -110,62 +108,31 @@ def table_files(df: DataFrame, by: str, path: Column, kind: str, order: list[str
 
 
 def write_files(files: DataFrame, root: str) -> int:
-    """Writes (path, content) below a folder that all workers share, each file by a rename; returns how many."""
+    """Writes (path, content) below a folder, by any Arrow filesystem, each file under a name of its own first; returns how many."""
 
     def put(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        system, base = opened(root)
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                place = Path(root) / path
-                place.parent.mkdir(parents=True, exist_ok=True)
-                part = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
-                part.write_bytes(content)
-                os.replace(part, place)
+                folder, _, name = f"{base.rstrip('/')}/{path}".rpartition("/")
+                system.create_dir(folder, recursive=True)
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as out:
+                    out.write(content)
+                system.move(part, f"{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     return files.select("path", "content").mapInArrow(put, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def write_projects(files: DataFrame, root: str) -> list[str]:
-    """Writes project_id, path, content below a folder that all workers share, each project as a whole.
-
-    A project appears under its name by one rename after all its files are there; one that exists
-    is refused and left as it is. Returns the ids written.
-    """
-
-    def publish(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            done = []
-            for row in batch.to_pylist():
-                target = Path(root) / row["project_id"]
-                if target.exists():
-                    continue
-                work = Path(tempfile.mkdtemp(prefix=f".{row['project_id']}.", dir=root))
-                try:
-                    for f in row["files"]:
-                        place = work / f["path"]
-                        place.parent.mkdir(parents=True, exist_ok=True)
-                        place.write_bytes(f["content"])
-                    os.rename(work, target)
-                    done.append(row["project_id"])
-                except BaseException:
-                    shutil.rmtree(work, ignore_errors=True)
-                    raise
-            yield pa.RecordBatch.from_pydict({"project_id": pa.array(done, pa.string())})
-
-    Path(root).mkdir(parents=True, exist_ok=True)
-    grouped = files.groupBy("project_id").agg(F.collect_list(F.struct("path", "content")).alias("files"))
-    return [r["project_id"] for r in grouped.mapInArrow(publish, "project_id string").collect()]
-
-
 def read_projects(spark: SparkSession, root: str) -> DataFrame:
-    """project_id (the folder's name), path, content of all project files."""
+    """project_id (the folder's name), path, content of all project files, by Spark's own reader and any Hadoop filesystem. It passes over empty files; projects.read_folders gives them too."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/").removeprefix("file://")
-    inner = F.regexp_replace(F.regexp_replace("path", r"^[a-z]+:/+", "/"), "^" + base + "/", "")
+    inner = F.substring("path", len(whole) + 2, 1 << 30)
     return files.select(F.split_part(inner, F.lit("/"), F.lit(1)).alias("project_id"), F.regexp_replace(inner, "^[^/]*/", "").alias("path"), "content")
 
 
