@@ -30,6 +30,15 @@ def _fault(check: str, bad: str, message: str, row: str = "null") -> str:
     return f"case when {bad} then named_struct('check_id', '{check}', 'row_no', cast({row} as bigint), 'message', '{message}') end"
 
 
+def _slice(x: str, start: str, end: str) -> str:
+    """SQL of text[start:end], where x has the text in four bytes a code point and its length: a slice costs its own length, not that of the text before it.
+
+    Negative offsets count from the end, as in the reference's language. The mark in front is taken for the byte order and drops out.
+    """
+    at = lambda v: f"cast(CASE WHEN {v} < 0 THEN greatest({x}.n + {v}, 0) ELSE least({v}, {x}.n) END as int)"
+    return f"decode(concat(X'0000FEFF', substring({x}.wide, 4 * {at(start)} + 1, 4 * greatest({at(end)} - {at(start)}, 0))), 'UTF-32')"
+
+
 _IS_TEXT = "coalesce(schema_of_variant(try_variant_get(u, '$.source_text', 'variant')) = 'STRING', false)"
 _ROW = "cast(i + 1 as bigint)"
 _UNIT_FAULTS = ", ".join(
@@ -79,8 +88,8 @@ def verify(files: DataFrame) -> DataFrame:
     base = base.where("ok")
 
     # The text stays with its project: each chapter carries the digest of its declared slice.
-    each = F.expr("""transform(coalesce(try_variant_get(manifest, '$.chapters', 'array<variant>'), array()), c -> struct(c,
-        sha2(substring(canonical, cast(try_variant_get(c, '$.source_start', 'bigint') as int) + 1, cast(try_variant_get(c, '$.source_end', 'bigint') - try_variant_get(c, '$.source_start', 'bigint') as int)), 256) as slice))""")
+    each = F.expr(f"""transform(array(struct(encode(canonical, 'UTF-32') as wide, length(canonical) as n)), x -> transform(coalesce(try_variant_get(manifest, '$.chapters', 'array<variant>'), array()), c -> struct(c,
+        sha2({_slice('x', "try_variant_get(c, '$.source_start', 'bigint')", "try_variant_get(c, '$.source_end', 'bigint')")}, 256) as slice)))[0]""")
     chapters = base.select("key", F.posexplode(each).alias("pos", "x")).select("key", "pos", F.col("x.c").alias("c"), F.col("x.slice").alias("slice"))
     chapters = chapters.select(
         "key", "pos", "slice", F.coalesce(_get("c", "chapter_id", "string"), F.lit("")).alias("chapter_id"),

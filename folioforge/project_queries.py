@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators import constraints, rules
 from folioforge.operators.ingest import ingest, project_files
-from folioforge.operators.ledger import differences
+from folioforge.operators.ledger import differences, differing, within
 from folioforge.operators.verify import verify
 from folioforge.plans import reports
 from folioforge.queries import _APPEAR, _SCREEN, _WITH, _book_files, _in_projects, _one_project, _table, appearances, books, screenplay
@@ -94,7 +94,17 @@ def run_differences(spark, sf):
     """Two runs of which the second has another text in every third chapter."""
     chapters = written(ingest(_book_files(spark, sf)).chapters.select("project_id", "chapter_id", "ordinal", "sha256"), "chapters")
     second = chapters.withColumn("sha256", F.when(F.col("ordinal") % 3 == 1, tx.digest(F.col("sha256"))).otherwise(F.col("sha256")))
-    return differences(chapters, second).select("side", F.substring("project_id", 5, 1000).alias("project_id"), "chapter_id")
+    return differences(chapters, second, ["project_id", "chapter_id"]).select("side", F.substring("project_id", 5, 1000).alias("project_id"), "chapter_id")
+
+
+@query(_WITH + "SELECT concat('PRJ-', project_id) AS project_id, chapter_id, sha256(string_agg(concat(CASE WHEN length(line) % 3 = 0 THEN '* ' ELSE '' END, line, ' / '), '' ORDER BY line_no)) AS sha256 FROM mm WHERE length(project_id) % 2 = 0 GROUP BY project_id, chapter_id HAVING bool_or(length(line) % 3 = 0)")
+def rendered_again(spark, sf):
+    """A second run changes units of some projects; only chapters with a changed unit are rendered again."""
+    units = written(ingest(_book_files(spark, sf)).units.select("project_id", "chapter_id", "unit_id", "ordinal", "source_text"), "units")
+    changed = (F.length("source_text") % 3 == 0) & (F.length("project_id") % 2 == 0)
+    second = units.withColumn("source_text", F.when(changed, F.concat(F.lit("* "), "source_text")).otherwise(F.col("source_text")))
+    again = within(second, differing(units, second, ["project_id", "chapter_id"]))
+    return again.groupBy("project_id", "chapter_id").agg(tx.digest(tx.joined(F.concat("source_text", F.lit(" / ")), F.col("ordinal"))).alias("sha256"))
 
 
 # -- planted faults ----------------------------------------------------------------------------
