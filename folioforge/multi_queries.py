@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators import rules
 from folioforge.plans import reports
+from folioforge.plans.deliverables import deliverable_files
+from folioforge.plans.runner import Runner, Stage
 from folioforge.queries import _one_project, _table, appearances, screenplay
 from folioforge.registry import query
-from folioforge.sources.shared import written
+from folioforge.sources.projects import read_folders, write_projects
+from folioforge.sources.records import PLACES, typed_records
+from folioforge.sources.shared import fresh_path, written
+from folioforge.streaming.registry import stream_registry
 
 _PEOPLE = {"user": "CHAR-0001", "assistant": "CHAR-0002"}
 _SHARED_SQL = """s AS (
@@ -172,3 +177,96 @@ def appearance_csv(spark, sf):
     """The appearance table as CSV, with a column a chapter, where every conversation is a chapter of one book."""
     chapters = _one_project(screenplay(spark, sf).select("chapter_id", F.col("conv_id").alias("ordinal")).distinct())
     return reports.appearance_table(appearances(spark, sf), chapters).select("place", "character_id", tx.digest(F.col("line")).alias("sha256"))
+
+
+_MD = "regexp_replace(replace({}, '|', '\\|'), '\\s+', ' ', 'g')"
+_FILES_OF_SQL = f"""WITH {_SHARED_SQL},
+y AS (SELECT *, concat('P', printf('%02d', turn // 4 + 1)) AS ch, concat('P', printf('%02d', turn // 4 + 1), '-S', printf('%03d', turn // 2 + 1)) AS scene, CASE WHEN length(text) % 5 = 0 THEN 'mentioned' ELSE 'physical' END AS t FROM x),
+stage AS (SELECT p, c, ch, count(*) AS n FROM y WHERE t <> 'mentioned' GROUP BY ALL),
+cols AS (SELECT DISTINCT p, ch FROM y),
+grid AS (SELECT k.p, k.c, o.ch, coalesce(s.n, 0) AS n FROM (SELECT DISTINCT p, c FROM stage) k JOIN cols o USING (p) LEFT JOIN stage s ON s.p = k.p AND s.c = k.c AND s.ch = o.ch),
+lines AS (SELECT p, 0 AS k, '' AS c, concat('character_id,', string_agg(ch, ',' ORDER BY ch), ',total') AS line FROM cols GROUP BY p UNION ALL SELECT p, 1, c, concat(c, ',', string_agg(CAST(n AS VARCHAR), ',' ORDER BY ch), ',', CAST(sum(n) AS BIGINT)) FROM grid GROUP BY p, c),
+stats AS (SELECT p, c, loc, concat('| ', c, ' | Ann ', any_value(conv_id), ' | ', loc, ' | ', count(DISTINCT scene), ' | ', count(*), ' | ', max(length(text) % 2 = 0), ' |') AS line
+  FROM (SELECT *, CASE WHEN (turn // 2) % 2 = 0 THEN 'LOC-0001' ELSE 'LOC-0002' END AS loc FROM y WHERE role = 'user') GROUP BY p, c, loc),
+cells AS (SELECT DISTINCT p, c, f, concat('| ', c, ' | ', f, ' | ', CASE f WHEN 'age' THEN length(role) END, ' | ', CASE f WHEN 'age' THEN 'inferred' ELSE 'unknown' END, ' | ', CASE f WHEN 'age' THEN '0.5' ELSE '0.0' END, ' | ', CASE f WHEN 'age' THEN 1 ELSE 0 END, ' |') AS line FROM y, (VALUES ('age'), ('hair')) v(f))
+SELECT p AS project_id, concat('deliverables/scripts_bilingual/', lower(ch), '.md') AS path, sha256(concat('| ordinal | unit_id | speaker | source_text | translation |\n| --- | --- | --- | --- | --- |\n', string_agg(concat('| ', turn, ' | ', u, ' | ', CASE role WHEN 'system' THEN '' WHEN 'user' THEN concat('Ann ', conv_id) ELSE 'unknown' END, ' | ', {_MD.format("regexp_replace(text, '[\\r\\n]+$', '')")}, ' | ', {_MD.format("upper(left(role, turn % 3))")}, ' |'), chr(10) ORDER BY turn), chr(10))) AS sha256 FROM y GROUP BY p, ch
+UNION ALL SELECT p, 'deliverables/全角色章节出镜表.csv', sha256(string_agg(concat(line, chr(10)), '' ORDER BY k, c)) FROM lines GROUP BY p
+UNION ALL SELECT p, 'deliverables/主要角色场景统计.md', sha256(concat('| character_id | canonical_name | location_id | scenes | appearances | speaks |\n| --- | --- | --- | --- | --- | --- |\n', string_agg(line, chr(10) ORDER BY c, loc), chr(10))) FROM stats GROUP BY p
+UNION ALL SELECT p, 'deliverables/角色基础信息档案.md', sha256(concat('| character_id | field | value | status | confidence | n_evidence |\n| --- | --- | --- | --- | --- | --- |\n', string_agg(line, chr(10) ORDER BY c, f), chr(10))) FROM cells GROUP BY p"""
+
+
+@query(_FILES_OF_SQL)
+def project_deliverables(spark, sf):
+    """All deliverable files of all projects, published as folders and read back."""
+    s = written(_shared(spark, sf), "shared-ids")
+    chapter = tx.chapter_id((F.floor(F.col("turn") / 4) + 1).cast("int"))
+    a = s.withColumn("chapter_id", chapter).withColumn("scene_id", tx.scene_id(chapter, F.floor(F.col("turn") / 2) + 1)).withColumn("appearance_type", F.when(F.length("text") % 5 == 0, "mentioned").otherwise("physical")).withColumn("has_dialogue", F.length("text") % 2 == 0)
+    scenes = a.select("project_id", "scene_id", F.when(F.floor(F.col("turn") / 2) % 2 == 0, "LOC-0001").otherwise("LOC-0002").alias("location_id")).distinct()
+    people = a.select("project_id", "character_id", F.when(F.col("role") == "user", F.concat(F.lit("Ann "), "conv_id")).alias("canonical_name"), F.when(F.col("role") == "user", "major").otherwise("minor").alias("importance")).distinct()
+    translation = F.upper(F.left("role", (F.col("turn") % 3).cast("int")))
+    units = a.select("project_id", "chapter_id", "unit_id", F.col("turn").alias("ordinal"), F.col("text").alias("source_text"), translation.alias("zh_cn"), F.when(F.col("role") == "system", "narration").otherwise("dialogue").alias("text_type"), F.col("character_id").alias("speaker_character_id"))
+    chapters = a.groupBy("project_id", "chapter_id").agg(F.min("turn").alias("ordinal"))
+    cell = lambda field, value, status, confidence, n: F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), F.lit(status).alias("status"), F.lit(confidence).alias("confidence"), F.array_repeat(F.lit("e"), n).alias("evidence"))
+    fields = a.select("project_id", "character_id", "role").distinct().select("project_id", "character_id", F.inline(F.array(cell("age", F.length("role"), "inferred", 0.5, 1), cell("hair", F.lit(None), "unknown", 0.0, 0))))
+    root = fresh_path(spark, "deliverables")
+    write_projects(deliverable_files(units, people, a, chapters, scenes, fields), root)
+    return read_folders(spark, root).select("project_id", "path", tx.digest(F.col("content")).alias("sha256"))
+
+
+@query("""SELECT concat('PRJ-', n_nationkey) AS project_id, 'location' AS kind, printf('LOC-%04d', n_regionkey + 1) AS id, concat(n_name, ' ', 'R', n_regionkey, ' 1') AS facts FROM nation
+UNION ALL SELECT concat('PRJ-', s_nationkey), 'term', s_name, concat('T', s_suppkey, ' ', CASE WHEN s_suppkey % 2 = 0 THEN 'name' END) FROM supplier""")
+def registries(spark, sf):
+    """Registries of places and terms, a project a nation, published and read back with their declared schemas."""
+    js = lambda *c: F.to_json(F.struct(F.lit("2.0.0").alias("schema_version"), *c), {"ignoreNullFields": "false"})
+    array = lambda c: F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(c)), ","), F.lit("]")).cast("binary").alias("content")
+    project = lambda c: F.concat(F.lit("PRJ-"), c).alias("project_id")
+    place = js(F.format_string("LOC-%04d", F.col("n_regionkey") + 1).alias("location_id"), F.col("n_name").alias("canonical_name"), F.lit(None).cast("string").alias("chinese_name"), F.array(F.concat(F.lit("R"), "n_regionkey")).alias("aliases"), F.array(F.struct(F.lit("P01-U0001").alias("source_unit_id"), F.lit("q").alias("quote"))).alias("evidence"))
+    term = js(F.col("s_name").alias("term"), F.concat(F.lit("T"), "s_suppkey").alias("zh_cn"), F.when(F.col("s_suppkey") % 2 == 0, "name").alias("category"))
+    files = _table(spark, sf, "nation").groupBy(project("n_nationkey")).agg(array(place)).select("project_id", F.lit(PLACES["locations"]).alias("path"), "content")
+    files = files.unionByName(_table(spark, sf, "supplier").groupBy(project("s_nationkey")).agg(array(term)).select("project_id", F.lit(PLACES["terminology"]).alias("path"), "content"))
+    root = fresh_path(spark, "registries")
+    write_projects(files, root)
+    back = read_folders(spark, root)
+    places, terms = typed_records(back, "locations"), typed_records(back, "terminology")
+    return places.select("project_id", F.lit("location").alias("kind"), F.col("location_id").alias("id"), F.concat_ws(" ", "canonical_name", F.col("aliases")[0], F.size("evidence").cast("string")).alias("facts")).union(
+        terms.select("project_id", F.lit("term"), "term", F.concat("zh_cn", F.lit(" "), F.coalesce("category", F.lit(""))))
+    )
+
+
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 10 = 4 THEN concat(text, ' more') ELSE text END AS t, doc_id % 10 = 4 AS changed FROM documents WHERE text IS NOT NULL)
+SELECT CAST(doc_id AS VARCHAR) AS entity_id, concat(length(lower(t)), ' chars') AS output, CASE WHEN changed THEN 2 ELSE 1 END AS n_lowered, CASE WHEN doc_id % 7 = 3 THEN 2 ELSE 1 END + CASE WHEN changed THEN 1 ELSE 0 END AS n_measured FROM d""")
+def resumed_run(spark, sf):
+    """Two stages over all documents: the second one breaks, then cannot validate some records, and after that some inputs change. Each run does what is open, and the last one ends with the rows of an unbroken run."""
+    items = _table(spark, sf, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("entity_id"), F.col("text").alias("output"))
+    lower = Stage("lowered", lambda df: df.withColumn("output", F.lower("output")))
+    measure = lambda df: df.withColumn("output", F.concat(F.length("output"), F.lit(" chars")))
+    odd = F.col("entity_id").cast("long") % 7 == 3
+    broken = Stage("measured", lambda df: measure(df).withColumn("output", F.when(odd, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("output"))))
+    unsure = Stage("measured", lambda df: measure(df).withColumn("output", F.when(odd, F.lit(None)).otherwise(F.col("output"))))
+    runner = Runner(spark, fresh_path(spark, "stages"))
+    try:
+        runner.run(items, [lower, broken])
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    else:
+        raise RuntimeError("the broken stage was not run")
+    runner.run(items, [lower, unsure])
+    runner.run(items, [lower, Stage("measured", measure)])
+    changed = items.withColumn("output", F.when(F.col("entity_id").cast("long") % 10 == 4, F.concat("output", F.lit(" more"))).otherwise(F.col("output")))
+    ends = runner.run(changed, [lower, Stage("measured", measure)])
+    times = [runner.ledger(stage).groupBy("entity_id").agg(F.count(F.lit(1)).cast("int").alias(f"n_{stage}")) for stage in ("lowered", "measured")]
+    return ends.select("entity_id", "output").join(times[0], "entity_id").join(times[1], "entity_id")
+
+
+@query("""WITH d AS (SELECT concat('PRJ-', lang) AS p, source, doc_id % 3 AS piece, min(doc_id) AS place FROM documents WHERE source IS NOT NULL GROUP BY ALL),
+f AS (SELECT p, source, min({'piece': piece, 'place': place}) AS f FROM d GROUP BY p, source)
+SELECT p AS project_id, printf('CHAR-%04d', row_number() OVER (PARTITION BY p ORDER BY f, source)) AS id, source AS name FROM f""")
+def registry_stream(spark, sf):
+    """Documents that arrive in three pieces, the stream stopped and started again between them: names keep the ids they got when they were first seen."""
+    d = _table(spark, sf, "documents").select(F.concat(F.lit("PRJ-"), "lang").alias("project_id"), F.col("source").alias("name"), F.col("doc_id").alias("place"))
+    inbox, target, checkpoint = (fresh_path(spark, f"registry-{k}") for k in ("inbox", "target", "checkpoint"))
+    for piece in range(3):
+        d.where(F.col("place") % 3 == piece).write.mode("append").parquet(inbox)
+        stream_registry(spark.readStream.schema(d.schema).parquet(inbox), target, checkpoint).awaitTermination()
+    return spark.read.schema("project_id string, id string, name string").parquet(target)

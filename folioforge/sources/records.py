@@ -13,7 +13,7 @@ from folioforge.operators.schemas import HOLD_LISTED, HOLD_NAMED, HOLD_ONE, sche
 from folioforge.sources.filesystems import opened
 from folioforge.sources.projects import write_projects  # noqa: F401
 
-# The shapes of the records that a project's folder holds beside its source.
+# The shapes of the records that a project's folder holds beside its source. Those of locations and terms are this engine's choice, as only their places are prescribed.
 EVIDENCE = "ARRAY<STRUCT<source_unit_id:STRING,quote:STRING,note:STRING>>"
 _BEATS = "ARRAY<STRUCT<beat_id:STRING,ordinal:INT,summary_zh:STRING,change_type:STRING,source_unit_ids:ARRAY<STRING>>>"
 _SCENES = f"""ARRAY<STRUCT<scene_id:STRING,ordinal:INT,int_ext:STRING,location_id:STRING,location_name:STRING,parent_location:STRING,sub_location:STRING,
@@ -21,13 +21,15 @@ _SCENES = f"""ARRAY<STRUCT<scene_id:STRING,ordinal:INT,int_ext:STRING,location_i
 RECORDS = {
     "analysis": f"schema_version STRING, chapter_id STRING, source_sha256 STRING, source_unit_ids ARRAY<STRING>, scenes {_SCENES}",
     "characters": f"schema_version STRING, character_id STRING, canonical_name STRING, chinese_name STRING, aliases ARRAY<STRING>, character_type STRING, importance STRING, first_appearance_id STRING, evidence {EVIDENCE}",
+    "locations": f"schema_version STRING, location_id STRING, canonical_name STRING, chinese_name STRING, aliases ARRAY<STRING>, parent_location_id STRING, evidence {EVIDENCE}",
+    "terminology": f"schema_version STRING, term STRING, zh_cn STRING, category STRING, notes STRING, evidence {EVIDENCE}",
     "appearances": f"schema_version STRING, appearance_id STRING, character_id STRING, chapter_id STRING, scene_id STRING, appearance_type STRING, has_dialogue BOOLEAN, source_unit_ids ARRAY<STRING>, evidence {EVIDENCE}",
     "profiles": f"schema_version STRING, character_id STRING, fields MAP<STRING, STRUCT<value:VARIANT,status:STRING,confidence:DOUBLE,evidence:{EVIDENCE},notes:STRING>>",
     "extensions": """manifest_version STRING, module_id STRING, module_version STRING, display_name STRING, description STRING, consumes ARRAY<STRUCT<data_type:STRING,version_range:STRING,required:BOOLEAN>>,
       produces ARRAY<STRUCT<artifact_type:STRING,format:STRING>>, output_namespace STRING, entrypoint STRING, config_schema STRING""",
 }
 #: Where they lie below a project's folder.
-PLACES = {"analysis": "data/analysis/*.analysis.json", "characters": "data/registries/characters.json", "appearances": "data/appearances.jsonl", "profiles": "data/profiles.json", "extensions": "extensions/*/extension.json"}
+PLACES = {"analysis": "data/analysis/*.analysis.json", "characters": "data/registries/characters.json", "locations": "data/registries/locations.json", "terminology": "data/registries/terminology.json", "appearances": "data/appearances.jsonl", "profiles": "data/profiles.json", "extensions": "extensions/*/extension.json"}
 
 
 def typed_records(files: DataFrame, kind: str) -> DataFrame:

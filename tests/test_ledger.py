@@ -69,3 +69,17 @@ def test_offsets_beyond_the_text(spark):
     rows = [(k, p, json.dumps(manifest).encode() if p == "m" else c) for k, p, c in rows]
     found = {(r["check_id"], r["entity_id"]) for r in verify(spark.createDataFrame(rows, "project_id string, path string, content binary")).collect()}
     assert found == {("V3", None), ("V10", "P03"), ("V19", None)}
+
+
+def test_stages_resume(spark, tmp_path):
+    """What was not committed does not count; failed records are tried again; each record is done once on each input."""
+    from folioforge.plans.runner import Runner, Stage
+
+    runner = Runner(spark, f"file://{tmp_path}/stages")
+    items = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None)], "entity_id string, output string")
+    up = Stage("up", lambda df: df.withColumn("output", F.upper("output")), lambda o: o != "Y")
+    assert [r["output"] for r in runner.run(items, [up]).collect()] == ["X"]
+    (tmp_path / "stages/up/run-broken").mkdir()
+    assert [r["output"] for r in runner.run(items, [Stage("up", up.make)]).orderBy("output").collect()] == ["X", "Y"]
+    assert {(r["entity_id"], r["status"]): r["count"] for r in runner.ledger("up").groupBy("entity_id", "status").count().collect()} == {("a", "validated"): 1, ("b", "failed"): 1, ("b", "validated"): 1, ("c", "failed"): 2}
+    assert runner.run(items, [Stage("up", up.make), Stage("twice", lambda df: df.withColumn("output", F.repeat("output", 2)))]).count() == 2
