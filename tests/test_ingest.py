@@ -11,6 +11,7 @@ from folioforge.operators.constraints import check_records
 from folioforge.operators.ingest import ingest, project_files
 from folioforge.operators.ledger import differences
 from folioforge.operators.verify import verify
+from folioforge.sources.shared import written
 
 FILES = "filename string, content binary, title string"
 MIXED = "﻿Front matter\r\n\r\nCHAPTER 1\r\nFirst line.\r\n\r\nChapter Two\nSecond line without final newline"
@@ -36,6 +37,7 @@ def chapters(got):
 
 def violations(got_or_files):
     files = project_files(got_or_files) if not hasattr(got_or_files, "columns") else got_or_files
+    files = written(files, "project-files")  # verification reads them many times
     return sorted((r["check_id"], r["entity_id"], r["row_no"]) for r in verify(files).collect())
 
 
