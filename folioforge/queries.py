@@ -355,13 +355,15 @@ def extension_match(spark, sf):
     return reports.extension_inputs(_one_project(modules), _one_project(have)).drop("project_id")
 
 
-@query("SELECT * FROM (VALUES ('a.txt', 'cp1252', 'café €', CAST(NULL AS VARCHAR)), ('b.txt', 'utf-16-le-bom', 'é🎉', NULL), ('c.docx', 'docx-xml', 'Hi' || chr(9) || 'there' || chr(10) || 'End', NULL), ('d.pdf', NULL, NULL, 'supported inputs: .txt, .md, .docx'), ('e.md', 'utf-8', '', 'source contains no text')) t(filename, encoding, canonical_text, reason)")
+@query(r"""WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 AND NOT regexp_full_match(text, '[\x00-\x7F\x{A0}-\x{FF}]*') THEN 1 ELSE doc_id % 4 END AS k FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE k WHEN 0 THEN 'cp1252' WHEN 1 THEN 'utf-16-be-bom' WHEN 3 THEN 'utf-8' END AS encoding, CASE k WHEN 0 THEN sha256(concat(text, ' €')) WHEN 1 THEN sha256(text) WHEN 3 THEN sha256('') END AS sha256,
+  CASE WHEN k = 2 THEN 'supported inputs: .txt, .md, .docx' WHEN k = 3 OR (k = 1 AND text = '') THEN 'source contains no text' END AS reason FROM d""")
 def decoders(spark, sf):
-    import io
-    import zipfile
-
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("word/document.xml", '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body><w:p><w:r><w:t>Hi</w:t><w:tab/><w:t>there</w:t></w:r></w:p><w:p><w:r><w:t>End</w:t></w:r></w:p></w:body></w:document>')
-    files = [("a.txt", "café €".encode("cp1252")), ("b.txt", "é🎉".encode("utf-16")), ("c.docx", out.getvalue()), ("d.pdf", b"x"), ("e.md", b"")]
-    return decode_sources(spark.createDataFrame(files, "filename string, content binary")).select("filename", "encoding", "canonical_text", "reason")
+    """Each document as a Windows-1252 file with a euro sign at its end (as UTF-16 where it has letters beyond), an unsupported file, or an empty one."""
+    d = _table(spark, sf, "documents").where("text is not null").select("doc_id", "text")
+    k = F.when((F.col("doc_id") % 4 == 0) & ~F.col("text").rlike(r"\A[\x00-\x7F\x{A0}-\x{FF}]*\z"), 1).otherwise(F.col("doc_id") % 4)
+    d = d.withColumn("k", k)
+    latin = F.concat(F.encode(F.when(F.col("k") == 0, F.col("text")), "ISO-8859-1"), F.unhex(F.lit("2080")))
+    content = F.when(F.col("k") == 0, latin).when(F.col("k") == 1, F.concat(F.unhex(F.lit("FEFF")), F.encode("text", "UTF-16BE"))).when(F.col("k") == 2, F.encode("text", "UTF-8")).otherwise(F.lit(b""))
+    name = F.when(F.col("k") == 2, "a.pdf").otherwise("a.txt")
+    return decode_sources(d.select("doc_id", name.alias("filename"), content.alias("content"))).select("doc_id", "encoding", tx.digest(F.col("canonical_text")).alias("sha256"), "reason")
