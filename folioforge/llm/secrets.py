@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm.session import written
@@ -90,6 +90,13 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"], x["e"])), ",")
 
 
+def _outside(parts: DataFrame) -> DataFrame:
+    """Parts (row, s, k, e) without the weak ones that lie within a base span: a sweep over the starts that keeps the furthest end of the base spans so far."""
+    sweep = Window.partitionBy("row").orderBy("s", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at one start base spans come first
+    reach = F.max(F.when(F.col("k") < 3, F.col("e"))).over(sweep)
+    return parts.withColumn("reach", reach).where((F.col("k") < 3) | F.coalesce(F.col("reach") < F.col("e"), F.lit(True))).drop("reach")
+
+
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """Weak parts (row, k, s, e) that have a complementary part in scope."""
     ids, secrets = F.col("k").isin(1, 3, 4), F.col("k").isin(0, 2, 5)
@@ -116,9 +123,8 @@ def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         "secrets",
     )
     base = F.concat("assign", "access", "hex")
-    outside = F.filter("weak", lambda w: ~F.exists(base, lambda b: (w["s"] >= b["s"]) & (w["e"] <= b["e"])))
-    parts = found.where("size(weak) > 0").select("row", F.inline(F.concat(base, outside)))
-    linked = _linked(parts, scope).groupBy("row").agg(F.collect_list(F.struct("s", "k", "e")).alias("linked"))
+    parts = found.where("size(weak) > 0").select("row", F.inline(F.concat(base, "weak")))
+    linked = _linked(_outside(parts), scope).groupBy("row").agg(F.collect_list(F.struct("s", "k", "e")).alias("linked"))
     every = found.join(linked, "row", "left").withColumn("linked", F.coalesce("linked", F.expr("cast(array() as array<struct<s: bigint, k: int, e: bigint>>)")))
     return every.select(
         F.col("doc_id").alias(doc_id),

@@ -261,3 +261,23 @@ def test_pseudonyms_match_plain_python(spark):
     for k, (text, counts) in enumerate(want):
         assert (got[k]["text"], tuple(got[k][f"n_{x}"] for x in KINDS)) == (text, counts), rows[k][1][:300]
     assert pseudonymize(docs.limit(0), key="k").count() == 0
+
+
+def test_secrets_of_a_text_with_many_matches(spark):
+    """Twice the matches in one text take about twice the time; repeated rows and columns of the same names as the operator's own."""
+    import time
+
+    def text(n):
+        return " ".join(f"{k:032x} https://h{k}.example.com/x" for k in range(n))
+
+    took = {}
+    for n in (1000, 8000, 16_000):
+        began = time.time()
+        rows = find_secrets(spark.createDataFrame([(1, text(n)), (1, text(n))], "doc_id long, text string").selectExpr("*", "1 as row", "2 as s", "3 as k", "4 as e", "'x' as reach", "5 as weak")).collect()
+        took[n] = time.time() - began
+        assert len(rows) == 2 and rows[0] == rows[1]
+        assert rows[0]["n_hex"] == n and rows[0]["n_linked"] == n and rows[0]["spans"].count("endpoint") == n
+    assert took[16_000] < 2.5 * took[8000] + 2, took
+    inside = "token=https://abcd.example.com/0123456789abcdef0123456789abcdef login: bob"
+    got = find_secrets(spark.createDataFrame([(1, inside)], "doc_id long, text string")).first()["spans"]
+    assert "hex:" in got and "id:" in got
