@@ -14,8 +14,8 @@ agree, then from the next span of WINDOW code points that both have after that (
 one that leaves out least), and so on to the end. It is the code points in the chain divided by the
 longer length: 1 for equal texts only, also for two empty ones; an empty and another have 0. Texts
 of under 64 code points are chained by spans of SHORT_WINDOW. In longer texts the spans to go on
-from are sampled by their value, alike in both texts, so memory is bounded by the arrays; what
-lies before a sampled span is found by an extension to the left.
+from are sampled by their value, alike in both texts, one in SPACING at least, so memory is bounded
+by the arrays; what lies before a sampled span is found by an extension to the left.
 
 Nulls: a null text is empty; a null id stands after all others in descending order. Repeated ids
 stand in descending order of their texts' hashes. One document's next is itself. An empty table
@@ -39,8 +39,10 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1234567891)
 GRID = 32
 WINDOW, SHORT_WINDOW = 24, 6
-#: Spans of a text that the chain can go on from, about, beyond which they are sampled.
+#: Spans of a text that the chain can go on from, about, beyond which they are sampled: the more sparsely the longer
+#: the text, but never more than one in SPACING, so that the likeness of longer texts does not fall with their length.
 SAMPLED = 1 << 10
+SPACING = 16
 #: Spans among which the next of a chain is chosen.
 CHOICE = 16
 
@@ -168,7 +170,7 @@ class PrefixHashes:
         if min(n - i, m - j) < size:
             return common / max(n, m)
         step = 1
-        while max(n, m) > SAMPLED * step:
+        while max(n, m) > SAMPLED * step and step < SPACING:
             step *= 2
         value, place = self.windows(size, step)
         theirs, at = other.windows(size, step)

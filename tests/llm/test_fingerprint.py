@@ -126,3 +126,27 @@ def test_edges(spark):
     assert len(one) == 1 and one[0]["near_next"] == 1.0 and one[0]["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest()
     twice = fingerprints(spark.createDataFrame([(1, "same text")] * 3, "doc_id long, text string")).collect()
     assert len(twice) == 3
+
+
+def test_likeness_does_not_fall_with_length():
+    """One edit in forty words has about the same likeness at any length; texts that share nothing stay low."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(4000)]
+    got, before = {}, None
+    for n in (400, 1600, 6400, 25_600, 160_000):
+        words = [rng.choice(vocabulary) for _ in range(n)]
+        other = [w if k % 40 else "changed" for k, w in enumerate(words)]
+        a, b = PrefixHashes(" ".join(words)), PrefixHashes(" ".join(other))
+        began = time.time()
+        got[a.n] = a.likeness(b)
+        assert time.time() - began < 30
+        # The common code points, counted plainly: all words that were kept, and the spaces.
+        kept = sum(len(w) for w, o in zip(words, other) if w == o) + n - 1
+        assert got[a.n] == pytest.approx(kept / max(a.n, b.n), abs=0.02), n
+        if before is not None:
+            assert before.likeness(a) < 0.1
+        before = PrefixHashes(" ".join(rng.choice(vocabulary)[::-1] + "q" for _ in range(n)))
+    assert max(got.values()) - min(got.values()) < 0.02, got
