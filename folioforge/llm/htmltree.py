@@ -49,7 +49,11 @@ ENDED_BY = {
 }
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
+_ASIDE = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+#: Quotes are taken as a whole or not at all, so a tag is read twice at most: with its quotes, and without where one never ends.
+TOKEN = re.compile(_ASIDE + r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""", re.S)
+#: After the last ">" of a page no tag ends.
+LAST_TOKEN = re.compile(_ASIDE + r"|(?!)()()()", re.S)
 MARKS = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Ends of sentences, and what notices say in a few languages.
 STOPS = re.compile(r"[.!?…。！？](?=\s|$)")
@@ -76,6 +80,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     nodes = [Element(-1, "#root", (), None)]
     blocks: list[tuple[int, str]] = []
     open_tags: list[tuple[str, int]] = [("#root", 0)]  # tag and its element, or that of the block around it
+    places: dict[str, list[int]] = {}  # of each open tag in open_tags
     hidden = links = 0
     pending: list[str] = []
     linked = 0
@@ -103,9 +108,18 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             if tag not in INLINE:
                 flush()
             open_tags.pop()
+            places[tag].pop()
             hidden -= tag in HIDDEN
             links -= tag == "a"
 
+    def push(tag: str, element: int) -> None:
+        places.setdefault(tag, []).append(len(open_tags))
+        open_tags.append((tag, element))
+
+    def innermost(tags: Iterable[str]) -> int:
+        """The place of the last one open, 0 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def add(text: str) -> None:
         nonlocal linked
         if text and not hidden:
@@ -113,9 +127,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             if links:
                 linked += len(text.strip())
 
-    at, size = 0, len(page)
+    at, size, last_end = 0, len(page), page.rfind(">")
     while at < size:
-        m = TOKEN.search(page, at)
+        m = (TOKEN if at <= last_end else LAST_TOKEN).search(page, at)
         if not m:
             add(page[at:])
             break
@@ -127,25 +141,25 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 add(html_lib.escape(m[0][9:-3]))
             continue
         if m[1]:
-            k = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] == tag), 0)
+            k = innermost((tag,))
             if k:
                 close(k)
             continue
         if tag in ENDS_P:
-            k = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] == "p" or open_tags[k][0] in ("td", "th", "button", "table")), 0)
+            k = innermost(("p", "td", "th", "button", "table"))
             if k and open_tags[k][0] == "p":
                 close(k)
         if tag in ENDED_BY:
             ends, scope = ENDED_BY[tag]
-            k = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] in ends or open_tags[k][0] in scope), 0)
+            k = innermost(ends | scope)
             while k and open_tags[k][0] in ends:
                 close(k)
-                k = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] in ends or open_tags[k][0] in scope), 0)
+                k = innermost(ends | scope)
         if tag in INLINE:
             if tag in ("br", "wbr", "img"):
                 add(" " if tag == "br" else "")
             else:
-                open_tags.append((tag, open_tags[-1][1]))
+                push(tag, open_tags[-1][1])
                 links += tag == "a"
             continue
         flush()
@@ -159,7 +173,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             else:
                 marks += [w.lower() for w in WORDS.findall(value)]
         nodes.append(Element(open_tags[-1][1], tag, tuple(dict.fromkeys(marks)), label))
-        open_tags.append((tag, len(nodes) - 1))
+        push(tag, len(nodes) - 1)
         hidden += tag in HIDDEN
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)

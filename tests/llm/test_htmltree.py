@@ -75,3 +75,16 @@ def test_broken_and_extreme(spark):
     assert by[1] == by[2] == by[6] == "" and by[None] == MODEL.extract(PAGE)
     assert max(r["n_chars"] for r in got if r["page_id"] == 7) == 5000 * len("long enough words here to read") + 4999 * 2
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_long_hostile_pages_take_linear_time():
+    """A megabyte of nested, stray, never closed and never quoted tags."""
+    import time
+
+    pages = ["<div>" * 200_000, "<div>" * 60_000 + "</span>" * 100_000, '<a "' * 250_000, '<a ">' * 200_000, "<ul><li>" * 60_000 + "</b>" * 100_000, "<b>" * 150_000 + "<p>" * 150_000, "<a" * 400_000, "<!--" * 250_000]
+    for page in pages:
+        began = time.time()
+        parse(page)
+        parse(page + "words")
+        assert time.time() - began < 20, page[:10]  # two to four seconds on one core; the square of the length would be hours
+    assert MODEL.extract("<div>" * 100_000 + PAGE) == MODEL.extract(PAGE)
