@@ -319,8 +319,9 @@ def schema_lint(spark, sf):
     number = F.col("p_partkey")
     body = F.when(number % 5 == 2, "{,}").otherwise(F.concat(F.lit('{"type":"object","properties":{"x":{"$ref":"p'), number + 1, F.lit('.json#/x"}}}')))
     root = fresh_path(spark, "schemas")
-    records.write_projects(_table(spark, sf, "part").select(F.concat(F.lit("f"), number % 16).alias("project_id"), F.concat(F.lit("p"), number, F.lit(".json")).alias("path"), body.cast("binary").alias("content")), root)
-    found = records.lint_schemas(records.read_documents(spark, root))
+    folder = F.concat(F.lit("f"), F.floor(number / 1000))  # folders of a bounded size, so that more files mean more tasks
+    records.write_projects(_table(spark, sf, "part").select(folder.alias("project_id"), F.concat(F.lit("p"), number, F.lit(".json")).alias("path"), body.cast("binary").alias("content")), root)
+    found = records.lint_schemas(records.folder_documents(spark, root))
     none = records.lint_schemas(spark.createDataFrame([], "name string, json string"))
     return found.unionByName(none).select("check_id", "name")
 

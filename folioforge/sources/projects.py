@@ -4,7 +4,10 @@ Writing follows Spark's protocol. Each task attempt writes below a staging folde
 own, and tells the driver which projects it holds; on commit each project appears under its name as
 a whole, and one that is there already is refused and left as it is; on abort, and after commit, the
 staging folder goes. So a task that is tried again or runs twice leaves nothing behind, and a failed
-job publishes nothing.
+job publishes nothing. A task stages no file of a project that is there already, so a refusal costs a look, not a copy.
+
+Reading lists each project's folder in the task that reads it and gives many files in a batch; the driver lists
+only the names of projects. The option `only` (a pattern below a project's folder) leaves other files unopened.
 
 Any Arrow filesystem will do (file, hdfs, s3, gs, abfs); the option `filesystem` names a factory
 ("module:function", see filesystems.opened) for others. Where folders can be renamed, a project is
@@ -16,8 +19,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from fnmatch import fnmatchcase
 
 import pyarrow as pa
 from pyarrow import fs
@@ -31,6 +35,8 @@ SCHEMA = "project_id string, path string, content binary"
 #: Filesystems of which a folder is renamed at once.
 RENAMED = ("local", "hdfs")
 _MARKS = ".published"
+#: Files and bytes of a batch that a reader gives, whichever is reached first.
+_BATCH_FILES, _BATCH_BYTES = 1000, 4 << 20
 
 
 def _exists(system: fs.FileSystem, path: str) -> bool:
@@ -52,6 +58,7 @@ class _Place:
         self.system, base = opened(options["path"], options.get("filesystem"))
         self.base = base.rstrip("/")
         self.renames = self.system.type_name in RENAMED
+        self.made: set[str] = set()
 
     def target(self, project: str) -> str:
         return f"{self.base}/{project}"
@@ -68,12 +75,20 @@ class _Place:
         wanted = fs.FileType.Directory if self.renames else fs.FileType.File
         return sorted(f.base_name for f in found if f.type == wanted and not f.base_name.startswith("."))
 
-    def files(self, folder: str) -> list[str]:
+    def files(self, folder: str, only: str = "*") -> list[str]:
+        """The files below a folder whose path in it is like `only`, where an asterisk stands for any text; without one, nothing is listed."""
+        if "*" not in only:
+            return [path] if self.system.get_file_info(path := f"{folder}/{only}").type == fs.FileType.File else []
         found = self.system.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
-        return sorted(f.path for f in found if f.type == fs.FileType.File)
+        return sorted(f.path for f in found if f.type == fs.FileType.File and fnmatchcase(f.path[len(folder) + 1 :], only))
 
     def put(self, path: str, content: bytes) -> None:
-        self.system.create_dir(path.rpartition("/")[0], recursive=True)
+        folder = path.rpartition("/")[0]
+        if folder not in self.made:
+            self.system.create_dir(folder, recursive=True)
+            if len(self.made) >= 10_000:
+                self.made.clear()
+            self.made.add(folder)
         with self.system.open_output_stream(path) as out:
             out.write(content)
 
@@ -129,16 +144,19 @@ class _Writer(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         place = _Place(self.options)
         folder = f"{self._staging(place)}/{uuid.uuid4().hex}"  # no other attempt's
-        seen: dict[str, None] = {}
+        fresh: dict[str, bool] = {}
         try:
             for batch in iterator:
-                for project, path, content in zip(*[batch.column(c).to_pylist() for c in ("project_id", "path", "content")], strict=True):
-                    seen[_checked(project, parts=False)] = None
-                    place.put(f"{folder}/{project}/{_checked(path, parts=True)}", content or b"")
+                for project, path, content in zip(*[batch.column(c) for c in ("project_id", "path", "content")], strict=True):
+                    project, path = project.as_py(), path.as_py()
+                    if project not in fresh:
+                        fresh[project] = not place.published(_checked(project, parts=False))
+                    if fresh[project]:
+                        place.put(f"{folder}/{project}/{_checked(path, parts=True)}", content.as_py() or b"")
         except BaseException:
             place.remove(folder)
             raise
-        return _Staged(folder, list(seen))
+        return _Staged(folder, [project for project, new in fresh.items() if new])
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         place = _Place(self.options)
@@ -172,12 +190,27 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         place = _Place(self.options)
-        for project in partition.names:
+        return _batches(self._files(place, partition.names))
+
+    def _files(self, place: _Place, names: list[str]) -> Iterator[tuple[str, str, bytes]]:
+        for project in names:
             folder = place.target(project)
-            for path in place.files(folder):
+            for path in place.files(folder, self.options.get("only", "*")):
                 with place.system.open_input_stream(path) as file:
-                    content = file.read()
-                yield pa.RecordBatch.from_arrays([pa.array([project]), pa.array([path[len(folder) + 1 :]]), pa.array([content], pa.binary())], ["project_id", "path", "content"])
+                    yield project, path[len(folder) + 1 :], file.read()
+
+
+def _batches(files: Iterable[tuple[str, str, bytes]]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    as_batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.binary()), strict=True)], ["project_id", "path", "content"])
+    for file in files:
+        held.append(file)
+        size += len(file[2])
+        if len(held) >= _BATCH_FILES or size >= _BATCH_BYTES:
+            yield as_batch(held)
+            held, size = [], 0
+    if held:
+        yield as_batch(held)
 
 
 class ProjectFolders(DataSource):
@@ -219,7 +252,7 @@ def write_projects(files: DataFrame, root: str, *, filesystem: str | None = None
     return done
 
 
-def read_folders(spark: SparkSession, root: str, *, filesystem: str | None = None) -> DataFrame:
-    """project_id, path, content of all published projects, through Arrow's filesystems."""
-    options = {"path": root} | ({"filesystem": filesystem} if filesystem else {})
+def read_folders(spark: SparkSession, root: str, *, filesystem: str | None = None, only: str = "*") -> DataFrame:
+    """project_id, path, content of all published projects, through Arrow's filesystems; of those files alone whose path is like `only`."""
+    options = {"path": root, "only": only} | ({"filesystem": filesystem} if filesystem else {})
     return registered(spark).read.format("project_folders").options(**options).load()
