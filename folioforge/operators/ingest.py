@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators.scan import marked_lines_of, pieces_of
 from folioforge.sources.files import decode_sources
+from folioforge.sources.shared import written
 
 # Fixed values of records.
 METHOD = "anchored-heading-v1"
@@ -27,12 +28,14 @@ class Ingested:
     rejected: DataFrame
 
 
-def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text") -> DataFrame:
+def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text", *, keep: str | None = None) -> DataFrame:
     """Each line with its offset, heading and chapter: key, line_no (from 0), line, start, heading, label,
     any_heading, chapter_ordinal, ordinal. One window over the lines of a text gives all of it, so a text is
-    the work of one task; `marked` does the same for texts that come in blocks.
+    the work of one task; `marked` does the same for texts that come in blocks. keep: a column that stays with a text's first line.
     """
-    line = texts.select(key, F.posexplode(tx.lines(F.col(text))).alias("line_no", "line"))
+    kept = [keep] if keep else []
+    line = texts.select(key, *kept, F.posexplode(tx.lines(F.col(text))).alias("line_no", "line"))
+    line = line.select(key, "line_no", "line", *[F.when(F.col("line_no") == 0, F.col(k)).alias(k) for k in kept])
     line = line.withColumn("label", tx.heading_label(F.col("line")))
     run = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.partitionBy(key)
@@ -47,7 +50,7 @@ def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text") -> Da
     return out.select(
         key, "line_no", "line", "start", F.when(is_heading, tx.heading_text(F.col("line"))).alias("heading"), "label", "any_heading",
         F.when(F.col("any_heading"), F.col("headings")).otherwise(1).cast("int").alias("chapter_ordinal"),
-        (F.col("line_no") - F.col("first_line") + 1).cast("int").alias("ordinal"),
+        (F.col("line_no") - F.col("first_line") + 1).cast("int").alias("ordinal"), *kept,
     )
 
 
@@ -62,8 +65,9 @@ def marked(blocks: DataFrame, key: str) -> DataFrame:
     )
 
 
-def chapters_of(marked: DataFrame, key: str) -> DataFrame:
-    """key, chapter_id, ordinal, heading, source_label, source_start, source_end, character_length, sha256, paths, unit_count, chapter_text."""
+def chapters_of(marked: DataFrame, key: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """key, chapter_id, ordinal, heading, source_label, source_start, source_end, character_length, sha256, paths, unit_count, chapter_text; and more aggregates."""
+    more = more or {}
     grouped = marked.groupBy(key, F.col("chapter_ordinal").alias("ordinal")).agg(
         F.max("heading").alias("heading"),
         F.max("label").alias("label"),
@@ -72,6 +76,7 @@ def chapters_of(marked: DataFrame, key: str) -> DataFrame:
         F.max(F.col("start") + F.length("line")).alias("source_end"),
         F.count(F.lit(1)).alias("unit_count"),
         tx.joined(F.col("line"), F.col("line_no")).alias("chapter_text"),
+        *[c.alias(name) for name, c in more.items()],
     )
     named = grouped.withColumn("chapter_id", tx.chapter_id(F.col("ordinal")))
     low = F.lower("chapter_id")
@@ -82,7 +87,7 @@ def chapters_of(marked: DataFrame, key: str) -> DataFrame:
         tx.digest(F.col("chapter_text")).alias("sha256"),
         F.concat(F.lit("source/chapters/"), low, F.lit(".txt")).alias("source_path"),
         F.concat(F.lit("data/units/"), low, F.lit(".units.jsonl")).alias("units_path"),
-        "unit_count", "chapter_text",
+        "unit_count", "chapter_text", *more,
     )
 
 
@@ -137,6 +142,9 @@ def ingest(files: DataFrame) -> Ingested:
     """
     decoded = decode_sources(files.select("filename", "content", F.coalesce(F.nullif("title", F.lit("")), tx.stem(F.col("filename"))).alias("title")))
     named = decoded.withColumn("sha256", tx.digest(F.col("content"))).withColumn("project_id", F.concat(F.lit("PRJ-"), tx.slug(F.col("title"), F.col("sha256"))))
+    # A file whose bytes are its text's crosses the shuffle once.
+    same = F.coalesce(F.col("content") == F.col("canonical_text").cast("binary"), F.lit(False))
+    named = named.withColumn("byte_length", F.length("content").cast("long")).withColumn("content", F.when(~same & F.col("reason").isNull(), F.col("content")))
     taken = named.withColumn("reason", F.coalesce("reason", F.when(F.count(F.when(F.col("reason").isNull(), 1)).over(Window.partitionBy("project_id")) > 1, "project already exists")))
     good = taken.where("reason is null")
     canonical = F.struct(
@@ -145,37 +153,52 @@ def ingest(files: DataFrame) -> Ingested:
     )
     sources = good.select(
         "project_id", "title", "filename", "format", "encoding", F.concat(F.lit("source/original.input"), tx.suffix(F.col("filename"))).alias("copy_path"),
-        F.length("content").cast("long").alias("byte_length"), "sha256", "warnings", canonical.alias("canonical"), "canonical_text", "content",
+        "byte_length", "sha256", "warnings", canonical.alias("canonical"), "canonical_text", F.coalesce("content", F.col("canonical_text").cast("binary")).alias("content"),
     )
     marked = marked_lines(sources, "project_id")
     chapters = chapters_of(marked, "project_id")
-    made = manifests(sources, chapters)
+    return Ingested(_projects(sources, chapters), sources, chapters, units_of(marked, "project_id"), taken.where("reason is not null").select("filename", "title", "reason"))
+
+
+def _projects(sources: DataFrame, chapters: DataFrame) -> DataFrame:
     artifact = F.struct(F.lit("source_manifest").alias("artifact_type"), F.lit("source/manifest.json").alias("path"), F.lit(tx.SCHEMA_VERSION).alias("schema_version"), F.col("sha256"))
-    projects = sources.select("project_id", "title").join(made, "project_id").select(
+    return sources.select("project_id", "title").join(manifests(sources, chapters), "project_id").select(
         "project_id", F.lit(tx.SCHEMA_VERSION).alias("schema_version"), "title", F.lit(tx.PIPELINE_VERSION).alias("pipeline_version"), F.lit("ingested").alias("state"),
         F.lit("source/manifest.json").alias("source_manifest"), F.array(artifact).alias("artifacts"), "manifest", "n_chapters",
     )
-    return Ingested(projects, sources, chapters, units_of(marked, "project_id"), taken.where("reason is not null").select("filename", "title", "reason"))
 
 
-def project_files(got: Ingested) -> DataFrame:
-    """All files of all projects: project_id, path, content."""
+def _rendered(sources: DataFrame) -> DataFrame:
+    """A row a chapter with its text and its units' rows; the first one of a text carries its source. Texts are decoded, cut and marked once, in one stage."""
     text = lambda c: tx.json_string(F.col(c))
-    artifact = F.transform("artifacts", lambda a: tx.json_object({k: tx.json_string(a[k]) for k in ("artifact_type", "path", "schema_version", "sha256")}, 2))
-    project = F.concat(tx.json_object({**{k: text(k) for k in ("schema_version", "project_id", "title", "pipeline_version", "state", "source_manifest")}, "artifacts": tx.json_array(artifact, 1)}), F.lit("\n"))
+    whole = [c for c in sources.columns if c not in ("project_id", "content", "canonical_text")]
+    raw = F.when(F.col("content") != F.col("canonical_text").cast("binary"), F.col("content"))
+    texts = sources.select("project_id", "canonical_text", F.struct(*whole, raw.alias("raw"), F.col("canonical_text").alias("text")).alias("source"))
+    marked = marked_lines(texts, "project_id", keep="source")
     # Units as ingested: nothing is classified or translated yet.
+    chapter = tx.chapter_id(F.col("chapter_ordinal"))
     unit = F.concat(
-        F.lit('{"schema_version":'), text("schema_version"), F.lit(',"unit_id":'), text("unit_id"), F.lit(',"chapter_id":'), text("chapter_id"), F.lit(',"ordinal":'), F.col("ordinal").cast("string"),
-        F.lit(',"source_text":'), text("source_text"), F.lit(',"source_sha256":'), text("source_sha256"), F.lit(UNTOUCHED),
+        F.lit('{"schema_version":'), tx.json_string(F.lit(tx.SCHEMA_VERSION)), F.lit(',"unit_id":'), tx.json_string(tx.unit_id(chapter, F.col("ordinal"))), F.lit(',"chapter_id":'), tx.json_string(chapter), F.lit(',"ordinal":'), F.col("ordinal").cast("string"),
+        F.lit(',"source_text":'), text("line"), F.lit(',"source_sha256":'), tx.json_string(tx.digest(F.col("line"))), F.lit(UNTOUCHED + "\n"),
     )
-    unit_files = got.units.groupBy("project_id", "chapter_id").agg(tx.joined(F.concat(unit, F.lit("\n")), F.col("ordinal")).alias("text"))
+    return chapters_of(marked, "project_id", {"unit_text": tx.joined(unit, F.col("line_no")), "source": F.first("source", ignorenulls=True)}).withColumn("opens", F.col("source").isNotNull())
+
+
+def project_files(got: Ingested) -> DataFrame:
+    """All files of all projects: project_id, path, content. Chapters are rendered once, and kept as a table in the shared folder."""
+    rows = written(_rendered(got.sources), "chapters")
+    sources = rows.where("opens").select("project_id", "source.*")
+    projects = _projects(sources, rows.drop("chapter_text", "unit_text", "source", "opens"))
+    text = lambda c: tx.json_string(F.col(c))
+    artifact = F.transform("artifacts", lambda a: tx.json_object({k: tx.json_string(a[k]) for k in ("artifact_type", "path", "schema_version", "sha256")}, 2))
+    project = F.concat(tx.json_object({**{k: text(k) for k in ("schema_version", "project_id", "title", "pipeline_version", "state", "source_manifest")}, "artifacts": tx.json_array(artifact, 1)}), F.lit("\n"))
     parts = [
-        got.projects.select("project_id", F.lit("project.json").alias("path"), project.cast("binary").alias("content")),
-        got.projects.select("project_id", F.lit("source/manifest.json").alias("path"), F.col("manifest").cast("binary").alias("content")),
-        got.sources.select("project_id", F.col("copy_path").alias("path"), "content"),
-        got.sources.select("project_id", F.col("canonical.path").alias("path"), F.col("canonical_text").cast("binary").alias("content")),
-        got.chapters.select("project_id", F.col("source_path").alias("path"), F.col("chapter_text").cast("binary").alias("content")),
-        unit_files.select("project_id", F.concat(F.lit("data/units/"), F.lower("chapter_id"), F.lit(".units.jsonl")).alias("path"), F.col("text").cast("binary").alias("content")),
+        projects.select("project_id", F.lit("project.json").alias("path"), project.cast("binary").alias("content")),
+        projects.select("project_id", F.lit("source/manifest.json").alias("path"), F.col("manifest").cast("binary").alias("content")),
+        sources.select("project_id", F.col("copy_path").alias("path"), F.coalesce("raw", F.col("text").cast("binary")).alias("content")),
+        sources.select("project_id", F.col("canonical.path").alias("path"), F.col("text").cast("binary").alias("content")),
+        rows.select("project_id", F.col("source_path").alias("path"), F.col("chapter_text").cast("binary").alias("content")),
+        rows.select("project_id", F.col("units_path").alias("path"), F.col("unit_text").cast("binary").alias("content")),
     ]
     out = parts[0]
     for p in parts[1:]:

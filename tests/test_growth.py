@@ -46,3 +46,12 @@ def test_refused_projects_are_not_staged(spark, tmp_path):
     staged = writer.write(iter([batch]))
     assert staged.projects == ["c"]
     assert sorted(str(f.relative_to(staged.folder)) for f in (tmp_path / "p" / ".staging-j").rglob("*") if f.is_file()) == ["c/z"]
+
+
+def test_sources_are_ingested_once(spark):
+    from folioforge.operators.ingest import ingest, project_files
+
+    rows = [(f"s{k}.txt", f"Chapter 1\none {k}\nChapter 2\ntwo\n".encode(), None) for k in range(5)]
+    files, seen = counted(spark, spark.createDataFrame(rows, "filename string, content binary, title string"))
+    assert project_files(ingest(files)).count() == 5 * 8
+    assert seen.value == 5 * 2  # decoding reads files that SQL decodes apart from those that it cannot
