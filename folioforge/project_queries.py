@@ -85,7 +85,8 @@ def project_records(spark, sf):
     """project.json of published folders, read as whole JSON files with their declared schema."""
     root = fresh_path(spark, "projects")
     records.write_projects(project_files(ingest(_book_files(spark, sf))), root)
-    got = records.read_json(spark, f"{root}/*/project.json", _PROJECT)
+    texts = read_folders(spark, root, only="project.json").select(F.col("content").cast("string").alias("json"))
+    got = texts.select(F.from_json("json", _PROJECT).alias("r")).select("r.*")
     return got.select("project_id", "title", "state", F.concat_ws(" ", F.col("artifacts")[0]["artifact_type"], F.col("artifacts")[0]["path"], F.col("artifacts")[0]["sha256"]).alias("artifact"))
 
 
