@@ -282,7 +282,7 @@ def typed_records(spark, sf):
     """Record files written as project folders and read back with their declared schemas."""
     root = fresh_path(spark, "records")
     records.write_projects(_record_files(spark, sf), root)
-    files = records.read_projects(spark, root)
+    files = written(read_folders(spark, root), "record-files")  # five kinds are read of them
     scenes = records.typed_records(files, "analysis").select("project_id", F.inline("scenes"))
     text = lambda *c: F.concat_ws(" ", *c)
     parts = [
