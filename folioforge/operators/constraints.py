@@ -35,7 +35,7 @@ def _violated(rules: list[tuple[str, str, str]]) -> str:
 
 class Shape:
     def rules(self, n: str, path: str) -> list[tuple[str, str, str]]:
-        """n: SQL of a node: its value v, a variant, and its type t."""
+        """n: SQL of a node: its value v, a variant, its type t, and its keys k where it is an object."""
         return []
 
     def below(self, n: str, path: str) -> list[str]:
@@ -48,9 +48,11 @@ class Shape:
 
     def violations(self, value: str, path: str) -> str:
         """value: SQL of a variant; null gives none."""
-        n = f"n{next(_names)}"
-        node = f"named_struct('v', {value}, 't', regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0))"
-        return f"transform(array({node}), {n} -> CASE WHEN {n}.v IS NULL THEN {_NONE} ELSE {self.body(n, path)} END)[0]"
+        v, m, n = (f"{c}{next(_names)}" for c in "vmn")
+        # The schema of an object or an array is that of all it holds, so they are told by a cast; it also gives an object's keys, once.
+        kind = f"CASE WHEN {m} IS NOT NULL THEN 'OBJECT' WHEN try_variant_get({v}, '$', 'array<variant>') IS NOT NULL THEN 'ARRAY' ELSE substring_index(schema_of_variant({v}), '(', 1) END"
+        node = f"transform(array({value}), {v} -> transform(array(try_variant_get({v}, '$', 'map<string, variant>')), {m} -> named_struct('v', {v}, 't', {kind}, 'k', map_keys({m})))[0])"
+        return f"transform({node}, {n} -> CASE WHEN {n}.v IS NULL THEN {_NONE} ELSE {self.body(n, path)} END)[0]"
 
 
 @dataclass
@@ -147,7 +149,7 @@ class Record(Shape):
 
     def rules(self, n, path):
         is_object = f"{n}.t = 'OBJECT'"
-        keys = f"json_object_keys(to_json({n}.v))"
+        keys = f"{n}.k"
         listed = lambda names: f"array({', '.join(map(_quoted, names))})"
         needed = [k for k in self.fields if k not in self.optional]
         out = [(path, "type", is_object), (path, "additionalProperties", f"NOT {is_object} OR size(array_except({keys}, {listed(self.fields)})) = 0")]

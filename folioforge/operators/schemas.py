@@ -134,7 +134,7 @@ class Node(Shape):
             add("maxItems", f"{not_list} OR size({_elements(n)}) <= {int(own['maxItems'])}")
         if own.get("uniqueItems"):
             add("uniqueItems", f"{not_list} OR size(array_distinct(transform({_elements(n)}, u -> to_json(u)))) = size({_elements(n)})")
-        keys = f"json_object_keys(to_json({n}.v))"
+        keys = f"{n}.k"
         listed = lambda names: f"cast(array({', '.join(map(_quoted, names))}) as array<string>)"
         if own.get("additionalProperties") is False:
             rest = f"array_except({keys}, {listed(self.properties)})"

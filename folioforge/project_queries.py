@@ -222,9 +222,14 @@ def record_shapes(spark, sf):
     return out
 
 
+def _spread(keys: DataFrame) -> DataFrame:
+    """A small table whose rows are much work each: dealt to all cores, however few its files are."""
+    return keys.repartition(2 * keys.sparkSession.sparkContext.defaultParallelism)
+
+
 def planted_records(spark, sf):
     """Each kind of record, and frames of key and json: good ones and those with a fault."""
-    people = _table(spark, sf, "customer").select("c_custkey")
+    people = _spread(_table(spark, sf, "customer").select("c_custkey"))
     for kind, (good, faults) in _RECORDS.items():
         number = (F.col("c_custkey") + 1).cast("string")
         fill = lambda s: F.replace(F.lit(s), F.lit("%d"), number)  # noqa: B023, E731

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from folioforge.operators import constraints, schemas
-from folioforge.project_queries import _SHAPES_SQL, planted_records
+from folioforge.project_queries import _SHAPES_SQL, _spread, planted_records
 from folioforge.queries import _table
 from folioforge.registry import query
 from folioforge.sources import records
@@ -56,7 +56,7 @@ _ORDER = """SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p, o_cus
 
 def _orders(spark, sf):
     """key, json: a record an order."""
-    o = spark.sql(_ORDER.format(orders="{o}"), o=_table(spark, sf, "orders"))
+    o = _spread(spark.sql(_ORDER.format(orders="{o}"), o=_table(spark, sf, "orders")))
     part = lambda c, *cases: F.coalesce(*[F.when(F.col(c) == i, F.lit(text)) for i, text in enumerate(cases)], F.lit(""))
     record = F.concat(
         F.lit('{"id":'), (F.col("k") % 1000).cast("string"), F.lit(',"state":"'), "s", F.lit('","price":'), F.col("p").cast("string"), part("closed", ',"closed":"1995-01-02"', ',"closed":"soon"'),

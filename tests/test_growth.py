@@ -65,3 +65,17 @@ def test_verification_passes_over_files_five_times(spark):
     files, seen = counted(spark, spark.createDataFrame(rows, "project_id string, path string, content binary"))
     assert verify(files).collect() == []
     assert seen.value <= 5 * len(rows)
+
+
+def test_small_tables_with_much_work_are_spread(spark, sf):
+    from folioforge.project_queries import planted_records
+
+    _, planted = next(iter(planted_records(spark, sf)))
+    assert planted.select(F.spark_partition_id().alias("p")).distinct().count() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_keys_of_objects_are_taken_once(spark):
+    """Objects are not written as JSON for their keys: each level would write all that is below it."""
+    from folioforge.operators.constraints import SHAPES
+
+    assert "json_object_keys" not in SHAPES["project"].violations("v", "")
