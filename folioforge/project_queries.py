@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
+from folioforge.functions.decode import steps
 from folioforge.operators import constraints, rules
 from folioforge.operators.ingest import ingest, project_files
 from folioforge.operators.ledger import differences, differing, within
@@ -336,7 +337,7 @@ _ZIP_NOTE = "DOCX auxiliary part retained in original file but not included in b
 
 
 def _as_docx(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in steps(batches, "text"):
         out = []
         for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
             paragraphs = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(line)}</w:t></w:r></w:p>' for line in (text or "").split("\n"))

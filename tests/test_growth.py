@@ -79,3 +79,15 @@ def test_keys_of_objects_are_taken_once(spark):
     from folioforge.operators.constraints import SHAPES
 
     assert "json_object_keys" not in SHAPES["project"].violations("v", "")
+
+
+def test_files_are_decoded_in_bounded_steps():
+    from folioforge.functions.decode import STEP_BYTES, decode_batches
+
+    size = STEP_BYTES // 4
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "kind": ["cp1252"] * 10, "content": [b"a" * size] * 8 + [None, b"\x80" * (2 * STEP_BYTES)]})
+    got = list(decode_batches(iter([batch])))
+    assert [b.num_rows for b in got] == [4, 5, 1]
+    table = pa.Table.from_batches(got)
+    assert table.column("doc_id").to_pylist() == list(range(10))
+    assert [len(g["text"]) for g in table.column("got").to_pylist()] == [size] * 8 + [0, 2 * STEP_BYTES]
