@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 SCHEMA_VERSION = "2.0.0"
 PIPELINE_VERSION = "2.0.0"
 LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
-LINE = rf"[^{LINE_ENDS}]*(?:\r\n|[{LINE_ENDS}])|[^{LINE_ENDS}]+"
+#: All other characters. Most are in the first range, which is looked at first: a negated class would look at every line end for each.
+_INNER = r"[\x1f-\x{84}[\x00-\x09\x0e-\x1b\x{86}-\x{2027}\x{202a}-\x{10ffff}]]"
+LINE = rf"{_INNER}*(?:\r\n|[{LINE_ENDS}])|{_INNER}+"
 _SPACE = r"[\s\x1c-\x1f]"
 CHAPTER = rf"(?isU)\A{_SPACE}*chapter{_SPACE}+([0-9]+|[ivxlcdm]+|[a-z]+(?:-[a-z]+)*)(?![\p{{L}}\p{{N}}_]).*\z"
 SPECIAL = rf"(?isU)\A{_SPACE}*(prologue|epilogue)(?:{_SPACE}*[:.\-\x{{2014}}].*)?{_SPACE}*\z"
+HEAD = rf"(?isU)\A{_SPACE}*(?:chapter|prologue|epilogue)"
 _OUTER_SPACE = rf"(?U)\A{_SPACE}+|{_SPACE}+\z"
 
 
@@ -26,9 +29,9 @@ def _candidate(line: Column) -> Column:
 
 
 def heading_label(line: Column) -> Column:
-    """The label of a heading line, else null. Special headings are tried first."""
+    """The label of a heading line, else null. Special headings are tried first. All other lines are passed over by their first word."""
     c = _candidate(line)
-    return F.when(c.rlike(SPECIAL), F.regexp_extract(c, SPECIAL, 1)).when(c.rlike(CHAPTER), F.regexp_extract(c, CHAPTER, 1))
+    return F.when(~line.rlike(HEAD), None).when(c.rlike(SPECIAL), F.regexp_extract(c, SPECIAL, 1)).when(c.rlike(CHAPTER), F.regexp_extract(c, CHAPTER, 1))
 
 
 def heading_text(line: Column) -> Column:
@@ -83,9 +86,14 @@ def piece(text: Column, start: Column, end: Column) -> Column:
     return F.substring(text, start.cast("int") + 1, (end - start).cast("int"))
 
 
+def gathered(parts: Column, order: Column) -> Column:
+    """Aggregate: an array of structs of o and p, the parts in order."""
+    return F.sort_array(F.collect_list(F.struct(order.alias("o"), parts.alias("p"))))
+
+
 def joined(parts: Column, order: Column) -> Column:
     """Aggregate: the parts' concatenation in order."""
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), parts.alias("p")))), lambda x: x["p"]), "")
+    return F.array_join(F.transform(gathered(parts, order), lambda x: x["p"]), "")
 
 
 def json_string(text: Column) -> Column:

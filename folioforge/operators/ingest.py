@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,7 +39,7 @@ def marked_lines(texts: DataFrame, key: str, text: str = "canonical_text", *, ke
     line = line.select(key, "line_no", "line", *[F.when(F.col("line_no") == 0, F.col(k)).alias(k) for k in kept])
     line = line.withColumn("label", tx.heading_label(F.col("line")))
     run = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.partitionBy(key)
+    every = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # in the order of run, so one pass gives both
     is_heading = F.col("label").isNotNull()
     out = line.select(
         "*",
@@ -65,8 +66,12 @@ def marked(blocks: DataFrame, key: str) -> DataFrame:
     )
 
 
-def chapters_of(marked: DataFrame, key: str, more: dict[str, Column] | None = None) -> DataFrame:
-    """key, chapter_id, ordinal, heading, source_label, source_start, source_end, character_length, sha256, paths, unit_count, chapter_text; and more aggregates."""
+def chapters_of(marked: DataFrame, key: str, more: dict[str, Column] | None = None, unit: Callable[[Column, Column, Column], Column] | None = None) -> DataFrame:
+    """key, chapter_id, ordinal, heading, source_label, source_start, source_end, character_length, sha256, paths, unit_count, chapter_text; and more aggregates.
+
+    unit: what a unit is written as, by its chapter's id, its ordinal and its line; adds unit_text, all of a chapter's in order.
+    Lines are gathered once, and units are made of them when they are put together, so no buffer or sort holds them.
+    """
     more = more or {}
     grouped = marked.groupBy(key, F.col("chapter_ordinal").alias("ordinal")).agg(
         F.max("heading").alias("heading"),
@@ -75,10 +80,12 @@ def chapters_of(marked: DataFrame, key: str, more: dict[str, Column] | None = No
         F.min("start").alias("source_start"),
         F.max(F.col("start") + F.length("line")).alias("source_end"),
         F.count(F.lit(1)).alias("unit_count"),
-        tx.joined(F.col("line"), F.col("line_no")).alias("chapter_text"),
+        tx.gathered(F.col("line"), F.col("line_no")).alias("lines"),
         *[c.alias(name) for name, c in more.items()],
     )
-    named = grouped.withColumn("chapter_id", tx.chapter_id(F.col("ordinal")))
+    named = grouped.withColumn("chapter_id", tx.chapter_id(F.col("ordinal"))).withColumn("chapter_text", F.array_join(F.transform("lines", lambda x: x["p"]), ""))
+    if unit:
+        named = named.withColumn("unit_text", F.array_join(F.transform("lines", lambda x, k: unit(F.col("chapter_id"), k + 1, x["p"])), ""))
     low = F.lower("chapter_id")
     return named.select(
         key, "chapter_id", "ordinal", "heading",
@@ -87,7 +94,7 @@ def chapters_of(marked: DataFrame, key: str, more: dict[str, Column] | None = No
         tx.digest(F.col("chapter_text")).alias("sha256"),
         F.concat(F.lit("source/chapters/"), low, F.lit(".txt")).alias("source_path"),
         F.concat(F.lit("data/units/"), low, F.lit(".units.jsonl")).alias("units_path"),
-        "unit_count", "chapter_text", *more,
+        "unit_count", "chapter_text", *(["unit_text"] if unit else []), *more,
     )
 
 
@@ -170,18 +177,17 @@ def _projects(sources: DataFrame, chapters: DataFrame) -> DataFrame:
 
 def _rendered(sources: DataFrame) -> DataFrame:
     """A row a chapter with its text and its units' rows; the first one of a text carries its source. Texts are decoded, cut and marked once, in one stage."""
-    text = lambda c: tx.json_string(F.col(c))
     whole = [c for c in sources.columns if c not in ("project_id", "content", "canonical_text")]
     raw = F.when(F.col("content") != F.col("canonical_text").cast("binary"), F.col("content"))
     texts = sources.select("project_id", "canonical_text", F.struct(*whole, raw.alias("raw"), F.col("canonical_text").alias("text")).alias("source"))
     marked = marked_lines(texts, "project_id", keep="source")
     # Units as ingested: nothing is classified or translated yet.
-    chapter = tx.chapter_id(F.col("chapter_ordinal"))
-    unit = F.concat(
-        F.lit('{"schema_version":'), tx.json_string(F.lit(tx.SCHEMA_VERSION)), F.lit(',"unit_id":'), tx.json_string(tx.unit_id(chapter, F.col("ordinal"))), F.lit(',"chapter_id":'), tx.json_string(chapter), F.lit(',"ordinal":'), F.col("ordinal").cast("string"),
-        F.lit(',"source_text":'), text("line"), F.lit(',"source_sha256":'), tx.json_string(tx.digest(F.col("line"))), F.lit(UNTOUCHED + "\n"),
+    # Ids and digests have nothing to escape, so each is made once.
+    unit = lambda chapter, ordinal, line: F.concat(
+        F.lit(f'{{"schema_version":"{tx.SCHEMA_VERSION}","unit_id":"'), tx.unit_id(chapter, ordinal), F.lit('","chapter_id":"'), chapter, F.lit('","ordinal":'), ordinal.cast("string"),
+        F.lit(',"source_text":'), tx.json_string(line), F.lit(',"source_sha256":"'), tx.digest(line), F.lit('"' + UNTOUCHED + "\n"),
     )
-    return chapters_of(marked, "project_id", {"unit_text": tx.joined(unit, F.col("line_no")), "source": F.first("source", ignorenulls=True)}).withColumn("opens", F.col("source").isNotNull())
+    return chapters_of(marked, "project_id", {"source": F.first("source", ignorenulls=True)}, unit).withColumn("opens", F.col("source").isNotNull())
 
 
 def project_files(got: Ingested) -> DataFrame:

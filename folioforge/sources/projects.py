@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
 
@@ -37,6 +38,8 @@ RENAMED = ("local", "hdfs")
 _MARKS = ".published"
 #: Files and bytes of a batch that a reader gives, whichever is reached first.
 _BATCH_FILES, _BATCH_BYTES = 1000, 4 << 20
+#: Projects that a commit publishes at once: each waits for its store, not for the driver's work.
+_PUBLISHERS = 16
 
 
 def _exists(system: fs.FileSystem, path: str) -> bool:
@@ -164,7 +167,8 @@ class _Writer(DataSourceArrowWriter):
         for m in messages:
             for project in m.projects if m else []:
                 staged.setdefault(project, []).append(f"{m.folder}/{project}")
-        done = [project for project, folders in staged.items() if place.publish(project, folders)]
+        with ThreadPoolExecutor(_PUBLISHERS) as pool:
+            done = [project for project, new in zip(staged, pool.map(place.publish, staged, staged.values()), strict=True) if new]
         place.remove(self._staging(place))
         if self.options.get("job"):
             place.put(f"{place.base}/.report-{self.job}", json.dumps(sorted(done)).encode())

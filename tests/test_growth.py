@@ -91,3 +91,63 @@ def test_files_are_decoded_in_bounded_steps():
     table = pa.Table.from_batches(got)
     assert table.column("doc_id").to_pylist() == list(range(10))
     assert [len(g["text"]) for g in table.column("got").to_pylist()] == [size] * 8 + [0, 2 * STEP_BYTES]
+
+
+def test_units_are_rendered_as_chapters_are_put_together(spark):
+    """Lines are windowed and gathered once; ids and digests of units are made once for each, and no buffer or sort holds a unit's row."""
+    from folioforge.operators.ingest import _rendered, ingest
+
+    files = spark.createDataFrame([("a.txt", b"x\nChapter 1\ny\n", None)], "filename string, content binary, title string")
+    plan = _rendered(ingest(files).sources)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2  # projects that are there twice; marks of lines
+    assert plan.count("collect_list(") == 1
+    assert plan.count("-U%04d") == 1
+
+
+def test_ordinary_lines_are_cut_and_passed_over_cheaply(spark):
+    """Cutting and labelling looks at most characters once. All line ends are found among all other characters."""
+    from folioforge.functions import text as tx
+
+    assert not tx.LINE.startswith("[^") and tx.HEAD.startswith(r"(?isU)\A")
+    ends = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+    near = [chr(c) for e in ends for c in (ord(e) - 1, ord(e) + 1) if chr(c) not in ends] + ["\x00", "\ud7ff", "\ue000", "\uffff", "\U0010ffff", "\u00e9", "\U0001f44d"]
+    text = "".join(f"{n}a{n}{e}" for n in near for e in [*ends, "\r\n"]) + "".join(near)
+    want = [f"{n}a{n}{e}" for n in near for e in [*ends, "\r\n"]] + ["".join(near)]
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(tx.lines(F.col("t"))).first()[0] == want
+    heads = spark.createDataFrame([("Chapter 1\n", "1"), (" \x1cCHAPTER x\r\n", "x"), ("prologue", "prologue"), ("\u2003Epilogue: z\n", "Epilogue"), ("The chapter 1\n", None), ("chapters 1", None), ("", None)], "line string, label string")
+    assert heads.where(~tx.heading_label(F.col("line")).eqNullSafe(F.col("label"))).collect() == []
+
+
+def test_projects_are_published_side_by_side(spark, tmp_path, monkeypatch):
+    import time
+
+    from folioforge.sources import projects
+
+    publish = projects._Place.publish
+
+    def slow(self, project, staged):
+        time.sleep(0.05)
+        return publish(self, project, staged)
+
+    monkeypatch.setattr(projects._Place, "publish", slow)
+    writer = _Writer({"path": f"{tmp_path}/p", "job": "j"})
+    names = [f"p{k:02d}" for k in range(64)]
+    staged = writer.write(iter([pa.RecordBatch.from_pydict({"project_id": names, "path": ["x"] * 64, "content": [b"1"] * 64})]))
+    began = time.time()
+    writer.commit([staged])
+    assert time.time() - began < 1.6  # one after the other: 3.2
+    assert sorted(p.name for p in (tmp_path / "p").iterdir() if p.is_dir()) == names
+
+
+def test_published_files_are_not_kept_twice(spark, sf):
+    """Files are rows of the table of chapters; no second table of them is written."""
+    from pathlib import Path
+
+    from folioforge.project_queries import published_projects
+    from folioforge.sources.shared import shared_dir
+
+    tables = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file://")).glob("*-*")}
+    before = tables()
+    published_projects(spark, sf)
+    assert sorted(name.rpartition("-")[0] for name in tables() - before) == ["chapters", "projects"]
