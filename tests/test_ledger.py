@@ -83,3 +83,52 @@ def test_stages_resume(spark, tmp_path):
     assert [r["output"] for r in runner.run(items, [Stage("up", up.make)]).orderBy("output").collect()] == ["X", "Y"]
     assert {(r["entity_id"], r["status"]): r["count"] for r in runner.ledger("up").groupBy("entity_id", "status").count().collect()} == {("a", "validated"): 1, ("b", "failed"): 1, ("b", "validated"): 1, ("c", "failed"): 2}
     assert runner.run(items, [Stage("up", up.make), Stage("twice", lambda df: df.withColumn("output", F.repeat("output", 2)))]).count() == 2
+
+
+def shuffled(spark):
+    """Bytes that all stages so far wrote to shuffles."""
+    gateway = spark.sparkContext._gateway
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_texts_are_shuffled_only_where_some_are_open(spark, tmp_path):
+    """No run shuffles the texts of records that it does not work on, as many or few as they are."""
+    from folioforge.plans.runner import Runner, Stage
+
+    n, size = 400, 128 * 200
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f" {k}")), 512) for k in range(200)])
+    spark.range(n).select(F.col("id").cast("string").alias("entity_id"), text.alias("output")).write.parquet(f"{tmp_path}/items")
+    items = spark.read.parquet(f"{tmp_path}/items")
+    some = items.withColumn("output", F.when(F.col("entity_id") == "7", "changed").otherwise(F.col("output")))
+    runner = Runner(spark, f"file://{tmp_path}/stages")
+    stages = [Stage("up", lambda df: df.withColumn("output", F.upper("output"))), Stage("long", lambda df: df.withColumn("output", F.length("output").cast("string")))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        began = shuffled(spark)
+        for given, want in ((items, [str(size)] * n), (items, [str(size)] * n), (some, ["7"] + [str(size)] * (n - 1))):
+            assert sorted(r["output"] for r in runner.run(given, stages).collect()) == sorted(want)
+        assert shuffled(spark) - began < n * size / 4  # before: several times n * size
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert runner.ledger("up").count() == n + 1 and runner.ledger("long").count() == n + 1
+
+
+def test_records_keep_their_number_and_nulls(spark, tmp_path):
+    """An item that is there twice is done twice; one without a text or an id is tried by each run, and goes on where it is valid."""
+    from folioforge.plans.runner import Runner, Stage
+
+    runner = Runner(spark, f"file://{tmp_path}/stages")
+    items = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("c", None), (None, "z")], "entity_id string, output string")
+    stages = [Stage("one", lambda df: df, lambda o: F.lit(True)), Stage("two", lambda df: df.withColumn("output", F.concat("output", F.lit("!"))))]
+    want = [("a", "x!"), ("a", "x!"), ("b", "x!")]
+    for _ in range(2):
+        assert sorted((r["entity_id"], r["output"]) for r in runner.run(items, stages).collect()) == want
+    assert {(r["entity_id"], r["status"]): r["count"] for r in runner.ledger("one").groupBy("entity_id", "status").count().collect()} == {("a", "validated"): 2, ("b", "validated"): 1, ("c", "validated"): 2, (None, "validated"): 2}
+    more = items.union(spark.createDataFrame([("d", "y")], items.schema))
+    assert sorted((r["entity_id"], r["output"]) for r in runner.run(more, stages).collect()) == [*want, ("d", "y!")]
+    digest = hashlib.sha256(b"x").hexdigest()
+    asked = spark.createDataFrame([("b", digest), ("b", "none"), ("a", digest)], "entity_id string, input_sha256 string")
+    assert sorted((r["entity_id"], r["output"]) for r in runner.outputs("two", asked).collect()) == [("a", "x!"), ("b", "x!")]
+    assert runner.outputs("three", asked).count() == 0
