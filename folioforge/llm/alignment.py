@@ -44,6 +44,10 @@ BLOCK_BYTES = 8 << 20
 _ROWS = 200_000
 #: Segments that the tokenizers get at once.
 _ENCODED = 10_000
+#: Bytes of alignments that are parsed at once; one segment's at least.
+_PARSED_BYTES = 1 << 20
+#: Links of documents' distinct segments that are counted at once; one document's at least.
+_LINKED = 500_000
 #: A space, tab or line feed may begin a segment.
 SPLITS = b" \t\n"
 #: White space beyond ASCII, and characters that some tables count as such.
@@ -222,10 +226,21 @@ def _align(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, sche
         yield aligned(pa.Table.from_batches(held))
 
 
+_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+
+
 class _Parsed:
-    """Segments' alignments as numbers: of each segment its tokens, groups and links, and all links in order of segments."""
+    """Segments' alignments as numbers: of each segment its tokens, groups and links, and all links in order of segments.
+
+    Parsing takes some fifty bytes a byte, so it goes through the segments in steps.
+    """
 
     def __init__(self, groups: pa.Array):
+        parts = [self._part(b.column(0)) for b in tk.chunks(iter([pa.record_batch([groups], ["groups"])]), "groups", _PARSED_BYTES)]
+        for k, name in enumerate((*_COUNTS, "links")):
+            setattr(self, name, np.concatenate([np.zeros(0, np.int64), *[p[k] for p in parts]]))
+
+    def _part(self, groups: pa.Array) -> tuple[np.ndarray, ...]:
         data, offsets = tk.text_bytes(groups)
         n = len(offsets) - 1
         digit = (data >= 48) & (data <= 57)
@@ -251,20 +266,20 @@ class _Parsed:
         n_groups_all = int(group.max(initial=-1)) + 1
         in_group_a = np.bincount(group[~in_b], minlength=n_groups_all)
         in_group_b = np.bincount(group[in_b], minlength=n_groups_all)
-        self.n_a = np.bincount(owner[~in_b], minlength=n)
-        self.n_b = np.bincount(owner[in_b], minlength=n)
+        n_a, n_b = np.bincount(owner[~in_b], minlength=n), np.bincount(owner[in_b], minlength=n)
         has = np.diff(offsets) > 0
         ends = np.concatenate([[0], semis])[offsets]
-        self.n_groups = np.where(has, np.diff(ends) + 1, 0)
+        n_groups = np.where(has, np.diff(ends) + 1, 0)
         b_values = value[in_b]
         first_b = np.cumsum(in_group_b) - in_group_b
         a_values, a_group, a_owner = value[~in_b], group[~in_b], owner[~in_b]
         times = in_group_b[a_group]
         total = int(times.sum())
         inside = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
-        self.links = np.repeat(a_values, times) << 32 | b_values[np.repeat(first_b[a_group], times) + inside]
-        self.n_links = np.bincount(a_owner, weights=times, minlength=n).astype(np.int64)
+        links = np.repeat(a_values, times) << 32 | b_values[np.repeat(first_b[a_group], times) + inside]
+        n_links = np.bincount(a_owner, weights=times, minlength=n).astype(np.int64)
         assert total == int((in_group_a * in_group_b).sum())
+        return n_a, n_b, n_groups, n_links, links
 
 
 def _spread(counts: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -272,9 +287,6 @@ def _spread(counts: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(firsts, counts)
 
 
-_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-
-
 def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups: bool) -> pa.Table:
     """A row with a block's documents, and their distinct pairs of linked ids (numbers in the block, as steps, and how often); and a row a pair with how many documents have it."""
     parts = [segments[c].to_pylist() for c in ("rows", "numbers", "size", "groups")]
@@ -300,6 +312,7 @@ def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups:
         digests.append(hashlib.sha256(groups.encode()).hexdigest() if ok[i] else "")
         if with_groups:
             whole.append(groups)
+    del parts, texts
     # Distinct segments of each document, how often; then their links.
     key, often = np.unique(doc * max(len(bad), 1) + flat, return_counts=True)
     seg_doc, seg = np.divmod(key, max(len(bad), 1))
@@ -307,10 +320,18 @@ def _compose(docs: pa.Table, segments: pa.Table, schema: pa.Schema, with_groups:
     links = parsed.n_links[seg]
     pairs, local = np.unique(parsed.links, return_inverse=True)
     m = max(len(pairs), 1)
-    key, slot = np.unique(np.repeat(seg_doc, links) * m + local[_spread(links, first[seg])], return_inverse=True)
-    times = np.bincount(slot, weights=np.repeat(often, links), minlength=len(key)).astype(np.int64)
-    pair_doc, pair = np.divmod(key, m)
-    held = np.bincount(pair, minlength=len(pairs)) if len(pairs) else np.zeros(0, np.int64)
+    ends = np.flatnonzero(np.diff(seg_doc, append=-1)) + 1  # of documents that have segments
+    reach, at, keys, amounts = np.cumsum(links)[ends - 1], 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while at < len(ends):
+        begin, before = (ends[at - 1], reach[at - 1]) if at else (0, 0)
+        at = max(int(np.searchsorted(reach, before + _LINKED, side="right")), at + 1)
+        own = slice(begin, ends[at - 1])
+        key, slot = np.unique(np.repeat(seg_doc[own], links[own]) * m + local[_spread(links[own], first[seg[own]])], return_inverse=True)
+        keys.append(key)
+        amounts.append(np.bincount(slot, weights=np.repeat(often[own], links[own]), minlength=len(key)).astype(np.int64))
+    key, times = np.concatenate(keys), np.concatenate(amounts)
+    del keys, amounts
+    held = np.bincount(key % m, minlength=len(pairs)) if len(pairs) else np.zeros(0, np.int64)
     used = np.flatnonzero(held)
     steps = np.diff(key, prepend=0) if len(key) else key  # of doc * m + pair, ascending
     block = docs["block"][0].as_py()

@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -113,3 +116,41 @@ def test_edges(spark, plain):
 def test_query(spark, sf, plain):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert found(op13_alignment(spark, sf)) == plain([tuple(r) for r in docs])
+
+
+def block_of(n_docs, n_segments, each, seed=3):
+    """A block as it comes to be composed: documents with `each` segments, most of them frequent ones; alignments are made up, some missing."""
+    rng = np.random.default_rng(seed)
+    tokens = (24_000 * rng.random((n_segments, 4)) ** 8).astype(np.int64)
+    words = [f"{a},{b}|{c};{c}|{a};{d}|{d}" for a, b, c, d in tokens.tolist()]
+    words[n_segments // 2] = ""
+    flat = (n_segments * rng.random(n_docs * each) ** 6).astype(np.int64)
+    docs = pa.table({"block": [7], "ids": [list(range(n_docs))], "sizes": pa.array([[each] * n_docs], pa.list_(pa.int32())), "numbers": [al._packed(flat)]})
+    parts = np.array_split(rng.permutation(n_segments), 5)
+    lines = ["\n".join(words[k] for k in part).encode() for part in parts]
+    segments = pa.table({"rows": [len(p) for p in parts], "numbers": [al._packed(p) for p in parts], "size": [len(x) for x in lines], "groups": [pa.compress(x, codec="zstd", asbytes=True) for x in lines]})
+    long, many, kinds = pa.int64(), pa.list_(pa.int64()), [*al._COUNTS]
+    schema = pa.schema([("block", long), ("ids", many), *[(c, many) for c in kinds], ("groups_sha256", pa.list_(pa.string())), ("n_pairs", long), ("n_held", long), ("steps", pa.binary()), ("times", pa.binary()), ("number", pa.int32()), ("pair", long), ("n", long)])
+    return docs, segments, schema
+
+
+def test_steps_of_a_block(monkeypatch):
+    """Steps of any size give the same rows."""
+    given = block_of(30, 200, 40)
+    want = al._compose(*given, False)
+    assert want["n_held"][0].as_py() > 1000
+    for size in (1, 17, 300):
+        monkeypatch.setattr(al, "_PARSED_BYTES", size)
+        monkeypatch.setattr(al, "_LINKED", size)
+        assert al._compose(*given, False).equals(want)
+
+
+def test_memory_of_a_block():
+    """A block of the size that 8 MB of text have: two tasks of an executor have about 1 GB for them beside its heap."""
+    given = block_of(2300, 240_000, 570)
+    tracemalloc.start()
+    try:
+        al._compose(*given, False)
+        assert tracemalloc.get_traced_memory()[1] < 300e6
+    finally:
+        tracemalloc.stop()
